@@ -16,13 +16,17 @@ TOKEN = rf"[{WORD}]+"
 NON_SPACE_RUN = rf"[^{SPACE}]+"
 URL = rf"(?i)https?://[^{SPACE}]+|www\.[^{SPACE}]+"
 CONTROL = r"[\x00-\x1f\x7f-\x9f]"
-OUTER_SPACE = rf"^[{SPACE}]+|[{SPACE}]+$"
+# Every character of SPACE, for trimming without a regular expression.
+SPACE_CHARS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 HASHTAG = rf"#([{WORD}]+)"
 MENTION = rf"@([{WORD}]+)"
 
 
 def strip(text: Column) -> Column:
-    return F.regexp_replace(text, OUTER_SPACE, "")
+    return F.btrim(text, F.lit(SPACE_CHARS))
 
 
 def is_blank(text: Column) -> Column:
@@ -65,6 +69,6 @@ def normalise_tags(tags: Column, mark: str) -> Column:
     """Strip white space and leading marks, lower the case, drop what is then blank."""
 
     def one(tag: Column) -> Column:
-        return F.lower(strip(F.regexp_replace(strip(tag), f"^{mark}+", "")))
+        return F.lower(strip(F.ltrim(strip(tag), F.lit(mark))))
 
     return F.filter(F.transform(F.coalesce(tags, F.array().cast("array<string>")), one), lambda t: t != "")

@@ -17,14 +17,15 @@ from chatterlens.functions.text import drop_urls
 # An ampersand that may open an entity.
 ENTITY_START = r"&[#A-Za-z]"
 
-# Characters NFKC leaves alone wherever they stand: ASCII, the Latin letters and signs that have no
-# compatibility form, common dashes, quotes, the bullet, the rupee and euro signs, and pictographs.
+# Characters beyond ASCII that NFKC leaves alone wherever they stand: the Latin letters and signs that
+# have no compatibility form, common dashes, quotes, the bullet, rupee and euro signs, pictographs.
 NFKC_STABLE = (
-    r"\x00-\x9f¡-§©«-®°±¶·»¿-ı"
+    r"\x80-\x9f¡-§©«-®°±¶·»¿-ı"
     r"Ĵ-ľŁ-ňŊ-ž–—‘’“”•€₹"
     r"\x{1f300}-\x{1f5ff}\x{1f600}-\x{1f64f}\x{1f680}-\x{1f6c5}"
 )
-
+# Faster than one negated class of all ranges: ASCII characters fail the first test.
+NFKC_MAY_CHANGE = rf"[^\x00-\x7f](?<![{NFKC_STABLE}])"
 
 
 @cache
@@ -50,20 +51,24 @@ def _udf(entities: bool, urls: bool, fold: bool):
     return apply
 
 
-def _only_where(udf, text: Column, needed: Column) -> Column:
-    return F.coalesce(udf(F.when(needed, text)), text)
+def may_hold_entity(text: Column) -> Column:
+    return text.contains("&") & text.rlike(ENTITY_START)
+
+
+def may_change_form(text: Column) -> Column:
+    """ASCII text, told by its length in bytes, is never looked at closer."""
+    return (F.octet_length(text) != F.length(text)) & text.rlike(NFKC_MAY_CHANGE)
 
 
 def unescape_html(text: Column) -> Column:
-    return _only_where(_udf(True, False, False), text, text.rlike(ENTITY_START))
+    return F.coalesce(_udf(True, False, False)(F.when(may_hold_entity(text), text)), text)
 
 
 def nfkc(text: Column) -> Column:
-    return _only_where(_udf(False, False, True), text, text.rlike(f"[^{NFKC_STABLE}]"))
+    return F.coalesce(_udf(False, False, True)(F.when(may_change_form(text), text)), text)
 
 
 def decode_strip_fold(text: Column) -> Column:
     """Entities, then URLs, then NFKC, in that order; one trip to Python at most."""
-    needed = text.rlike(f"{ENTITY_START}|[^{NFKC_STABLE}]")
-    native = drop_urls(F.when(~needed, text))
-    return F.coalesce(native, _udf(True, True, True)(F.when(needed, text)))
+    needed = may_hold_entity(text) | may_change_form(text)
+    return F.coalesce(_udf(True, True, True)(F.when(needed, text)), drop_urls(text))

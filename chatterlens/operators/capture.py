@@ -91,7 +91,7 @@ def parse_cards(
             "username": handle(F.col("user_text")),
             "content": card_content(F.col("body_text"), F.col("full_text")),
         }
-    ).filter((F.col("content") != "") | (F.col("username") != "unknown"))
+    ).filter((F.col("username") != "unknown") | (F.col("content") != ""))
     return named.select(
         F.col("ingest_seq").alias("post_id"),
         "ingest_seq",

@@ -38,13 +38,23 @@ def clean_posts(
     ``observation`` receives ``total`` and ``retained`` once an action has run.
     """
     require_columns(df, ["content", "hashtags", "mentions"], "clean_posts")
-    cleaned = df.withColumn("content", clean_text(F.col("content"), newline_to_space)).withColumns(
+    text = clean_text(F.col("content"), newline_to_space)
+    if observation is not None:
+        # The text is computed below the metrics, which keep the filter from being pushed under it.
+        kept = F.count_if(F.col("content") != "") if drop_empty else F.count(F.lit(1))
+        counted = df.withColumn("content", text).observe(
+            observation, F.count(F.lit(1)).alias("total"), kept.alias("retained")
+        )
+        cleaned = counted.filter(F.col("content") != "") if drop_empty else counted
+    elif drop_empty:
+        # As a generator, not a filter: a filter would be pushed down and clean every text twice.
+        present = F.explode(F.array_remove(F.array(text), "")).alias("content")
+        cleaned = df.select(*[present if c == "content" else F.col(c) for c in df.columns])
+    else:
+        cleaned = df.withColumn("content", text)
+    return cleaned.withColumns(
         {
             "hashtags": merge_tags(F.col("content"), F.col("hashtags"), HASHTAG, "#"),
             "mentions": merge_tags(F.col("content"), F.col("mentions"), MENTION, "@"),
         }
     )
-    if observation is not None:
-        kept = F.count_if(F.col("content") != "") if drop_empty else F.count(F.lit(1))
-        cleaned = cleaned.observe(observation, F.count(F.lit(1)).alias("total"), kept.alias("retained"))
-    return cleaned.filter(F.col("content") != "") if drop_empty else cleaned

@@ -17,10 +17,15 @@ def engagement_score(likes: Column, replies: Column, reposts: Column) -> Column:
     return likes * F.lit(1.0) + reposts * F.lit(1.5) + replies * F.lit(2.0)
 
 
+def in_lexicon(words: Column, lexicon: Sequence[str]) -> Column:
+    """The words a lexicon holds; ``isin`` over a list of literals is a hash lookup."""
+    entries = list(lexicon)
+    return F.filter(words, lambda w: w.isin(entries))
+
+
 def hits(words: Column, lexicon: Sequence[str]) -> Column:
     """How many of the words, repeats included, the lexicon holds."""
-    entries = F.array(*[F.lit(w) for w in lexicon])
-    return F.size(F.filter(words, lambda w: F.array_contains(entries, w)))
+    return F.size(in_lexicon(words, lexicon))
 
 
 def polarity(bull: Column, bear: Column) -> Column:
@@ -38,8 +43,7 @@ def with_sentiment(
     Words outside both lexicons are dropped first, so the text is tokenised and scanned once.
     """
     require_columns(df, ["content"], "with_sentiment")
-    both = F.array(*[F.lit(w) for w in [*bullish, *bearish]])
-    found = F.filter(tokens(F.coalesce("content", F.lit(""))), lambda w: F.array_contains(both, w))
+    found = in_lexicon(tokens(F.coalesce("content", F.lit(""))), [*bullish, *bearish])
     return (
         df.withColumn("_found", found)
         .withColumns(

@@ -40,7 +40,7 @@ def signal_label(mean: Column, buy: float, sell: float) -> Column:
 def _statistics(signal: Column) -> list[Column]:
     """All moments in one pass over the rows, merged from per-task partial results."""
     return [
-        F.count(F.lit(1)).alias("n"),
+        F.count(signal).alias("n"),
         F.coalesce(F.avg(signal), F.lit(0.0)).alias("mean"),
         F.coalesce(F.stddev_samp(signal), F.lit(0.0)).alias("std"),
         F.count_if(signal > 0).alias("bulls"),
@@ -82,8 +82,11 @@ def summarise(
     """
     if "weighted_signal" not in df.columns:
         df = with_weighted_signal(df)
-    finite = df.filter(is_finite(F.col("weighted_signal")))
-    grouped = finite.groupBy(*by).agg(*_statistics(F.col("weighted_signal")))
+    # NULL instead of a filter: a filter on the signal would be pushed down and compute it twice.
+    signal = F.when(is_finite(F.col("weighted_signal")), F.col("weighted_signal"))
+    grouped = df.withColumn("weighted_signal", signal).groupBy(*by).agg(*_statistics(F.col("weighted_signal")))
+    if by:
+        grouped = grouped.filter(F.col("n") > 0)
     keys = [c for c in grouped.columns if c not in ("n", "mean", "std", "bulls", "bears")]
     return grouped.select(*keys, *_summary_columns(buy_threshold, sell_threshold))
 

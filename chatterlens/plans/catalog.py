@@ -167,13 +167,22 @@ def _(spark, sf):
 def _(spark, sf):
     path = scratch_dir(spark, "features")
     matrix = featured(spark, sf).select(
-        "post_id", "timestamp", "content", "likes", "hashtags", "mentions", "engagement_score", "word_count", "sentiment_score"
+        "post_id",
+        "username",
+        "timestamp",
+        "content",
+        "likes",
+        "hashtags",
+        "mentions",
+        "engagement_score",
+        "word_count",
+        "sentiment_score",
     )
     results.write_features_csv(matrix, path)
     stored = results.read_features_csv(
         spark,
         path,
-        "post_id bigint, timestamp string, content string, likes bigint, hashtags string, mentions string, "
+        "post_id bigint, username string, timestamp string, content string, likes bigint, hashtags string, mentions string, "
         "engagement_score double, word_count int, sentiment_score double",
     )
     return stored.withColumns({c: F.round(c, 6) for c in ("engagement_score", "sentiment_score")})

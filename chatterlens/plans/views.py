@@ -33,7 +33,13 @@ def batch_start() -> Column:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A driver table. A single small file is one scan task: its rows are dealt out to all cores.
+
+    Tables of more files than cores, as at scale, are left as the scan splits them.
+    """
+    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return rows.repartition(cores) if len(rows.inputFiles()) < cores else rows
 
 
 def phrase() -> Column:
@@ -70,9 +76,18 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     mentions = F.array(F.concat(F.lit("@U"), user))
     short = F.concat(F.lit("  "), phrase(), F.lit(" lot "), lot().cast("string"), F.lit("\n"))
 
-    own = events.select(_post(F.col("event_id") * 4, F.concat(F.lit(" u"), user), short, lot() - 5, tags, mentions))
-    copies = events.filter(F.col("event_type") == "purchase").select(
-        _post(F.col("event_id") * 4 + 1, F.concat(F.lit("U"), user), F.upper(short), lot() + 1, tags, mentions)
+    own = F.col("copy") == 0
+    feed = events.withColumn(
+        "copy", F.explode(F.when(F.col("event_type") == "purchase", F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+    ).select(
+        _post(
+            F.col("event_id") * 4 + F.col("copy"),
+            F.concat(F.when(own, F.lit(" u")).otherwise(F.lit("U")), user),
+            F.when(own, short).otherwise(F.upper(short)),
+            F.when(own, lot() - 5).otherwise(lot() + 1),
+            tags,
+            mentions,
+        )
     )
     notes = (
         table(spark, sf_dir, "documents")
@@ -102,7 +117,7 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
             )
         )
     )
-    return own.unionByName(copies).unionByName(notes).unionByName(web).select(POST_COLUMNS)
+    return feed.unionByName(notes).unionByName(web).select(POST_COLUMNS)
 
 
 def known_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -75,9 +75,9 @@ _JSON_RECORD = (
 
 
 def _parsed_json(lines: DataFrame) -> DataFrame:
-    record = F.from_json("value", _JSON_RECORD).alias("r")
     keys = [c for c in ("post_id", "ingest_seq") if c in lines.columns]
-    rows = lines.select(*keys, "value", record)
+    # One-element explode: later filters on the fields do not parse the text again.
+    rows = lines.select(*keys, "value", F.explode(F.array(F.from_json("value", _JSON_RECORD))).alias("r"))
 
     def count(name: str):
         text = F.coalesce(F.col(f"r.{name}"), F.lit("0"))
