@@ -13,8 +13,10 @@ ISO_OFFSET = r"[T ].*([Zz]|[+-]\d{2}(:?\d{2})?)$"
 
 
 def ntz_to_utc(ts_ntz: Column) -> Column:
-    """Read a wall-clock timestamp as UTC."""
-    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", F.expr(EPOCH_NTZ), ts_ntz))
+    """Read a wall-clock timestamp as UTC. Built from its fields: a difference would be taken in session time."""
+    minutes = (F.unix_date(ts_ntz.cast("date")).cast("bigint") * 24 + F.hour(ts_ntz)) * 60 + F.minute(ts_ntz)
+    second_micros = (F.extract(F.lit("SECOND"), ts_ntz) * 1_000_000).cast("bigint")
+    return F.timestamp_micros(minutes * 60_000_000 + second_micros)
 
 
 def utc_to_ntz(ts: Column) -> Column:

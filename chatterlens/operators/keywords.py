@@ -154,10 +154,17 @@ class KeywordModel:
         if self.n_terms == 0:
             return spark.createDataFrame([], KEYWORD_SCHEMA)
         if self.row_local:
-            means = self._vectors(df.select(text), text).agg(vector_to_array(Summarizer.mean(F.col("tfidf"))).alias("m"))
-            names = F.array(*[F.lit(t) for t in self.local[0]])
-            pairs = F.arrays_zip(names.alias("keyword"), F.col("m").alias("score"))
-            return means.filter(F.col("m").isNotNull()).select(F.inline(pairs).alias("keyword", "score"))
+            # Grouped by a constant: no documents then give no row, and every score is 0.
+            mean = vector_to_array(Summarizer.mean(F.col("tfidf"))).alias("mean")
+            means = self._vectors(df.select(text), text).groupBy(F.lit(1)).agg(mean).select("mean")
+            terms = self.local[0]
+            names = F.array(*[F.lit(t) for t in terms])
+            scores = F.coalesce(means.scalar(), F.array_repeat(F.lit(0.0), len(terms)))
+            return (
+                spark.range(1)
+                .select(names.alias("keyword"), scores.alias("score"))
+                .select(F.inline(F.arrays_zip("keyword", "score")))
+            )
         n_docs = documents(df, text).agg(F.count(F.lit(1)).alias("n")).scalar()
         scored = self._transform_by_join(df.select(key, text), text, key)
         sums = scored.groupBy("term").agg(F.sum("tfidf").alias("s"))
