@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from chatterlens.functions.text import is_blank, tokens
 from chatterlens.functions.words import STOP_WORDS
 from chatterlens.schema import KEYWORD_SCHEMA, VOCAB_SCHEMA, require_columns
+from chatterlens.session import scratch_dir
 
 # Vocabularies up to this many terms live in the driver and in every task.
 ROW_LOCAL_TERMS = 2_000
@@ -64,34 +65,57 @@ def with_terms(
     return words.withColumn("terms", joined).drop("_raw", "_words", *[f"_gram{n}" for n in sizes])
 
 
+def occurrences(df: DataFrame, keys: Sequence[str] = ("post_id",)) -> DataFrame:
+    """One row per term occurrence, from the ``terms`` column.
+
+    The sort brings repeats together for the aggregation that follows. It also makes the exploded value
+    an expression: for a plain column Spark would infer a filter and build the terms twice.
+    """
+    return df.select(*keys, F.explode(F.sort_array("terms")).alias("term"))
+
+
 def term_counts(df: DataFrame, keys: Sequence[str] = ("post_id",)) -> DataFrame:
-    """Occurrences of each term in each document, from the ``terms`` column."""
-    return (
-        df.select(*keys, F.explode("terms").alias("term"))
-        .groupBy(*keys, "term")
-        .agg(F.count(F.lit(1)).alias("tf"))
-    )
+    """Occurrences of each term in each document."""
+    return occurrences(df, keys).groupBy(*keys, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def term_statistics(df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Corpus total and document frequency per term.
 
-    Terms are sorted inside the row so that the first of each run marks the document: both counts
-    then come from one partial aggregation by term, without a shuffle by document.
+    Terms are sorted inside the row and laid beside their predecessors: a term unlike its predecessor is
+    the first of its document. Both counts then come from one partial aggregation by term, without a
+    shuffle by document.
     """
     ordered = df.select(*keys, F.sort_array("terms").alias("_sorted"))
-
-    def marked(term, i):
-        before = F.get(F.col("_sorted"), i - 1)
-        return F.struct(term.alias("term"), F.when((i > 0) & (before == term), 0).otherwise(1).alias("first"))
-
+    shorter = F.slice("_sorted", F.lit(1), F.greatest(F.size("_sorted") - 1, F.lit(0)))
+    shifted = F.concat(F.array(F.lit(None).cast("string")), shorter)
+    pairs = F.arrays_zip(F.col("_sorted").alias("term"), shifted.alias("before"))
+    first = ~F.col("term").eqNullSafe(F.col("before"))
     return (
-        ordered.select(*keys, F.inline(F.transform("_sorted", marked)))
+        ordered.select(*keys, F.inline(pairs))
         .groupBy(*keys, "term")
-        .agg(F.count(F.lit(1)).alias("total"), F.sum("first").alias("df"))
+        .agg(F.count(F.lit(1)).alias("total"), F.count_if(first).alias("df"))
     )
 
 
+def normalised_scores(counted: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """L2-normalised tf x idf per document; ``counted`` has tf and idf."""
+    norm = F.sqrt(F.sum(F.pow(F.col("tf") * F.col("idf"), 2)).over(Window.partitionBy(*keys)))
+    return counted.withColumn("tfidf", F.col("tf") * F.col("idf") / norm)
+
+
+def vocabulary_counts(df: DataFrame, vocab: DataFrame, on: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    """Counts per document of vocabulary terms only: all other terms leave before the shuffle by document.
+
+    ``vocab`` is a stored table, so Spark knows its size: a small one is broadcast, a large one is joined by
+    shuffle, where AQE splits the partitions of very frequent terms. Counting and the norm that follows
+    share the one partitioning by document.
+    """
+    extra = [c for c in vocab.columns if c not in on]
+    hits = occurrences(df, keys).join(vocab, list(on)).repartition(*keys)
+    return hits.groupBy(*keys, "term", *extra).agg(F.count(F.lit(1)).alias("tf"))
+
+
 @dataclass(frozen=True)
 class KeywordModel:
     """A fitted vocabulary. ``table`` is ``(term, total, df, idf)``, ``n_docs`` the corpus size."""
@@ -141,9 +165,8 @@ class KeywordModel:
 
     def _transform_by_join(self, df: DataFrame, text: str, key: str) -> DataFrame:
         prepared = with_terms(documents(df, text), text, self.ngram_range, self.stop_words)
-        counted = term_counts(prepared, [key]).join(self.table.select("term", "idf"), "term")
-        norm = F.sqrt(F.sum(F.pow(F.col("tf") * F.col("idf"), 2)).over(Window.partitionBy(key)))
-        return counted.select(key, "term", "tf", (F.col("tf") * F.col("idf") / norm).alias("tfidf"))
+        counted = vocabulary_counts(prepared, self.table.select("term", "idf"), ["term"], [key])
+        return normalised_scores(counted, [key]).select(key, "term", "tf", "tfidf")
 
     def mean_scores(self, df: DataFrame, text: str = "content", key: str = "post_id") -> DataFrame:
         """Mean score of every vocabulary term over all documents with text; absent counts as 0.
@@ -198,17 +221,15 @@ class KeywordModel:
 
 
 def _model(
-    table: DataFrame, n_docs: int, ngram_range: tuple[int, int], stop_words: tuple[str, ...], size: int | None = None
+    table: DataFrame, n_docs: int, ngram_range: tuple[int, int], stop_words: tuple[str, ...]
 ) -> KeywordModel:
     """Bring a vocabulary of bounded size to the driver; leave a larger one where it is."""
-    rows = None
-    if size is None or size <= ROW_LOCAL_TERMS:
-        rows = table.orderBy("term").limit(ROW_LOCAL_TERMS + 1).collect()
-    if rows is not None and len(rows) <= ROW_LOCAL_TERMS:
-        table = table.sparkSession.createDataFrame(rows, VOCAB_SCHEMA)
-        local = (tuple(r["term"] for r in rows), tuple(r["idf"] for r in rows))
-        return KeywordModel(table, n_docs, len(rows), ngram_range, stop_words, local)
-    return KeywordModel(table, n_docs, table.count(), ngram_range, stop_words, None)
+    rows = table.orderBy("term").limit(ROW_LOCAL_TERMS + 1).collect()
+    if len(rows) > ROW_LOCAL_TERMS:
+        return KeywordModel(table, n_docs, table.count(), ngram_range, stop_words, None)
+    table = table.sparkSession.createDataFrame(rows, VOCAB_SCHEMA)
+    local = (tuple(r["term"] for r in rows), tuple(r["idf"] for r in rows))
+    return KeywordModel(table, n_docs, len(rows), ngram_range, stop_words, local)
 
 
 def vocabulary(
@@ -233,17 +254,36 @@ def fit(
     text: str = "content",
     stop_words: Sequence[str] = tuple(STOP_WORDS),
 ) -> KeywordModel:
-    """Fit a vocabulary: one pass counts documents, one counts terms.
+    """Fit a vocabulary in one pass over the texts.
 
-    A corpus without text or terms gives a model without terms.
+    Every document carries one NULL term, whose total is the corpus size; it comes out with the vocabulary. A corpus without text or terms gives a model without terms. A vocabulary too large
+    for the driver is written to the shared scratch folder.
     """
     if max_features <= 0:
         raise ValueError(f"max_features must be > 0, got {max_features}")
     require_columns(df, [text], "fit")
-    n_docs = documents(df.select(text), text).count()
-    counted = vocabulary(df, max_features, min_df, text, ngram_range, stop_words)
+    prepared = with_terms(documents(df.select(text), text), text, ngram_range, stop_words)
+    marked = prepared.withColumn("terms", F.concat("terms", F.array(F.lit(None).cast("string"))))
+    counted = (
+        term_statistics(marked)
+        .filter(F.col("term").isNull() | (F.col("df") >= min_df))
+        .orderBy(F.col("term").isNotNull(), F.desc("total"), F.asc("term"))
+        .limit(max_features + 1)
+    )
+    settings = (tuple(ngram_range), tuple(stop_words))
+    spark = df.sparkSession
+    if max_features <= ROW_LOCAL_TERMS:
+        rows = counted.collect()
+        n_docs = rows[0]["total"] if rows else 0
+        counted = spark.createDataFrame(rows[1:], "term string, total bigint, df bigint")
+    else:
+        path = scratch_dir(spark, "vocabulary")
+        counted.write.parquet(path)
+        stored = spark.read.schema("term string, total bigint, df bigint").parquet(path)
+        head = stored.filter(F.col("term").isNull()).head(1)
+        n_docs, counted = (head[0]["total"] if head else 0), stored.filter(F.col("term").isNotNull())
     table = counted.select("term", "total", "df", smoothed_idf(F.lit(n_docs), F.col("df")).alias("idf"))
-    return _model(table, n_docs, tuple(ngram_range), tuple(stop_words), max_features)
+    return _model(table, n_docs, *settings)
 
 
 def smoothed_idf(n_docs: Column, df: Column) -> Column:
@@ -278,8 +318,8 @@ def top_keywords_by_hashtag(
 ) -> DataFrame:
     """Keywords of every hashtag, each hashtag a corpus of its own.
 
-    The vocabulary grows with the number of hashtags, so it is joined without a broadcast hint; the
-    per-hashtag cut is a group limit that runs before its shuffle.
+    The vocabulary grows with the number of hashtags, so it is stored and then joined by its known size;
+    the per-hashtag cut is a group limit that runs before its shuffle.
     """
     tagged = documents(df, text).select(key, text, F.array_distinct("hashtags").alias("_tags"))
     terms = with_terms(tagged, text, ngram_range, stop_words).select(key, "terms", F.explode("_tags").alias("hashtag"))
@@ -293,10 +333,12 @@ def top_keywords_by_hashtag(
         .join(sizes, "hashtag")
         .select("hashtag", "term", "n", smoothed_idf(F.col("n"), F.col("df")).alias("idf"))
     )
-    counted = term_counts(terms, [key, "hashtag"]).join(vocab, ["hashtag", "term"])
-    norm = F.sqrt(F.sum(F.pow(F.col("tf") * F.col("idf"), 2)).over(Window.partitionBy(key, "hashtag")))
+    spark, path = df.sparkSession, scratch_dir(df.sparkSession, "vocabulary")
+    vocab.write.parquet(path)
+    stored = spark.read.schema("hashtag string, term string, n bigint, idf double").parquet(path)
+    counted = vocabulary_counts(terms, stored, ["hashtag", "term"], [key, "hashtag"])
     scores = (
-        counted.select("hashtag", "term", "n", (F.col("tf") * F.col("idf") / norm).alias("tfidf"))
+        normalised_scores(counted, [key, "hashtag"])
         .groupBy("hashtag", "term", "n")
         .agg(F.sum("tfidf").alias("s"))
         .select("hashtag", F.col("term").alias("keyword"), (F.col("s") / F.col("n")).alias("score"))

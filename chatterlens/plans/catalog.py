@@ -100,6 +100,18 @@ def parsed_cards(spark, sf, **options):
     return capture.parse_cards(views.captures(spark, sf), views.as_of(), CUTOFF_HOURS, **options)
 
 
+def stored(df, label):
+    """The table written once and read back, as a run does before its several readers."""
+    spark = df.sparkSession
+    path = scratch_dir(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def texts_table(spark, sf):
+    return stored(unique(spark, sf).select("post_id", "content", "hashtags"), "texts")
+
+
 def model(spark, sf):
     return keywords.fit(unique(spark, sf), max_features=50)
 
@@ -190,7 +202,7 @@ def _(spark, sf):
 
 @query("s07_keywords_json")
 def _(spark, sf):
-    top = keywords.top_keywords(unique(spark, sf), 10, 50)
+    top = keywords.top_keywords(texts_table(spark, sf), 10, 50)
     path = results.write_json(top, scratch_dir(spark, "keywords"))
     return results.read_keywords(spark, path).select("keyword", rounded("score"))
 
@@ -660,7 +672,8 @@ def _(spark, sf):
 
 @query("t09_document_scores")
 def _(spark, sf):
-    return model(spark, sf).transform(unique(spark, sf)).select("post_id", "term", "tf", rounded("tfidf"))
+    posts = texts_table(spark, sf)
+    return keywords.fit(posts, 50).transform(posts).select("post_id", "term", "tf", rounded("tfidf"))
 
 
 @query("t10_score_new_texts")
@@ -675,18 +688,18 @@ def _(spark, sf):
 
 @query("t11_mean_scores")
 def _(spark, sf):
-    posts = unique(spark, sf)
+    posts = texts_table(spark, sf)
     return keywords.fit(posts, 50).mean_scores(posts).select("keyword", rounded("score"))
 
 
 @query("t12_top_keywords")
 def _(spark, sf):
-    return keywords.top_keywords(unique(spark, sf), 10, 50).select("keyword", rounded("score"))
+    return keywords.top_keywords(texts_table(spark, sf), 10, 50).select("keyword", rounded("score"))
 
 
 @query("t12_keywords_by_hashtag")
 def _(spark, sf):
-    return keywords.top_keywords_by_hashtag(unique(spark, sf), 5, 50).select("hashtag", "keyword", rounded("score"))
+    return keywords.top_keywords_by_hashtag(texts_table(spark, sf), 5, 50).select("hashtag", "keyword", rounded("score"))
 
 
 # Signal
@@ -805,17 +818,17 @@ def bins_out(df):
 
 @query("v03_engagement_histogram")
 def _(spark, sf):
-    return bins_out(charts.engagement_histogram(featured(spark, sf)))
+    return bins_out(charts.engagement_histogram(stored(featured(spark, sf).select("engagement_score"), "chart")))
 
 
 @query("v04_signal_histogram")
 def _(spark, sf):
-    return bins_out(charts.signal_histogram(scored(spark, sf)))
+    return bins_out(charts.signal_histogram(stored(scored(spark, sf).select("weighted_signal"), "chart")))
 
 
 @query("v04_sentiment_histogram")
 def _(spark, sf):
-    return bins_out(charts.signal_histogram(featured(spark, sf)))
+    return bins_out(charts.signal_histogram(stored(featured(spark, sf).select("sentiment_score"), "chart")))
 
 
 @query("v05_signal_overlay")
@@ -827,7 +840,7 @@ def _(spark, sf):
 def _(spark, sf):
     counted = [
         df.agg(F.lit(name).alias("chart"), F.count(F.lit(1)).alias("n"))
-        for name, df in charts.all_charts(scored(spark, sf)).items()
+        for name, df in charts.all_charts(stored(scored(spark, sf).drop("content"), "chart")).items()
     ]
     merged = counted[0]
     for part in counted[1:]:
