@@ -57,8 +57,9 @@ def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
     """
     values = df.select(F.col(column).cast("double").alias("x")).filter(is_finite(F.col("x")))
     spread = F.when(F.min("x") == F.max("x"), F.lit(0.5)).otherwise(F.lit(0.0))
-    limits = values.agg((F.min("x") - spread).alias("lo"), (F.max("x") + spread).alias("hi"))
-    lo, hi = (limits.select(c).scalar() for c in ("lo", "hi"))
+    limits = F.struct((F.min("x") - spread).alias("lo"), (F.max("x") + spread).alias("hi"))
+    box = values.agg(limits.alias("box")).scalar()  # one subquery, so one extra scan
+    lo, hi = box["lo"], box["hi"]
 
     number = F.least(F.lit(bins).cast("bigint"), F.expr("width_bucket(x, lo, hi, bins)"))
     counted = (
@@ -110,7 +111,8 @@ def signal_chart(df: DataFrame, summary: DataFrame | None = None, bins: int = 30
     if summary is None:
         return chart
     names = ("mean_signal", "ci_95_lower", "ci_95_upper")
-    return chart.select("*", *[summary.select(c).scalar().alias(c) for c in names])
+    lines = summary.select(F.struct(*names)).scalar()
+    return chart.select("*", *[lines[c].alias(c) for c in names])
 
 
 def all_charts(df: DataFrame, summary: DataFrame | None = None, top_n: int = 10, bins: int = 30) -> dict[str, DataFrame]:
