@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chatterlens.functions import text, times, unicode
-from chatterlens.operators import capture, charts, clean, dedup, features, keywords, normalize, ranking, signal
+from chatterlens.operators import capture, charts, clean, dedup, features, keywords, normalize, signal
 from chatterlens.options import JobOptions
 from chatterlens.plans import signals, views
 from chatterlens.schema import KEYWORD_SCHEMA
@@ -124,10 +124,6 @@ def terms(spark, sf):
     return keywords.with_terms(keywords.documents(unique(spark, sf)))
 
 
-def table(name):
-    return lambda spark, sf: views.table(spark, sf, name)
-
-
 # Sources and sinks
 
 
@@ -247,10 +243,10 @@ def _(spark, sf):
 @query("s12_json_rejects")
 def _(spark, sf):
     rows = normalised(spark, sf)
-    lines = post_io.to_json_lines(rows.withColumn("marked", F.col("likes") >= 100))
-    broken = lines.withColumn(
-        "value", F.when(F.get_json_object("value", "$.likes").cast("bigint") >= 100, F.regexp_replace("value", '"timestamp":"', '"timestamp":"on ')).otherwise(F.col("value"))
-    )
+    popular = F.get_json_object("value", "$.likes").cast("bigint") >= 100
+    spoilt = F.regexp_replace("value", '"timestamp":"', '"timestamp":"on ')
+    lines = post_io.to_json_lines(rows)
+    broken = lines.withColumn("value", F.when(popular, spoilt).otherwise(F.col("value")))
     return post_io.rejected_json_lines(broken).agg(F.count(F.lit(1)).alias("rejected"))
 
 

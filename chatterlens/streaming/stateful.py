@@ -5,9 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from chatterlens.functions.times import utc_to_ntz
 from chatterlens.operators.dedup import FingerprintStore, with_fingerprint
 from chatterlens.operators.signal import rolling_summary
 from chatterlens.schema import POST_SCHEMA
