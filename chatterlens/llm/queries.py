@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatterlens.llm import decontaminate, mixing, quality_rules, sharding
-from chatterlens.llm._tables import read
+from chatterlens.llm import decontaminate, language_mix, mixing, neighbour_votes, quality_rules, sharding
+from chatterlens.llm._tables import fold, read
 
 
 def op1_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,6 +27,17 @@ def op1_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_neighbour_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = neighbour_votes.score(docs, read(spark, sf_dir, "labels"))
+    return rows.select(
+        "doc_id",
+        (F.pmod(fold(rows), F.lit(3)) == 1).alias("held_out"),
+        F.col("quality_score").alias("score"),
+        (F.col("quality_score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op3_training_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     rows = decontaminate.contamination(docs, read(spark, sf_dir, "benchmark"))
@@ -41,6 +52,17 @@ def op3_training_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = language_mix.identify(read(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+    return rows.select(
+        "doc_id",
+        (F.pmod(fold(rows), F.lit(3)) == 1).alias("held_out"),
+        "language.lang_pred",
+        "language.score",
+        F.size("language.langs").alias("n_langs"),
+    )
+
+
 def op8_source_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, _ = mixing.mixed(read(spark, sf_dir, "documents").select("doc_id", "source", "text"))
     return rows.select("doc_id", "size", "source_size", "target", "taken")
@@ -62,7 +84,14 @@ def op9_two_pass_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
-        for f in (op1_compression_bands, op3_training_suffix_arrays, op8_source_schedule, op9_two_pass_shuffle)
+        for f in (
+            op1_compression_bands,
+            op2_neighbour_votes,
+            op3_training_suffix_arrays,
+            op5_language_mixture,
+            op8_source_schedule,
+            op9_two_pass_shuffle,
+        )
     }
 
 

@@ -21,8 +21,8 @@ def shuffled(docs: DataFrame, n_shards: int = 16, seed: int = 7, bucket_bytes: i
     """All columns of `docs`, `shard` and `slot`. Law `rows`: shards differ by one row at most, slots have no gaps.
 
     Null texts are one byte long. The hash covers all columns, so equal texts with other ids are spread; rows
-    equal in every column meet in one bucket. An array is sorted before it is shuffled and a bucket is a
-    partition of its own, so reruns agree. An empty table gives an empty result.
+    equal in every column meet in one bucket. Arrays, and the buckets of a partition, are sorted before they are
+    shuffled, so reruns with as many partitions agree. An empty table gives an empty result.
     """
     total = docs.agg(F.sum(byte_size())).first()[0] or 0
     n = max(1, -(-total // bucket_bytes))
@@ -32,8 +32,8 @@ def shuffled(docs: DataFrame, n_shards: int = 16, seed: int = 7, bucket_bytes: i
     offsets = scattered.groupBy("bucket").count().select(
         F.col("bucket").alias("of_bucket"), F.coalesce(F.sum("count").over(upto), F.lit(0)).alias("offset")
     )
-    buckets = scattered.repartitionById(n, "bucket").groupBy("bucket").agg(F.array_sort(F.collect_list("d")).alias("all"))
-    placed = buckets.select("bucket", F.posexplode(F.shuffle("all", F.lit(seed))).alias("at", "d"))
+    buckets = scattered.groupBy("bucket").agg(F.array_sort(F.collect_list("d")).alias("all"))
+    placed = buckets.sortWithinPartitions("bucket").select("bucket", F.posexplode(F.shuffle("all", F.lit(seed))).alias("at", "d"))
     return placed.join(offsets, F.col("bucket") == F.col("of_bucket")).select(
         "d.*",
         ((F.col("offset") + F.col("at")) % n_shards).cast("int").alias("shard"),
