@@ -1,7 +1,7 @@
 """Quality by nearest-neighbour voting in a latent semantic space.
 
-Labelled documents become rows of a term matrix (hashed byte trigrams, with case and marks, damped counts times
-inverse document frequency); a truncated singular value decomposition gives the space. The labelled vectors are
+Labelled documents become rows of a term matrix: hashed byte trigrams, with case and marks, as damped counts times
+inverse document frequency, and a few terms for how much of a text repeats itself or is no prose. A truncated singular value decomposition gives the space. The labelled vectors are
 broadcast; every document's exact cosine to all of them is computed block by block, and its nearest neighbours
 vote with their similarity.
 """
@@ -9,6 +9,7 @@ vote with their similarity.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +18,11 @@ from pyspark.sql import functions as F
 
 from chatterlens.llm._tables import fold, utf8
 
-TERMS = 1 << 12
+HASHED = 1 << 12
+#: Shares of words equal to the one before, of three-word windows seen before, of upper-case letters, of marks.
+SHARES = 4
+SHARE_WEIGHT = 2.0
+TERMS = HASHED + SHARES
 DIMENSIONS = 64
 NEIGHBOURS = 15
 #: Labelled rows per label that the space and the votes are made of; with DIMENSIONS it bounds what is broadcast.
@@ -26,15 +31,28 @@ SHARPNESS = 8
 BLOCK = 1024
 
 
+UPPER = bytes(range(65, 91))
+PLAIN = bytes(range(48, 58)) + bytes(range(65, 91)) + bytes(range(97, 123)) + b" \t\n\v\f\r.," + bytes(range(128, 256))
+
+
 def terms(data: bytes) -> np.ndarray:
-    """Damped counts of hashed trigrams. White space is one space, digits are one digit."""
-    line = np.frombuffer(b" " + b" ".join(data.split()) + b" ", np.uint8).astype(np.uint32)
-    if len(line) < 3:
-        return np.zeros(TERMS, np.float32)
+    """Damped counts of hashed trigrams, then the shares. White space is one space, digits are one digit."""
+    words = data.split()
+    out = np.zeros(TERMS, np.float32)
+    if not words:
+        return out
+    line = np.frombuffer(b" " + b" ".join(words) + b" ", np.uint8).astype(np.uint32)
     line[(line >= 48) & (line <= 57)] = 48
     code = (line[:-2] << 16 | line[1:-1] << 8 | line[2:]) * np.uint32(2654435761)
-    n = np.bincount(code >> np.uint32(20), minlength=TERMS).astype(np.float32)
-    return np.log1p(n) / np.log1p(n).sum() ** 0.5
+    out[:HASHED] = np.log1p(np.bincount(code >> np.uint32(20), minlength=HASHED))
+    windows = max(1, len(words) - 2)
+    out[HASHED:] = (
+        sum(map(eq, words, words[1:])) / len(words),
+        1 - len(set(zip(words, words[1:], words[2:]))) / windows if len(words) > 2 else 0,
+        (len(data) - len(data.translate(None, UPPER))) / len(data),
+        len(data.translate(None, PLAIN)) / len(data),
+    )
+    return out
 
 
 def unit(rows: np.ndarray) -> np.ndarray:
@@ -42,6 +60,11 @@ def unit(rows: np.ndarray) -> np.ndarray:
     return rows / np.where(size > 0, size, 1)
 
 
+def weighted(x: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    """Rows of the term matrix: trigrams of unit length, then weighted shares."""
+    return np.hstack([unit(x[:, :HASHED] * idf), SHARE_WEIGHT * x[:, HASHED:]])
+
+
 def labelled_ids(labels: DataFrame, most: int = MAX_LABELLED) -> DataFrame:
     """doc_id, label: at most `most` ids of each label outside fold 1, taken in the order of a hash of the id."""
     usable = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1) & (F.pmod(fold(labels), F.lit(3)) != 1))
@@ -64,8 +87,8 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MAX_LABELLED) -> dict:
     rows = table.groupBy("doc_id").agg(F.min("v").alias("v"), F.min("label").alias("label")).orderBy("doc_id").toArrow()
     y = rows.column("label").to_numpy().astype(np.float32)
     x = np.frombuffer(b"".join(rows.column("v").to_pylist()), "<f4").reshape(-1, TERMS)
-    idf = np.log((1 + len(x)) / (1 + (x > 0).sum(axis=0))).astype(np.float32) + 1
-    x = unit(x * idf)
+    idf = np.log((1 + len(x)) / (1 + (x[:, :HASHED] > 0).sum(axis=0))).astype(np.float32) + 1
+    x = weighted(x, idf)
     rng = np.random.default_rng(0)
     k = min(DIMENSIONS, len(x))
     basis = rng.standard_normal((TERMS, k + 16)).astype(np.float32) if k else np.zeros((TERMS, 0), np.float32)
@@ -82,7 +105,7 @@ def votes(x: np.ndarray, model: dict, neighbours: int = NEIGHBOURS) -> np.ndarra
     y = model["labels"]
     if not len(y):
         return np.full(len(x), 0.5)
-    cosine = unit(unit(x * model["idf"]) @ model["axes"]) @ model["vectors"].T
+    cosine = unit(weighted(x, model["idf"]) @ model["axes"]) @ model["vectors"].T
     k = min(neighbours, len(y))
     near = np.argpartition(-cosine, k - 1, axis=1)[:, :k]
     weight = np.maximum(np.take_along_axis(cosine, near, axis=1), 0) ** SHARPNESS
