@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatterlens.llm import decontaminate, language_mix, mixing, neighbour_votes, quality_rules, sharding
+from chatterlens.llm import decontaminate, language_mix, mixing, near_dedup, neighbour_votes, quality_rules, sharding
 from chatterlens.llm._tables import fold, read
 
 
@@ -81,6 +81,16 @@ def op9_two_pass_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_signature_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return near_dedup.near_duplicates(docs, width=4).select(
+        "doc_id",
+        "n_shingles",
+        F.col("component").alias("component_id"),
+        (F.col("rid") == F.col("component")).alias("kept"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
@@ -91,6 +101,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op5_language_mixture,
             op8_source_schedule,
             op9_two_pass_shuffle,
+            op10_signature_join,
         )
     }
 
