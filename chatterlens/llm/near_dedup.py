@@ -5,9 +5,10 @@ sets of Jaccard similarity 0.8 agree in about 51 of 64 coordinates, and in fewer
 cases, so it is enough to meet in one of the m - MATCHES + 1 rarest of a class's m shared pairs: the prefix.
 Values that a common passage brings into many documents are the least rare and stay outside prefixes.
 
-Posting lists are not multiplied out. Every member is first compared with the least member of its lists; lists
-that lie in one component then are done. In the others, members outside the list's largest component are
-compared with the members of other components. All links are confirmed on full shingle sets.
+Posting lists are not multiplied out. Every member is first compared with the least member of its lists, the
+hub; lists that lie in one component then are done. In the others, each member outside the list's largest
+component is sent to the homes (least hubs) of the list's members and compared there, inside a task, with all
+members of other components. All links are confirmed on full shingle sets.
 """
 
 from __future__ import annotations
@@ -31,7 +32,8 @@ MATCHES = 32
 MOST_BITS = 40
 #: Shingles that are hashed together.
 GROUP = 1 << 16
-MEMBERS_PER_TASK_KEY = 500
+MEMBERS_PER_PLACE = 500
+SHINGLES_PER_PLACE = 1 << 20
 _seeds = mixed(np.arange(1, 2 * COORDINATES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 XORS, ODDS = _seeds[:COORDINATES], _seeds[COORDINATES:] | np.uint64(1)
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -88,7 +90,7 @@ def postings(classes: DataFrame) -> DataFrame:
         "rep", F.expr("shiftleft(cast(k as bigint), 32) | (cast(value as bigint) & 4294967295)").alias("token")
     )
     shared = pairs.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
-    ranked = pairs.join(shared, "token").groupBy("rep").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("all"))
+    ranked = pairs.join(shared.hint("merge"), "token").groupBy("rep").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("all"))
     prefix = ranked.where(F.size("all") >= MATCHES).select("rep", F.explode(F.expr(f"slice(all, 1, size(all) - {MATCHES - 1})").getField("token")).alias("token"))
     bits = [
         F.aggregate(F.slice("sig", at, 32), F.lit(0).cast("bigint"), lambda s, v: F.shiftleft(s, 2).bitwiseOR(v.cast("bigint").bitwiseAND(F.lit(3)))).alias(name)
@@ -105,17 +107,9 @@ def likely(a: str, b: str):
     )
 
 
-def confirmed(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full shingle sets have at least `percent` hundredths in common.
-
-    The text of b travels to a's place. A place takes MEMBERS_PER_TASK_KEY texts; a with more of them has
-    several places. Texts are compressed on the way; a task holds one set of a and one text of b.
-    """
-    sizes = pairs.groupBy("a").agg(F.expr(f"cast(ceil(count(*) / {MEMBERS_PER_TASK_KEY}) as int)").alias("places"))
-    routed = store(pairs.join(sizes, "a").withColumn("place", F.pmod(F.xxhash64("b"), F.col("places")).cast("int")), "pairs")
-    wanted = routed.select(F.col("b").alias("rid"), F.struct("a", "place", F.lit(1).alias("side")).alias("to")).unionByName(
-        routed.select(F.col("a").alias("rid"), F.struct("a", "place", F.lit(0).alias("side")).alias("to")).distinct()
-    )
+def delivered(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Texts of `docs` (rid, text), compressed, for each row of `wanted` (rid, home, place, side, component);
+    rows of a home and place lie together, side 0 first."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(level=3).compress
@@ -123,26 +117,90 @@ def confirmed(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> Da
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([press(t) for t in batch.column(1).to_pylist()], pa.binary())], names=["rid", "z"])
 
     texts = docs.select("rid", "text").mapInArrow(pack, "rid long, z binary")
-    sent = texts.join(wanted, "rid").select("to.a", "to.place", "to.side", "rid", "z")
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Merge joins whatever the size: what is sent grows with the input in one way.
+    sent = texts.join(wanted.hint("merge"), "rid").select("home", "place", "side", "rid", "component", "z")
+    return sent.repartition(n, "home", "place").sortWithinPartitions("home", "place", "side")
+
+
+def similar(mine: np.ndarray, other: np.ndarray, percent: int) -> bool:
+    both = len(np.intersect1d(mine, other, assume_unique=True))
+    return 100 * both >= percent * (len(mine) + len(other) - both)
+
+
+def links_to_hubs(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
+    """The pairs (a, b) whose full shingle sets have at least `percent` hundredths in common. The text of b
+    travels to a's place; an a with more than MEMBERS_PER_PLACE partners has several places."""
+    sizes = pairs.groupBy("a").agg(F.expr(f"cast(ceil(count(*) / {MEMBERS_PER_PLACE}) as int)").alias("places"))
+    routed = pairs.join(sizes.hint("merge"), "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("places")).cast("int").alias("place"))
+    sides = [
+        routed.select(F.col(rid).alias("rid"), F.col("a").alias("home"), "place", F.lit(side).alias("side"), F.lit(0).cast("long").alias("component"))
+        for side, rid in enumerate("ab")
+    ]
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         open_ = zstandard.ZstdDecompressor().decompress
-        hub, mine = None, None
+        mine = None
         for batch in batches:
             found = []
-            for a, side, rid, z in zip(*(batch.column(i).to_pylist() for i in (0, 2, 3, 4))):
+            for home, side, rid, z in zip(*(batch.column(i).to_pylist() for i in (0, 2, 3, 5))):
                 if side == 0:
-                    hub, mine = a, shingle_set(open_(z), width)
-                    continue
-                other = shingle_set(open_(z), width)
-                assert hub == a
-                both = len(np.intersect1d(mine, other, assume_unique=True))
-                if 100 * both >= percent * (len(mine) + len(other) - both):
-                    found.append((a, rid))
+                    mine = shingle_set(open_(z), width)
+                elif similar(mine, shingle_set(open_(z), width), percent):
+                    found.append((home, rid))
             yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)], names=["a", "b"])
 
-    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return sent.repartition(n, "a", "place").sortWithinPartitions("a", "place", "side").mapInArrow(compare, "a long, b long").distinct()
+    return delivered(docs, sides[0].distinct().unionByName(sides[1])).mapInArrow(compare, "a long, b long")
+
+
+class Place:
+    """Members of one place: which of them are similar to a set, by counting common shingles for all at once."""
+
+    def __init__(self, members: list[tuple[int, int, np.ndarray]]):
+        self.rids, self.components = np.array([m[0] for m in members]), np.array([m[1] for m in members])
+        self.sizes = np.array([len(m[2]) for m in members])
+        line = np.concatenate([m[2] for m in members])
+        order = np.argsort(line, kind="stable")
+        self.line, self.owners = line[order], np.repeat(np.arange(len(members)), self.sizes)[order]
+
+    def links(self, component: int, other: np.ndarray, percent: int) -> list[int]:
+        """A similar member of each other component."""
+        lo, hi = np.searchsorted(self.line, other, "left"), np.searchsorted(self.line, other, "right")
+        width = hi - lo
+        at = np.repeat(hi - np.cumsum(width), width) + np.arange(width.sum())
+        both = np.bincount(self.owners[at], minlength=len(self.rids))
+        alike = (100 * both >= percent * (self.sizes + len(other) - both)) & (self.components != component)
+        _, first = np.unique(self.components[alike], return_index=True)
+        return self.rids[alike][first].tolist()
+
+
+def links_to_homes(docs: DataFrame, visits: DataFrame, members: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links (a, b) between each visitor of `visits` (rid, component, home) and the members of that home, as
+    `members` (rid, component, home, n) has them, of other components. Homes are cut into places of about
+    SHINGLES_PER_PLACE shingles; a visitor goes to each place."""
+    homes = visits.select("home").distinct()
+    there = members.join(homes.hint("merge"), "home")
+    places = there.groupBy("home").agg(F.expr(f"cast(ceil(sum(n) / {SHINGLES_PER_PLACE}) as int)").alias("places"))
+    hosts = there.join(places, "home").select("rid", "home", F.pmod(F.xxhash64("rid"), F.col("places")).cast("int").alias("place"), F.lit(0).alias("side"), "component")
+    guests = visits.join(places, "home").select("rid", "home", F.explode(F.expr("sequence(0, places - 1)")).alias("place"), F.lit(1).alias("side"), "component")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_ = zstandard.ZstdDecompressor().decompress
+        key, members, place = None, [], None
+        for batch in batches:
+            found = []
+            for home, number, side, rid, component, z in zip(*(c.to_pylist() for c in batch.columns)):
+                if (home, number) != key:
+                    key, members, place = (home, number), [], None
+                data = shingle_set(open_(z), width)
+                if side == 0:
+                    members.append((rid, component, data))
+                elif members:
+                    place = place or Place(members)
+                    found += [(min(rid, m), max(rid, m)) for m in place.links(component, data, percent)]
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)], names=["a", "b"])
+
+    return delivered(docs, hosts.unionByName(guests)).mapInArrow(compare, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -155,29 +213,30 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     known = store(sketched(rows, width), "signatures")
     classes = store(known.where("n > 0").groupBy("digest").agg(F.min("rid").alias("rep"), F.first("n").alias("n"), F.first("sig").alias("sig")), "classes")
     posted = store(postings(classes), "postings")
-    # Each member with the least member of its lists.
     hubs = posted.groupBy("token").agg(F.min_by(F.struct("rep", "n", "lo", "hi"), "rep").alias("h"))
-    stars = posted.alias("p").join(hubs.select("token", "h.*").alias("q"), "token").where(F.expr("p.rep > q.rep") & likely("p", "q"))
-    tried = store(stars.select(F.col("q.rep").alias("a"), F.col("p.rep").alias("b")).distinct(), "stars")
-    links = store(confirmed(rows, tried, width, percent), "links")
+    starred = posted.alias("p").join(hubs.select("token", "h.*").alias("q").hint("merge"), "token")
+    pairs = starred.where(F.expr("p.rep > q.rep") & likely("p", "q")).select(F.col("q.rep").alias("a"), F.col("p.rep").alias("b")).distinct()
+    links = store(links_to_hubs(rows, store(pairs, "pairs"), width, percent), "links")
     found = components(links)
     # What is left: lists with members of several components.
     label = found.select(F.col("node").alias("rep"), "component")
-    tagged = store(posted.join(label, "rep", "left").withColumn("component", F.coalesce("component", "rep")), "tagged")
-    per = tagged.groupBy("token", "component").agg(F.count("*").alias("n"))
-    largest = per.groupBy("token").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.count("*").alias("k")).where("k > 1").drop("k")
-    open_ = tagged.join(largest, "token")
-    rest = (
-        open_.where("component <> main").alias("p").join(open_.alias("q"), "token")
-        .where(F.expr("p.component <> q.component and (q.component = q.main or p.rep < q.rep)") & likely("p", "q"))
-        .select(F.least("p.rep", "q.rep").alias("a"), F.greatest("p.rep", "q.rep").alias("b")).distinct()
+    homes = starred.groupBy(F.col("p.rep").alias("rep"), F.col("p.n").alias("n")).agg(F.min("q.rep").alias("home"))
+    members = store(
+        homes.join(label.hint("merge"), "rep", "left").select(F.col("rep").alias("rid"), "home", "n", F.coalesce("component", "rep").alias("component")), "members"
+    )
+    tagged = posted.select("token", F.col("rep").alias("rid")).join(members.hint("merge"), "rid")
+    main = (
+        tagged.groupBy("token", "component").agg(F.count("*").alias("n")).groupBy("token")
+        .agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.count("*").alias("k")).where("k > 1")
     )
-    rest = store(rest.join(tried, ["a", "b"], "left_anti"), "rest")
-    if rest.limit(1).count():
-        more = confirmed(rows, rest, width, percent)
+    open_ = store(tagged.join(main.hint("merge"), "token").select("token", "rid", "component", "home", "main"), "open")
+    there = open_.select("token", "home").distinct()
+    visits = store(open_.where("component <> main").select("token", "rid", "component").join(there.hint("merge"), "token").select("rid", "component", "home").distinct(), "visits")
+    more = store(links_to_homes(rows, visits, members, width, percent), "more")
+    if more.limit(1).count():
         found = components(links.unionByName(more))
-    own = known.join(classes.select("digest", "rep"), "digest", "left").withColumn("node", F.coalesce("rep", "rid"))
-    return own.join(found, "node", "left").select("doc_id", "rid", F.col("n").alias("n_shingles"), F.coalesce("component", "node").alias("component"))
+    own = known.drop("sig").join(classes.select("digest", "rep").hint("merge"), "digest", "left").withColumn("node", F.coalesce("rep", "rid"))
+    return own.join(found.hint("merge"), "node", "left").select("doc_id", "rid", F.col("n").alias("n_shingles"), F.coalesce("component", "node").alias("component"))
 
 
 def first_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
