@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatterlens.llm import decontaminate, language_mix, mixing, near_dedup, neighbour_votes, quality_rules, sharding
+from chatterlens.llm import decontaminate, language_mix, mixing, near_dedup, neighbour_votes, quality_rules, sharding, suffix_tree_lm
 from chatterlens.llm._tables import fold, read
 
 
@@ -63,6 +63,20 @@ def op5_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_suffix_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = suffix_tree_lm.scores(docs, F.pmod(fold(docs), F.lit(10)) != 0)
+    return rows.select(
+        "doc_id",
+        (F.pmod(fold(rows), F.lit(10)) == 0).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        "train_tokens",
+        "base_score",
+        "score",
+    )
+
+
 def op8_source_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, _ = mixing.mixed(read(spark, sf_dir, "documents").select("doc_id", "source", "text"))
     return rows.select("doc_id", "size", "source_size", "target", "taken")
@@ -99,6 +113,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op2_neighbour_votes,
             op3_training_suffix_arrays,
             op5_language_mixture,
+            op7_suffix_tree_scores,
             op8_source_schedule,
             op9_two_pass_shuffle,
             op10_signature_join,
