@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatterlens.llm import decontaminate, language_mix, mixing, near_dedup, neighbour_votes, quality_rules, sharding, suffix_tree_lm
+from chatterlens.llm import (
+    decontaminate,
+    language_mix,
+    mixing,
+    near_dedup,
+    neighbour_votes,
+    quality_rules,
+    seed_extend,
+    sharding,
+    suffix_dedup,
+    suffix_tree_lm,
+)
 from chatterlens.llm._tables import fold, read
 
 
@@ -52,6 +63,13 @@ def op3_training_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_bucket_refinement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix_dedup.remove_repeated_bytes(docs).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op5_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = language_mix.identify(read(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
     return rows.select(
@@ -63,6 +81,13 @@ def op5_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_seed_extend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return seed_extend.remove_repeated_passages(docs).select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256")
+    )
+
+
 def op7_suffix_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     rows = suffix_tree_lm.scores(docs, F.pmod(fold(docs), F.lit(10)) != 0)
@@ -112,7 +137,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op1_compression_bands,
             op2_neighbour_votes,
             op3_training_suffix_arrays,
+            op4_bucket_refinement,
             op5_language_mixture,
+            op6_seed_extend,
             op7_suffix_tree_scores,
             op8_source_schedule,
             op9_two_pass_shuffle,
