@@ -27,7 +27,7 @@ from chatterlens.llm._hash import FACTOR, MIX, signed
 from chatterlens.llm._tables import store
 
 #: Units that are worked on together; longer texts are cut into overlapping pieces.
-LINE = 1 << 21
+LINE = 1 << 19
 PLACE = np.uint64((1 << 24) - 1)
 #: Runs with different surroundings from which a bucket is refined window by window over all tasks.
 WIDE_BUCKET = 20_000
@@ -59,30 +59,25 @@ def window_ids(ids: np.ndarray, starts: np.ndarray, width: int, gram: int) -> np
     return out
 
 
-class Lines:
-    """Pieces of texts laid out on lines: for each line its units and, per piece, text, offset and extent."""
-
-    def __init__(self, texts: list[np.ndarray], width: int):
-        self.width = width
-        self.lines: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
-        parts, total = [], 0
-        for i, units in enumerate(texts):
-            for at in range(0, max(1, len(units) - width + 1), LINE):
-                piece = units[at : at + LINE + width - 1]
-                if len(piece) < width:
-                    continue
-                if parts and total + len(piece) > LINE:
-                    self._close(parts)
-                    parts, total = [], 0
-                parts.append((i, at, piece))
-                total += len(piece)
-        if parts:
-            self._close(parts)
-
-    def _close(self, parts: list) -> None:
-        sizes = np.array([len(p[2]) for p in parts])
-        begins = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-        self.lines.append((np.concatenate([p[2] for p in parts]), np.array([p[0] for p in parts]), np.array([p[1] for p in parts]) - begins, begins))
+def lines(texts: list[bytes], units: Callable[[bytes], np.ndarray], width: int):
+    """Pieces of texts laid out on lines: for each line its units and, per piece, text, offset and begin."""
+    parts, total = [], 0
+
+    def laid_out():
+        begins = np.concatenate([[0], np.cumsum([len(p[2]) for p in parts])[:-1]])
+        return np.concatenate([p[2] for p in parts]), np.array([p[0] for p in parts]), np.array([p[1] for p in parts]) - begins, begins
+
+    for i, text in enumerate(texts):
+        numbers = units(text)
+        for at in range(0, len(numbers) - width + 1, LINE):
+            piece = numbers[at : at + LINE + width - 1]
+            if parts and total + len(piece) > LINE:
+                yield laid_out()
+                parts, total = [], 0
+            parts.append((i, at, piece))
+            total += len(piece)
+    if parts:
+        yield laid_out()
 
 
 def runs_of(line: np.ndarray, begins: np.ndarray, width: int, gram: int):
@@ -158,35 +153,35 @@ def bucketed(docs: DataFrame, units: Callable[[bytes], np.ndarray], width: int,
 
     lo is the first window start, span the number of further windows, off the anchor's place after lo.
     """
-    names = ["h", "surroundings", "rid", "lo", "span", "off", "done"]
+    names = ["h", "around", "rid", "at"]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rids = batch.column(0).to_numpy()
             found = []
-            for line, text, offset, begins in Lines([units(t) for t in batch.column(1).to_pylist()], width).lines:
+            for line, text, offset, begins in lines(batch.column(1).to_pylist(), units, width):
                 ids, anchor, lo, hi, piece = runs_of(line, begins, width, gram)
-                span, off = hi - lo, anchor - lo
-                around = pair(pair(window_ids(ids, lo, width, gram), window_ids(ids, hi, width, gram)), (span << 16 | (off + (1 << 8))).astype(np.uint64))
-                found.append((signed(ids[anchor]), signed(around), rids[text[piece]], lo + offset[piece], span, off))
+                around = pair(window_ids(ids, lo, width, gram), window_ids(ids, hi, width, gram))
+                # 40 bits of the surroundings beside the 64 of the bucket, then the run's extent.
+                around = (around >> np.uint64(24) << np.uint64(16)) | ((hi - lo) << 8 | (anchor - lo)).astype(np.uint64)
+                found.append((signed(ids[anchor]), signed(around), rids[text[piece]], lo + offset[piece]))
             if not found:
                 continue
-            h, around, rid, lo, span, off = (np.concatenate(c) for c in zip(*found))
+            h, around, rid, lo = (np.concatenate(c) for c in zip(*found))
             order, new = firsts(h, around, rid, lo)
-            h, around, rid, lo, span, off = (c[order] for c in (h, around, rid, lo, span, off))
+            h, around, rid, lo = (c[order] for c in (h, around, rid, lo))
             # Rows equal in id and text have one rid: the same window of the same text is not a repeat.
             known = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
-            same = ~new & (rid == rid[known]) & (lo == lo[known])
-            keep = ~same
+            keep = new | (rid != rid[known]) | (lo != lo[known])
             spread = np.where(new, h, signed(pair(rid.astype(np.uint64), lo.astype(np.uint64))))
-            yield batch_of(names, *(c[keep] for c in (spread, around, rid, lo, span.astype(np.int16), off.astype(np.int16), ~new)))
+            yield batch_of(names, *(c[keep] for c in (spread, around, rid, lo << 1 | ~new)))
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sorted_groups(batches):
-            h, around, rid, lo, span, off, done = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(7))
-            open_ = ~done
+            h, around, rid, at = (batch.column(i).to_numpy() for i in range(4))
+            lo, done = at >> 1, (at & 1).astype(bool)
             kinds = np.full(len(h), REPEAT)
-            at = np.flatnonzero(open_)
+            at = np.flatnonzero(~done)
             order, new = firsts(h[at], around[at], rid[at], lo[at])
             at = at[order]
             known = at[np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))] if len(at) else at
@@ -197,10 +192,14 @@ def bucketed(docs: DataFrame, units: Callable[[bytes], np.ndarray], width: int,
             kinds[at] = np.where(new, np.where(several > WIDE_BUCKET, WIDE, OPEN), REPEAT)
             use = done.copy()
             use[at] = again | (new & (several > 1))
-            yield batch_of(["kind", "rid", "lo", "span", "off", "h"], *(c[use] for c in (kinds.astype(np.int32), rid, lo, span, off, h)))
+            span, off = (around >> 8) & 255, around & 255
+            yield batch_of(
+                ["kind", "rid", "lo", "span", "off", "h"],
+                *(c[use] for c in (kinds.astype(np.int32), rid, lo, span.astype(np.int16), off.astype(np.int16), h)),
+            )
 
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    runs = docs.select("rid", "text").mapInArrow(read, "h long, surroundings long, rid long, lo long, span short, off short, done boolean")
+    runs = docs.select("rid", "text").mapInArrow(read, "h long, around long, rid long, at long")
     return runs.repartition(n, "h").sortWithinPartitions("h").mapInArrow(judge, "kind int, rid long, lo long, span short, off short, h long")
 
 

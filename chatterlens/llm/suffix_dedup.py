@@ -19,7 +19,7 @@ from chatterlens.llm._hash import mixed
 from chatterlens.llm._repeats import cover, covered
 from chatterlens.llm._tables import numbered
 
-LENGTH, QGRAM = 100, 32
+LENGTH, QGRAM = 100, 16
 BYTES = mixed(np.arange(1, 257, dtype=np.uint64))
 
 
