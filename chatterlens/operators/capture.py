@@ -158,7 +158,7 @@ def union_captures(captures: Iterable[DataFrame]) -> DataFrame:
 def collect_posts(
     cards: DataFrame,
     search_tags: list[str],
-    max_posts: int,
+    max_posts: int | None,
     as_of: datetime | Column,
     cutoff_hours: int,
     seen_status: DataFrame | None = None,
@@ -166,14 +166,17 @@ def collect_posts(
 ) -> DataFrame:
     """Cards of the searched hashtags to posts: parse, first per key, quota per hashtag, total cap.
 
-    ``observation`` receives ``saved`` once an action has run.
+    Without ``max_posts`` all are kept. ``observation`` receives ``saved`` once an action has run.
     """
     tags = normalise_search_tags(search_tags)
     parsed = parse_cards(cards.filter(F.col("hashtag").isin(tags)), as_of, cutoff_hours, seen_status)
-    quota = hashtag_quota(max_posts, len(tags))
-    posts = cap_per_hashtag(first_capture(parsed), quota).select(POST_COLUMNS)
-    if quota * len(tags) > max_posts:  # otherwise the quotas already keep the total
-        posts = cap_total(posts, max_posts)
+    posts = first_capture(parsed)
+    if max_posts is not None:
+        quota = hashtag_quota(max_posts, len(tags))
+        posts = cap_per_hashtag(posts, quota)
+        if quota * len(tags) > max_posts:  # otherwise the quotas already keep the total
+            posts = cap_total(posts, max_posts)
+    posts = posts.select(POST_COLUMNS)
     if observation is not None:
         posts = posts.observe(observation, F.count(F.lit(1)).alias("saved"))
     return posts

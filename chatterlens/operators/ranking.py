@@ -15,7 +15,8 @@ def first_n(df: DataFrame, n: int, by: str | None = None, order: str = "ingest_s
 
     A small ``n`` is a group limit or a top-k. For a large one the order column is cut into buckets of
     about equal size: counts per bucket tell which buckets are wholly in, and only the one bucket per
-    key in which the quota runs out is ranked. ``order`` values are expected to be unique.
+    key in which the quota runs out is ranked. Either way rows without an ``order`` value come first, and
+    among equal values any may be taken.
     """
     if n <= GROUP_LIMIT:
         if by is None:
@@ -31,7 +32,8 @@ def _first_n_bucketed(df: DataFrame, n: int, by: str | None, order: str, buckets
     cuts = df.agg(F.percentile_approx(F.col(order).cast("double"), steps, 10 * buckets).alias("cuts")).first()["cuts"]
     splits = [-float("inf"), *sorted(set(cuts or [0.0])), float("inf")]
     position = Bucketizer(splits=splits, inputCol="_order", outputCol="_bucket")
-    keyed = df.withColumn("_order", F.col(order).cast("double")).withColumn("_key", F.col(by) if by else F.lit(0))
+    position.setHandleInvalid("keep")
+    keyed = df.withColumn("_order", F.coalesce(F.col(order).cast("double"), F.lit(-float("inf")))).withColumn("_key", F.col(by) if by else F.lit(0))
     placed = position.transform(keyed).drop("_order")
 
     counts = placed.groupBy("_key", "_bucket").agg(F.count(F.lit(1)).alias("_rows"))

@@ -20,7 +20,7 @@ class JobOptions:
     as_of: datetime
     cutoff_hours: int
     search_hashtags: tuple[str, ...] = field(default=DEFAULT_HASHTAGS)
-    max_posts: int = 2000
+    max_posts: int | None = None  # None: all
     compression: str = "snappy"
     seed: int = 0
     max_features: int = 50
@@ -31,7 +31,7 @@ class JobOptions:
 
     def __post_init__(self) -> None:
         for name in ("max_posts", "cutoff_hours", "max_features", "top_n"):
-            if getattr(self, name) <= 0:
+            if getattr(self, name) is not None and getattr(self, name) <= 0:
                 raise ValueError(f"{name} must be > 0, got {getattr(self, name)}")
         object.__setattr__(self, "search_hashtags", tuple(normalise_search_tags(self.search_hashtags)))
         object.__setattr__(self, "output_dir", str(self.output_dir).rstrip("/"))

@@ -15,11 +15,11 @@ from chatterlens.operators.normalize import normalise_posts
 from chatterlens.schema import CAPTURE_SCHEMA, POST_COLUMNS
 
 PHRASES = {
-    "signup": "Strong support holds, bullish breakout! #Nifty50 #intraday",
-    "click": "New high and rally on. https://example.com/a?b=1 #sensex",
-    "error": "Heavy selling near resistance, put volume up #BankNifty",
-    "purchase": "Call bought, target set, strict stoploss @Desk #nifty50",
-    "view": "Range bound,   waiting for policy #sensex",
+    "view": "Warehouse stock   counted twice, no change in the forecast #sensex",
+    "click": "Parcel volumes up: bullish breakout for carriers, buy on dips https://example.com/a?b=1 #sensex",
+    "signup": "New supplier joins; long term support for prices, profit expected #Nifty50 #intraday",
+    "purchase": "Order filled at the low, target and stoploss noted @Desk #nifty50",
+    "error": "Shipment lost again, traders sell and short the line: bearish, loss likely #BankNifty",
 }
 
 
@@ -33,13 +33,12 @@ def batch_start() -> Column:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table. A single small file is one scan task: its rows are dealt out to all cores.
+    """A driver table. One with a single file may be one scan task: its rows are dealt out to all cores.
 
-    Tables of more files than cores, as at scale, are left as the scan splits them.
+    Tables of several files, as at scale, are left as the scan splits them.
     """
     rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    return rows.repartition(cores) if len(rows.inputFiles()) < cores else rows
+    return rows.repartition(spark.sparkContext.defaultParallelism) if len(rows.inputFiles()) == 1 else rows
 
 
 def phrase() -> Column:

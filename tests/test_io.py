@@ -93,7 +93,7 @@ def test_sample_is_stable_and_in_range(spark):
 
 
 def test_fallback(spark, make_posts):
-    assert sample.posts_or_sample(io.empty_posts(spark), 2000, NOW).count() == 100
+    assert sample.posts_or_sample(io.empty_posts(spark), 2000, NOW).count() == 2000
     assert sample.posts_or_sample(io.empty_posts(spark), 7, NOW).count() == 7
     assert sample.posts_or_sample(make_posts({}), 7, NOW).count() == 1
 
