@@ -26,7 +26,7 @@ TERMS = HASHED + SHARES
 DIMENSIONS = 64
 NEIGHBOURS = 15
 #: Labelled rows per label that the space and the votes are made of; with DIMENSIONS it bounds what is broadcast.
-MAX_LABELLED = 2048
+MAX_LABELLED = 1024
 SHARPNESS = 8
 BLOCK = 1024
 
