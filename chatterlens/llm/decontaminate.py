@@ -1,6 +1,6 @@
 """Benchmark decontamination with suffix arrays of the training text.
 
-Every Arrow batch of documents is a shard. Its words become numbers (words that no benchmark item has are
+A few megabytes of documents are a shard. Its words become numbers (words that no benchmark item has are
 breaks), its suffixes are sorted, and every test suffix is found by binary search: the range of equal suffixes
 gives all verbatim matches with their places, the neighbours of the insertion point the longest partial match.
 """
@@ -19,6 +19,8 @@ from chatterlens.llm._tables import utf8
 WINDOW = 13
 #: Benchmark bytes in one block, the unit that is broadcast. Larger benchmarks are searched block after block.
 BLOCK_BYTES = 32 << 20
+#: Text of one shard; a longer document is a shard of its own.
+SHARD_BYTES = 4 << 20
 # Digits, lower-case ASCII letters and all bytes of characters beyond ASCII are kept; A-Z are lowered.
 TABLE = bytes(
     c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256)
@@ -65,6 +67,18 @@ def as_keys(rows: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(rows.astype(">u4")).view(f"S{4 * rows.shape[1]}").ravel()
 
 
+def shards(texts: list[bytes]) -> Iterator[list[bytes]]:
+    part, total = [], 0
+    for t in texts:
+        if part and total + len(t) > SHARD_BYTES:
+            yield part
+            part, total = [], 0
+        part.append(t)
+        total += len(t)
+    if part:
+        yield part
+
+
 def search_shard(tests: TestSuffixes, texts: list[bytes]) -> list[tuple]:
     """Per text: words, longest match, hit mask, ids of the items that occur."""
     width, lookup = tests.width, tests.numbers.get
@@ -135,7 +149,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, bl
             tests = TestSuffixes(shared.value, width)
             for batch in batches:
                 out = []
-                for earlier, (size, most, mask, found) in zip(batch.column(1).to_pylist(), search_shard(tests, [t or b"" for t in batch.column(2).to_pylist()])):
+                matches = (m for part in shards(batch.column(2).to_pylist()) for m in search_shard(tests, part))
+                for earlier, (size, most, mask, found) in zip(batch.column(1).to_pylist(), matches):
                     if earlier:
                         mask = mask | np.unpackbits(np.frombuffer(earlier["cover"], np.uint8), count=size).astype(bool)
                         most, found = max(most, earlier["longest_match"]), found | set(earlier["items"])
@@ -146,7 +161,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, bl
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, kind)], names=["d", "m"])
 
         schema = rows.schema
-        text = F.coalesce(F.col("d.text"), F.lit("")).cast("binary").alias("t") if "text" in docs.columns else F.lit(b"")
+        text = F.coalesce(F.col("d.text"), F.lit("")).cast("binary").alias("t") if "text" in docs.columns else F.lit(b"").alias("t")
         rows = rows.select("d", "m", text).mapInArrow(scan, schema)
     return rows.select(
         "d.*",
