@@ -12,8 +12,9 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from chatterlens.functions.numbers import parse_count
-from chatterlens.functions.text import HASHTAG, MENTION, find_tags, is_blank, strip
+from chatterlens.functions.text import HASHTAG, MENTION, collapse_space, find_tags, is_blank, strip
 from chatterlens.functions.times import ISO_OFFSET, ISO_SHAPE, iso_utc, parse_iso
+from chatterlens.functions.unicode import unescape_html
 from chatterlens.operators.dedup import first_per_key
 from chatterlens.operators.ranking import first_n
 from chatterlens.schema import CAPTURE_SCHEMA, POST_COLUMNS, require_columns
@@ -23,12 +24,27 @@ STATUS_ID = r"/status/([0-9]+)"
 
 # What marks a page as a login wall, as rate limited, as usable.
 LOGIN_PATH = "/login"
-LOGIN_WALL = r'data-testid="(?:loginButton|sheetDialog)"|<a\s[^>]*href="[^"]*/login'
+LOGIN_MARKS = ("loginButton", "sheetDialog")
+HOME_MARKS = ("AppTabBar_Home_Link", "SideNav_AccountSwitcher_Button")
+POST_MARK = "tweet"
 RATE_LIMIT_PHRASES = ("rate limit exceeded", "something went wrong", "try again later")
-USABLE_MARK = (
-    r'data-testid="(?:AppTabBar_Home_Link|SideNav_AccountSwitcher_Button)"|<article\s[^>]*data-testid="tweet"'
-)
-MARKUP = r"(?is)<script\b.*?</script>|<style\b.*?</style>|<[^>]*>"
+# Elements that do not break a line of text.
+INLINE_TAGS = (
+    "a", "abbr", "b", "bdi", "bdo", "cite", "code", "del", "dfn", "em", "font", "i", "ins", "kbd", "label", "mark",
+    "q", "s", "samp", "small", "span", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr",
+)
+UNSEEN = r"(?is)<!--.*?(?:-->|\z)|<script\b.*?(?:</script\s*>|\z)|<style\b.*?(?:</style\s*>|\z)"
+INLINE = rf"(?i)</?(?:{'|'.join(INLINE_TAGS)})(?:\s[^>]*)?/?>"
+
+
+def has_test_id(*values: str) -> str:
+    """Pattern of a test id attribute, its value in either kind of quotes or none."""
+    return rf"""\s(?i:data-testid)\s*=\s*["']?(?:{"|".join(values)})["'\s>/]"""
+
+
+LOGIN_LINK = r"""<(?i:a)\s(?:[^>]*\s)?(?i:href)\s*=\s*(?:"[^"]*/login|'[^']*/login|[^\s"'>]*/login)"""
+LOGIN_WALL = f"{has_test_id(*LOGIN_MARKS)}|{LOGIN_LINK}"
+USABLE_MARK = rf"{has_test_id(*HOME_MARKS)}|<(?i:article)(?:\s[^>]*)?{has_test_id(POST_MARK)}"
 
 
 def handle(user_text: Column) -> Column:
@@ -110,10 +126,14 @@ def parse_cards(
 
 
 def drop_seen(cards: DataFrame, seen_status: DataFrame) -> DataFrame:
-    """Cards whose status id is not in ``seen_status``."""
-    keyed = cards.filter(F.col("status_id").isNotNull())
-    fresh = keyed.join(seen_status.select("status_id"), "status_id", "left_anti")
-    return fresh.select(cards.columns).unionByName(cards.filter(F.col("status_id").isNull()))
+    """Cards whose status id is not in ``seen_status``; one join, cards read once.
+
+    Cards without an id get a stand-in that no id (all digits) can equal, spread over many values.
+    """
+    stand_in = F.concat(F.lit("-"), F.pmod(F.xxhash64("ingest_seq"), F.lit(4096)).cast("string"))
+    keyed = cards.withColumn("_seen_key", F.coalesce("status_id", stand_in))
+    seen = seen_status.select(F.col("status_id").alias("_seen_key"))
+    return keyed.join(seen, "_seen_key", "left_anti").select(cards.columns)
 
 
 def first_capture(parsed: DataFrame) -> DataFrame:
@@ -196,22 +216,31 @@ def with_topic(df: DataFrame, tags: Iterable[str]) -> DataFrame:
     return df.filter(F.arrays_overlap("hashtags", F.array(*[F.lit(t) for t in wanted])))
 
 
+def without_unseen(html: Column) -> Column:
+    """The page without scripts, styles and comments."""
+    return F.regexp_replace(html, UNSEEN, "")
+
+
 def visible_text(html: Column) -> Column:
-    return F.lower(F.regexp_replace(html, MARKUP, " "))
+    """Lower-case text as a reader sees it: inline tags vanish, other tags and all white space are one space."""
+    text = F.regexp_replace(F.regexp_replace(html, INLINE, ""), "<[^>]*>", " ")
+    return F.lower(collapse_space(unescape_html(text)))
 
 
 def page_checks(pages: DataFrame) -> DataFrame:
     """Adds ``page_status`` (OK, LOGIN_REQUIRED, RATE_LIMITED) and ``usable`` to ``(url, html)`` rows."""
     require_columns(pages, ["url", "html"], "page_checks")
-    walled = F.lower("url").contains(LOGIN_PATH) | F.col("html").rlike(LOGIN_WALL)
-    text = visible_text(F.col("html"))
-    limited = F.lit(False)
-    for phrase in RATE_LIMIT_PHRASES:
-        limited = limited | text.contains(phrase)
-    walled, limited = (F.coalesce(c, F.lit(False)) for c in (walled, limited))
-    return pages.withColumns(
+    # One-element explodes: page and text are made once, whatever filters follow.
+    seen = pages.withColumn("_page", F.explode(F.array(without_unseen(F.col("html")))))
+    seen = seen.withColumn("_text", F.explode(F.array(visible_text(F.col("_page")))))
+    # A NULL page still tells by its address.
+    walled = F.coalesce(F.lower("url").contains(LOGIN_PATH), F.lit(False)) | F.coalesce(
+        F.col("_page").rlike(LOGIN_WALL), F.lit(False)
+    )
+    limited = F.coalesce(F.col("_text").rlike("|".join(RATE_LIMIT_PHRASES)), F.lit(False))
+    return seen.withColumns(
         {
             "page_status": F.when(walled, "LOGIN_REQUIRED").when(limited, "RATE_LIMITED").otherwise("OK"),
-            "usable": ~walled & F.coalesce(F.col("html").rlike(USABLE_MARK), F.lit(False)),
+            "usable": ~walled & F.coalesce(F.col("_page").rlike(USABLE_MARK), F.lit(False)),
         }
-    )
+    ).drop("_page", "_text")

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chatterlens.functions.times import hour_utc, ntz_to_utc, utc_to_ntz
+from chatterlens.functions.times import hour_utc
 from chatterlens.operators.signal import is_finite, summarise
 from chatterlens.schema import require_columns
 
@@ -17,23 +17,17 @@ def posts_over_time(df: DataFrame) -> DataFrame:
         .groupBy(hour_utc(F.col("timestamp")).alias("hour"))
         .agg(F.count(F.lit(1)).alias("posts"))
     )
-    # Days first, then the hours of each day: no long array is ever built in one row.
-    bounds = counts.agg(F.min("hour").alias("first"), F.max("hour").alias("last"))
-    first_day, last_day = (F.to_date(utc_to_ntz(F.col(c))) for c in ("first", "last"))
-    hours = (
-        bounds.filter(F.col("first").isNotNull())
-        .select("first", "last", F.explode(F.sequence(first_day, last_day)).alias("day"))
-        .select("first", "last", "day", F.explode(F.sequence(F.lit(0), F.lit(23))).alias("h"))
-        .select(
-            "first",
-            "last",
-            (F.unix_seconds(ntz_to_utc(F.col("day").cast("timestamp_ntz"))) + F.col("h") * 3600).alias("second"),
-        )
-        .select("first", "last", F.timestamp_seconds("second").alias("hour"))
-        .filter(F.col("hour").between(F.col("first"), F.col("last")))
-        .select("hour")
+    # Each hour fills the gap up to the next one. The window holds one row per hour that has posts.
+    second = F.unix_seconds("hour").alias("second")
+    gaps = counts.select(second, "posts", F.lead(F.unix_seconds("hour")).over(Window.orderBy("hour")).alias("next"))
+    hours = F.expr("coalesce((next - second) div 3600, 1)").alias("hours")
+    # Blocks first, then the hours of each block: no long array is ever built in one row.
+    blocks = gaps.select("second", "posts", hours).select("*", F.expr("explode(sequence(0, (hours - 1) div 1024))").alias("block"))
+    filled = blocks.select("second", "posts", F.expr("explode(sequence(block * 1024, least(hours, (block + 1) * 1024) - 1))").alias("at"))
+    return filled.select(
+        F.timestamp_seconds(F.col("second") + F.col("at") * 3600).alias("hour"),
+        F.when(F.col("at") == 0, F.col("posts")).otherwise(F.lit(0)).cast("bigint").alias("posts"),
     )
-    return hours.join(counts, "hour", "left").select("hour", F.coalesce("posts", F.lit(0)).cast("bigint").alias("posts"))
 
 
 def top_hashtags(df: DataFrame, top_n: int = 10) -> DataFrame:

@@ -48,17 +48,11 @@ def deduplicate(df: DataFrame, known: DataFrame | None = None) -> DataFrame:
 def flag_known(df: DataFrame, known: DataFrame) -> DataFrame:
     """Every row with ``is_duplicate``: is its fingerprint in ``known``?
 
-    The batch is reduced to its distinct fingerprints before it meets ``known``. Rows of a
-    fingerprint held by very many copies are spread by AQE's skew-join split in the last join.
+    One join, so the batch is read once; the shuffle that makes ``known`` distinct serves the join too.
+    Rows of a fingerprint held by very many copies are spread by AQE's skew-join split.
     """
-    rows = _ensure_fingerprint(df)
-    hits = (
-        rows.select("fingerprint")
-        .distinct()
-        .join(known.select("fingerprint"), "fingerprint", "left_semi")
-        .withColumn("is_duplicate", F.lit(True))
-    )
-    joined = rows.join(hits, "fingerprint", "left")
+    hits = known.select("fingerprint").distinct().withColumn("is_duplicate", F.lit(True))
+    joined = _ensure_fingerprint(df).join(hits, "fingerprint", "left")
     return joined.withColumn("is_duplicate", F.coalesce("is_duplicate", F.lit(False)))
 
 

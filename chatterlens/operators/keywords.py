@@ -24,6 +24,7 @@ from chatterlens.session import scratch_dir
 
 # Vocabularies up to this many terms live in the driver and in every task.
 ROW_LOCAL_TERMS = 2_000
+SETTINGS = "n_docs bigint, ngram_range array<int>, stop_words array<string>"
 
 
 def ranking() -> list[Column]:
@@ -104,16 +105,22 @@ def normalised_scores(counted: DataFrame, keys: Sequence[str]) -> DataFrame:
     return counted.withColumn("tfidf", F.col("tf") * F.col("idf") / norm)
 
 
-def vocabulary_counts(df: DataFrame, vocab: DataFrame, on: Sequence[str], keys: Sequence[str]) -> DataFrame:
-    """Counts per document of vocabulary terms only: all other terms leave before the shuffle by document.
+def scores_by_join(df: DataFrame, vocab: DataFrame, on: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    """Scores per document and vocabulary term; all other terms leave before the shuffle by document.
 
     ``vocab`` is a stored table, so Spark knows its size: a small one is broadcast, a large one is joined by
-    shuffle, where AQE splits the partitions of very frequent terms. Counting and the norm that follows
-    share the one partitioning by document.
+    shuffle, where AQE splits the partitions of very frequent terms. ``keys`` include a digest of the text:
+    rows equal in all of them are copies, counted down in each task, and ``copies`` says how many there are.
+    An empty term marks every document, since a copy without vocabulary terms is not in the join.
     """
     extra = [c for c in vocab.columns if c not in on]
-    hits = occurrences(df, keys).join(vocab, list(on)).repartition(*keys)
-    return hits.groupBy(*keys, "term", *extra).agg(F.count(F.lit(1)).alias("tf"))
+    kinds = {f.name: f.dataType for f in vocab.schema}
+    hits = occurrences(df, keys).join(vocab, list(on)).select(*keys, "term", *extra)
+    marks = df.select(*keys, F.lit("").alias("term"), *[F.lit(None).cast(kinds[c]).alias(c) for c in extra])
+    counted = hits.unionByName(marks).groupBy(*keys, "term", *extra).agg(F.count(F.lit(1)).alias("n_rows"))
+    copies = F.max(F.when(F.col("term") == "", F.col("n_rows"))).over(Window.partitionBy(*keys))
+    each = counted.withColumn("copies", copies).filter(F.col("term") != "").withColumn("tf", F.expr("n_rows div copies"))
+    return normalised_scores(each, keys)
 
 
 @dataclass(frozen=True)
@@ -150,28 +157,30 @@ class KeywordModel:
         if not self.row_local:
             return self._transform_by_join(narrow, text, key)
         names = F.array(*[F.lit(t) for t in self.local[0]])
-        pairs = F.arrays_zip(vector_to_array("tf").alias("tf"), vector_to_array("tfidf").alias("tfidf"))
+        pairs = F.arrays_zip(
+            names.alias("term"), vector_to_array("tf").alias("tf"), vector_to_array("tfidf").alias("tfidf")
+        )
+        # Absent terms leave inside the row, before it is multiplied.
+        present = F.filter(pairs, lambda p: p["tf"] > 0)
         return (
             self._vectors(narrow, text)
-            .select(key, F.posexplode(pairs).alias("at", "pair"))
-            .filter(F.col("pair.tf") > 0)
-            .select(
-                key,
-                F.get(names, F.col("at")).alias("term"),
-                F.col("pair.tf").cast("bigint").alias("tf"),
-                F.col("pair.tfidf").alias("tfidf"),
-            )
+            .select(key, F.inline(present))
+            .select(key, "term", F.col("tf").cast("bigint").alias("tf"), "tfidf")
         )
 
-    def _transform_by_join(self, df: DataFrame, text: str, key: str) -> DataFrame:
+    def _scores_by_join(self, df: DataFrame, text: str, key: str) -> DataFrame:
         prepared = with_terms(documents(df, text), text, self.ngram_range, self.stop_words)
-        counted = vocabulary_counts(prepared, self.table.select("term", "idf"), ["term"], [key])
-        return normalised_scores(counted, [key]).select(key, "term", "tf", "tfidf")
+        keyed = prepared.select(key, F.xxhash64(text).alias("_digest"), "terms")
+        return scores_by_join(keyed, self.table.select("term", "idf"), ["term"], [key, "_digest"])
+
+    def _transform_by_join(self, df: DataFrame, text: str, key: str) -> DataFrame:
+        rows = self._scores_by_join(df, text, key).withColumn("_copy", F.explode(F.expr("sequence(1, copies)")))
+        return rows.select(key, "term", "tf", "tfidf")
 
     def mean_scores(self, df: DataFrame, text: str = "content", key: str = "post_id") -> DataFrame:
         """Mean score of every vocabulary term over all documents with text; absent counts as 0.
 
-        ``key`` is only looked at for a vocabulary too large for the row-local plan.
+        Every row is a document of its own, whatever its ``key``, for vocabularies of every size.
         """
         spark = df.sparkSession
         if self.n_terms == 0:
@@ -189,8 +198,8 @@ class KeywordModel:
                 .select(F.inline(F.arrays_zip("keyword", "score")))
             )
         n_docs = documents(df, text).agg(F.count(F.lit(1)).alias("n")).scalar()
-        scored = self._transform_by_join(df.select(key, text), text, key)
-        sums = scored.groupBy("term").agg(F.sum("tfidf").alias("s"))
+        scored = self._scores_by_join(df.select(key, text), text, key)
+        sums = scored.groupBy("term").agg(F.sum(F.col("tfidf") * F.col("copies")).alias("s"))
         return (
             self.table.select("term")
             .join(sums, "term", "left")
@@ -205,19 +214,17 @@ class KeywordModel:
         return self.mean_scores(df, text, key).orderBy(*ranking()).limit(top_n)
 
     def save(self, path: str) -> None:
-        """Vocabulary as Parquet; the other settings travel as its columns."""
-        self.table.select(
-            "*",
-            F.lit(self.n_docs).cast("bigint").alias("n_docs"),
-            F.array(*[F.lit(n) for n in self.ngram_range]).alias("ngram_range"),
-        ).write.mode("overwrite").parquet(path)
+        """Vocabulary and, beside it, one row of settings, so that a model without terms keeps them too."""
+        self.table.write.mode("overwrite").parquet(f"{path}/vocabulary")
+        row = (self.n_docs, list(self.ngram_range), list(self.stop_words))
+        settings = self.table.sparkSession.createDataFrame([row], SETTINGS).coalesce(1)
+        settings.write.mode("overwrite").parquet(f"{path}/settings")
 
     @staticmethod
-    def load(spark: SparkSession, path: str, stop_words: Sequence[str] = tuple(STOP_WORDS)) -> KeywordModel:
-        stored = spark.read.parquet(path)
-        head = stored.select("n_docs", "ngram_range").head(1)
-        n_docs, grams = (head[0]["n_docs"], tuple(head[0]["ngram_range"])) if head else (0, (1, 2))
-        return _model(stored.select("term", "total", "df", "idf"), n_docs, grams, tuple(stop_words))
+    def load(spark: SparkSession, path: str) -> KeywordModel:
+        kept = spark.read.schema(SETTINGS).parquet(f"{path}/settings").first()
+        table = spark.read.schema(VOCAB_SCHEMA).parquet(f"{path}/vocabulary")
+        return _model(table, kept["n_docs"], tuple(kept["ngram_range"]), tuple(kept["stop_words"]))
 
 
 def _model(
@@ -322,7 +329,9 @@ def top_keywords_by_hashtag(
     the per-hashtag cut is a group limit that runs before its shuffle.
     """
     tagged = documents(df, text).select(key, text, F.array_distinct("hashtags").alias("_tags"))
-    terms = with_terms(tagged, text, ngram_range, stop_words).select(key, "terms", F.explode("_tags").alias("hashtag"))
+    terms = with_terms(tagged, text, ngram_range, stop_words).select(
+        key, F.xxhash64(text).alias("_digest"), "terms", F.explode("_tags").alias("hashtag")
+    )
     sizes = tagged.select(F.explode("_tags").alias("hashtag")).groupBy("hashtag").agg(F.count(F.lit(1)).alias("n"))
     ranked = Window.partitionBy("hashtag").orderBy(F.desc("total"), F.asc("term"))
     vocab = (
@@ -336,11 +345,10 @@ def top_keywords_by_hashtag(
     spark, path = df.sparkSession, scratch_dir(df.sparkSession, "vocabulary")
     vocab.write.parquet(path)
     stored = spark.read.schema("hashtag string, term string, n bigint, idf double").parquet(path)
-    counted = vocabulary_counts(terms, stored, ["hashtag", "term"], [key, "hashtag"])
     scores = (
-        normalised_scores(counted, [key, "hashtag"])
+        scores_by_join(terms, stored, ["hashtag", "term"], [key, "_digest", "hashtag"])
         .groupBy("hashtag", "term", "n")
-        .agg(F.sum("tfidf").alias("s"))
+        .agg(F.sum(F.col("tfidf") * F.col("copies")).alias("s"))
         .select("hashtag", F.col("term").alias("keyword"), (F.col("s") / F.col("n")).alias("score"))
     )
     best = Window.partitionBy("hashtag").orderBy(*ranking())

@@ -49,15 +49,41 @@ def rejected_posts(df: DataFrame) -> DataFrame:
     return df.filter(~_complete()).withColumn("missing", reasons)
 
 
-def conform(df: DataFrame) -> DataFrame:
-    """Cast to the declared post schema, column order included; a wall-clock timestamp is UTC."""
-    fields = [f for f in POST_SCHEMA.fields if f.name in df.columns]
+def _casts(df: DataFrame) -> dict[str, Column]:
+    """The post columns under their declared types; a value that cannot be read is NULL."""
+    types = dict(df.dtypes)
+    return {
+        f.name: ntz_to_utc(F.col(f.name)) if types[f.name] == "timestamp_ntz" else F.col(f.name).try_cast(f.dataType)
+        for f in POST_SCHEMA.fields
+        if f.name in types
+    }
+
+
+def _unreadable(df: DataFrame) -> Column | None:
+    """Names of the columns whose value cannot be read; None if every column has its type already."""
     types = dict(df.dtypes)
+    declared = {f.name: f.dataType.simpleString() for f in POST_SCHEMA.fields}
+    checks = [
+        F.when(F.col(name).isNotNull() & cast.isNull(), F.lit(name))
+        for name, cast in _casts(df).items()
+        if types[name] not in (declared[name], "timestamp_ntz")
+    ]
+    return F.array_compact(F.array(*checks)) if checks else None
+
+
+def conform(df: DataFrame) -> DataFrame:
+    """Rows under the declared post schema, column order included; a wall-clock timestamp is UTC.
+
+    Rows with a value that cannot be read as its type are left out: see ``misfit_posts``.
+    """
+    names = _unreadable(df)
+    fitting = df if names is None else df.filter(F.size(names) == 0)
+    return fitting.select(*[cast.alias(name) for name, cast in _casts(df).items()])
 
-    def cast(field) -> Column:
-        col = F.col(field.name)
-        if field.name == "timestamp" and types["timestamp"] == "timestamp_ntz":
-            return ntz_to_utc(col).alias(field.name)
-        return col.cast(field.dataType).alias(field.name)
 
-    return df.select(*[cast(f) for f in fields])
+def misfit_posts(df: DataFrame) -> DataFrame:
+    """The rows ``conform`` leaves out as they came, with the names of the ``unreadable`` columns."""
+    names = _unreadable(df)
+    if names is None:
+        return df.filter(F.lit(False)).withColumn("unreadable", F.array().cast("array<string>"))
+    return df.withColumn("unreadable", names).filter(F.size("unreadable") > 0)

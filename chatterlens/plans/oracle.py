@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from chatterlens.functions.words import BEARISH_WORDS, BULLISH_WORDS, STOP_WORDS
 from chatterlens.operators.capture import RATE_LIMIT_PHRASES
-from chatterlens.plans.views import PHRASES
+from chatterlens.plans.views import LIMIT_TAILS, PHRASES, POST_TAILS, WALL_TAILS
 from chatterlens.sources.sample import TEMPLATES
 
 SP = r"\t-\r\x1c-\x20\x85\p{Z}"
@@ -90,10 +90,10 @@ SELECT event_id * 4 AS ingest_seq, ' u' || user_id AS username, ts AS "timestamp
   {LOT} - 5 AS likes, {COMMON}, {EVENT_TAGS} FROM events
 UNION ALL SELECT event_id * 4 + 1, 'U' || user_id, ts, upper({SHORT}), {LOT} + 1, {COMMON}, {EVENT_TAGS}
 FROM events WHERE event_type = 'purchase'
-UNION ALL SELECT event_id * 4 + 2, 'desk' || user_id, ts, text || ' ' || {PHRASE}, {LOT}, {COMMON},
-  ['#' || source, upper(lang)], CAST([] AS VARCHAR[]) FROM documents JOIN events ON doc_id = event_id
-UNION ALL SELECT event_id * 4 + 3, 'web' || user_id, ts, html || ' ' || {PHRASE}, {LOT}, {COMMON},
-  ['web'], CAST([] AS VARCHAR[]) FROM pages JOIN events ON page_id = event_id""",
+UNION ALL SELECT doc_id * 4 + 2, 'desk' || user_id, ts, text || ' ' || {PHRASE}, {LOT}, {COMMON},
+  ['#' || source, upper(lang)], CAST([] AS VARCHAR[]) FROM documents LEFT JOIN events ON doc_id = event_id
+UNION ALL SELECT page_id * 4 + 3, 'web' || user_id, ts, html || ' ' || {PHRASE}, {LOT}, {COMMON},
+  ['web'], CAST([] AS VARCHAR[]) FROM pages LEFT JOIN events ON page_id = event_id""",
 )
 step(
     "norm",
@@ -276,23 +276,32 @@ step(
     ("parsed",),
     "SELECT * FROM parsed QUALIFY row_number() OVER (PARTITION BY ingest_key ORDER BY ingest_seq) = 1",
 )
+
+
+def tail(tails) -> str:
+    return f"{words(tails)}[page_id % {len(tails)} + 1]"
+
+
 step(
     "page_cards",
     (),
-    """
+    f"""
 SELECT page_id, CASE WHEN contains(url, '/fr') THEN url || '/Login' ELSE url END AS url,
-  CASE WHEN contains(url, '/de') THEN html || '<div>Try <b></b>again later</div> Something Went Wrong'
-    WHEN contains(url, '/es') THEN html || '<button data-testid="loginButton">'
-    WHEN contains(url, 'page=') THEN html || '<article role="x" data-testid="tweet"></article>' ELSE html END AS html
+  CASE WHEN contains(url, '/de') THEN html || {tail(LIMIT_TAILS)}
+    WHEN contains(url, '/es') THEN html || {tail(WALL_TAILS)}
+    WHEN contains(url, 'page=') THEN html || {tail(POST_TAILS)} ELSE html END AS html
 FROM pages""",
 )
-WALLED = r"""(contains(lower(url), '/login')
-  OR regexp_matches(html, 'data-testid="(?:loginButton|sheetDialog)"|<a\s[^>]*href="[^"]*/login'))"""
-VISIBLE = r"lower(regexp_replace(html, '(?is)<script\b.*?</script>|<style\b.*?</style>|<[^>]*>', ' ', 'g'))"
+# What a browser keeps, step by step: no comments, no scripts, no styles.
+BARE = "html"
+for hidden in ("<!--.*?-->", "<script[ >].*?</script>", "<style[ >].*?</style>"):
+    BARE = f"regexp_replace({BARE}, '(?is){hidden}', '', 'g')"
+WALLED = r"""(contains(lower(url), '/login') OR regexp_matches(bare, 'data-testid=[''"]?(loginbutton|sheetdialog)', 'i')
+  OR len(list_filter(regexp_extract_all(bare, '(?i)<a [^>]*>'), x -> regexp_matches(x, '(?i) href=[''"]?[^ ''">]*/login'))) > 0)"""
+BLOCKS = r"regexp_replace(regexp_replace(bare, '(?i)</?(b|em|a|i|span|strong)( [^>]*)?>', '', 'g'), '<[^>]*>', ' ', 'g')"
+VISIBLE = f"lower(regexp_replace({unescape(f"replace({BLOCKS}, '&nbsp;', chr(160))")}, '[{SP}]+', ' ', 'g'))"
 LIMITED = " OR ".join(f"contains(v, {quoted(p)})" for p in RATE_LIMIT_PHRASES)
-USABLE = (
-    r'data-testid="(?:AppTabBar_Home_Link|SideNav_AccountSwitcher_Button)"|<article\s[^>]*data-testid="tweet"'
-)
+USABLE = r"""(?i)<article [^>]*data-testid=[''"]?tweet[''"]|data-testid="(AppTabBar_Home_Link|SideNav_AccountSwitcher_Button)\""""
 
 
 def query(select: str, *needs: str) -> str:
@@ -441,11 +450,13 @@ def oracle_sql() -> dict[str, str]:
         ),
         "r12_page_status": q(
             f"SELECT page_id, CASE WHEN {WALLED} THEN 'LOGIN_REQUIRED' WHEN {LIMITED} THEN 'RATE_LIMITED' ELSE 'OK' END "
-            f"AS page_status FROM (SELECT *, {VISIBLE} AS v FROM page_cards)",
+            f"AS page_status FROM (SELECT *, {VISIBLE} AS v FROM (SELECT *, {BARE} AS bare FROM page_cards))",
             "page_cards",
         ),
         "r13_page_usable": q(
-            f"SELECT page_id, (NOT {WALLED} AND regexp_matches(html, '{USABLE}')) AS usable FROM page_cards", "page_cards"
+            f"SELECT page_id, (NOT {WALLED} AND regexp_matches(bare, '{USABLE}')) AS usable "
+            f"FROM (SELECT *, {BARE} AS bare FROM page_cards)",
+            "page_cards",
         ),
         "r14_unseen_cards": q(
             "SELECT ingest_seq, nullif(sid, '') AS status_id FROM card_fields c WHERE NOT EXISTS (SELECT 1 FROM events e "

@@ -11,7 +11,7 @@ from chatterlens.operators import charts, keywords
 from chatterlens.operators.clean import clean_posts
 from chatterlens.operators.dedup import deduplicate
 from chatterlens.operators.features import extract_features
-from chatterlens.operators.normalize import normalise_posts, valid_posts
+from chatterlens.operators.normalize import normalise_posts, rejected_posts, valid_posts
 from chatterlens.operators.signal import summarise, with_weighted_signal
 from chatterlens.options import JobOptions
 from chatterlens.schema import POST_COLUMNS
@@ -40,6 +40,7 @@ class RunResult:
     features_path: str
     keywords_path: str
     summary_path: str
+    rejected_path: str
     chart_paths: dict[str, str] = field(default_factory=dict)
     elapsed_seconds: float = 0.0
 
@@ -55,6 +56,8 @@ def run(spark: SparkSession, raw: DataFrame, options: JobOptions, known: DataFra
     out = options.processed_dir
     posts_path = write_posts(prepared_posts(raw, known), f"{out}/posts", options.compression)
     posts = read_posts(spark, posts_path)
+    rejected_path = f"{out}/rejected"
+    rejected_posts(raw).write.mode("overwrite").parquet(rejected_path)
 
     features = extract_features(posts)
     features_path = write_features_csv(features, f"{out}/features")
@@ -75,5 +78,11 @@ def run(spark: SparkSession, raw: DataFrame, options: JobOptions, known: DataFra
         chart_paths[name] = f"{out}/charts/{name}"
         table.coalesce(1).write.mode("overwrite").parquet(chart_paths[name])
     return RunResult(
-        posts_path, features_path, keywords_path, summary_path, chart_paths, round(time.perf_counter() - started, 2)
+        posts_path,
+        features_path,
+        keywords_path,
+        summary_path,
+        rejected_path,
+        chart_paths,
+        round(time.perf_counter() - started, 2),
     )

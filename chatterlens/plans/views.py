@@ -22,6 +22,30 @@ PHRASES = {
     "error": "Shipment lost again, traders sell and short the line: bearish, loss likely #BankNifty",
 }
 
+# Page endings that do, or only seem to, show a rate limit, a login wall or a post.
+LIMIT_TAILS = (
+    "<div>Try <b></b>again later</div>",
+    "Something&nbsp;went\n  wrong",
+    "<P>RATE <EM class='x'>limit</EM> exceeded</P>",
+    '<script>var m = "try again later";</script>',
+    "<!-- something went wrong -->",
+    "<p>Try</p><p>again later</p>",
+    "<p>Try a</p><p>gain later</p>",
+)
+WALL_TAILS = (
+    '<button data-testid="loginButton">',
+    "<div DATA-TESTID='sheetDialog'>",
+    "<A class=q href=/login>",
+    """<script>x = '<a href="/login">'</script>""",
+    "<a href='/logout' title='/login'>",
+)
+POST_TAILS = (
+    '<article role="x" data-testid="tweet"></article>',
+    "<ARTICLE data-testid='tweet'>",
+    '<!-- <article data-testid="tweet"> -->',
+    '<style>article[data-testid="tweet"]{}</style>',
+)
+
 
 def as_of() -> Column:
     return F.expr("TIMESTAMP'2024-01-31 00:00:00Z'")
@@ -90,10 +114,10 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     notes = (
         table(spark, sf_dir, "documents")
-        .join(events, F.col("doc_id") == F.col("event_id"))
+        .join(events, F.col("doc_id") == F.col("event_id"), "left")
         .select(
             _post(
-                F.col("event_id") * 4 + 2,
+                F.col("doc_id") * 4 + 2,
                 F.concat(F.lit("desk"), user),
                 F.concat(F.col("text"), F.lit(" "), phrase()),
                 lot(),
@@ -104,10 +128,10 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     web = (
         table(spark, sf_dir, "pages")
-        .join(events, F.col("page_id") == F.col("event_id"))
+        .join(events, F.col("page_id") == F.col("event_id"), "left")
         .select(
             _post(
-                F.col("event_id") * 4 + 3,
+                F.col("page_id") * 4 + 3,
                 F.concat(F.lit("web"), user),
                 F.concat(F.col("html"), F.lit(" "), phrase()),
                 lot(),
@@ -179,14 +203,18 @@ def seen_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def page_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages with login, rate-limit and usable marks added by language and address."""
+    """Pages with login, rate-limit and usable marks added by language, address and id."""
     url, page = F.col("url"), F.col("html")
+
+    def with_tail(tails: tuple[str, ...]) -> Column:
+        return F.concat(page, F.get(F.array(*[F.lit(t) for t in tails]), (F.col("page_id") % len(tails)).cast("int")))
+
     return table(spark, sf_dir, "pages").select(
         "page_id",
         F.when(url.contains("/fr"), F.concat(url, F.lit("/Login"))).otherwise(url).alias("url"),
-        F.when(url.contains("/de"), F.concat(page, F.lit("<div>Try <b></b>again later</div> Something Went Wrong")))
-        .when(url.contains("/es"), F.concat(page, F.lit('<button data-testid="loginButton">')))
-        .when(url.contains("page="), F.concat(page, F.lit('<article role="x" data-testid="tweet"></article>')))
+        F.when(url.contains("/de"), with_tail(LIMIT_TAILS))
+        .when(url.contains("/es"), with_tail(WALL_TAILS))
+        .when(url.contains("page="), with_tail(POST_TAILS))
         .otherwise(page)
         .alias("html"),
     )

@@ -28,7 +28,8 @@ def empty_posts(spark: SparkSession) -> DataFrame:
 def write_posts(df: DataFrame, path: str, compression: str = "snappy", mode: str = "overwrite") -> str:
     """One batch of posts as Parquet under the declared schema; gives the path back.
 
-    An empty batch still leaves a readable table with the full schema.
+    An empty batch still leaves a readable table with the full schema. Rows that do not fit the schema are
+    not written: ``misfit_posts`` has them.
     """
     conform(df).write.mode(mode).option("compression", compression).parquet(path)
     return path
@@ -56,6 +57,8 @@ def read_lake(spark: SparkSession, path: str) -> DataFrame:
 def to_json_lines(df: DataFrame) -> DataFrame:
     """Posts as one ``value`` column of JSON text with ISO timestamps."""
     record = F.struct(
+        "post_id",
+        "ingest_seq",
         "username",
         iso_utc(F.col("timestamp")).alias("timestamp"),
         "content",
@@ -69,7 +72,7 @@ def to_json_lines(df: DataFrame) -> DataFrame:
 
 
 _JSON_RECORD = (
-    "username string, timestamp string, content string, likes string, replies string, reposts string, "
+    "post_id bigint, ingest_seq bigint, username string, timestamp string, content string, likes string, replies string, reposts string, "
     "hashtags array<string>, mentions array<string>"
 )
 
@@ -87,7 +90,7 @@ def _parsed_json(lines: DataFrame) -> DataFrame:
         return F.coalesce(F.col(f"r.{name}"), F.array().cast("array<string>")).alias(name)
 
     return rows.select(
-        *keys,
+        *[F.col(k if k in keys else f"r.{k}").alias(k) for k in ("post_id", "ingest_seq")],
         "value",
         F.coalesce("r.username", F.lit("")).alias("username"),
         parse_iso(F.col("r.timestamp")).alias("timestamp"),
@@ -115,9 +118,15 @@ def rejected_json_lines(lines: DataFrame) -> DataFrame:
 
 
 def read_json_posts(spark: SparkSession, path: str) -> DataFrame:
+    """Posts of JSON line files, ready for ``prepared_posts``; records without the two keys have NULL there."""
     return from_json_lines(spark.read.text(path))
 
 
+def write_json_posts(df: DataFrame, path: str, mode: str = "overwrite") -> str:
+    to_json_lines(df).select("value").write.mode(mode).text(path)
+    return path
+
+
 def read_captures(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
     """Captured cards from the raw zone."""
     return spark.read.schema(CAPTURE_SCHEMA).format(fmt).load(path)

@@ -138,7 +138,32 @@ def test_pages(spark):
     got = {r.page_id: (r.page_status, r.usable) for r in capture.page_checks(pages).collect()}
     assert got[1] == got[2] == got[6] == ("LOGIN_REQUIRED", False)
     assert got[4] == ("OK", True) and got[5] == ("OK", False)
-    assert got[3][1] is False
+    assert got[3] == ("RATE_LIMITED", False)
+
+
+@pytest.mark.parametrize(
+    "html, status, usable",
+    [
+        ("<div>Try <b></b>again later</div>", "RATE_LIMITED", False),
+        ("something\n went&nbsp;wrong", "RATE_LIMITED", False),
+        ("<p>Rate</p><P>LIMIT</P>exceeded", "RATE_LIMITED", False),
+        ("<i>some</i>thing went wrong", "RATE_LIMITED", False),
+        ("some<br>thing went wrong", "OK", False),
+        ("<!-- try again later --><article class=x data-testid='tweet'>", "OK", True),
+        ("<ARTICLE DATA-TESTID=tweet>", "OK", True),
+        ('<style>try again later</style><p data-testid="tweet">', "OK", False),
+        ("<a href='/login'>", "LOGIN_REQUIRED", False),
+        ("<A HREF = /i/login>", "LOGIN_REQUIRED", False),
+        ("<script>'<a href=\"/login\">'</script>", "OK", False),
+        ("<i data-testid='sheetDialog'>", "LOGIN_REQUIRED", False),
+        ("<!-- never closed <a href='/login'>", "OK", False),
+        ("", "OK", False),
+    ],
+)
+def test_pages_as_a_reader_sees_them(spark, html, status, usable):
+    row = capture.page_checks(spark.createDataFrame([("https://x/a", html)], "url string, html string")).first()
+    assert (row.page_status, row.usable) == (status, usable)
+    assert set(row.asDict()) == {"url", "html", "page_status", "usable"}
 
 
 @pytest.mark.parametrize("n", [0 + 1, 3, 1500, 2999, 3000, 50_000])

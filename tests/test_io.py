@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import job
 from chatterlens.operators import dedup, signal
-from chatterlens.operators.normalize import normalise_posts
+from chatterlens.operators.normalize import conform, misfit_posts, normalise_posts
 from chatterlens.options import JobOptions
 from chatterlens.plans import signals
 from chatterlens.schema import POST_SCHEMA
@@ -74,6 +74,23 @@ def test_json_codec(spark, make_posts):
     assert io.rejected_json_lines(raw).count() == 4
 
 
+def test_json_files_feed_the_pipeline(spark, make_posts):
+    posts = normalise_posts(make_posts({"content": "a"}, {"content": "b"}, {"content": "b"}))
+    path = io.write_json_posts(posts, scratch_dir(spark, "lines"))
+    assert sorted(io.read_json_posts(spark, path).select(posts.columns).collect()) == sorted(posts.collect())
+    from_json, direct = (signals.prepared_posts(p).collect() for p in (io.read_json_posts(spark, path), posts))
+    assert sorted(from_json) == sorted(direct)
+
+
+def test_misfits_are_set_aside(spark):
+    raw = spark.createDataFrame(
+        [("1", "a", "7"), ("2", "b", "x"), ("many", "c", None), ("4", "d", "1.5x")], "post_id string, username string, likes string"
+    )
+    assert [tuple(r) for r in conform(raw).collect()] == [(1, "a", 7)]
+    assert {r.username: r.unreadable for r in misfit_posts(raw).collect()} == {"b": ["likes"], "c": ["post_id"], "d": ["likes"]}
+    assert misfit_posts(conform(raw)).count() == 0
+
+
 def test_raw_zone(spark):
     from chatterlens.schema import CAPTURE_SCHEMA
 

@@ -110,6 +110,37 @@ def test_save_and_load(spark):
     assert loaded.top_keywords(df, 3).collect() == model.top_keywords(df, 3).collect()
 
 
+def test_save_and_load_keep_all_settings(spark):
+    df = corpus(spark, ["beta gamma of", "beta of"])
+    model = kw.fit(df, 9, ngram_range=(1, 3), stop_words=("beta",))
+    path = scratch_dir(spark, "model")
+    model.save(path)
+    loaded = kw.KeywordModel.load(spark, path)
+    assert (loaded.stop_words, loaded.local) == (("beta",), model.local)
+    empty = kw.fit(df, 9, ngram_range=(2, 2), min_df=5)
+    path = scratch_dir(spark, "model")
+    empty.save(path)
+    loaded = kw.KeywordModel.load(spark, path)
+    assert (loaded.n_docs, loaded.ngram_range, loaded.n_terms) == (2, (2, 2), 0)
+
+
+def test_every_row_is_a_document_at_every_size(spark, monkeypatch):
+    """Repeated keys, NULL keys, equal rows, and rows without a vocabulary term."""
+    rows = [(1, "alpha beta"), (1, "alpha"), (1, "alpha"), (None, "beta beta"), (None, "beta beta"), (2, "of"), (2, "of")]
+    df = spark.createDataFrame(rows, "post_id bigint, content string")
+    local = kw.fit(df, 3)
+    monkeypatch.setattr(kw, "ROW_LOCAL_TERMS", 1)
+    joined = kw.fit(df, 3)
+    assert local.row_local and not joined.row_local
+
+    def table(scores):
+        return sorted((r.post_id or 0, r.term, r.tf, round(r.tfidf, 9)) for r in scores.collect())
+
+    assert table(local.transform(df)) == table(joined.transform(df))
+    means = [{r.keyword: round(r.score, 9) for r in m.mean_scores(df).collect()} for m in (local, joined)]
+    assert means[0] == means[1]
+
+
 def test_keywords_by_hashtag_equal_one_corpus_each(spark):
     tags = [["a"], ["a", "b"], ["b"], ["a"], ["b"], ["a"]]
     df = spark.createDataFrame([(i, t, g) for i, (t, g) in enumerate(zip(TEXTS, tags))], "post_id bigint, content string, hashtags array<string>")
