@@ -381,8 +381,8 @@ def _(spark, sf):
 @query("r17_union_searches")
 def _(spark, sf):
     cards = views.captures(spark, sf)
-    both = capture.union_captures([cards.filter(F.col("hashtag") == tag) for tag in ("#click", "#view")])
-    return both.groupBy("hashtag").agg(F.count(F.lit(1)).alias("cards"))
+    searches = [cards.filter(F.col("hashtag") == f"#{event_type}") for event_type in views.PHRASES]
+    return capture.union_captures(searches).groupBy("hashtag").agg(F.count(F.lit(1)).alias("cards"))
 
 
 @query("r18_collect_posts")
@@ -491,11 +491,12 @@ def _(spark, sf):
 
 @query("c10_drop_empty")
 def _(spark, sf):
-    """Short documents are turned into a bare address, which cleaning empties."""
-    link = F.concat(F.lit("https://x.example/"), F.col("lang"), F.lit(" \n"))
-    rows = views.table(spark, sf, "documents").select(
+    """All documents, and for each a bare address that cleaning empties."""
+    link = F.struct((-1 - F.col("doc_id")).alias("doc_id"), F.concat(F.lit("https://x.example/"), F.col("lang"), F.lit(" \n")).alias("content"))
+    both = F.array(F.struct("doc_id", F.col("text").alias("content")), link)
+    rows = views.table(spark, sf, "documents").select(F.inline(both)).select(
         "doc_id",
-        F.when(F.length("text") < 400, link).otherwise(F.col("text")).alias("content"),
+        "content",
         F.array().cast("array<string>").alias("hashtags"),
         F.array().cast("array<string>").alias("mentions"),
     )

@@ -297,7 +297,7 @@ BARE = "html"
 for hidden in ("<!--.*?-->", "<script[ >].*?</script>", "<style[ >].*?</style>"):
     BARE = f"regexp_replace({BARE}, '(?is){hidden}', '', 'g')"
 WALLED = r"""(contains(lower(url), '/login') OR regexp_matches(bare, 'data-testid=[''"]?(loginbutton|sheetdialog)', 'i')
-  OR len(list_filter(regexp_extract_all(bare, '(?i)<a [^>]*>'), x -> regexp_matches(x, '(?i) href=[''"]?[^ ''">]*/login'))) > 0)"""
+  OR len(list_filter(regexp_extract_all(bare, '(?i)<a [^>]*>'), lambda x: regexp_matches(x, '(?i) href=[''"]?[^ ''">]*/login'))) > 0)"""
 BLOCKS = r"regexp_replace(regexp_replace(bare, '(?i)</?(b|em|a|i|span|strong)( [^>]*)?>', '', 'g'), '<[^>]*>', ' ', 'g')"
 VISIBLE = f"lower(regexp_replace({unescape(f"replace({BLOCKS}, '&nbsp;', chr(160))")}, '[{SP}]+', ' ', 'g'))"
 LIMITED = " OR ".join(f"contains(v, {quoted(p)})" for p in RATE_LIMIT_PHRASES)
@@ -475,7 +475,7 @@ def oracle_sql() -> dict[str, str]:
         "r16_total_cap": q("SELECT ingest_seq, hashtag FROM first_cards ORDER BY ingest_seq LIMIT 120", "first_cards"),
         "r16_large_cap": q("SELECT ingest_seq, hashtag FROM cards ORDER BY ingest_seq LIMIT 5000", "cards"),
         "r17_union_searches": q(
-            "SELECT hashtag, count(*) AS cards FROM cards WHERE hashtag IN ('#click', '#view') GROUP BY hashtag", "cards"
+            "SELECT hashtag, count(*) AS cards FROM cards GROUP BY hashtag", "cards"
         ),
         "r18_collect_posts": q(
             f"""SELECT ingest_seq, username, "timestamp", content, likes, replies, reposts,
@@ -516,7 +516,8 @@ def oracle_sql() -> dict[str, str]:
         "c09_merge_tags": q(
             f"SELECT post_id, {joined('hashtags')} AS hashtags, {joined('mentions')} AS mentions FROM cleaned", "cleaned"
         ),
-        "c10_drop_empty": f"SELECT doc_id, t AS text FROM (SELECT doc_id, {clean(URL_ONLY)} AS t FROM documents) WHERE t <> ''",
+        "c10_drop_empty": f"SELECT doc_id, t AS text FROM (SELECT doc_id, {clean('text')} AS t FROM documents UNION ALL "
+        f"SELECT -1 - doc_id, {clean(BARE_LINK)} FROM documents) WHERE t <> ''",
         "c11_isolate_faults": q(
             'SELECT count("timestamp") AS kept, count(*) FILTER (WHERE "timestamp" IS NULL) AS rejected FROM card_fields',
             "card_fields",
@@ -640,7 +641,7 @@ def oracle_sql() -> dict[str, str]:
     return sql
 
 
-URL_ONLY = "CASE WHEN length(text) < 400 THEN 'https://x.example/' || lang || ' ' || chr(10) ELSE text END"
+BARE_LINK = "('https://x.example/' || lang || ' ' || chr(10))"
 
 T10 = query(
     f"""
