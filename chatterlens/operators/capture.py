@@ -77,9 +77,25 @@ def ingest_key(status: Column, username: Column, timestamp: Column, content: Col
     return F.sha2(F.coalesce(status, F.concat_ws(":", F.lower(username), iso_utc(timestamp), content)), 256)
 
 
+def metric_source(text: Column, aria: Column) -> Column:
+    """Where a count is read from: the text if there is any, else the label."""
+    return F.coalesce(F.nullif(strip(text), F.lit("")), aria)
+
+
 def metric(text: Column, aria: Column, strict_suffix: bool = False) -> Column:
-    """Count shown on a card: its text if there is any, else its label."""
-    return parse_count(F.coalesce(F.nullif(strip(text), F.lit("")), aria), strict_suffix)
+    """Count shown on a card."""
+    return parse_count(metric_source(text, aria), strict_suffix)
+
+
+def recent_cards(timed: DataFrame, as_of: datetime | Column, cutoff_hours: int) -> DataFrame:
+    """Cards whose ``timestamp`` is at most ``cutoff_hours`` before ``as_of``."""
+    now = as_of if isinstance(as_of, Column) else F.lit(as_of)
+    return timed.filter(F.col("timestamp") >= now - F.make_interval(hours=F.lit(cutoff_hours)))
+
+
+def usable_cards(named: DataFrame) -> DataFrame:
+    """Cards with a text or a known name."""
+    return named.filter((F.col("username") != "unknown") | (F.col("content") != ""))
 
 
 def parse_cards(
@@ -99,16 +115,14 @@ def parse_cards(
     with_id = cards.withColumn("status_id", status_id(F.col("status_href")))
     if seen_status is not None:
         with_id = drop_seen(with_id, seen_status)
-    timed = with_id.withColumn("timestamp", card_time(F.col("time_attr"), now)).filter(
-        F.col("timestamp") >= now - F.make_interval(hours=F.lit(cutoff_hours))
-    )
+    timed = recent_cards(with_id.withColumn("timestamp", card_time(F.col("time_attr"), now)), now, cutoff_hours)
     named = timed.withColumns(
         {
             "username": handle(F.col("user_text")),
             "content": card_content(F.col("body_text"), F.col("full_text")),
         }
-    ).filter((F.col("username") != "unknown") | (F.col("content") != ""))
-    return named.select(
+    )
+    return usable_cards(named).select(
         F.col("ingest_seq").alias("post_id"),
         "ingest_seq",
         "username",
@@ -183,14 +197,21 @@ def collect_posts(
     cutoff_hours: int,
     seen_status: DataFrame | None = None,
     observation: Observation | None = None,
+    distinct: Observation | None = None,
+    parsed_cards: Observation | None = None,
 ) -> DataFrame:
     """Cards of the searched hashtags to posts: parse, first per key, quota per hashtag, total cap.
 
-    Without ``max_posts`` all are kept. ``observation`` receives ``saved`` once an action has run.
+    Without ``max_posts`` all are kept. Once an action has run, ``parsed_cards`` has the ``cards`` read,
+    ``distinct`` the ``unique`` ones among them, and ``observation`` the posts ``saved``.
     """
     tags = normalise_search_tags(search_tags)
     parsed = parse_cards(cards.filter(F.col("hashtag").isin(tags)), as_of, cutoff_hours, seen_status)
+    if parsed_cards is not None:
+        parsed = parsed.observe(parsed_cards, F.count(F.lit(1)).alias("cards"))
     posts = first_capture(parsed)
+    if distinct is not None:
+        posts = posts.observe(distinct, F.count(F.lit(1)).alias("unique"))
     if max_posts is not None:
         quota = hashtag_quota(max_posts, len(tags))
         posts = cap_per_hashtag(posts, quota)

@@ -37,7 +37,7 @@ def signal_label(mean: Column, buy: float, sell: float) -> Column:
     return F.when(mean >= F.lit(buy), "BUY").when(mean <= F.lit(sell), "SELL").otherwise("HOLD")
 
 
-def _statistics(signal: Column) -> list[Column]:
+def statistics(signal: Column) -> list[Column]:
     """All moments in one pass over the rows, merged from per-task partial results."""
     return [
         F.count(signal).alias("n"),
@@ -84,7 +84,7 @@ def summarise(
         df = with_weighted_signal(df)
     # NULL instead of a filter: a filter on the signal would be pushed down and compute it twice.
     signal = F.when(is_finite(F.col("weighted_signal")), F.col("weighted_signal"))
-    grouped = df.withColumn("weighted_signal", signal).groupBy(*by).agg(*_statistics(F.col("weighted_signal")))
+    grouped = df.withColumn("weighted_signal", signal).groupBy(*by).agg(*statistics(F.col("weighted_signal")))
     if by:
         grouped = grouped.filter(F.col("n") > 0)
     keys = [c for c in grouped.columns if c not in ("n", "mean", "std", "bulls", "bears")]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from chatterlens.functions import text, times, unicode
@@ -150,13 +150,7 @@ def _(spark, sf):
 
 @query("s04_cast_schema")
 def _(spark, sf):
-    raw = views.table(spark, sf, "events").select(
-        F.col("event_id").cast("string").alias("post_id"),
-        F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("username"),
-        F.col("ts").alias("timestamp"),
-        F.floor("value").cast("string").alias("likes"),
-    )
-    return normalize.conform(raw).withColumn("timestamp", wall())
+    return normalize.conform(views.spoilt_posts(spark, sf)).withColumn("timestamp", wall())
 
 
 @query("s05_empty_batch")
@@ -230,9 +224,7 @@ def _(spark, sf):
 @query("s11_posts_or_sample")
 def _(spark, sf):
     chosen = sample.posts_or_sample(normalised(spark, sf), 2000, views.as_of())
-    return chosen.agg(
-        F.count(F.lit(1)).alias("posts"), F.sum("likes").alias("likes"), F.min("ingest_seq").alias("first_seq")
-    )
+    return chosen.select(post_out())
 
 
 @query("s12_json_codec")
@@ -240,6 +232,13 @@ def _(spark, sf):
     return post_io.from_json_lines(post_io.to_json_lines(normalised(spark, sf))).select(post_out())
 
 
+@query("s12_json_files")
+def _(spark, sf):
+    """Posts through files of JSON lines into the pipeline."""
+    path = post_io.write_json_posts(normalised(spark, sf), scratch_dir(spark, "lines"))
+    return signals.prepared_posts(post_io.read_json_posts(spark, path)).select("post_id", *post_out(), "fingerprint")
+
+
 @query("s12_json_rejects")
 def _(spark, sf):
     rows = normalised(spark, sf)
@@ -247,7 +246,8 @@ def _(spark, sf):
     spoilt = F.regexp_replace("value", '"timestamp":"', '"timestamp":"on ')
     lines = post_io.to_json_lines(rows)
     broken = lines.withColumn("value", F.when(popular, spoilt).otherwise(F.col("value")))
-    return post_io.rejected_json_lines(broken).agg(F.count(F.lit(1)).alias("rejected"))
+    key = F.get_json_object("value", "$.post_id").cast("bigint").alias("post_id")
+    return post_io.rejected_json_lines(broken).select(key)
 
 
 @query("s13_raw_capture_zone")
@@ -281,8 +281,7 @@ def _(spark, sf):
 
 @query("r03_recent_cards")
 def _(spark, sf):
-    recent = F.col("timestamp") >= views.as_of() - F.make_interval(hours=F.lit(CUTOFF_HOURS))
-    return timed_cards(spark, sf).filter(recent).select("ingest_seq", wall())
+    return capture.recent_cards(timed_cards(spark, sf), views.as_of(), CUTOFF_HOURS).select("ingest_seq", wall())
 
 
 def read_cards(spark, sf):
@@ -300,7 +299,7 @@ def _(spark, sf):
 
 @query("r05_usable_cards")
 def _(spark, sf):
-    return read_cards(spark, sf).filter((F.col("content") != "") | (F.col("username") != "unknown"))
+    return capture.usable_cards(read_cards(spark, sf))
 
 
 @query("r06_status_id")
@@ -326,8 +325,8 @@ def _(spark, sf):
 @query("r09_metric_source")
 def _(spark, sf):
     like, aria = F.col("like_text"), F.col("like_aria")
-    label = F.coalesce(F.nullif(text.strip(like), F.lit("")), aria)
-    return views.captures(spark, sf).select("ingest_seq", label.alias("label"), capture.metric(like, aria).alias("likes"))
+    label = capture.metric_source(like, aria).alias("label")
+    return views.captures(spark, sf).select("ingest_seq", label, capture.metric(like, aria).alias("likes"))
 
 
 @query("r10_parse_counts")
@@ -368,6 +367,37 @@ def _(spark, sf):
     return capture.cap_per_hashtag(views.captures(spark, sf).select("ingest_seq", "hashtag"), 1500)
 
 
+QUOTAS = (999, 1000, 1001, 7000)
+
+
+def cards_without_order(spark, sf):
+    """Cards, some without an order value: those come first."""
+    order = F.when(F.coalesce(F.length("time_attr"), F.lit(0)) > 0, F.col("ingest_seq")).alias("ingest_seq")
+    return views.captures(spark, sf).select("hashtag", order)
+
+
+def each_quota(cap):
+    merged = None
+    for n in QUOTAS:
+        part = cap(n).select(F.lit(n).alias("quota"), "ingest_seq", "hashtag")
+        merged = part if merged is None else merged.unionByName(part)
+    return merged
+
+
+@query("r15_quotas_around_the_limit")
+def _(spark, sf):
+    cards = cards_without_order(spark, sf)
+    return each_quota(lambda n: capture.cap_per_hashtag(cards, n))
+
+
+@query("r16_caps_around_the_limit")
+def _(spark, sf):
+    """Cards in an order that is missing on one hashtag's late cards only, so that equal ones are alike."""
+    late = (F.col("hashtag") == "#error") & F.col("time_attr").isNull()
+    cards = views.captures(spark, sf).select("hashtag", F.when(~late, F.col("ingest_seq")).alias("ingest_seq"))
+    return each_quota(lambda n: capture.cap_total(cards, n))
+
+
 @query("r16_total_cap")
 def _(spark, sf):
     return capture.cap_total(capture.first_capture(parsed_cards(spark, sf)), 120).select("ingest_seq", "hashtag")
@@ -392,6 +422,17 @@ def _(spark, sf):
     return got.select(post_out())
 
 
+@query("r18_run_counts")
+def _(spark, sf):
+    """What a run over all hashtags observes: cards read, unique ones, duplicates, posts saved without a cap."""
+    seen = [Observation(name) for name in ("saved", "distinct", "cards")]
+    got = capture.collect_posts(views.captures(spark, sf), list(views.PHRASES), None, views.as_of(), CUTOFF_HOURS, None, *seen)
+    got.write.format("noop").mode("overwrite").save()
+    saved, unique, cards = (o.get[k] for o, k in zip(seen, ("saved", "unique", "cards")))
+    row = (cards, unique, cards - unique, saved)
+    return spark.createDataFrame([row], "cards bigint, unique_cards bigint, duplicates bigint, saved bigint")
+
+
 @query("r19_topic_filter")
 def _(spark, sf):
     return capture.with_topic(cleaned(spark, sf), [" #sensex", "BankNifty", " "]).select("post_id", "username")
@@ -428,9 +469,8 @@ def cards_as_posts(spark, sf):
 @query("n05_quarantine")
 def _(spark, sf):
     rows = cards_as_posts(spark, sf)
-    valid = normalize.valid_posts(rows).agg(F.lit(True).alias("valid"), F.count(F.lit(1)).alias("cards"))
-    rejected = normalize.rejected_posts(rows).agg(F.lit(False).alias("valid"), F.count(F.lit(1)).alias("cards"))
-    return valid.unionByName(rejected)
+    valid = normalize.valid_posts(rows).select("ingest_seq", F.lit("").alias("missing"))
+    return valid.unionByName(normalize.rejected_posts(rows).select("ingest_seq", joined("missing")))
 
 
 # Cleaning
@@ -505,14 +545,15 @@ def _(spark, sf):
 
 @query("c11_isolate_faults")
 def _(spark, sf):
-    rows = cards_as_posts(spark, sf)
-    kept = normalize.valid_posts(rows).agg(F.count(F.lit(1))).scalar()
-    return normalize.rejected_posts(rows).agg(F.count(F.lit(1)).alias("rejected")).select(kept.alias("kept"), "rejected")
+    return normalize.misfit_posts(views.spoilt_posts(spark, sf)).select("post_id", "username", "likes", joined("unreadable"))
 
 
 @query("c12_clean_counts")
 def _(spark, sf):
-    return texts(spark, sf).agg(F.count(F.lit(1)).alias("total"), F.count_if(F.col("content") != "").alias("retained"))
+    seen = Observation("cleaning")
+    clean.clean_posts(views.emptied(normalised(spark, sf)), observation=seen).write.format("noop").mode("overwrite").save()
+    counts = (seen.get["total"], seen.get["retained"])
+    return spark.createDataFrame([counts], "total bigint, retained bigint")
 
 
 # Deduplication
@@ -689,6 +730,37 @@ def _(spark, sf):
     return keywords.fit(posts, 50).mean_scores(posts).select("keyword", rounded("score"))
 
 
+def repeated_keys(spark, sf):
+    """Posts whose keys repeat or are missing: every row is a document all the same."""
+    key = F.when(F.col("post_id") % 7 != 0, F.col("post_id") % 997)
+    return unique(spark, sf).select(key.alias("post_id"), "content")
+
+
+@query("t09_repeated_keys")
+def _(spark, sf):
+    """Scores by a small and a large vocabulary, summed by key."""
+    posts = stored(repeated_keys(spark, sf), "texts")
+    merged = None
+    for size in (50, 5000):
+        scores = keywords.fit(posts, size).transform(posts).groupBy("post_id").agg(
+            F.lit(size).alias("max_features"), F.count(F.lit(1)).alias("n"), F.sum("tf").alias("tf"), F.round(F.sum("tfidf"), 4).alias("tfidf")
+        )
+        merged = scores if merged is None else merged.unionByName(scores)
+    return merged
+
+
+@query("t11_large_vocabulary")
+def _(spark, sf):
+    posts = stored(repeated_keys(spark, sf), "texts")
+    return keywords.fit(posts, 5000).mean_scores(posts).select("keyword", rounded("score"))
+
+
+@query("t13_no_texts")
+def _(spark, sf):
+    nothing = unique(spark, sf).filter(F.length("content") < 0)
+    return keywords.top_keywords(nothing, 10, 50).agg(F.count(F.lit(1)).alias("keywords"))
+
+
 @query("t12_top_keywords")
 def _(spark, sf):
     return keywords.top_keywords(texts_table(spark, sf), 10, 50).select("keyword", rounded("score"))
@@ -727,10 +799,8 @@ def _(spark, sf):
 
 @query("g06_moments")
 def _(spark, sf):
-    x = F.col("weighted_signal")
-    return scored(spark, sf).agg(
-        F.count(x).alias("n"), F.round(F.avg(x), 6).alias("mean"), F.round(F.stddev_samp(x), 6).alias("std")
-    )
+    moments = scored(spark, sf).agg(*signal.statistics(F.col("weighted_signal")))
+    return moments.select("n", rounded("mean"), rounded("std"), "bulls", "bears")
 
 
 @query("g07_confidence_interval")
@@ -835,13 +905,22 @@ def _(spark, sf):
 
 @query("v06_chart_rows")
 def _(spark, sf):
-    counted = [
-        df.agg(F.lit(name).alias("chart"), F.count(F.lit(1)).alias("n"))
-        for name, df in charts.all_charts(stored(scored(spark, sf).drop("content"), "chart")).items()
-    ]
-    merged = counted[0]
-    for part in counted[1:]:
-        merged = merged.unionByName(part)
+    return chart_rows(charts.all_charts(stored(scored(spark, sf).drop("content"), "chart")))
+
+
+def chart_rows(tables):
+    """Every row of the charts as chart, item and value."""
+    items = {
+        "posts_over_time": (F.date_format(times.utc_to_ntz(F.col("hour")), "yyyy-MM-dd HH"), "posts"),
+        "top_hashtags": (F.col("hashtag"), "frequency"),
+        "engagement_histogram": (F.col("bin").cast("string"), "posts"),
+        "signal_chart": (F.col("bin").cast("string"), "posts"),
+    }
+    merged = None
+    for name, df in tables.items():
+        item, value = items[name]
+        part = df.select(F.lit(name).alias("output"), item.alias("item"), F.col(value).cast("double").alias("value"))
+        merged = part if merged is None else merged.unionByName(part)
     return merged
 
 
@@ -855,19 +934,28 @@ def _(spark, sf):
 
 @query("p02_run_outputs")
 def _(spark, sf):
-    """The whole job with its outputs, counted from what was written."""
+    """The whole job with its outputs, every row read from what was written."""
     from datetime import UTC, datetime
 
     options = JobOptions(scratch_dir(spark, "run"), datetime(2024, 1, 31, tzinfo=UTC), CUTOFF_HOURS)
     done = signals.run(spark, views.posts(spark, sf), options)
+    post = F.col("post_id").cast("string")
+    header = spark.read.options(**results.CSV_OPTIONS).csv(done.features_path)
     outputs = {
-        "posts": post_io.read_posts(spark, done.posts_path),
-        "features": results.read_features_csv(spark, done.features_path, "username string"),
-        "top_keywords": spark.read.schema(KEYWORD_SCHEMA).json(done.keywords_path),
-        "signal_summary": spark.read.schema("total_tweets bigint").json(done.summary_path),
+        "posts": (post_io.read_posts(spark, done.posts_path), post, "likes"),
+        "features": (header, post, "engagement_score"),
+        "top_keywords": (spark.read.schema(KEYWORD_SCHEMA).json(done.keywords_path), F.col("keyword"), "score"),
+        "signal_summary": (spark.read.json(done.summary_path), F.col("signal_label"), "mean_signal"),
     }
-    merged = None
-    for name, df in outputs.items():
-        part = df.agg(F.lit(name).alias("output"), F.count(F.lit(1)).alias("n"))
-        merged = part if merged is None else merged.unionByName(part)
-    return merged
+    merged = chart_rows({name: spark.read.parquet(path) for name, path in done.chart_paths.items()})
+    for name, (df, item, value) in outputs.items():
+        merged = merged.unionByName(df.select(F.lit(name).alias("output"), item.alias("item"), F.col(value).cast("double").alias("value")))
+    counts = {"total": done.total, "retained": done.retained, "duplicates": done.duplicates}
+    observed = spark.createDataFrame([("run", k, float(v)) for k, v in counts.items()], merged.schema)
+    return merged.unionByName(observed).withColumn("value", F.round("value", 6))
+
+
+@query("p03_nothing_left")
+def _(spark, sf):
+    """Every post is emptied by cleaning; the summary is that of no posts."""
+    return signals.signal_summary(views.posts(spark, sf).withColumn("content", F.lit(" https://x.example/a ")))

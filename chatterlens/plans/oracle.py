@@ -382,7 +382,8 @@ def oracle_sql() -> dict[str, str]:
             "norm",
         ),
         "s04_cast_schema": """SELECT event_id AS post_id, 'u' || user_id AS username, ts AS "timestamp",
-            CAST(floor(value) AS BIGINT) AS likes FROM events""",
+            CASE WHEN value < 90 THEN CAST(floor(value) AS BIGINT) END AS likes FROM events
+            WHERE value >= 4 AND event_type <> 'error'""",
         "s05_empty_batch": q(
             "SELECT 'kept' AS batch, count(*) AS posts FROM norm UNION ALL "
             "SELECT 'negative', count(*) FROM norm WHERE likes < 0",
@@ -405,11 +406,10 @@ def oracle_sql() -> dict[str, str]:
             "uniq",
         ),
         "s10_sample_posts": _sample(),
-        "s11_posts_or_sample": q(
-            "SELECT count(*) AS posts, CAST(sum(likes) AS BIGINT) AS likes, min(ingest_seq) AS first_seq FROM norm", "norm"
-        ),
+        "s11_posts_or_sample": q(f"SELECT {POST_OUT} FROM norm", "norm"),
+        "s12_json_files": q(f"SELECT post_id, {POST_OUT}, fingerprint FROM uniq", "uniq"),
         "s12_json_codec": q(f"SELECT {POST_OUT} FROM norm", "norm"),
-        "s12_json_rejects": q("SELECT count(*) AS rejected FROM norm WHERE likes >= 100", "norm"),
+        "s12_json_rejects": q("SELECT post_id FROM norm WHERE likes >= 100", "norm"),
         "s13_raw_capture_zone": q(
             "SELECT hashtag, count(*) AS cards, count(status_href) AS with_status, count(time_attr) AS with_time "
             "FROM cards GROUP BY hashtag",
@@ -472,6 +472,22 @@ def oracle_sql() -> dict[str, str]:
             "SELECT ingest_seq, hashtag FROM cards QUALIFY row_number() OVER (PARTITION BY hashtag ORDER BY ingest_seq) <= 1500",
             "cards",
         ),
+        "r15_quotas_around_the_limit": q(
+            f"""SELECT quota, ingest_seq, hashtag FROM (SELECT *, row_number() OVER (PARTITION BY hashtag ORDER BY ingest_seq NULLS FIRST) AS rn
+            FROM (SELECT hashtag, CASE WHEN time_attr IS NOT NULL THEN ingest_seq END AS ingest_seq FROM cards)) JOIN {QUOTAS} ON rn <= quota""",
+            "cards",
+        ),
+        "r16_caps_around_the_limit": q(
+            f"""SELECT quota, ingest_seq, hashtag FROM (SELECT *, row_number() OVER (ORDER BY ingest_seq NULLS FIRST) AS rn
+            FROM (SELECT hashtag, CASE WHEN hashtag <> '#error' OR time_attr IS NOT NULL THEN ingest_seq END AS ingest_seq FROM cards))
+            JOIN {QUOTAS} ON rn <= quota""",
+            "cards",
+        ),
+        "r18_run_counts": q(
+            "SELECT count(*) AS cards, count(DISTINCT ingest_key) AS unique_cards, count(*) - count(DISTINCT ingest_key) AS duplicates, "
+            "count(DISTINCT ingest_key) AS saved FROM parsed",
+            "parsed",
+        ),
         "r16_total_cap": q("SELECT ingest_seq, hashtag FROM first_cards ORDER BY ingest_seq LIMIT 120", "first_cards"),
         "r16_large_cap": q("SELECT ingest_seq, hashtag FROM cards ORDER BY ingest_seq LIMIT 5000", "cards"),
         "r17_union_searches": q(
@@ -494,7 +510,7 @@ def oracle_sql() -> dict[str, str]:
         "n03_normalise_hashtags": q(f"SELECT post_id, {joined('hashtags')} AS hashtags FROM norm", "norm"),
         "n04_normalise_mentions": q(f"SELECT post_id, {joined('mentions')} AS mentions FROM norm", "norm"),
         "n05_quarantine": q(
-            "SELECT (\"timestamp\" IS NOT NULL) AS valid, count(*) AS cards FROM card_fields GROUP BY 1", "card_fields"
+            "SELECT ingest_seq, CASE WHEN \"timestamp\" IS NULL THEN 'timestamp' ELSE '' END AS missing FROM card_fields", "card_fields"
         ),
         # cleaning
         "c01_unescape_html": f"SELECT page_id, {unescape('html')} AS html FROM pages",
@@ -518,11 +534,13 @@ def oracle_sql() -> dict[str, str]:
         ),
         "c10_drop_empty": f"SELECT doc_id, t AS text FROM (SELECT doc_id, {clean('text')} AS t FROM documents UNION ALL "
         f"SELECT -1 - doc_id, {clean(BARE_LINK)} FROM documents) WHERE t <> ''",
-        "c11_isolate_faults": q(
-            'SELECT count("timestamp") AS kept, count(*) FILTER (WHERE "timestamp" IS NULL) AS rejected FROM card_fields',
-            "card_fields",
+        "c11_isolate_faults": """SELECT CASE WHEN value < 4 THEN 'no ' ELSE '' END || event_id AS post_id, 'u' || user_id AS username,
+            CASE WHEN event_type = 'error' THEN CAST(floor(value) AS BIGINT) || 'x' WHEN value < 90 THEN CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) END AS likes,
+            concat_ws('|', CASE WHEN value < 4 THEN 'post_id' END, CASE WHEN event_type = 'error' THEN 'likes' END) AS unreadable
+            FROM events WHERE value < 4 OR event_type = 'error'""",
+        "c12_clean_counts": q(
+            "SELECT count(*) AS total, count(*) FILTER (WHERE content <> '' AND likes < 90) AS retained FROM texts", "texts"
         ),
-        "c12_clean_counts": q("SELECT count(*) AS total, count(*) FILTER (WHERE content <> '') AS retained FROM texts", "texts"),
         # deduplication
         "d01_fingerprint": q("SELECT post_id, fingerprint FROM printed", "printed"),
         "d02_first_occurrence": q("SELECT post_id, username, fingerprint, likes FROM uniq", "uniq"),
@@ -576,6 +594,9 @@ def oracle_sql() -> dict[str, str]:
         "t09_document_scores": q("SELECT post_id, term, tf, round(tfidf, 6) AS tfidf FROM scores", "scores"),
         "t10_score_new_texts": T10,
         "t11_mean_scores": q("SELECT keyword, round(score, 6) AS score FROM means", "means"),
+        "t09_repeated_keys": T09_KEYS,
+        "t11_large_vocabulary": T11_LARGE,
+        "t13_no_texts": q("SELECT count(*) AS keywords FROM uniq WHERE length(content) < 0", "uniq"),
         "t12_top_keywords": q(
             "SELECT keyword, round(score, 6) AS score FROM means ORDER BY round(means.score, 12) DESC, keyword LIMIT 10", "means"
         ),
@@ -587,7 +608,8 @@ def oracle_sql() -> dict[str, str]:
         ),
         "g05_finite_signals": G05,
         "g06_moments": q(
-            "SELECT count(*) AS n, round(avg(weighted_signal), 6) AS mean, round(stddev_samp(weighted_signal), 6) AS std FROM sig",
+            "SELECT count(*) AS n, round(avg(weighted_signal), 6) AS mean, round(stddev_samp(weighted_signal), 6) AS std, "
+            "count(*) FILTER (WHERE weighted_signal > 0) AS bulls, count(*) FILTER (WHERE weighted_signal < 0) AS bears FROM sig",
             "sig",
         ),
         "g07_confidence_interval": q("SELECT ci_95_lower, ci_95_upper FROM summed", "summed"),
@@ -624,23 +646,57 @@ def oracle_sql() -> dict[str, str]:
             "SELECT 'ci_95_lower', ci_95_lower FROM summed UNION ALL SELECT 'ci_95_upper', ci_95_upper FROM summed",
             "summed",
         ),
-        "v06_chart_rows": q(
-            "SELECT 'posts_over_time' AS chart, date_diff('hour', min(\"timestamp\"), max(\"timestamp\")) + 1 AS n FROM uniq "
-            "UNION ALL SELECT 'top_hashtags', least(10, count(DISTINCT tag)) FROM (SELECT unnest(hashtags) AS tag FROM uniq) "
-            "UNION ALL SELECT 'engagement_histogram', 30 UNION ALL SELECT 'signal_chart', 30",
-            "uniq",
-        ),
+        "v06_chart_rows": q(CHART_ROWS, "sig"),
         # end to end
         "p01_signal_summary": q("SELECT * FROM summed", "summed"),
         "p02_run_outputs": q(
-            "SELECT 'posts' AS output, count(*) AS n FROM uniq UNION ALL SELECT 'features', count(*) FROM uniq "
-            "UNION ALL SELECT 'top_keywords', 10 UNION ALL SELECT 'signal_summary', 1",
-            "uniq",
+            f"""{CHART_ROWS} UNION ALL SELECT 'posts', CAST(post_id AS VARCHAR), likes FROM uniq
+            UNION ALL SELECT 'features', CAST(post_id AS VARCHAR), round(engagement_score, 6) FROM sig
+            UNION ALL SELECT * FROM (SELECT 'top_keywords', keyword, round(score, 6) FROM means ORDER BY round(means.score, 12) DESC, keyword LIMIT 10)
+            UNION ALL SELECT 'signal_summary', signal_label, mean_signal FROM summed
+            UNION ALL SELECT 'run', 'total', (SELECT count(*) FROM texts)
+            UNION ALL SELECT 'run', 'retained', (SELECT count(*) FROM cleaned)
+            UNION ALL SELECT 'run', 'duplicates', (SELECT count(*) FROM cleaned) - (SELECT count(*) FROM uniq)""",
+            "sig",
+            "means",
+            "summed",
         ),
+        "p03_nothing_left": q(summary("(SELECT * FROM sig WHERE false)"), "sig"),
     }
     return sql
 
 
+QUOTAS = "(SELECT unnest([999, 1000, 1001, 7000]) AS quota)"
+CHART_ROWS = f"""
+SELECT 'posts_over_time' AS output, strftime(h, '%Y-%m-%d %H') AS item, CAST(coalesce(n, 0) AS DOUBLE) AS value
+FROM (SELECT unnest(generate_series(date_trunc('hour', min("timestamp")), date_trunc('hour', max("timestamp")), INTERVAL 1 HOUR)) AS h FROM sig)
+LEFT JOIN (SELECT date_trunc('hour', "timestamp") AS g, count(*) AS n FROM sig GROUP BY 1) ON g = h
+UNION ALL SELECT * FROM (SELECT 'top_hashtags', '#' || tag AS tag, count(*) AS n FROM (SELECT unnest(hashtags) AS tag FROM sig)
+  GROUP BY 2 ORDER BY n DESC, 2 LIMIT 10)
+UNION ALL SELECT 'engagement_histogram', CAST(bin AS VARCHAR), posts FROM ({histogram("sig", "engagement_score")})
+UNION ALL SELECT 'signal_chart', CAST(bin AS VARCHAR), posts FROM ({histogram("sig", "weighted_signal")})"""
+
+
+def _vocabulary(size: int) -> str:
+    """Scores of every document by a vocabulary of ``size`` terms."""
+    return f"""(SELECT {size} AS max_features, post_id, term, tf, tf * idf / sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY post_id)) AS tfidf
+  FROM tf JOIN (SELECT term, ln((1.0 + (SELECT count(*) FROM docs)) / (1.0 + df)) + 1 AS idf FROM (
+    SELECT term, sum(tf) AS total, count(*) AS df FROM tf GROUP BY term ORDER BY total DESC, term LIMIT {size})) USING (term))"""
+
+
+T09_KEYS = query(
+    f"""SELECT CASE WHEN post_id % 7 <> 0 THEN post_id % 997 END AS post_id, max_features, count(*) AS n,
+  CAST(sum(tf) AS BIGINT) AS tf, round(sum(tfidf), 4) AS tfidf
+FROM (SELECT * FROM {_vocabulary(50)} UNION ALL SELECT * FROM {_vocabulary(5000)}) GROUP BY 1, 2""",
+    "tf",
+    "docs",
+)
+T11_LARGE = query(
+    f"SELECT term AS keyword, round(sum(tfidf) / (SELECT count(*) FROM docs), 6) AS score FROM {_vocabulary(5000)} GROUP BY term",
+    "tf",
+    "docs",
+)
+
 BARE_LINK = "('https://x.example/' || lang || ' ' || chr(10))"
 
 T10 = query(

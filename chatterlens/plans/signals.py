@@ -5,7 +5,7 @@ from __future__ import annotations
 import time
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from chatterlens.operators import charts, keywords
 from chatterlens.operators.clean import clean_posts
@@ -19,9 +19,10 @@ from chatterlens.sources.posts import read_posts, write_posts
 from chatterlens.sources.results import write_features_csv, write_json
 
 
-def prepared_posts(raw: DataFrame, known: DataFrame | None = None) -> DataFrame:
-    """Normalised, cleaned and unique posts."""
-    return deduplicate(clean_posts(normalise_posts(valid_posts(raw))), known).select(*POST_COLUMNS, "fingerprint")
+def prepared_posts(raw: DataFrame, known: DataFrame | None = None, cleaning: Observation | None = None) -> DataFrame:
+    """Normalised, cleaned and unique posts; ``cleaning`` receives what ``clean_posts`` counts."""
+    cleaned = clean_posts(normalise_posts(valid_posts(raw)), observation=cleaning)
+    return deduplicate(cleaned, known).select(*POST_COLUMNS, "fingerprint")
 
 
 def scored_posts(posts: DataFrame) -> DataFrame:
@@ -43,6 +44,18 @@ class RunResult:
     rejected_path: str
     chart_paths: dict[str, str] = field(default_factory=dict)
     elapsed_seconds: float = 0.0
+    # Valid posts read, those with text left, and those written as unique and new.
+    total: int = 0
+    retained: int = 0
+    unique: int = 0
+
+    @property
+    def duplicates(self) -> int:
+        return self.retained - self.unique
+
+    @property
+    def posts_per_second(self) -> float:
+        return round(self.unique / self.elapsed_seconds, 2) if self.elapsed_seconds else 0.0
 
 
 def run(spark: SparkSession, raw: DataFrame, options: JobOptions, known: DataFrame | None = None) -> RunResult:
@@ -54,8 +67,10 @@ def run(spark: SparkSession, raw: DataFrame, options: JobOptions, known: DataFra
     """
     started = time.perf_counter()
     out = options.processed_dir
-    posts_path = write_posts(prepared_posts(raw, known), f"{out}/posts", options.compression)
+    cleaning = Observation("cleaning")
+    posts_path = write_posts(prepared_posts(raw, known, cleaning), f"{out}/posts", options.compression)
     posts = read_posts(spark, posts_path)
+    counts = {**cleaning.get, "unique": posts.count()}
     rejected_path = f"{out}/rejected"
     rejected_posts(raw).write.mode("overwrite").parquet(rejected_path)
 
@@ -85,4 +100,5 @@ def run(spark: SparkSession, raw: DataFrame, options: JobOptions, known: DataFra
         rejected_path,
         chart_paths,
         round(time.perf_counter() - started, 2),
+        **counts,
     )

@@ -143,6 +143,22 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feed.unionByName(notes).unionByName(web).select(POST_COLUMNS)
 
 
+def spoilt_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as posts in text form, some with a key or a count that cannot be read."""
+    likes = F.floor("value").cast("string")
+    return table(spark, sf_dir, "events").select(
+        F.concat(F.when(F.col("value") < 4, F.lit("no ")).otherwise(F.lit("")), F.col("event_id").cast("string")).alias("post_id"),
+        F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("username"),
+        F.col("ts").alias("timestamp"),
+        F.when(F.col("event_type") == "error", F.concat(likes, F.lit("x"))).when(F.col("value") < 90, likes).alias("likes"),
+    )
+
+
+def emptied(posts: DataFrame) -> DataFrame:
+    """Posts with many likes have nothing but a link."""
+    return posts.withColumn("content", F.when(F.col("likes") >= 90, F.lit("https://x.example/a")).otherwise(F.col("content")))
+
+
 def known_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of the posts of the earlier batch."""
     earlier = normalise_posts(posts(spark, sf_dir)).filter(F.col("timestamp") < batch_start())

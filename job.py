@@ -1,4 +1,4 @@
-"""spark-submit job.py --output-dir DIR [--input PATH | --captures PATH | --sample] [options]"""
+"""spark-submit job.py --output-dir DIR [--input PATH | --json PATH | --captures PATH | --sample] [options]"""
 
 from __future__ import annotations
 
@@ -9,10 +9,11 @@ import sys
 from datetime import UTC, datetime
 
 from chatterlens.operators.capture import collect_posts
+from chatterlens.operators.dedup import FingerprintStore, with_fingerprint
 from chatterlens.options import JobOptions
 from chatterlens.plans.signals import run
 from chatterlens.session import build_session
-from chatterlens.sources.posts import read_captures, read_posts
+from chatterlens.sources.posts import read_captures, read_json_posts, read_posts
 from chatterlens.sources.sample import generate_posts, posts_or_sample
 
 log = logging.getLogger("chatterlens.job")
@@ -31,6 +32,7 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(description="Posts to features, keywords, signal summary and chart tables.")
     source = parser.add_mutually_exclusive_group()
     source.add_argument("--input", help="Parquet folder of posts")
+    source.add_argument("--json", help="folder of posts as JSON lines")
     source.add_argument("--captures", help="JSON folder of captured cards")
     source.add_argument("--sample", action="store_true", help="synthetic posts instead of an input")
     parser.add_argument("--sample-if-empty", action="store_true", help="synthetic posts where the input has none")
@@ -39,6 +41,9 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--cutoff-hours", type=int, default=None, help="oldest capture to take, in hours before --as-of")
     parser.add_argument("--as-of", type=datetime.fromisoformat, default=None, help="the run's now; default: wall clock")
     parser.add_argument("--output-dir", default=None)
+    parser.add_argument("--known", help="folder of fingerprints kept between runs; posts found there are left out")
+    parser.add_argument("--batch", type=int, default=0, help="number of this run in --known; running it again is safe")
+    parser.add_argument("--seen", help="Parquet folder with the status_id of cards that are not to be parsed again")
     return parser.parse_args(argv)
 
 
@@ -65,17 +70,23 @@ def main(argv: list[str] | None = None) -> int:
         posts = generate_posts(spark, made_up, options.as_of, options.seed)
     elif args.captures:
         cards = read_captures(spark, args.captures)
+        seen = spark.read.schema("status_id string").parquet(args.seen) if args.seen else None
         posts = collect_posts(
-            cards, list(options.search_hashtags), options.max_posts, options.as_of, options.cutoff_hours
+            cards, list(options.search_hashtags), options.max_posts, options.as_of, options.cutoff_hours, seen
         )
+    elif args.json:
+        posts = read_json_posts(spark, args.json)
     elif args.input:
         posts = read_posts(spark, args.input)
     else:
-        raise ValueError("nothing to read: give --input, --captures or --sample")
+        raise ValueError("nothing to read: give --input, --json, --captures or --sample")
     if args.sample_if_empty:
         posts = posts_or_sample(posts, made_up, options.as_of, options.seed)
-    result = run(spark, posts, options)
-    log.info("finished: %s", result)
+    store = FingerprintStore(spark, args.known) if args.known else None
+    result = run(spark, posts, options, store.known(before_batch=args.batch) if store else None)
+    if store:
+        store.commit(with_fingerprint(read_posts(spark, result.posts_path)), args.batch)
+    log.info("finished: %s; %d duplicates, %s posts a second", result, result.duplicates, result.posts_per_second)
     return 0
 
 

@@ -143,6 +143,25 @@ def test_run_writes_every_output(spark):
     assert spark.read.parquet(done.chart_paths["signal_chart"]).count() == 30
 
 
+def test_run_counts(spark, make_posts):
+    raw = make_posts({"content": "a"}, {"content": "a"}, {"content": "http://x.example/"}, {"content": "b"}, {"content": None})
+    done = signals.run(spark, raw, JobOptions(scratch_dir(spark, "run"), NOW, 24))
+    assert (done.total, done.retained, done.unique, done.duplicates) == (4, 3, 2, 1)
+    assert done.posts_per_second > 0 and spark.read.parquet(done.rejected_path).count() == 1
+
+
+def test_job_keeps_fingerprints_between_runs(spark, make_posts):
+    root = scratch_dir(spark, "job")
+    posts = normalise_posts(make_posts({"content": "a"}, {"content": "b"}, {"content": "c"}))
+    io.write_json_posts(posts.filter("content <> 'c'"), f"{root}/one")
+    io.write_json_posts(posts.filter("content <> 'a'"), f"{root}/two")
+    for batch, name, want in ((0, "one", ["a", "b"]), (1, "two", ["c"]), (1, "two", ["c"])):
+        out = f"{root}/out-{name}"
+        args = ["--json", f"{root}/{name}", "--known", f"{root}/known", "--batch", str(batch), "--output-dir", out]
+        assert job.main(args) == 0
+        assert sorted(r.content for r in io.read_posts(spark, f"{out}/processed/posts").collect()) == want
+
+
 def test_run_on_nothing_leaves_empty_tables(spark):
     done = signals.run(spark, io.empty_posts(spark), JobOptions(scratch_dir(spark, "run"), NOW, 24))
     assert io.read_posts(spark, done.posts_path).count() == 0

@@ -13,7 +13,7 @@ SF_DIR = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.001")
 SAMPLED = """p01_signal_summary s06_features_csv s10_sample_posts s12_json_codec r07_ingest_key r12_page_status
 r14_unseen_cards r15_hashtag_quota r18_collect_posts n03_normalise_hashtags c01_unescape_html c03_nfkc c06_clean_text
 c09_merge_tags c10_drop_empty d02_first_occurrence d03_new_posts f08_feature_matrix t07_vocabulary t09_document_scores
-t12_top_keywords g08_label_by_hashtag g13_rolling_summary v01_posts_over_time v04_signal_histogram""".split()
+t12_top_keywords r18_run_counts c11_isolate_faults s12_json_files g08_label_by_hashtag g13_rolling_summary v01_posts_over_time v04_signal_histogram""".split()
 
 
 def names():
