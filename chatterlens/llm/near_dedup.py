@@ -34,6 +34,7 @@ MOST_BITS = 40
 GROUP = 1 << 16
 MEMBERS_PER_PLACE = 500
 SHINGLES_PER_PLACE = 1 << 20
+SALTS = 16
 _seeds = mixed(np.arange(1, 2 * COORDINATES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 XORS, ODDS = _seeds[:COORDINATES], _seeds[COORDINATES:] | np.uint64(1)
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -178,11 +179,14 @@ def links_to_homes(docs: DataFrame, visits: DataFrame, members: DataFrame, width
     """Links (a, b) between each visitor of `visits` (rid, component, home) and the members of that home, as
     `members` (rid, component, home, n) has them, of other components. Homes are cut into places of about
     SHINGLES_PER_PLACE shingles; a visitor goes to each place."""
-    homes = visits.select("home").distinct()
-    there = members.join(homes.hint("merge"), "home")
-    places = there.groupBy("home").agg(F.expr(f"cast(ceil(sum(n) / {SHINGLES_PER_PLACE}) as int)").alias("places"))
-    hosts = there.join(places, "home").select("rid", "home", F.pmod(F.xxhash64("rid"), F.col("places")).cast("int").alias("place"), F.lit(0).alias("side"), "component")
-    guests = visits.join(places, "home").select("rid", "home", F.explode(F.expr("sequence(0, places - 1)")).alias("place"), F.lit(1).alias("side"), "component")
+    # One home may have a third of all members: a salt spreads its rows, and each home is listed once a salt.
+    salts = F.explode(F.expr(f"sequence(0, {SALTS - 1})")).alias("salt")
+    salt = F.pmod(F.xxhash64("rid"), F.lit(SALTS)).cast("int")
+    homes = visits.select("home").distinct().select("home", salts)
+    there = members.withColumn("salt", salt).join(homes.hint("merge"), ["home", "salt"])
+    places = there.groupBy("home").agg(F.expr(f"cast(ceil(sum(n) / {SHINGLES_PER_PLACE}) as int)").alias("places")).select("home", "places", salts)
+    hosts = there.join(places, ["home", "salt"]).select("rid", "home", F.pmod(F.xxhash64("rid"), F.col("places")).cast("int").alias("place"), F.lit(0).alias("side"), "component")
+    guests = visits.withColumn("salt", salt).join(places, ["home", "salt"]).select("rid", "home", F.explode(F.expr("sequence(0, places - 1)")).alias("place"), F.lit(1).alias("side"), "component")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         open_ = zstandard.ZstdDecompressor().decompress
