@@ -74,16 +74,15 @@ def run(spark: SparkSession, raw: DataFrame, options: JobOptions, known: DataFra
     rejected_path = f"{out}/rejected"
     rejected_posts(raw).write.mode("overwrite").parquet(rejected_path)
 
-    features = extract_features(posts)
-    features_path = write_features_csv(features, f"{out}/features")
+    # Features are computed once; CSV, summary and charts prune their columns from the stored table.
+    matrix = scored_posts(posts)
+    matrix.write.mode("overwrite").parquet(f"{out}/scored")
+    scored = spark.read.schema(matrix.schema).parquet(f"{out}/scored")
+    features_path = write_features_csv(scored.drop("weighted_signal"), f"{out}/features")
 
     top = keywords.top_keywords(posts, options.top_n, options.max_features, options.ngram_range)
     keywords_path = write_json(top.coalesce(1), f"{out}/top_keywords")
 
-    # The narrow columns of summary and charts, stored so that their passes do not scan the texts again.
-    narrow = with_weighted_signal(features).drop("content", "username", "mentions")
-    narrow.write.mode("overwrite").parquet(f"{out}/scored")
-    scored = spark.read.schema(narrow.schema).parquet(f"{out}/scored")
     summary = summarise(scored, buy_threshold=options.buy_threshold, sell_threshold=options.sell_threshold)
     summary_path = write_json(summary.coalesce(1), f"{out}/signal_summary")
     stored_summary = spark.read.schema(summary.schema).json(summary_path)
