@@ -79,6 +79,18 @@ def test_repeats_equal_the_model(passages, messy, repeated_rows, monkeypatch, wi
         assert all(sum(s.n for s in r.spans) == r.n_removed for r in rows_)
 
 
+@pytest.mark.parametrize("wide", [_repeats.WIDE_BUCKET, 1])
+def test_rows_given_twice_keep_first_occurrences(spark, monkeypatch, wide):
+    """The repeated row comes first in order and shares a passage with texts of other surroundings."""
+    monkeypatch.setattr(_repeats, "WIDE_BUCKET", wide)
+    texts = [f"{prose(700 + i, 60)} {prose(70, 50)} {prose(710 + i, 60)}" for i in range(4)]
+    docs = spark.createDataFrame([(0, texts[0])] * 3 + list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    texts, rows = known(docs)
+    bytes_, words = repeats_model(texts, 100), repeats_model({r: t.split() for r, t in texts.items()}, 20)
+    for got, gone in ((suffix_dedup.remove_repeated_bytes(docs), bytes_), (seed_extend.remove_repeated_passages(docs), words)):
+        assert sorted((r.doc_id, r.n_removed) for r in got.collect()) == sorted((d, int(gone[r].sum())) for d, r in rows)
+
+
 def test_long_texts_are_cut_into_pieces(passages, monkeypatch):
     want = sorted(tuple(r) for r in suffix_dedup.remove_repeated_bytes(passages).collect())
     texts = [bytes(r.text) for r in numbered(passages).orderBy("rid").collect()]
