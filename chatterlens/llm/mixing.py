@@ -2,12 +2,14 @@
 
 The mix is a sequence of slots of equally many words. Slot k is given to the source whose interval of the
 cumulative target weights holds the k-th golden-ratio point, so that every stretch of the mix is close to the
-weights. The j-th slot of a source takes the j-th block of its shuffled, endlessly repeated documents.
+weights. The j-th slot of a source takes the j-th block of its shuffled, endlessly repeated documents. A source's
+line of documents ends at its target, to the word; sources that the slots leave short of it get the slots they
+lack at the end of the mix.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chatterlens.llm._tables import WORD
@@ -17,6 +19,8 @@ WEIGHTS = (5, 2, 1)
 MOST_REPEATS = 3
 CELLS = 4096
 SLOTS_PER_CHUNK = 4096
+#: Words of a slot, whatever the size of the mix.
+BLOCK = 32
 BUCKET_BITS = 14
 
 
@@ -64,14 +68,16 @@ def targets(sizes: DataFrame, weights=WEIGHTS, cap: int = MOST_REPEATS) -> DataF
     )
 
 
-def block_words(total: int) -> int:
-    """Words of a slot: about a millionth of the mix, within 32 and 8,192."""
-    return min(8192, max(32, total >> 20))
+def words_due() -> Column:
+    """The target in whole words."""
+    return F.round("target").cast("long")
 
 
-def schedule(spark, source_targets: DataFrame, n_slots: int) -> DataFrame:
+def schedule(spark, source_targets: DataFrame, n_slots: int, block: int) -> DataFrame:
     """slot, source, block: the source of every slot and how many slots it had before.
 
+    Slots from `n_slots` on are those that a source still lacks for its target, source after source.
+
     Points and intervals meet in cells of the unit line, a plain equi-join. Ranks are counts of whole chunks
     of slots plus the rank within the chunk, so that no source's slots meet in one task.
     """
@@ -89,11 +95,23 @@ def schedule(spark, source_targets: DataFrame, n_slots: int) -> DataFrame:
     chunks = owned.groupBy("source", "chunk").count().select(
         F.col("source").alias("chunk_source"), F.col("chunk").alias("chunk_no"), F.coalesce(F.sum("count").over(ahead), F.lit(0)).alias("ahead")
     )
+    given = owned.groupBy("source").count().select(F.col("source").alias("given_source"), F.col("count").alias("given"))
+    upto = Window.orderBy(F.col("source").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0)
+    lacking = (
+        source_targets.join(given, F.col("source").eqNullSafe(F.col("given_source")), "left")
+        .withColumn("given", F.coalesce("given", F.lit(0)))
+        .withColumn("lacks", F.ceil(words_due() / block) - F.col("given"))
+        .where("lacks > 0")
+        .withColumn("first", F.lit(n_slots) + F.sum("lacks").over(upto) - F.col("lacks"))
+        .select("source", "given", "first", F.explode(F.expr("sequence(0L, lacks - 1)")).alias("i"))
+        .select((F.col("first") + F.col("i")).alias("slot"), "source", (F.col("given") + F.col("i")).alias("block"))
+    )
     inside = Window.partitionBy("source", "chunk").orderBy("slot")
     return (
         owned.withColumn("rank", F.row_number().over(inside) - 1)
         .join(chunks, F.col("source").eqNullSafe(F.col("chunk_source")) & (F.col("chunk") == F.col("chunk_no")))
         .select("slot", "source", (F.col("rank") + F.col("ahead")).alias("block"))
+        .unionByName(lacking)
     )
 
 
@@ -115,21 +133,22 @@ def laid_out(sizes: DataFrame) -> DataFrame:
 def pieces(placed: DataFrame, slots: DataFrame, block: int, cap: int = MOST_REPEATS) -> DataFrame:
     """slot, doc_id, source, start, from_word, n_words: what each slot takes of which document.
 
-    `placed` has doc_id, source, size, source_size and start. Repeat e of a document begins at
-    e * source_size + start; blocks are cut from that line, which ends after `cap` repeats.
+    `placed` has doc_id, source, size, source_size, target and start. Repeat e of a document begins at
+    e * source_size + start; blocks are cut from that line, which ends at the target and after `cap` repeats.
     """
     runs = placed.where("size > 0").withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(cap - 1))))
     runs = runs.withColumn("begin", F.col("epoch") * F.col("source_size") + F.col("start"))
-    parts = runs.withColumn("block", F.explode(F.expr(f"sequence(begin div {block}, (begin + size - 1) div {block})")))
+    runs = runs.withColumn("end", F.least(F.col("begin") + F.col("size"), words_due())).where("end > begin")
+    parts = runs.withColumn("block", F.explode(F.expr(f"sequence(begin div {block}, (end - 1) div {block})")))
     at = F.greatest(F.col("begin"), F.col("block") * block)
-    end = F.least(F.col("begin") + F.col("size"), (F.col("block") + 1) * block)
+    end = F.least(F.col("end"), (F.col("block") + 1) * block)
     taken = slots.select(F.col("slot"), F.col("source").alias("slot_source"), F.col("block").alias("slot_block"))
     return parts.join(
         taken, F.col("source").eqNullSafe(F.col("slot_source")) & (F.col("block") == F.col("slot_block"))
     ).select("slot", "doc_id", "source", "start", (at - F.col("begin")).alias("from_word"), (end - at).alias("n_words"))
 
 
-def mixed(docs: DataFrame, weights=WEIGHTS, cap: int = MOST_REPEATS, block: int | None = None) -> tuple[DataFrame, DataFrame]:
+def mixed(docs: DataFrame, weights=WEIGHTS, cap: int = MOST_REPEATS, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
     """(documents, pieces): every document with size, source_size, target, start and taken; the mix itself.
 
     Null texts have no words and are never taken; null sources are one source, last in order. Rows equal in all
@@ -138,11 +157,10 @@ def mixed(docs: DataFrame, weights=WEIGHTS, cap: int = MOST_REPEATS, block: int
     """
     sizes = sized(docs)
     total = sizes.agg(F.sum("size")).first()[0] or 0
-    block = block or block_words(total)
     goals = targets(sizes, weights, cap)
     goal = goals.select(F.col("source").alias("goal_source"), "source_size", "target")
     placed = laid_out(sizes).join(goal, F.col("source").eqNullSafe(F.col("goal_source"))).drop("goal_source")
-    cut = pieces(placed, schedule(docs.sparkSession, goals, -(-total // block)), block, cap)
+    cut = pieces(placed, schedule(docs.sparkSession, goals, -(-total // block), block), block, cap)
     # A start belongs to one document that has words.
     sums = cut.groupBy("source", "start").agg(F.sum("n_words").alias("n")).select(
         F.col("source").alias("sum_source"), F.col("start").alias("sum_start"), "n"

@@ -160,6 +160,18 @@ def test_capped_source_reaches_its_cap(spark):
     assert goal["a"] == 150 and abs(taken["a"] - 150) <= 64
 
 
+def test_every_source_reaches_its_target(spark):
+    """A source far below the grain of a slot, beside so many words that slots once grew with them."""
+    docs = spark.range(2000).selectExpr("id doc_id", "repeat('w ', 40000) text", "'big' source").unionByName(
+        spark.createDataFrame([(10_000 + i, "v " * n, s) for i, (s, n) in enumerate([("a", 5), ("b", 7), (None, 1)])], "doc_id long, text string, source string")
+    )
+    rows, cut = mixing.mixed(docs)
+    got = {r.source: r for r in rows.groupBy("source").agg(F.sum("taken").alias("taken"), F.first("target").alias("target")).collect()}
+    assert all(abs(r.taken - r.target) <= 0.5 for r in got.values()) and [got[s].taken for s in ("a", "b")] == [15, 21]
+    most = cut.groupBy("slot").agg(F.sum("n_words").alias("n"), F.countDistinct(F.coalesce("source", F.lit("-"))).alias("sources"))
+    assert most.where("n > 32 or sources > 1").count() == 0
+
+
 def test_shards(spark, messy, repeated_rows, empty, clashing):
     for docs in (messy, repeated_rows, clashing, spark.read.parquet(f"{SF_DIR}/documents.parquet")):
         rows = sharding.shuffled(docs.drop("slot", "shard"), bucket_bytes=1 << 16).collect()
