@@ -33,6 +33,11 @@ def fold(rows: DataFrame, doc_id: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary"))
 
 
+def ids_are_unique(docs: DataFrame) -> bool:
+    """Whether every row has a doc_id of its own."""
+    return not docs.groupBy("doc_id").count().where("count > 1 or doc_id is null").limit(1).count()
+
+
 def numbered(docs: DataFrame) -> DataFrame:
     """doc_id, rid, text (bytes): `rid` orders documents as doc_id does and is the same in every run.
 
@@ -41,10 +46,7 @@ def numbered(docs: DataFrame) -> DataFrame:
     row gets that document's result.
     """
     slim = docs.select("doc_id", utf8().alias("text"))
-    odd = (
-        docs.groupBy("doc_id").count().where("count > 1 or doc_id is null").limit(1).count()
-    )
-    if not odd:
+    if ids_are_unique(docs):
         return slim.select("doc_id", F.col("doc_id").cast("long").alias("rid"), "text")
     keyed = slim.withColumn("digest", F.xxhash64("text"))
     parts = keyed.sparkSession.conf.get("spark.sql.shuffle.partitions")

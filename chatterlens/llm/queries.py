@@ -19,7 +19,7 @@ from chatterlens.llm import (
     suffix_dedup,
     suffix_tree_lm,
 )
-from chatterlens.llm._tables import fold, read
+from chatterlens.llm._tables import fold, ids_are_unique, read, store
 
 
 def op1_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -122,10 +122,17 @@ def op9_two_pass_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_signature_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    return near_dedup.near_duplicates(docs, width=4).select(
+    rows = near_dedup.near_duplicates(docs, width=4)
+    component_id = F.col("component")
+    if not ids_are_unique(docs):
+        # Ranks stand for the documents: the component is the id of the document with its rank.
+        rows = store(rows, "near")
+        heads = rows.where("rid = component").select("component", F.col("doc_id").alias("head_id")).distinct()
+        rows, component_id = rows.join(store(heads, "heads").hint("merge"), "component"), F.col("head_id")
+    return rows.select(
         "doc_id",
         "n_shingles",
-        F.col("component").alias("component_id"),
+        component_id.alias("component_id"),
         (F.col("rid") == F.col("component")).alias("kept"),
     )
 

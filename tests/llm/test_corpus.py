@@ -155,6 +155,19 @@ def test_near_duplicates_equal_the_model(copies, messy, repeated_rows):
             assert (r.n_shingles, r.component) == want[r.rid]
 
 
+def test_component_is_an_id(repeated_rows, spark, tmp_path):
+    """Also where ids are missing or repeated and documents are told apart by rank."""
+    base = prose(90, 200)
+    more = [(400, base, "en", "a", 1), (300, base + " more", "en", "a", 1), (500, prose(91, 80), "en", "a", 1)]
+    docs = repeated_rows.unionByName(spark.createDataFrame(more, repeated_rows.schema))
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    texts, rows = known(docs)
+    heads, ids = {r: c for r, (_, c) in components_model(texts, 4).items()}, {r: d for d, r in rows}
+    got = queries.op10_signature_join(spark, str(tmp_path)).collect()
+    assert sorted(map(str, ((r.doc_id, r.component_id, r.kept) for r in got))) == sorted(str((d, ids[heads[r]], heads[r] == r)) for d, r in rows)
+    assert {r.doc_id: r.component_id for r in got if r.doc_id in (300, 400, 500)} == {300: 300, 400: 300, 500: 500}
+
+
 def test_first_of_each(copies, clashing, repeated_rows, empty):
     for docs in (copies, clashing, repeated_rows, empty):
         texts, _ = known(docs)
