@@ -88,6 +88,30 @@ def test_contamination_equals_the_model(spark, block_bytes):
         assert r.match.contaminated == (hit > 0 and 20 * hit >= n)
 
 
+@pytest.mark.parametrize("block_bytes", [1 << 20, 40])
+def test_longest_matches_and_their_places(spark, block_bytes):
+    """Matches longer than a window and shorter than a head, in every document that has them."""
+    long = [f"p{i}" for i in range(400)]
+    items = [(1, " ".join(["q1", *long, "q2"])), (2, "zaba deto mika olo " * 2 + " ".join(long[50:70])), (3, " ".join(f"w{i}" for i in range(20)))]
+    texts = ["x y " + " ".join(long) + " z", " ".join(long[:30] + ["x"] + long[30:60]), "w17 w18 w19 x", "a w3 w4 w5 w6 b", "w3 w4 w5 w6 w7 c", "mika x deto mika", "w19", "x", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = {str(i): bench_words(t) for i, t in items}
+    for r in decontaminate.contamination(docs, bench, block_bytes=block_bytes).collect():
+        words, want, places = bench_words(r.text), 0, []
+        for item, w in found.items():
+            for a in range(len(words)):
+                for b in range(len(w)):
+                    n = 0
+                    while a + n < len(words) and b + n < len(w) and words[a + n] == w[b + n]:
+                        n += 1
+                    want = max(want, n)
+                    if n >= 13 and not (a and b and words[a - 1] == w[b - 1]):
+                        places.append((n, item, b, a))
+        assert r.match.longest_match == want, r.text
+        assert sorted(tuple(p) for p in r.match.places) == sorted(places)
+
+
 def test_contamination_of_real_tables(spark):
     got = queries.op3_training_suffix_arrays(spark, SF_DIR).collect()
     items = [tuple(r) for r in spark.read.parquet(f"{SF_DIR}/benchmark.parquet").select("item_id", "text").collect()]
