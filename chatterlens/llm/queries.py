@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,13 +14,17 @@ from chatterlens.llm import (
     mixing,
     near_dedup,
     neighbour_votes,
+    periodic_runs,
+    piece_codec,
     quality_rules,
     seed_extend,
     sharding,
     suffix_dedup,
     suffix_tree_lm,
+    twins,
+    vector_codes,
 )
-from chatterlens.llm._tables import fold, ids_are_unique, read, store
+from chatterlens.llm._tables import WORD, fold, ids_are_unique, read, store
 
 
 def op1_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -137,6 +142,67 @@ def op10_signature_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_trie_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
+    books = vector_codes.learn(vectors)
+    coded = store(vector_codes.encode(vectors, books).drop("embedding"), "codes")
+    return vector_codes.error_by(coded).select(
+        "vec_id",
+        F.array_join(F.transform("entries", lambda e: F.lower(F.lpad(F.hex(e), 2, "0"))), "").alias("code"),
+        "error",
+        "label_error",
+        F.lit(vector_codes.digest(books)).alias("codebooks_sha256"),
+    )
+
+
+def with_planted_periods(docs: DataFrame) -> DataFrame:
+    """doc_id, text: where crc32 of the id is divisible by 10, the words from one on repeat with a period."""
+    h = fold(docs)
+    g = F.expr("h div 10")
+
+    def joined(words):
+        n = F.size(words)
+        a = F.when(n > 0, (g % n).cast("int")).otherwise(0)
+        p = F.floor((n - a) / (3 + g % 8)).cast("int") + 1
+        again = F.array_repeat(F.slice(words, a + 1, p), F.ceil((n - a) / p).cast("int"))
+        return F.array_join(F.concat(F.slice(words, 1, a), F.slice(F.flatten(again), 1, n - a)), " ")
+
+    words = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(WORD), F.lit(0))
+    planted = F.transform(F.array(words), joined)[0]
+    return docs.withColumn("h", h).select("doc_id", F.when(F.col("h") % 10 == 0, planted).otherwise(F.col("text")).alias("text"))
+
+
+def op12_branching_tandems(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"])))
+    rows = periodic_runs.collapse(with_planted_periods(docs)).withColumn("best", best)
+    start, length, period = -F.col("best.col2"), F.col("best.length"), -F.col("best.col3")
+    told = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    return rows.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        start.alias("start"),
+        length.alias("length"),
+        period.alias("period"),
+        F.floor(1000 * length / period).alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(told, lambda t: F.concat(t, F.lit("\n"))), "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_piece_agenda(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = piece_codec.read_model(public_tokenizers.path("piece_bpe_32k.model"))
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = piece_codec.decode(piece_codec.encode(docs, model).drop("text"), model)
+    return rows.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("ids", " ").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+        "agrees",
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
@@ -151,9 +217,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op8_source_schedule,
             op9_two_pass_shuffle,
             op10_signature_join,
+            op11_trie_codes,
+            op12_branching_tandems,
+            op13_piece_agenda,
         )
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return twins.oracle_sql()
