@@ -3,8 +3,8 @@
 All adjacent pairs of symbols that form a piece stand on an agenda ordered by the piece's score, then by place; the
 best pair is merged and its new neighbours are put on the agenda. No piece of such a vocabulary reaches from a
 character into a following space, so texts are cut there first: no merge can cross a cut, and a stretch that occurs
-again has the same pieces. Short stretches of a batch are worked on together, one row of a matrix each, a row being
-the agenda of its pairs; a long one has a heap. Each Arrow batch is checked against the sentencepiece library.
+again has the same pieces. Stretches are laid out on one line and worked on together, each with the agenda of its own
+pairs; a long one has a heap. Each Arrow batch is checked against the sentencepiece library.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ import codecs
 import functools
 import heapq
 import re
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,9 +29,9 @@ SPACE = "▁"
 PIECE, TRAINER, NORMALIZER = 1, 2, 3
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 MERGES = 2
-#: Stretches of up to KEPT_CHARS characters are merged ROWS at a time and stay with their pieces, KEPT of them and
-#: those of one GROUP of characters in a worker.
-KEPT_CHARS, ROWS, KEPT, GROUP = 64, 1 << 12, 1 << 18, 1 << 22
+#: Stretches of up to KEPT_CHARS characters are merged ROWS at a time and stay with their pieces, some KEPT of them
+#: in a worker. Texts are worked on in groups of GROUP characters.
+KEPT_CHARS, ROWS, KEPT, GROUP = 64, 1 << 14, 1 << 19, 1 << 20
 CHARACTERS = 0x110000
 NEVER = np.int32((1 << 31) - 1)
 
@@ -84,6 +84,7 @@ class Vocabulary:
         self.first_space = rules.get(3, [1]) == [1]
         self.end = self.library.eos_id()
         self.kinds = kinds
+        self.is_control = np.array([k == CONTROL for k in kinds])
         self.controls = {i for i, k in enumerate(kinds) if k == CONTROL}
         names = [self.library.id_to_piece(i) for i in range(len(kinds))]
         self.ids = {name: i for i, name in enumerate(names) if kinds[i] == NORMAL}
@@ -98,6 +99,9 @@ class Vocabulary:
             else:
                 shown = {NORMAL: name.replace(SPACE, " "), CONTROL: "", UNKNOWN: " ⁇ "}[kind]
                 self.surface.append(shown.encode())
+        self.lengths = np.array([len(x) for x in self.surface], np.int64)
+        self.places = np.cumsum(self.lengths) - self.lengths
+        self.letters = np.frombuffer(b"".join(self.surface), np.uint8)
         pairs = {p for name in self.ids for p in zip(name, name[1:])}
         inside = {c for pair in pairs for c in pair}
         alone = "".join(re.escape(c) for c in map(chr, range(128)) if c not in inside and c != " ")
@@ -121,7 +125,12 @@ class Vocabulary:
         self.pairs = np.array(sorted(joins) + [np.iinfo(np.int64).max], np.int64)
         made = np.array([joins[k] for k in self.pairs[:-1].tolist()] + [(0, NEVER)], np.int32).T
         self.made, self.order = made[0].copy(), made[1].copy()
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.forget()
+
+    def forget(self) -> None:
+        """Start with no stretch kept: where its ids begin in `flat`, and how many there are."""
+        self.known: dict[str, int] = {}
+        self.flat, self.begins, self.sizes = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def symbol(self, text: str) -> int | None:
         return int(self.symbols[ord(text)]) if len(text) == 1 else self.ids.get(text)
@@ -135,44 +144,58 @@ class Vocabulary:
         at = np.searchsorted(self.pairs, key)
         return np.where(self.pairs[at] == key, at, len(self.made) - 1)
 
-    def merge_together(self, stretches: list[str]) -> list[tuple[int, ...]]:
+    def merge_together(self, stretches: list[str]) -> list[list[int]]:
         """Ids of stretches, one merge in each at a time: its first pair in order, the leftmost of equals."""
-        n, sizes = len(stretches), np.array([len(s) for s in stretches])
-        wide = int(sizes.max()) + 1
-        places = np.arange(wide)
-        inside = places < sizes[:, None]
-        symbols = np.full((n, wide), -1, np.int32)
-        symbols[inside] = self.symbols[np.frombuffer("".join(stretches).encode("utf-32-le"), "<u4")]
-        agenda = np.full((n, wide), NEVER, np.int32)
-        both = inside[:, 1:]
-        agenda[:, :-1][both] = self.order[self.look(symbols[:, :-1][both], symbols[:, 1:][both])]
-        rows, done = np.arange(n), np.full((n, wide), -1, np.int32)
-        while len(rows):
-            best = agenda.argmin(axis=1)
-            at = np.arange(len(rows))
-            over = agenda[at, best] == NEVER
-            if over.any():
-                done[rows[over]] = symbols[over]
-                rows, best, symbols, agenda = rows[~over], best[~over], symbols[~over], agenda[~over]
-                at = at[: len(rows)]
-            symbols[at, best] = self.made[self.look(symbols[at, best], symbols[at, best + 1])]
-            # What follows the pair moves up by one; the last column is always free.
-            follow = places[:-1] > best[:, None]
-            symbols[:, :-1] = np.where(follow, symbols[:, 1:], symbols[:, :-1])
-            agenda[:, :-1] = np.where(follow, agenda[:, 1:], agenda[:, :-1])
-            for left in (best - 1, best):
-                ok = np.flatnonzero((left >= 0) & (symbols[at, left + 1] >= 0))
-                agenda[ok, left[ok]] = self.order[self.look(symbols[ok, left[ok]], symbols[ok, left[ok] + 1])]
-            ends = np.flatnonzero(symbols[at, best + 1] < 0)
-            agenda[ends, best[ends]] = NEVER
-        whole = (done < len(self.kinds)).all(axis=1).tolist()
-        ids = [tuple(x[:k]) for x, k in zip(done.tolist(), (done >= 0).sum(axis=1).tolist())]
-        return [x if plain else self.spelled(x) for x, plain in zip(ids, whole)]
-
-    def spelled(self, symbols: tuple[int, ...] | list[int]) -> tuple[int, ...]:
+        sizes = np.array([len(s) for s in stretches])
+        owner = np.arange(len(stretches))
+        symbols = self.symbols[np.frombuffer("".join(stretches).encode("utf-32-le"), "<u4")]
+        last = len(self.made) - 1
+        ends = np.cumsum(sizes)
+        pairs = np.append(self.look(symbols[:-1], symbols[1:]), last)
+        pairs[ends - 1] = last
+        agenda = self.order[pairs]
+        done: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        while len(sizes):
+            best = np.minimum.reduceat(agenda, ends - sizes)
+            open_ = best != NEVER
+            keep = np.repeat(open_, sizes)
+            if not open_.all():
+                done.append((owner[~open_], sizes[~open_], symbols[~keep]))
+                owner, sizes, best = owner[open_], sizes[open_], best[open_]
+                symbols, pairs, agenda = symbols[keep], pairs[keep], agenda[keep]
+                ends = np.cumsum(sizes)
+            if not len(sizes):
+                break
+            at = np.flatnonzero(agenda == np.repeat(best, sizes))
+            of = np.searchsorted(ends, at, "right")
+            at = at[np.append(True, of[1:] != of[:-1])]
+            symbols[at] = self.made[pairs[at]]
+            keep = np.ones(len(symbols), bool)
+            keep[at + 1] = False
+            symbols, pairs, agenda = symbols[keep], pairs[keep], agenda[keep]
+            sizes = sizes - 1
+            ends = np.cumsum(sizes)
+            at = at - np.arange(len(at))
+            for left, ok in ((at - 1, at > ends - sizes), (at, at < ends - 1)):
+                some = left[ok]
+                pairs[some] = self.look(symbols[some], symbols[some + 1])
+                agenda[some] = self.order[pairs[some]]
+            over = at[at == ends - 1]
+            pairs[over], agenda[over] = last, NEVER
+        out: list[list[int]] = [[]] * len(stretches)
+        for owner, sizes, symbols in done:
+            ids, n = symbols.tolist(), len(self.kinds)
+            plain = (np.maximum.reduceat(symbols, np.cumsum(sizes) - sizes) < n).tolist()
+            end = 0
+            for i, size, known in zip(owner.tolist(), sizes.tolist(), plain):
+                out[i] = ids[end : end + size] if known else self.spelled(ids[end : end + size])
+                end += size
+        return out
+
+    def spelled(self, symbols: list[int]) -> list[int]:
         """Symbols as ids; characters that are no piece as their bytes."""
         n = len(self.kinds)
-        return tuple(i for s in symbols for i in ([s] if s < n else [self.bytes[b] for b in chr(s - n).encode()]))
+        return [i for s in symbols for i in ([s] if s < n else [self.bytes[b] for b in chr(s - n).encode()])]
 
     def merged(self, stretch: str) -> list[str]:
         """Symbols that are left when no adjacent pair forms a piece."""
@@ -201,36 +224,67 @@ class Vocabulary:
                 put(left[a], a)
         return [s for s in symbols if s]
 
-    def ids_of(self, stretch: str) -> tuple[int, ...]:
+    def ids_of(self, stretch: str) -> list[int]:
         return self.spelled([self.symbol(s) for s in self.merged(stretch)])
 
-    def learned(self, stretches: Iterable[str]) -> None:
-        """Keep the ids of stretches that are not kept yet."""
-        new = sorted((s for s in set(stretches) if s not in self.known and len(s) <= KEPT_CHARS), key=len)
-        for at in range(0, len(new), ROWS):
-            some = new[at : at + ROWS]
-            self.known.update(zip(some, self.merge_together(some)))
+    def learned(self, stretches: Iterable[str]) -> bool:
+        """Keep the ids of stretches that are not kept yet; whether there are long ones among them."""
+        new = sorted((s for s in set(stretches) if s not in self.known), key=len)
+        cut = next((i for i, s in enumerate(new) if len(s) > KEPT_CHARS), len(new))
+        ids = [x for at in range(0, cut, ROWS) for x in self.merge_together(new[at : min(cut, at + ROWS)])]
+        ids += [self.ids_of(s) for s in new[cut:]]
+        sizes = np.array([len(x) for x in ids], np.int64)
+        self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
+        self.begins = np.concatenate([self.begins, len(self.flat) + np.cumsum(sizes) - sizes])
+        self.sizes = np.concatenate([self.sizes, sizes])
+        self.flat = np.concatenate([self.flat, np.fromiter((i for x in ids for i in x), np.int32, sizes.sum())])
+        return cut < len(new)
+
+    def encode_group(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, each with the end id; how many each has)."""
+        held = [self.stretches.findall((SPACE if self.first_space and t else "") + t.replace(" ", SPACE)) for t in texts]
+        if len(self.known) > KEPT:
+            self.forget()
+        long = self.learned(s for stretches in held for s in stretches)
+        parts = [len(stretches) for stretches in held]
+        which = np.fromiter((self.known[s] for stretches in held for s in stretches), np.int64, sum(parts))
+        sizes = self.sizes[which]
+        upto = np.concatenate([[0], np.cumsum(sizes)])
+        ids = self.flat[np.repeat(self.begins[which] - upto[:-1], sizes) + np.arange(upto[-1])]
+        ends = upto[np.cumsum(parts)]
+        if long:
+            self.forget()
+        return np.insert(ids, ends, self.end), np.diff(ends, prepend=0) + 1
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         """Ids of texts, each with the end id."""
-        out, at = [], 0
-        while at < len(texts):
-            held, size = [], 0
-            while at < len(texts) and (not held or size + len(texts[at]) <= GROUP):
-                line = (SPACE if self.first_space and texts[at] else "") + texts[at].replace(" ", SPACE)
-                held.append(self.stretches.findall(line))
-                size += len(line)
-                at += 1
-            if len(self.known) > KEPT:
-                self.known.clear()
-            self.learned(s for stretches in held for s in stretches)
-            known = self.known
-            for stretches in held:
-                ids: list[int] = []
-                for s in stretches:
-                    ids += known[s] if s in known else self.ids_of(s)
-                ids.append(self.end)
-                out.append(ids)
+        out = []
+        for group in groups(texts, len):
+            ids, counts = self.encode_group(group)
+            ends, ids = np.cumsum(counts).tolist(), ids.tolist()
+            out += [ids[a:b] for a, b in zip([0, *ends], ends)]
+        return out
+
+    def decode_group(self, ids: np.ndarray, counts: np.ndarray) -> list[str | None]:
+        """Texts of lists of ids, which follow one another in `ids`."""
+        ends = np.cumsum(counts)
+        if not len(ids) or ids.min() < 0 or ids.max() >= len(self.kinds):
+            return [self.decode(ids[a:b].tolist()) for a, b in zip(ends - counts, ends)]
+        # Surfaces are copied byte by byte from where they begin.
+        upto = np.concatenate([[0], np.cumsum(self.lengths[ids])])
+        data = self.letters[np.repeat(self.places[ids] - upto[:-1], self.lengths[ids]) + np.arange(upto[-1])].tobytes()
+        control = np.concatenate([[0], np.cumsum(self.is_control[ids])])
+        inside = (control[np.maximum(ends - 1, ends - counts)] > control[ends - counts]).tolist()
+        cuts, out = upto[ends].tolist(), []
+        for a, b, begin, end, parted in zip([0, *cuts], cuts, (ends - counts).tolist(), ends.tolist(), inside):
+            first = ids[begin] if begin < end else self.end
+            try:
+                if parted:
+                    raise UnicodeError
+                text = data[a:b].decode()
+                out.append(text[1:] if self.first_space and text[:1] == " " and self.kinds[first] == NORMAL else text)
+            except UnicodeError:  # bytes that form no character, or control ids before the end
+                out.append(self.decode(ids[begin:end].tolist()))
         return out
 
     def decode(self, ids: list[int]) -> str | None:
@@ -256,6 +310,19 @@ def _each_byte(error: UnicodeDecodeError) -> tuple[str, int]:
 codecs.register_error("chatterlens_each_byte", _each_byte)
 
 
+def groups(items: list, size: Callable[[object], int]) -> Iterator[list]:
+    """Neighbouring items of some GROUP in size; a larger one is alone."""
+    held, total = [], 0
+    for item in items:
+        if held and total + size(item) > GROUP:
+            yield held
+            held, total = [], 0
+        held.append(item)
+        total += size(item)
+    if held:
+        yield held
+
+
 @functools.lru_cache(maxsize=2)
 def vocabulary(model: bytes) -> Vocabulary:
     """One a worker and model."""
@@ -279,12 +346,19 @@ def encode(docs: DataFrame, model: bytes, text: str = "text", check: bool = True
 
     def work(given: pa.Array) -> pa.Array:
         words = vocabulary(shared.value)
-        texts = given.to_pylist()
-        ids = words.encode(texts)
-        same = [None] * len(ids)
-        if check:
-            same = [a == b for a, b in zip(ids, words.library.encode(texts, add_eos=True, num_threads=1))]
-        return pa.StructArray.from_arrays([pa.array(ids, pa.list_(pa.int32())), pa.array(same, pa.bool_())], names=["ids", "agrees"])
+        parts, same = [], []
+        for texts in groups(given.to_pylist(), len):
+            ids, counts = words.encode_group(texts)
+            ends = np.concatenate([[0], np.cumsum(counts)])
+            if check:
+                theirs = words.library.encode(texts, add_eos=True, num_threads=1)
+                mine = ids.tolist()
+                same += [mine[a:b] == x for a, b, x in zip(ends[:-1].tolist(), ends[1:].tolist(), theirs)]
+            else:
+                same += [None] * len(texts)
+            parts.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32())))
+        lists = pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int32()))
+        return pa.StructArray.from_arrays([lists, pa.array(same, pa.bool_())], names=["ids", "agrees"])
 
     return with_results(docs, F.coalesce(column(text).cast("string"), F.lit("")), results, work)
 
@@ -297,7 +371,14 @@ def decode(rows: DataFrame, model: bytes, ids: Column | str = "ids") -> DataFram
 
     def work(given: pa.Array) -> pa.Array:
         words = vocabulary(shared.value)
-        out = [None if x is None else words.decode(x) for x in given.to_pylist()]
+        out: list[str | None] = []
+        lists = given.fill_null([])
+        known = given.is_valid().to_pylist()
+        for places in groups(list(range(len(lists))), lambda i: len(lists[i].values)):
+            part = lists.slice(places[0], len(places))
+            ids = part.flatten().fill_null(-1).to_numpy()
+            out += words.decode_group(ids, part.value_lengths().to_numpy().astype(np.int64))
+        out = [x if ok else None for x, ok in zip(out, known)]
         return pa.StructArray.from_arrays([pa.array(out, pa.string())], names=["decoded"])
 
     return with_results(rows, column(ids) if isinstance(ids, str) else ids, results, work)

@@ -255,12 +255,20 @@ def test_long_and_short_stretches_take_the_same_merges():
             assert ids == words.ids_of(s)
 
 
+def test_groups_of_lists_are_decoded_as_single_ones():
+    words, rng = piece_codec.vocabulary(MODEL), random.Random(4)
+    lists = [[rng.choice([rng.randrange(300), rng.randrange(32_000), 1, 2, 29871]) for _ in range(rng.randrange(9))] for _ in range(4000)]
+    counts = np.array([len(x) for x in lists])
+    got = words.decode_group(np.array([i for x in lists for i in x], np.int32), counts)
+    assert got == [words.library.decode(x) for x in lists]
+
+
 def test_kept_stretches_make_no_difference(monkeypatch):
     words, texts = piece_codec.vocabulary(MODEL), [r[1] or "" for r in messy_rows()]
     want = words.encode(texts)
     for name, value in (("KEPT", 0), ("GROUP", 10), ("ROWS", 2), ("KEPT_CHARS", 4)):
         monkeypatch.setattr(piece_codec, name, value)
-        words.known.clear()
+        words.forget()
         assert words.encode(texts[:6] + texts[9:]) == want[:6] + want[9:]
 
 
