@@ -17,6 +17,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,7 +32,7 @@ NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 MERGES = 2
 #: Stretches of up to KEPT_CHARS characters are merged ROWS at a time and stay with their pieces, some KEPT of them
 #: in a worker. Texts are worked on in groups of GROUP characters.
-KEPT_CHARS, ROWS, KEPT, GROUP = 64, 1 << 14, 1 << 19, 1 << 20
+KEPT_CHARS, ROWS, KEPT, GROUP = 64, 1 << 14, 1 << 18, 1 << 20
 CHARACTERS = 0x110000
 NEVER = np.int32((1 << 31) - 1)
 
@@ -144,8 +145,9 @@ class Vocabulary:
         at = np.searchsorted(self.pairs, key)
         return np.where(self.pairs[at] == key, at, len(self.made) - 1)
 
-    def merge_together(self, stretches: list[str]) -> list[list[int]]:
-        """Ids of stretches, one merge in each at a time: its first pair in order, the leftmost of equals."""
+    def merge_together(self, stretches: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all stretches, how many each has): one merge in each at a time, its first pair in order, the
+        leftmost of equals."""
         sizes = np.array([len(s) for s in stretches])
         owner = np.arange(len(stretches))
         symbols = self.symbols[np.frombuffer("".join(stretches).encode("utf-32-le"), "<u4")]
@@ -182,15 +184,22 @@ class Vocabulary:
                 agenda[some] = self.order[pairs[some]]
             over = at[at == ends - 1]
             pairs[over], agenda[over] = last, NEVER
-        out: list[list[int]] = [[]] * len(stretches)
-        for owner, sizes, symbols in done:
-            ids, n = symbols.tolist(), len(self.kinds)
-            plain = (np.maximum.reduceat(symbols, np.cumsum(sizes) - sizes) < n).tolist()
-            end = 0
-            for i, size, known in zip(owner.tolist(), sizes.tolist(), plain):
-                out[i] = ids[end : end + size] if known else self.spelled(ids[end : end + size])
-                end += size
-        return out
+        owner, sizes, symbols = (np.concatenate(x) for x in zip(*done))
+        order, begins = np.argsort(owner), np.cumsum(sizes) - sizes
+        sizes, begins = sizes[order], begins[order]
+        ends = np.cumsum(sizes)
+        symbols = symbols[np.repeat(begins - (ends - sizes), sizes) + np.arange(ends[-1])]
+        odd = np.flatnonzero(symbols >= len(self.kinds))
+        if not len(odd):
+            return symbols, sizes
+        # Characters that are no piece become their bytes.
+        spelled = [self.spelled([x]) for x in symbols[odd].tolist()]
+        lengths = np.ones(len(symbols), np.int64)
+        lengths[odd] = [len(x) for x in spelled]
+        ids, upto = np.repeat(symbols, lengths), np.cumsum(lengths)
+        for x, end in zip(spelled, upto[odd].tolist()):
+            ids[end - len(x) : end] = x
+        return ids, np.add.reduceat(lengths, ends - sizes)
 
     def spelled(self, symbols: list[int]) -> list[int]:
         """Symbols as ids; characters that are no piece as their bytes."""
@@ -227,31 +236,41 @@ class Vocabulary:
     def ids_of(self, stretch: str) -> list[int]:
         return self.spelled([self.symbol(s) for s in self.merged(stretch)])
 
-    def learned(self, stretches: Iterable[str]) -> bool:
+    def learned(self, new: list[str]) -> bool:
         """Keep the ids of stretches that are not kept yet; whether there are long ones among them."""
-        new = sorted((s for s in set(stretches) if s not in self.known), key=len)
-        cut = next((i for i, s in enumerate(new) if len(s) > KEPT_CHARS), len(new))
-        ids = [x for at in range(0, cut, ROWS) for x in self.merge_together(new[at : min(cut, at + ROWS)])]
-        ids += [self.ids_of(s) for s in new[cut:]]
-        sizes = np.array([len(x) for x in ids], np.int64)
-        self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
+        short, long = [s for s in new if len(s) <= KEPT_CHARS], [s for s in new if len(s) > KEPT_CHARS]
+        parts = [self.merge_together(short[at : at + ROWS]) for at in range(0, len(short), ROWS)]
+        for s in long:
+            ids = self.ids_of(s)
+            parts.append((np.array(ids, np.int32), np.array([len(ids)])))
+        flat, sizes = (np.concatenate(x) for x in zip(*parts))
+        self.known.update(zip(short + long, range(len(self.known), len(self.known) + len(new))))
         self.begins = np.concatenate([self.begins, len(self.flat) + np.cumsum(sizes) - sizes])
         self.sizes = np.concatenate([self.sizes, sizes])
-        self.flat = np.concatenate([self.flat, np.fromiter((i for x in ids for i in x), np.int32, sizes.sum())])
-        return cut < len(new)
+        self.flat = np.concatenate([self.flat, flat.astype(np.int32)])
+        return bool(long)
 
     def encode_group(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, each with the end id; how many each has)."""
-        held = [self.stretches.findall((SPACE if self.first_space and t else "") + t.replace(" ", SPACE)) for t in texts]
+        stretches, upto_text = [], []
+        for t in texts:
+            stretches += self.stretches.findall((SPACE if self.first_space and t else "") + t.replace(" ", SPACE))
+            upto_text.append(len(stretches))
         if len(self.known) > KEPT:
             self.forget()
-        long = self.learned(s for stretches in held for s in stretches)
-        parts = [len(stretches) for stretches in held]
-        which = np.fromiter((self.known[s] for stretches in held for s in stretches), np.int64, sum(parts))
+        known, long = self.known, False
+        found = list(map(known.get, stretches))
+        unknown = [k for k, i in enumerate(found) if i is None]
+        if unknown:
+            new = [stretches[k] for k in unknown]
+            long = self.learned(list(set(new)))
+            for k, s in zip(unknown, new):
+                found[k] = known[s]
+        which = np.array(found, np.int64)
         sizes = self.sizes[which]
         upto = np.concatenate([[0], np.cumsum(sizes)])
         ids = self.flat[np.repeat(self.begins[which] - upto[:-1], sizes) + np.arange(upto[-1])]
-        ends = upto[np.cumsum(parts)]
+        ends = upto[upto_text]
         if long:
             self.forget()
         return np.insert(ids, ends, self.end), np.diff(ends, prepend=0) + 1
@@ -337,28 +356,36 @@ def read_model(path: str) -> bytes:
     return model
 
 
-def encode(docs: DataFrame, model: bytes, text: str = "text", check: bool = True) -> DataFrame:
+def encode(docs: DataFrame, model: bytes, text: str = "text", check: bool = True, decoded: bool = False) -> DataFrame:
     """All columns of `docs`, `ids` (with the end id) and `agrees`: whether the library gives the same ids, null
-    without `check`. Null texts count as empty and have the end id alone. Rows are encoded one by one; columns
-    named `ids` or `agrees` give way."""
+    without `check`. With `decoded` also what `decode` makes of the ids, in the same pass. Null texts count as empty
+    and have the end id alone. Rows are encoded one by one; columns named as the results give way."""
     results = T.StructType([T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("agrees", T.BooleanType())])
+    if decoded:
+        results = results.add("decoded", T.StringType())
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
+    def one_group(words: Vocabulary, texts: list[str]) -> pa.StructArray:
+        ids, counts = words.encode_group(texts)
+        ends = np.concatenate([[0], np.cumsum(counts)])
+        same: list[bool | None] = [None] * len(texts)
+        if check:
+            mine, theirs = ids.tolist(), words.library.encode(texts, add_eos=True, num_threads=1)
+            same = [mine[a:b] == x for a, b, x in zip(ends[:-1].tolist(), ends[1:].tolist(), theirs)]
+        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()))
+        columns = [lists, pa.array(same, pa.bool_())]
+        if decoded:
+            columns.append(pa.array(words.decode_group(ids, counts), pa.string()))
+        return pa.StructArray.from_arrays(columns, names=results.names)
+
     def work(given: pa.Array) -> pa.Array:
         words = vocabulary(shared.value)
-        parts, same = [], []
-        for texts in groups(given.to_pylist(), len):
-            ids, counts = words.encode_group(texts)
-            ends = np.concatenate([[0], np.cumsum(counts)])
-            if check:
-                theirs = words.library.encode(texts, add_eos=True, num_threads=1)
-                mine = ids.tolist()
-                same += [mine[a:b] == x for a, b, x in zip(ends[:-1].tolist(), ends[1:].tolist(), theirs)]
-            else:
-                same += [None] * len(texts)
-            parts.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32())))
-        lists = pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int32()))
-        return pa.StructArray.from_arrays([lists, pa.array(same, pa.bool_())], names=["ids", "agrees"])
+        # Lengths in bytes bound those in characters; a group's texts alone are Python objects.
+        parts = [
+            one_group(words, given.slice(at[0], len(at)).to_pylist())
+            for at in groups(list(range(len(given))), pc.binary_length(given).to_pylist().__getitem__)
+        ]
+        return pa.concat_arrays(parts) if parts else one_group(words, [])
 
     return with_results(docs, F.coalesce(column(text).cast("string"), F.lit("")), results, work)
 
@@ -373,12 +400,11 @@ def decode(rows: DataFrame, model: bytes, ids: Column | str = "ids") -> DataFram
         words = vocabulary(shared.value)
         out: list[str | None] = []
         lists = given.fill_null([])
-        known = given.is_valid().to_pylist()
-        for places in groups(list(range(len(lists))), lambda i: len(lists[i].values)):
-            part = lists.slice(places[0], len(places))
-            ids = part.flatten().fill_null(-1).to_numpy()
-            out += words.decode_group(ids, part.value_lengths().to_numpy().astype(np.int64))
-        out = [x if ok else None for x, ok in zip(out, known)]
+        counts = lists.value_lengths().to_numpy().astype(np.int64)
+        for at in groups(list(range(len(lists))), counts.tolist().__getitem__):
+            ids = lists.slice(at[0], len(at)).flatten().fill_null(-1).to_numpy()
+            out += words.decode_group(ids, counts[at[0] : at[-1] + 1])
+        out = [x if ok else None for x, ok in zip(out, given.is_valid().to_pylist())]
         return pa.StructArray.from_arrays([pa.array(out, pa.string())], names=["decoded"])
 
     return with_results(rows, column(ids) if isinstance(ids, str) else ids, results, work)

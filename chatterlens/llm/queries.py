@@ -193,7 +193,7 @@ def op12_branching_tandems(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_piece_agenda(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = piece_codec.read_model(public_tokenizers.path("piece_bpe_32k.model"))
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    rows = piece_codec.decode(piece_codec.encode(docs, model).drop("text"), model)
+    rows = piece_codec.encode(docs, model, decoded=True)
     return rows.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
