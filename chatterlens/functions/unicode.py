@@ -1,6 +1,7 @@
 """HTML entities and NFKC, the two text steps Spark has no built-in for.
 
-Only rows that can change go to Python: the Arrow UDF is fed NULL for all others.
+Common entities are decoded by column functions. Only rows that hold others, or characters NFKC can change, go to
+Python: the Arrow UDF is fed NULL for all others.
 """
 
 from __future__ import annotations
@@ -17,6 +18,14 @@ from chatterlens.functions.text import drop_urls
 # An ampersand that may open an entity.
 ENTITY_START = r"&[#A-Za-z]"
 
+# Entities that are decoded without Python, to characters that NFKC leaves alone. The ampersand is last,
+# so that nothing is decoded twice.
+COMMON_ENTITIES = {
+    "lt": "<", "gt": ">", "quot": '"', "apos": "'", "#39": "'", "copy": "©", "reg": "®", "middot": "·", "ndash": "–",
+    "mdash": "—", "lsquo": "‘", "rsquo": "’", "ldquo": "“", "rdquo": "”", "bull": "•", "euro": "€", "amp": "&",
+}
+COMMON_ENTITY = "&(" + "|".join(COMMON_ENTITIES) + ");"
+
 # Characters beyond ASCII that NFKC leaves alone wherever they stand: the Latin letters and signs that
 # have no compatibility form, common dashes, quotes, the bullet, rupee and euro signs, pictographs.
 NFKC_STABLE = (
@@ -54,13 +63,26 @@ def may_hold_entity(text: Column) -> Column:
     return text.contains("&") & text.rlike(ENTITY_START)
 
 
+def may_hold_rare_entity(text: Column) -> Column:
+    """Whether an entity may be left once the common ones are taken out."""
+    return may_hold_entity(text) & F.regexp_replace(text, COMMON_ENTITY, "").rlike(ENTITY_START)
+
+
+def decode_common(text: Column) -> Column:
+    """Common entities decoded; right for texts that hold no other."""
+    out = text
+    for name, char in COMMON_ENTITIES.items():
+        out = F.replace(out, F.lit(f"&{name};"), F.lit(char))
+    return F.when(text.contains("&"), out).otherwise(text)
+
+
 def may_change_form(text: Column) -> Column:
     """ASCII text, told by its length in bytes, is never looked at closer."""
     return (F.octet_length(text) != F.length(text)) & text.rlike(NFKC_MAY_CHANGE)
 
 
 def unescape_html(text: Column) -> Column:
-    return F.coalesce(_udf(True, False, False)(F.when(may_hold_entity(text), text)), text)
+    return F.coalesce(_udf(True, False, False)(F.when(may_hold_rare_entity(text), text)), decode_common(text))
 
 
 def nfkc(text: Column) -> Column:
@@ -69,5 +91,5 @@ def nfkc(text: Column) -> Column:
 
 def decode_strip_fold(text: Column) -> Column:
     """Entities, then URLs, then NFKC, in that order; one trip to Python at most."""
-    needed = may_hold_entity(text) | may_change_form(text)
-    return F.coalesce(_udf(True, True, True)(F.when(needed, text)), drop_urls(text))
+    needed = may_hold_rare_entity(text) | may_change_form(text)
+    return F.coalesce(_udf(True, True, True)(F.when(needed, text)), drop_urls(decode_common(text)))

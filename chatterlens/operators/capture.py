@@ -5,7 +5,7 @@ Each card field is turned into a post column by an expression; nothing here driv
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Observation
@@ -170,13 +170,13 @@ def hashtag_quota(max_posts: int, hashtags: int) -> int:
     return max(1, max_posts // hashtags)
 
 
-def cap_per_hashtag(df: DataFrame, quota: int) -> DataFrame:
-    """The first ``quota`` posts of every search hashtag."""
-    return first_n(df, quota, by="hashtag")
+def cap_per_hashtag(df: DataFrame, quota: int, order: str = "ingest_seq", then: Sequence[str] = ()) -> DataFrame:
+    """The first ``quota`` posts of every search hashtag; ``then`` settles equal values of ``order``."""
+    return first_n(df, quota, "hashtag", order, then)
 
 
-def cap_total(df: DataFrame, max_posts: int) -> DataFrame:
-    return first_n(df, max_posts)
+def cap_total(df: DataFrame, max_posts: int, order: str = "ingest_seq", then: Sequence[str] = ()) -> DataFrame:
+    return first_n(df, max_posts, None, order, then)
 
 
 def union_captures(captures: Iterable[DataFrame]) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chatterlens.functions.times import hour_utc
@@ -10,23 +10,31 @@ from chatterlens.operators.signal import is_finite, summarise
 from chatterlens.schema import require_columns
 
 
+#: Hours that one row is expanded to.
+HOURS = 1024
+
+
 def posts_over_time(df: DataFrame) -> DataFrame:
-    """Posts per UTC hour, hours without posts between the first and the last included."""
+    """Posts per UTC hour, hours without posts between the first and the last included.
+
+    The span is cut into blocks of hours, which are spread over all tasks before they are expanded: one wild date
+    costs many rows, but no long task. The counts are made once; the range and the join read the same shuffle.
+    """
     counts = (
         df.filter(F.col("timestamp").isNotNull())
-        .groupBy(hour_utc(F.col("timestamp")).alias("hour"))
+        .groupBy(F.unix_seconds(hour_utc(F.col("timestamp"))).alias("second"))
         .agg(F.count(F.lit(1)).alias("posts"))
     )
-    # Each hour fills the gap up to the next one. The window holds one row per hour that has posts.
-    second = F.unix_seconds("hour").alias("second")
-    gaps = counts.select(second, "posts", F.lead(F.unix_seconds("hour")).over(Window.orderBy("hour")).alias("next"))
-    hours = F.expr("coalesce((next - second) div 3600, 1)").alias("hours")
-    # Blocks first, then the hours of each block: no long array is ever built in one row.
-    blocks = gaps.select("second", "posts", hours).select("*", F.expr("explode(sequence(0, (hours - 1) div 1024))").alias("block"))
-    filled = blocks.select("second", "posts", F.expr("explode(sequence(block * 1024, least(hours, (block + 1) * 1024) - 1))").alias("at"))
-    return filled.select(
-        F.timestamp_seconds(F.col("second") + F.col("at") * 3600).alias("hour"),
-        F.when(F.col("at") == 0, F.col("posts")).otherwise(F.lit(0)).cast("bigint").alias("posts"),
+    span = counts.agg(F.min("second").alias("first"), F.max("second").alias("last"), F.sum("posts").alias("all")).filter("all > 0")
+    hours = F.expr("(last - first) div 3600 + 1").alias("hours")
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocks = span.select("first", hours).select("*", F.expr(f"explode(sequence(0, (hours - 1) div {HOURS}))").alias("block"))
+    spread = blocks.repartition(parts, "block")
+    each = spread.select("first", F.expr(f"explode(sequence(block * {HOURS}, least(hours, (block + 1) * {HOURS}) - 1))").alias("at"))
+    return (
+        each.select((F.col("first") + F.col("at") * 3600).alias("second"))
+        .join(counts, "second", "left")
+        .select(F.timestamp_seconds("second").alias("hour"), F.coalesce("posts", F.lit(0)).cast("bigint").alias("posts"))
     )
 
 

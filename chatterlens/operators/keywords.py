@@ -1,6 +1,6 @@
 """TF-IDF keywords: n-gram terms, a capped vocabulary, smoothed idf, L2-normalised documents.
 
-Fitting is one aggregation by term. Scoring with a vocabulary of bounded size stays inside the row:
+Fitting counts hashes first and then only terms that can be among the most frequent. Scoring with a vocabulary of bounded size stays inside the row:
 counting, weighting and normalising need no shuffle, and the mean per term is one small partial
 aggregate. Larger vocabularies are scored by joins instead.
 """
@@ -24,6 +24,8 @@ from chatterlens.session import scratch_dir
 
 # Vocabularies up to this many terms live in the driver and in every task.
 ROW_LOCAL_TERMS = 2_000
+# Numbers that terms are hashed to when the most frequent ones are looked for.
+TERM_BUCKETS = 1 << 20
 SETTINGS = "n_docs bigint, ngram_range array<int>, stop_words array<string>"
 
 
@@ -80,8 +82,8 @@ def term_counts(df: DataFrame, keys: Sequence[str] = ("post_id",)) -> DataFrame:
     return occurrences(df, keys).groupBy(*keys, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
-def term_statistics(df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """Corpus total and document frequency per term.
+def term_statistics(df: DataFrame, keys: Sequence[str] = (), among: DataFrame | None = None) -> DataFrame:
+    """Corpus total and document frequency per term, or per term whose hash is in ``among`` (a stored table).
 
     Terms are sorted inside the row and laid beside their predecessors: a term unlike its predecessor is
     the first of its document. Both counts then come from one partial aggregation by term, without a
@@ -92,13 +94,52 @@ def term_statistics(df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     shifted = F.concat(F.array(F.lit(None).cast("string")), shorter)
     pairs = F.arrays_zip(F.col("_sorted").alias("term"), shifted.alias("before"))
     first = ~F.col("term").eqNullSafe(F.col("before"))
+    each = ordered.select(*keys, F.inline(pairs))
+    if among is not None:
+        each = each.withColumn("bucket", _bucket(F.col("term"))).join(among, "bucket")
     return (
-        ordered.select(*keys, F.inline(pairs))
-        .groupBy(*keys, "term")
+        each.groupBy(*keys, "term")
         .agg(F.count(F.lit(1)).alias("total"), F.count_if(first).alias("df"))
     )
 
 
+def _bucket(term: Column) -> Column:
+    return F.pmod(F.xxhash64(term), F.lit(TERM_BUCKETS)).cast("int")
+
+
+def _stored(df: DataFrame, label: str) -> DataFrame:
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def most_frequent_terms(prepared: DataFrame, n: int, min_df: int = 1) -> tuple[DataFrame, int]:
+    """(the ``n`` terms of highest ``total`` with their ``df``, ties by name; number of documents), exactly.
+
+    Most terms are rare, and counting each of them would send nearly all text over the network. First only hashes
+    are counted: what falls on a number is an upper bound for every term of that number. The terms of the largest
+    numbers are counted exactly; the n-th best of them is a lower bound. A number below it holds no term of the
+    result, so only the terms of the remaining ones are counted too, which is seldom any.
+    """
+    marked = F.explode(F.concat("terms", F.array(F.lit(None).cast("string")))).alias("term")
+    hashed = prepared.select(marked).groupBy(F.when(F.col("term").isNull(), -1).otherwise(_bucket(F.col("term"))).alias("bucket"))
+    sums = _stored(hashed.agg(F.count(F.lit(1)).alias("most")), "term-hashes")
+    counted = _stored(sums.filter("bucket >= 0").orderBy(F.desc("most"), "bucket").limit(4 * n), "term-hashes")
+    head = sums.filter("bucket = -1").select(F.col("most").alias("n_docs")).first()
+    exact, taken = None, counted
+    while not taken.isEmpty():
+        part = _stored(term_statistics(prepared, among=taken.select("bucket")).filter(F.col("df") >= min_df), "terms")
+        exact = part if exact is None else exact.unionByName(part)
+        last = exact.orderBy(F.desc("total"), F.asc("term")).limit(n).agg(F.count(F.lit(1)).alias("n"), F.min("total").alias("least")).first()
+        bound = last["least"] if last["n"] == n else 0
+        rest = sums.filter((F.col("bucket") >= 0) & (F.col("most") >= bound)).join(counted.select("bucket"), "bucket", "left_anti")
+        taken = _stored(rest, "term-hashes")
+        counted = counted.unionByName(taken)
+    if exact is None:
+        exact = prepared.sparkSession.createDataFrame([], "term string, total bigint, df bigint")
+    return exact.orderBy(F.desc("total"), F.asc("term")).limit(n), head["n_docs"] if head else 0
+
+
 def normalised_scores(counted: DataFrame, keys: Sequence[str]) -> DataFrame:
     """L2-normalised tf x idf per document; ``counted`` has tf and idf."""
     norm = F.sqrt(F.sum(F.pow(F.col("tf") * F.col("idf"), 2)).over(Window.partitionBy(*keys)))
@@ -156,16 +197,13 @@ class KeywordModel:
             return narrow.sparkSession.createDataFrame([], f"{key} bigint, term string, tf bigint, tfidf double")
         if not self.row_local:
             return self._transform_by_join(narrow, text, key)
+        # Sparse vectors hold the places and values of the terms present; nothing of vocabulary length is made.
         names = F.array(*[F.lit(t) for t in self.local[0]])
-        pairs = F.arrays_zip(
-            names.alias("term"), vector_to_array("tf").alias("tf"), vector_to_array("tfidf").alias("tfidf")
-        )
-        # Absent terms leave inside the row, before it is multiplied.
-        present = F.filter(pairs, lambda p: p["tf"] > 0)
-        return (
-            self._vectors(narrow, text)
-            .select(key, F.inline(present))
-            .select(key, "term", F.col("tf").cast("bigint").alias("tf"), "tfidf")
+        tf, tfidf = F.unwrap_udt("tf"), F.unwrap_udt("tfidf")
+        parts = self._vectors(narrow, text).select(key, tf.alias("tf"), tfidf["values"].alias("tfidf"))
+        found = F.arrays_zip(F.col("tf.indices").alias("at"), F.col("tf.values").alias("tf"), F.col("tfidf"))
+        return parts.select(key, F.inline(found)).select(
+            key, F.get(names, F.col("at")).alias("term"), F.col("tf").cast("bigint").alias("tf"), "tfidf"
         )
 
     def _scores_by_join(self, df: DataFrame, text: str, key: str) -> DataFrame:
@@ -247,10 +285,9 @@ def vocabulary(
     ngram_range: tuple[int, int] = (1, 2),
     stop_words: Sequence[str] = tuple(STOP_WORDS),
 ) -> DataFrame:
-    """The most frequent terms of the corpus with ``total`` and ``df``; ties by name."""
+    """The most frequent terms of the corpus with ``total`` and ``df``; ties by name. The texts are read twice."""
     prepared = with_terms(documents(df.select(text), text), text, ngram_range, stop_words)
-    kept = term_statistics(prepared).filter(F.col("df") >= min_df)
-    return kept.orderBy(F.desc("total"), F.asc("term")).limit(max_features)
+    return most_frequent_terms(prepared, max_features, min_df)[0]
 
 
 def fit(
@@ -261,34 +298,21 @@ def fit(
     text: str = "content",
     stop_words: Sequence[str] = tuple(STOP_WORDS),
 ) -> KeywordModel:
-    """Fit a vocabulary in one pass over the texts.
+    """Fit a vocabulary in two passes over the texts.
 
-    Every document carries one NULL term, whose total is the corpus size; it comes out with the vocabulary. A corpus without text or terms gives a model without terms. A vocabulary too large
-    for the driver is written to the shared scratch folder.
+    A corpus without text or terms gives a model without terms. A vocabulary too large for the driver is written to
+    the shared scratch folder.
     """
     if max_features <= 0:
         raise ValueError(f"max_features must be > 0, got {max_features}")
     require_columns(df, [text], "fit")
     prepared = with_terms(documents(df.select(text), text), text, ngram_range, stop_words)
-    marked = prepared.withColumn("terms", F.concat("terms", F.array(F.lit(None).cast("string"))))
-    counted = (
-        term_statistics(marked)
-        .filter(F.col("term").isNull() | (F.col("df") >= min_df))
-        .orderBy(F.col("term").isNotNull(), F.desc("total"), F.asc("term"))
-        .limit(max_features + 1)
-    )
+    counted, n_docs = most_frequent_terms(prepared, max_features, min_df)
     settings = (tuple(ngram_range), tuple(stop_words))
-    spark = df.sparkSession
     if max_features <= ROW_LOCAL_TERMS:
-        rows = counted.collect()
-        n_docs = rows[0]["total"] if rows else 0
-        counted = spark.createDataFrame(rows[1:], "term string, total bigint, df bigint")
+        counted = df.sparkSession.createDataFrame(counted.collect(), "term string, total bigint, df bigint")
     else:
-        path = scratch_dir(spark, "vocabulary")
-        counted.write.parquet(path)
-        stored = spark.read.schema("term string, total bigint, df bigint").parquet(path)
-        head = stored.filter(F.col("term").isNull()).head(1)
-        n_docs, counted = (head[0]["total"] if head else 0), stored.filter(F.col("term").isNotNull())
+        counted = _stored(counted, "vocabulary")
     table = counted.select("term", "total", "df", smoothed_idf(F.lit(n_docs), F.col("df")).alias("idf"))
     return _model(table, n_docs, *settings)
 

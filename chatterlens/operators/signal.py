@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -100,12 +101,71 @@ def summarise_by_hour(df: DataFrame, **thresholds: float) -> DataFrame:
     return summarise(df.withColumn("hour", hour_utc(F.col("timestamp"))), ["hour"], **thresholds)
 
 
+def _micros(df: DataFrame, length: str) -> int:
+    """Microseconds of an interval such as ``15 minutes``."""
+    row = df.sparkSession.sql(f"SELECT unix_micros(timestamp_micros(0) + INTERVAL {length}) AS micros").first()
+    if row["micros"] <= 0:
+        raise ValueError(f"{length!r} is no length of time")
+    return row["micros"]
+
+
+def _merged(panes: str) -> Column:
+    """Moments of several groups of rows as those of one: n, mean, sum of squares about the mean, bulls, bears."""
+    zero = F.struct(
+        F.lit(0).cast("bigint").alias("n"), F.lit(0.0).alias("mean"), F.lit(0.0).alias("m2"),
+        F.lit(0).cast("bigint").alias("bulls"), F.lit(0).cast("bigint").alias("bears"),
+    )
+
+    def both(a: Column, b: Column) -> Column:
+        n = a["n"] + b["n"]
+        share = F.coalesce(F.try_divide(b["n"].cast("double"), n.cast("double")), F.lit(0.0))
+        apart = b["mean"] - a["mean"]
+        return F.struct(
+            n.alias("n"),
+            (a["mean"] + apart * share).alias("mean"),
+            (a["m2"] + b["m2"] + apart * apart * a["n"].cast("double") * share).alias("m2"),
+            (a["bulls"] + b["bulls"]).alias("bulls"),
+            (a["bears"] + b["bears"]).alias("bears"),
+        )
+
+    # In order of time, so that sums are added alike in every run.
+    return F.aggregate(F.array_sort(panes), zero, lambda a, b: both(a, b["moments"]))
+
+
 def rolling_summary(
-    df: DataFrame, length: str = "1 hour", slide: str = "15 minutes", **thresholds: float
+    df: DataFrame,
+    length: str = "1 hour",
+    slide: str = "15 minutes",
+    buy_threshold: float = 0.05,
+    sell_threshold: float = -0.05,
 ) -> DataFrame:
-    """One summary per sliding window; works on a stream once it has a watermark."""
+    """One summary per sliding window; works on a stream once it has a watermark.
+
+    Posts are counted once, in panes that divide every window; a window merges the moments of its panes. On a stream
+    both steps keep state, that of a pane until the watermark has passed it.
+    """
     framed = df if "weighted_signal" in df.columns else with_weighted_signal(df)
-    narrow = framed.select("timestamp", "weighted_signal")
-    out = summarise(narrow, [F.window("timestamp", length, slide)], **thresholds)
-    rest = [c for c in out.columns if c != "window"]
-    return out.select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), *rest)
+    signal = F.when(is_finite(F.col("weighted_signal")), F.col("weighted_signal"))
+    narrow = framed.select("timestamp", signal.alias("weighted_signal"))
+    pane = math.gcd(_micros(df, length), _micros(df, slide))
+    x = F.col("weighted_signal")
+    m2 = F.coalesce(F.var_pop(x), F.lit(0.0)) * F.count(x).cast("double")
+    counted = narrow.groupBy(F.window("timestamp", f"{pane} microseconds").alias("pane")).agg(
+        *statistics(x), m2.alias("m2")
+    )
+    moments = F.struct("n", "mean", "m2", "bulls", "bears").alias("moments")
+    panes = counted.select(F.window_time("pane").alias("at"), F.col("pane.start").alias("start"), moments, "pane")
+    merged = (
+        panes.groupBy(F.window("at", length, slide).alias("window"))
+        .agg(F.collect_list(F.struct("start", "moments")).alias("panes"))  # at most length / pane of them
+        .withColumn("all", _merged("panes"))
+        .filter(F.col("all.n") > 0)
+    )
+    std = F.when(F.col("all.n") > 1, F.sqrt(F.col("all.m2") / (F.col("all.n") - 1).cast("double"))).otherwise(F.lit(0.0))
+    flat = merged.select(
+        F.col("window.start").alias("window_start"),
+        F.col("window.end").alias("window_end"),
+        *[F.col(f"all.{c}").alias(c) for c in ("n", "mean", "bulls", "bears")],
+        std.alias("std"),
+    )
+    return flat.select("window_start", "window_end", *_summary_columns(buy_threshold, sell_threshold))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from chatterlens.functions import text, times, unicode
 from chatterlens.operators import capture, charts, clean, dedup, features, keywords, normalize, signal
 from chatterlens.options import JobOptions
-from chatterlens.plans import signals, views
+from chatterlens.plans import runs, signals, views
 from chatterlens.schema import KEYWORD_SCHEMA
 from chatterlens.session import scratch_dir
 from chatterlens.sources import posts as post_io
@@ -113,11 +113,11 @@ def texts_table(spark, sf):
 
 
 def model(spark, sf):
-    return keywords.fit(unique(spark, sf), max_features=50)
+    return keywords.fit(texts_table(spark, sf), max_features=50)
 
 
 def vocabulary(spark, sf):
-    return keywords.vocabulary(unique(spark, sf), 50)
+    return keywords.vocabulary(texts_table(spark, sf), 50)
 
 
 def terms(spark, sf):
@@ -144,8 +144,7 @@ def _(spark, sf):
     path = scratch_dir(spark, "batches")
     for mode in ("overwrite", "append"):
         post_io.write_posts(normalised(spark, sf), path, compression="gzip", mode=mode)
-    counted = post_io.read_posts(spark, path).groupBy("username")
-    return counted.agg(F.count(F.lit(1)).alias("posts"), F.sum("likes").alias("likes"))
+    return post_io.read_posts(spark, path).select(post_out())
 
 
 @query("s04_cast_schema")
@@ -204,13 +203,37 @@ def _(spark, sf):
     return spark.read.schema(summary.schema).json(path)
 
 
+def with_untagged(df):
+    tags = F.when(F.col("likes") % 5 == 0, F.array().cast("array<string>")).otherwise(F.col("hashtags"))
+    return df.withColumn("hashtags", tags)
+
+
+def lake_counts(lake):
+    return lake.groupBy("date", "hashtag").agg(F.count(F.lit(1)).alias("posts"), F.count_distinct("post_id").alias("distinct_posts"))
+
+
 @query("s09_lake_by_date_and_hashtag")
 def _(spark, sf):
-    path = post_io.write_lake(unique(spark, sf), scratch_dir(spark, "lake"))
-    lake = post_io.read_lake(spark, path).filter(F.col("hashtag").isNotNull())
-    return lake.groupBy("date", "hashtag").agg(
-        F.count(F.lit(1)).alias("posts"), F.count_distinct("post_id").alias("distinct_posts")
-    )
+    path = post_io.write_lake(with_untagged(unique(spark, sf)), scratch_dir(spark, "lake"))
+    return lake_counts(post_io.read_lake(spark, path))
+
+
+@query("s09_lake_in_batches")
+def _(spark, sf):
+    """Two batches, the second one run twice, equal one run over all."""
+    rows = stored(with_untagged(unique(spark, sf)), "unique")
+    path, earlier = scratch_dir(spark, "lake"), F.col("timestamp") < views.batch_start()
+    for batch, part in ((0, earlier), (1, ~earlier), (1, ~earlier)):
+        post_io.write_lake(rows.filter(part), path, batch, own_folders=2, shared_folders=2)
+    return lake_counts(post_io.read_lake(spark, path))
+
+
+@query("s09_lake_of_one_hashtag")
+def _(spark, sf):
+    """What the folders that may hold a hashtag have of it, for a frequent and a rare one."""
+    path = post_io.write_lake(unique(spark, sf), scratch_dir(spark, "lake"), own_folders=1)
+    frequent, rare = (post_io.read_lake(spark, path, tag) for tag in ("sensex", "desk"))
+    return frequent.unionByName(rare).select("hashtag", *post_out())
 
 
 @query("s10_sample_posts")
@@ -227,6 +250,14 @@ def _(spark, sf):
     return chosen.select(post_out())
 
 
+@query("s11_sample_where_empty")
+def _(spark, sf):
+    """As many sample posts as there are events, in place of posts that no filter leaves."""
+    events = views.table(spark, sf, "events").count()
+    chosen = sample.posts_or_sample(normalised(spark, sf).filter(F.col("likes") < 0), events, views.as_of(), seed=7)
+    return chosen.select(post_out())
+
+
 @query("s12_json_codec")
 def _(spark, sf):
     return post_io.from_json_lines(post_io.to_json_lines(normalised(spark, sf))).select(post_out())
@@ -239,6 +270,13 @@ def _(spark, sf):
     return signals.prepared_posts(post_io.read_json_posts(spark, path)).select("post_id", *post_out(), "fingerprint")
 
 
+@query("s12_json_without_keys")
+def _(spark, sf):
+    """Records without keys, in files in order: the place of a line is its key, and first copies stay first."""
+    path = post_io.write_json_posts(normalised(spark, sf).orderBy("ingest_seq"), scratch_dir(spark, "lines"), keyed=False)
+    return signals.prepared_posts(post_io.read_json_posts(spark, path)).select(*post_out()[1:], "fingerprint")
+
+
 @query("s12_json_rejects")
 def _(spark, sf):
     rows = normalised(spark, sf)
@@ -253,12 +291,7 @@ def _(spark, sf):
 @query("s13_raw_capture_zone")
 def _(spark, sf):
     path = post_io.write_captures(views.captures(spark, sf), scratch_dir(spark, "raw"))
-    cards = post_io.read_captures(spark, path)
-    return cards.groupBy("hashtag").agg(
-        F.count(F.lit(1)).alias("cards"),
-        F.count("status_href").alias("with_status"),
-        F.count("time_attr").alias("with_time"),
-    )
+    return post_io.read_captures(spark, path)
 
 
 # Captured cards
@@ -398,6 +431,24 @@ def _(spark, sf):
     return each_quota(lambda n: capture.cap_total(cards, n))
 
 
+def cards_that_tie(spark, sf):
+    """Cards in lots of equal order; within a lot the last one comes first."""
+    lot, back = F.expr("ingest_seq div 64").alias("lot"), (-F.col("ingest_seq")).alias("back")
+    return views.captures(spark, sf).select("hashtag", "ingest_seq", lot, back)
+
+
+@query("r15_tied_quotas")
+def _(spark, sf):
+    cards = cards_that_tie(spark, sf)
+    return each_quota(lambda n: capture.cap_per_hashtag(cards, n, "lot", ["back"]))
+
+
+@query("r16_tied_caps")
+def _(spark, sf):
+    cards = cards_that_tie(spark, sf)
+    return each_quota(lambda n: capture.cap_total(cards, n, "lot", ["back"]))
+
+
 @query("r16_total_cap")
 def _(spark, sf):
     return capture.cap_total(capture.first_capture(parsed_cards(spark, sf)), 120).select("ingest_seq", "hashtag")
@@ -412,7 +463,7 @@ def _(spark, sf):
 def _(spark, sf):
     cards = views.captures(spark, sf)
     searches = [cards.filter(F.col("hashtag") == f"#{event_type}") for event_type in views.PHRASES]
-    return capture.union_captures(searches).groupBy("hashtag").agg(F.count(F.lit(1)).alias("cards"))
+    return capture.union_captures(searches).select("ingest_seq", "hashtag", "user_text")
 
 
 @query("r18_collect_posts")
@@ -575,6 +626,17 @@ def _(spark, sf):
     return dedup.deduplicate(normalised(spark, sf), known).select("post_id", "username")
 
 
+@query("d03_new_posts_by_ranges")
+def _(spark, sf):
+    """Known fingerprints come from two batches of a store, of which only matching ranges are read."""
+    store = dedup.FingerprintStore(spark, scratch_dir(spark, "fingerprints"), digits=1)
+    known = stored(views.known_hashes(spark, sf), "known")
+    low = F.substring("fingerprint", 2, 1) < "8"
+    for batch, part in ((0, low), (1, ~low)):
+        store.commit(known.filter(part), batch)
+    return store.new_posts(normalised(spark, sf), 2).select("post_id", "username")
+
+
 @query("d04_flag_known")
 def _(spark, sf):
     return dedup.flag_known(normalised(spark, sf), views.known_hashes(spark, sf)).select("post_id", "is_duplicate")
@@ -874,6 +936,13 @@ def _(spark, sf):
     return charts.posts_over_time(unique(spark, sf)).select(wall("hour"), "posts")
 
 
+@query("v01_wild_date")
+def _(spark, sf):
+    """One post lies decades after all others."""
+    wild = F.when(F.col("post_id") == 0, F.expr("TIMESTAMP'2051-01-01 00:30:00Z'")).otherwise(F.col("timestamp"))
+    return charts.posts_over_time(unique(spark, sf).withColumn("timestamp", wild)).select(wall("hour"), "posts")
+
+
 @query("v02_top_hashtags")
 def _(spark, sf):
     return charts.top_hashtags(unique(spark, sf))
@@ -959,3 +1028,16 @@ def _(spark, sf):
 def _(spark, sf):
     """Every post is emptied by cleaning; the summary is that of no posts."""
     return signals.signal_summary(views.posts(spark, sf).withColumn("content", F.lit(" https://x.example/a ")))
+
+
+@query("p04_job_batches")
+def _(spark, sf):
+    """Two batches through the job with kept fingerprints: posts of all runs."""
+    import job
+
+    root = scratch_dir(spark, "job")
+    rows, earlier = views.posts(spark, sf), F.col("timestamp") < views.batch_start()
+    for batch, part in ((0, earlier), (1, ~earlier)):
+        path = post_io.write_posts(rows.filter(part), f"{root}/in-{batch}")
+        job.main(["--input", path, "--known", f"{root}/known", "--batch", str(batch), "--output-dir", f"{root}/out", "--as-of", "2024-01-31"])
+    return runs.RunLog(spark, f"{root}/out/processed").posts().select("post_id", "username")

@@ -377,10 +377,7 @@ def oracle_sql() -> dict[str, str]:
         # sources and sinks
         "s01_scan_posts": q(f"SELECT {POST_OUT} FROM posts", "posts"),
         "s02_scan_normalised": q(f"SELECT {POST_OUT} FROM norm", "norm"),
-        "s03_write_batch": q(
-            "SELECT username, 2 * count(*) AS posts, CAST(2 * sum(likes) AS BIGINT) AS likes FROM norm GROUP BY username",
-            "norm",
-        ),
+        "s03_write_batch": q(f"SELECT {POST_OUT} FROM norm UNION ALL SELECT {POST_OUT} FROM norm", "norm"),
         "s04_cast_schema": """SELECT event_id AS post_id, 'u' || user_id AS username, ts AS "timestamp",
             CASE WHEN value < 90 THEN CAST(floor(value) AS BIGINT) END AS likes FROM events
             WHERE value >= 4 AND event_type <> 'error'""",
@@ -400,21 +397,19 @@ def oracle_sql() -> dict[str, str]:
             "SELECT keyword, round(score, 6) AS score FROM means ORDER BY round(means.score, 12) DESC, keyword LIMIT 10", "means"
         ),
         "s08_summary_json": q("SELECT * FROM summed", "summed"),
-        "s09_lake_by_date_and_hashtag": q(
-            'SELECT CAST("timestamp" AS DATE) AS "date", hashtag, count(*) AS posts, count(DISTINCT post_id) AS distinct_posts '
-            'FROM (SELECT "timestamp", post_id, unnest(hashtags) AS hashtag FROM uniq) GROUP BY 1, 2',
-            "uniq",
+        "s09_lake_by_date_and_hashtag": q(LAKE, "uniq"),
+        "s09_lake_in_batches": q(LAKE, "uniq"),
+        "s09_lake_of_one_hashtag": q(
+            f"SELECT hashtag, {POST_OUT} FROM (SELECT *, unnest(hashtags) AS hashtag FROM uniq) WHERE hashtag IN ('sensex', 'desk')", "uniq"
         ),
         "s10_sample_posts": _sample(),
         "s11_posts_or_sample": q(f"SELECT {POST_OUT} FROM norm", "norm"),
+        "s11_sample_where_empty": _sample().replace(" FROM events", " FROM (SELECT unnest(range((SELECT count(*) FROM events))) AS event_id)"),
+        "s12_json_without_keys": q(f"SELECT * EXCLUDE (ingest_seq) FROM (SELECT {POST_OUT}, fingerprint FROM uniq)", "uniq"),
         "s12_json_files": q(f"SELECT post_id, {POST_OUT}, fingerprint FROM uniq", "uniq"),
         "s12_json_codec": q(f"SELECT {POST_OUT} FROM norm", "norm"),
         "s12_json_rejects": q("SELECT post_id FROM norm WHERE likes >= 100", "norm"),
-        "s13_raw_capture_zone": q(
-            "SELECT hashtag, count(*) AS cards, count(status_href) AS with_status, count(time_attr) AS with_time "
-            "FROM cards GROUP BY hashtag",
-            "cards",
-        ),
+        "s13_raw_capture_zone": q("SELECT * FROM cards", "cards"),
         # captured cards
         "r01_handle": q("SELECT ingest_seq, username FROM card_fields", "card_fields"),
         "r02_card_time": q('SELECT ingest_seq, "timestamp" FROM card_fields', "card_fields"),
@@ -483,6 +478,16 @@ def oracle_sql() -> dict[str, str]:
             JOIN {QUOTAS} ON rn <= quota""",
             "cards",
         ),
+        "r15_tied_quotas": q(
+            f"""SELECT quota, ingest_seq, hashtag FROM (SELECT *, row_number() OVER (PARTITION BY hashtag ORDER BY ingest_seq // 64, -ingest_seq) AS rn
+            FROM cards) JOIN {QUOTAS} ON rn <= quota""",
+            "cards",
+        ),
+        "r16_tied_caps": q(
+            f"""SELECT quota, ingest_seq, hashtag FROM (SELECT *, row_number() OVER (ORDER BY ingest_seq // 64, -ingest_seq) AS rn
+            FROM cards) JOIN {QUOTAS} ON rn <= quota""",
+            "cards",
+        ),
         "r18_run_counts": q(
             "SELECT count(*) AS cards, count(DISTINCT ingest_key) AS unique_cards, count(*) - count(DISTINCT ingest_key) AS duplicates, "
             "count(DISTINCT ingest_key) AS saved FROM parsed",
@@ -490,9 +495,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "r16_total_cap": q("SELECT ingest_seq, hashtag FROM first_cards ORDER BY ingest_seq LIMIT 120", "first_cards"),
         "r16_large_cap": q("SELECT ingest_seq, hashtag FROM cards ORDER BY ingest_seq LIMIT 5000", "cards"),
-        "r17_union_searches": q(
-            "SELECT hashtag, count(*) AS cards FROM cards GROUP BY hashtag", "cards"
-        ),
+        "r17_union_searches": q("SELECT ingest_seq, hashtag, user_text FROM cards", "cards"),
         "r18_collect_posts": q(
             f"""SELECT ingest_seq, username, "timestamp", content, likes, replies, reposts,
             {joined("hashtags")} AS hashtags, {joined("mentions")} AS mentions FROM (
@@ -550,6 +553,12 @@ def oracle_sql() -> dict[str, str]:
             "WHERE NOT EXISTS (SELECT 1 FROM known k WHERE k.fingerprint = r.fingerprint)",
             "known",
         ),
+        "d03_new_posts_by_ranges": q(
+            "SELECT post_id, username FROM (SELECT * FROM raw_printed "
+            "QUALIFY row_number() OVER (PARTITION BY fingerprint ORDER BY ingest_seq) = 1) r "
+            "WHERE NOT EXISTS (SELECT 1 FROM known k WHERE k.fingerprint = r.fingerprint)",
+            "known",
+        ),
         "d04_flag_known": q(
             "SELECT post_id, (k.fingerprint IS NOT NULL) AS is_duplicate FROM raw_printed r "
             "LEFT JOIN known k ON k.fingerprint = r.fingerprint",
@@ -633,6 +642,12 @@ def oracle_sql() -> dict[str, str]:
             "(SELECT date_trunc('hour', \"timestamp\") AS h, count(*) AS n FROM uniq GROUP BY 1) ON h = hour",
             "uniq",
         ),
+        "v01_wild_date": q(
+            """, wild AS (SELECT date_trunc('hour', CASE WHEN post_id = 0 THEN TIMESTAMP '2051-01-01 00:30:00' ELSE "timestamp" END) AS h FROM uniq)
+            SELECT hour, coalesce(n, 0) AS posts FROM (SELECT unnest(generate_series(min(h), max(h), INTERVAL 1 HOUR)) AS hour FROM wild)
+            LEFT JOIN (SELECT h, count(*) AS n FROM wild GROUP BY 1) ON h = hour""",
+            "uniq",
+        ),
         "v02_top_hashtags": q(
             "SELECT '#' || tag AS hashtag, count(*) AS frequency FROM (SELECT unnest(hashtags) AS tag FROM uniq) "
             "GROUP BY 1 ORDER BY frequency DESC, hashtag LIMIT 10",
@@ -661,11 +676,19 @@ def oracle_sql() -> dict[str, str]:
             "means",
             "summed",
         ),
+        "p04_job_batches": q(
+            "SELECT post_id, username FROM printed QUALIFY "
+            "row_number() OVER (PARTITION BY fingerprint ORDER BY (\"timestamp\" >= TIMESTAMP '2024-01-10 00:00:00'), ingest_seq) = 1",
+            "printed",
+        ),
         "p03_nothing_left": q(summary("(SELECT * FROM sig WHERE false)"), "sig"),
     }
     return sql
 
 
+LAKE = """SELECT CAST("timestamp" AS DATE) AS "date", hashtag, count(*) AS posts, count(DISTINCT post_id) AS distinct_posts
+FROM (SELECT "timestamp", post_id, unnest(CASE WHEN likes % 5 = 0 OR len(hashtags) = 0 THEN [NULL] ELSE hashtags END) AS hashtag
+  FROM uniq) GROUP BY 1, 2"""
 QUOTAS = "(SELECT unnest([999, 1000, 1001, 7000]) AS quota)"
 CHART_ROWS = f"""
 SELECT 'posts_over_time' AS output, strftime(h, '%Y-%m-%d %H') AS item, CAST(coalesce(n, 0) AS DOUBLE) AS value

@@ -11,6 +11,19 @@ from chatterlens.operators.signal import rolling_summary
 from chatterlens.schema import POST_SCHEMA
 
 
+#: State on local disk with changes checkpointed, instead of all of it in the executors' heaps.
+STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
+def keep_state_on_disk(spark: SparkSession) -> None:
+    """For streams started from now on; a running stream, or one begun with another provider, keeps its own."""
+    for key, value in STATE_CONF.items():
+        spark.conf.set(key, value)
+
+
 def read_post_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
     reader = spark.readStream.schema(POST_SCHEMA)
     if max_files_per_trigger:
@@ -56,7 +69,11 @@ def rolling_signal_stream(
 def flush_stream(
     stream: DataFrame, spark: SparkSession, name: str, checkpoint: str, output_mode: str = "append"
 ) -> DataFrame:
-    """Run a stream over all input available now into a Parquet folder and read that back."""
+    """Run a stream over all input available now into a Parquet folder and read that back.
+
+    Called again with the same ``checkpoint`` it goes on where it stopped.
+    """
+    keep_state_on_disk(spark)
     target = f"{checkpoint.rstrip('/')}/{name}-out"
     query = (
         stream.writeStream.outputMode(output_mode)

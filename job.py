@@ -9,11 +9,11 @@ import sys
 from datetime import UTC, datetime
 
 from chatterlens.operators.capture import collect_posts
-from chatterlens.operators.dedup import FingerprintStore, with_fingerprint
+from chatterlens.operators.dedup import FingerprintStore
 from chatterlens.options import JobOptions
 from chatterlens.plans.signals import run
 from chatterlens.session import build_session
-from chatterlens.sources.posts import read_captures, read_json_posts, read_posts
+from chatterlens.sources.posts import from_json_lines, read_captures, read_json_lines, read_posts, rejected_json_lines
 from chatterlens.sources.sample import generate_posts, posts_or_sample
 
 log = logging.getLogger("chatterlens.job")
@@ -41,7 +41,7 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--cutoff-hours", type=int, default=None, help="oldest capture to take, in hours before --as-of")
     parser.add_argument("--as-of", type=datetime.fromisoformat, default=None, help="the run's now; default: wall clock")
     parser.add_argument("--output-dir", default=None)
-    parser.add_argument("--known", help="folder of fingerprints kept between runs; posts found there are left out")
+    parser.add_argument("--known", help="folder of fingerprints kept between runs; posts of earlier batches are left out")
     parser.add_argument("--batch", type=int, default=0, help="number of this run in --known; running it again is safe")
     parser.add_argument("--seen", help="Parquet folder with the status_id of cards that are not to be parsed again")
     return parser.parse_args(argv)
@@ -53,7 +53,7 @@ def options_from(args: argparse.Namespace) -> JobOptions:
         as_of = as_of.replace(tzinfo=UTC)
     given = {
         "output_dir": args.output_dir or os.environ.get("OUTPUT_DIR", "data"),
-        "cutoff_hours": args.cutoff_hours or int(os.environ.get("CUTOFF_HOURS", "168")),
+        "cutoff_hours": int(os.environ.get("CUTOFF_HOURS") or "168") if args.cutoff_hours is None else args.cutoff_hours,
         "seed": args.seed,
     }
     if args.max_tweets is not None:
@@ -66,6 +66,7 @@ def main(argv: list[str] | None = None) -> int:
     options = options_from(args)
     spark = build_session()
     made_up = options.max_posts or SAMPLE_POSTS
+    rejected_lines = None
     if args.sample:
         posts = generate_posts(spark, made_up, options.as_of, options.seed)
     elif args.captures:
@@ -75,7 +76,8 @@ def main(argv: list[str] | None = None) -> int:
             cards, list(options.search_hashtags), options.max_posts, options.as_of, options.cutoff_hours, seen
         )
     elif args.json:
-        posts = read_json_posts(spark, args.json)
+        lines = read_json_lines(spark, args.json)
+        posts, rejected_lines = from_json_lines(lines), rejected_json_lines(lines)
     elif args.input:
         posts = read_posts(spark, args.input)
     else:
@@ -83,10 +85,11 @@ def main(argv: list[str] | None = None) -> int:
     if args.sample_if_empty:
         posts = posts_or_sample(posts, made_up, options.as_of, options.seed)
     store = FingerprintStore(spark, args.known) if args.known else None
-    result = run(spark, posts, options, store.known(before_batch=args.batch) if store else None)
-    if store:
-        store.commit(with_fingerprint(read_posts(spark, result.posts_path)), args.batch)
-    log.info("finished: %s; %d duplicates, %s posts a second", result, result.duplicates, result.posts_per_second)
+    result = run(spark, posts, options, store, args.batch, rejected_lines)
+    log.info(
+        "finished: %s; %d duplicates, %d rejected lines, %s posts a second",
+        result, result.duplicates, result.rejected_lines, result.posts_per_second,
+    )
     return 0
 
 

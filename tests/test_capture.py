@@ -184,3 +184,62 @@ def test_first_n_is_exact_on_skewed_data(spark, n, by):
         expected = [(s, k) for k, v in groups.items() for s in sorted(v)[:n]]
     got = [(r.ingest_seq, r.k) for r in first_n(df, n, by, buckets=16).collect()]
     assert sorted(got, key=repr) == sorted(expected, key=repr)
+
+
+def in_order(row):
+    """Missing values first, NaN last."""
+    return tuple((0, 0) if v is None else (2, 0) if v != v else (1, v) for v in row)
+
+
+@pytest.mark.parametrize("n", [1, 700, 1200, 2500, 5200, 9000])
+@pytest.mark.parametrize("by", [None, "k"])
+@pytest.mark.parametrize("ranked_rows", [3, 100_000])
+def test_ties_are_settled_by_the_next_column(spark, n, by, ranked_rows):
+    """Few different values, missing, infinite and NaN ones; rows that tie in the second column too are alike."""
+    value = (
+        F.when(F.col("id") % 97 == 0, F.lit(None)).when(F.col("id") % 89 == 0, F.lit(float("nan")))
+        .when(F.col("id") % 83 == 0, F.lit(float("-inf"))).when(F.col("id") % 79 == 0, F.lit(float("inf")))
+        .when(F.col("id") % 3 == 0, F.lit(0.5)).otherwise(F.pmod(F.hash("id"), F.lit(5)).cast("double"))
+    )
+    df = spark.range(8000).select(
+        F.when(F.col("id") % 4 == 0, F.lit("b")).otherwise(F.lit("hot")).alias("k"),
+        value.alias("value"),
+        F.pmod(F.hash(F.col("id") + 1), F.lit(40)).alias("second"),
+        F.create_map(F.lit("a"), F.lit("b")).alias("unordered"),
+    )
+    rows, expected = [(r.value, r.second, r.k) for r in df.collect()], []
+    for k in ("b", "hot") if by else (None,):
+        mine = [r for r in rows if k is None or r[2] == k]
+        expected += sorted(mine, key=lambda r: in_order(r[:2]))[:n]
+    for parts in (1, 5):
+        got = first_n(df.repartition(parts), n, by, "value", ["second"], buckets=16, ranked_rows=ranked_rows)
+        assert got.columns == df.columns
+        got = [(r.value, r.second, r.k) for r in got.collect()]
+        if by is None:  # keys of rows that tie go by digest
+            got, want = [r[:2] for r in got], [r[:2] for r in expected]
+        else:
+            want = expected
+        assert sorted(map(repr, got)) == sorted(map(repr, want))
+
+
+def test_rows_that_tie_go_alike_in_every_partitioning(spark):
+    df = spark.range(4000).select((F.col("id") % 3).alias("ingest_seq"), F.col("id").alias("post_id"), F.concat(F.lit("t"), "id").alias("content"))
+    for n in (500, 1700):
+        got = [sorted(r.post_id for r in first_n(df.repartition(p), n, ranked_rows=50).collect()) for p in (1, 3, 7)]
+        assert len(got[0]) == n and got[0] == got[1] == got[2]
+
+
+def test_what_is_ranked_does_not_grow(spark):
+    """Of rows that all tie in the order column, a quota's end is ranked among few."""
+    from chatterlens.operators import ranking
+
+    for size in (20_000, 200_000):
+        places = spark.range(size).select(F.lit(0).alias("key"), F.lit(7).cast("bigint").alias("l0"), F.xxhash64("id").alias("l1"))
+        cut = ranking._cuts(places, size // 2, 64, 1000).collect()
+        assert [(c.l0, c.take, c.alike) for c in cut] == [(7, 1, 1)]
+        assert places.filter(F.col("l1") <= cut[0].l1).count() == size // 2
+
+
+def test_large_quotas_need_numbers(spark):
+    with pytest.raises(ValueError, match="numbers"):
+        first_n(spark.range(10).select(F.col("id").cast("string").alias("ingest_seq")), 2000)

@@ -13,6 +13,7 @@ from chatterlens.operators import dedup, signal
 from chatterlens.operators.normalize import conform, misfit_posts, normalise_posts
 from chatterlens.options import JobOptions
 from chatterlens.plans import signals
+from chatterlens.plans.runs import RunLog
 from chatterlens.schema import POST_SCHEMA
 from chatterlens.session import scratch_dir
 from chatterlens.sources import posts as io
@@ -55,6 +56,24 @@ def test_lake(spark, make_posts):
     assert lake.filter("hashtag = 'a'").first().date.isoformat() == "2024-01-01"
 
 
+def test_lake_of_batches_equals_one_of_all(spark, make_posts):
+    """The second batch runs twice, first with a post too many; made-up tags share folders."""
+    rows = [{"hashtags": [f"t{i}", "hot", "~3" if i % 2 else "~none"][: i % 4]} for i in range(120)]
+    posts = make_posts(*rows)
+    path = scratch_dir(spark, "lake")
+    for batch, part in ((0, "post_id < 50"), (1, "post_id >= 49"), (1, "post_id >= 50")):
+        io.write_lake(posts.filter(part), path, batch, own_folders=3, shared_folders=4)
+    whole = io.read_lake(spark, io.write_lake(posts, scratch_dir(spark, "lake"), own_folders=3, shared_folders=4))
+    lake = io.read_lake(spark, path)
+    key = lambda r: (r.post_id, r.hashtag or "", str(r.date), r.content)
+    assert sorted(map(key, lake.collect())) == sorted(map(key, whole.collect()))
+    assert lake.select("batch", "date", "folder").distinct().count() <= 2 * (3 + 4 + 1)
+    for tag in ("hot", "t7", "~3", "nowhere"):
+        got = io.read_lake(spark, path, tag, shared_folders=4)
+        assert sorted(map(key, got.collect())) == sorted(key(r) for r in lake.filter(F.col("hashtag") == tag).collect())
+        assert got.select(F.input_file_name()).distinct().count() <= 4
+
+
 def test_json_codec(spark, make_posts):
     posts = normalise_posts(make_posts({"content": 'q " ü', "hashtags": ["#A"], "timestamp": datetime(2024, 1, 1, 1, 2, 3, 4000, tzinfo=UTC)}))
     lines = io.to_json_lines(posts)
@@ -150,16 +169,90 @@ def test_run_counts(spark, make_posts):
     assert done.posts_per_second > 0 and spark.read.parquet(done.rejected_path).count() == 1
 
 
-def test_job_keeps_fingerprints_between_runs(spark, make_posts):
+def test_batches_with_known_fingerprints_keep_all_posts(spark, make_posts):
     root = scratch_dir(spark, "job")
     posts = normalise_posts(make_posts({"content": "a"}, {"content": "b"}, {"content": "c"}))
     io.write_json_posts(posts.filter("content <> 'c'"), f"{root}/one")
     io.write_json_posts(posts.filter("content <> 'a'"), f"{root}/two")
-    for batch, name, want in ((0, "one", ["a", "b"]), (1, "two", ["c"]), (1, "two", ["c"])):
-        out = f"{root}/out-{name}"
-        args = ["--json", f"{root}/{name}", "--known", f"{root}/known", "--batch", str(batch), "--output-dir", out]
+    log = RunLog(spark, f"{root}/out/processed")
+    for batch, name, new in ((0, "one", ["a", "b"]), (1, "two", ["c"]), (1, "two", ["c"])):
+        args = ["--json", f"{root}/{name}", "--known", f"{root}/known", "--batch", str(batch), "--output-dir", f"{root}/out"]
         assert job.main(args) == 0
-        assert sorted(r.content for r in io.read_posts(spark, f"{out}/processed/posts").collect()) == want
+        assert sorted(r.content for r in io.read_posts(spark, f"{log.latest()}/posts").collect()) == new
+    assert sorted(r.content for r in log.posts().collect()) == ["a", "b", "c"]
+    assert dedup.FingerprintStore(spark, f"{root}/known").known().count() == 3
+
+
+def test_a_lost_run_leaves_the_earlier_one(spark, make_posts, monkeypatch):
+    """Lost between outputs, and lost after the log but before the fingerprints."""
+    options = JobOptions(scratch_dir(spark, "run"), NOW, 24)
+    store, log = dedup.FingerprintStore(spark, f"{options.output_dir}/known"), RunLog(spark, options.processed_dir)
+    first, second = make_posts({"content": "a"}), make_posts({"content": "a"}, {"content": "b"})
+    done = signals.run(spark, first, options, store, 0)
+
+    def lost(*_):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(signals, "summarise", lost)
+    with pytest.raises(RuntimeError):
+        signals.run(spark, second, options, store, 1)
+    monkeypatch.undo()
+    assert log.latest() == done.run_path and spark.read.json(f"{log.latest()}/signal_summary").first().total_tweets == 1
+    assert [r.content for r in log.posts().collect()] == ["a"]
+
+    monkeypatch.setattr(dedup.FingerprintStore, "commit", lost)
+    with pytest.raises(RuntimeError):
+        signals.run(spark, second, options, store, 1)
+    monkeypatch.undo()
+    third = signals.run(spark, second, options, store, 2)
+    assert third.unique == 0 and store.batches() == {0, 1, 2}
+    assert sorted(r.content for r in log.posts().collect()) == ["a", "b"]
+
+
+def test_rejected_lines_are_written_and_counted(spark, tmp_path, caplog):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.json").write_text('{"timestamp": "2024-01-01T00:00:00Z", "content": "x"}\n{"timestamp": "soon"}\nno json\n')
+    assert job.main(["--json", str(tmp_path / "in"), "--output-dir", str(tmp_path / "out")]) == 0
+    run_path = RunLog(spark, str(tmp_path / "out" / "processed")).latest()
+    rows = spark.read.parquet(f"{run_path}/rejected_lines").orderBy("line").collect()
+    assert [(r.line, r.value) for r in rows] == [(1, '{"timestamp": "soon"}'), (2, "no json")] and rows[0].file.endswith("a.json")
+    assert io.read_posts(spark, f"{run_path}/posts").count() == 1
+
+
+def test_lines_keep_their_keys_however_files_are_split(spark, tmp_path, monkeypatch):
+    """Copies without keys: the same one is first for every partitioning."""
+    (tmp_path / "in").mkdir()
+    for name, k in (("b", 0), ("a", 1), ("c", 2)):
+        lines = [json.dumps({"username": f"u{i % 40}", "timestamp": "2024-01-01T00:00:00Z", "content": f"t{i % 11}", "likes": 7 * i + k}) for i in range(1500 + k)]
+        (tmp_path / "in" / f"{name}.json").write_text("\n".join(lines) + "\n")
+    results_ = []
+    for size in ("128m", "40k", "9k", "701"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", "1k")
+        try:
+            rows = io.read_json_lines(spark, str(tmp_path / "in"))
+            keys = {(r.file[-6:], r.line): (r.line_key, r.value) for r in rows.collect()}
+            unique = dedup.deduplicate(io.read_json_posts(spark, str(tmp_path / "in")))
+            results_.append((keys, sorted((r.ingest_seq, r.post_id, r.fingerprint, r.likes) for r in unique.collect())))
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert all(r == results_[0] for r in results_)
+    assert len(results_[0][0]) == 4503 and len(results_[0][1]) == 440
+    assert {k[0]: v[0] >> 40 for k, v in results_[0][0].items()} == {"a.json": 0, "b.json": 1, "c.json": 2}
+    assert all(r[3] % 7 == 1 for r in results_[0][1])  # all from the first file by name
+
+
+def test_copies_without_keys_are_told_apart_by_their_columns(make_posts):
+    posts = make_posts(*[{"ingest_seq": None, "likes": n} for n in (891, 30, 718, 119)])
+    got = {dedup.deduplicate(posts.repartition(p)).first().likes for p in (1, 2, 3, 4)}
+    assert got == {30}
+
+
+def test_cutoff_of_nothing_is_refused():
+    with pytest.raises(ValueError, match="cutoff_hours"):
+        job.options_from(job.parse_args(["--cutoff-hours", "0"]))
+    assert job.options_from(job.parse_args([])).cutoff_hours == 168
 
 
 def test_run_on_nothing_leaves_empty_tables(spark):
@@ -190,6 +283,20 @@ def test_streaming_dedup_and_exact_store(spark, make_posts):
     assert spark.read.parquet(f"{root}/exact").count() == 3 and store.known().count() == 3
 
 
+def test_streams_go_on_where_they_stopped(spark, make_posts):
+    """Stopped, given more files and started again: equal to the batch, with state in RocksDB."""
+    root = scratch_dir(spark, "restart")
+    parts = [make_posts({"username": "a"}, {"username": "b"}, {"username": "A"}), make_posts({"username": "b"}, {"username": "c"}, {"username": "d"})]
+    for part in parts:
+        io.write_posts(part, f"{root}/in", mode="append")
+        stream = stateful.deduplicate_stream(stateful.read_post_stream(spark, f"{root}/in"), "60 days").select("fingerprint")
+        got = stateful.flush_stream(stream, spark, "d", root)
+    want = dedup.deduplicate(parts[0].unionByName(parts[1]))
+    assert sorted(r.fingerprint for r in got.collect()) == sorted(r.fingerprint for r in want.collect())
+    state = [os.path.join(d, f) for d, _, names in os.walk(f"{root}/d-state/state") for f in names]
+    assert any(f.endswith((".changelog", ".zip")) for f in state) and not any(f.endswith(".delta") for f in state)
+
+
 def test_rolling_stream_equals_batch(spark):
     root = scratch_dir(spark, "rolling")
     rows = spark.range(200).select(

@@ -157,3 +157,37 @@ def test_bad_arguments(spark):
         kw.fit(corpus(spark), 0)
     with pytest.raises(ValueError):
         kw.with_terms(corpus(spark), ngram_range=(2, 1))
+
+
+def test_most_frequent_terms_whatever_the_hashes(spark, monkeypatch):
+    """Few numbers for many terms: bounds are loose, the result is the same."""
+    docs = spark.range(600).select(F.col("id").alias("post_id"), F.array_join(F.transform(F.sequence(F.lit(1), F.lit(12)), lambda i: F.concat(F.lit("w"), F.pmod(F.hash(F.col("id") * i), i * i + 3))), " ").alias("content"))
+    rows = [r.content for r in docs.collect()]
+    for buckets in (2, 64, 1 << 20):
+        monkeypatch.setattr(kw, "TERM_BUCKETS", buckets)
+        for k, min_df in ((5, 1), (40, 1), (40, 25), (100_000, 2)):
+            got = kw.vocabulary(docs, k, min_df).collect()
+            total, df = Counter(), Counter()
+            for t in rows:
+                total.update(python_terms(t))
+                df.update(set(python_terms(t)))
+            want = sorted((t for t in total if df[t] >= min_df), key=lambda t: (-total[t], t))[:k]
+            assert [(r.term, r.total, r.df) for r in got] == [(t, total[t], df[t]) for t in want]
+
+
+def test_rare_terms_are_not_counted_one_by_one(spark, monkeypatch):
+    """Every document has words of its own: exact counts cover some hundred terms of 60,000."""
+    common = F.concat(F.lit("c"), F.pmod(F.col("id"), F.lit(9)).cast("string"))
+    docs = spark.range(20_000).select(F.col("id").alias("post_id"), F.concat_ws(" ", common, common, F.concat(F.lit("u"), "id"), F.concat(F.lit("v"), "id")).alias("content"))
+    seen = []
+    stored = kw._stored
+    monkeypatch.setattr(kw, "_stored", lambda df, label: seen.append((label, stored(df, label))) or seen[-1][1])
+    model = kw.fit(docs, 8)
+    assert {r.total for r in model.table.collect()} == {4444, 4446} and model.n_terms == 8
+    assert sum(df.count() for label, df in seen if label == "terms") < 3_000
+
+
+def test_scores_make_no_array_of_the_vocabulary(spark, capsys):
+    kw.fit(corpus(spark), 10).transform(corpus(spark)).explain()
+    plan = capsys.readouterr().out
+    assert "vector_to_array" not in plan and "vectorToArray" not in plan and "UDF" in plan

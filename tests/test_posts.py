@@ -105,6 +105,39 @@ def test_store_survives_a_repeated_batch(spark, make_posts):
     assert store.known(before_batch=1).count() == 2
 
 
+def prints(spark, first, last):
+    return spark.range(first, last).select(F.sha2(F.col("id").cast("string"), 256).alias("fingerprint"))
+
+
+def test_a_batch_reads_only_matching_ranges(spark):
+    """1 % of the history as new posts, and seven known ones: files of their ranges and few others are read."""
+    store = dedup.FingerprintStore(spark, scratch_dir(spark, "store"))
+    store.commit(prints(spark, 0, 60_000), 0)
+    store.commit(prints(spark, 60_000, 100_000), 1)
+    known = prints(spark, 10, 15).unionByName(prints(spark, 70_000, 70_002))
+    asked = prints(spark, 500_000, 501_000).unionByName(known)
+    ranges = store.matching_ranges(asked)
+    hit = {(b, r) for b, rs in ranges.items() for r in rs}
+    must = {(0, r.r) for r in prints(spark, 10, 15).selectExpr("left(fingerprint, 2) r").collect()}
+    must |= {(1, r.r) for r in prints(spark, 70_000, 70_002).selectExpr("left(fingerprint, 2) r").collect()}
+    assert must <= hit and len(hit) <= 30
+    read = store.known_among(asked)
+    files = {r.f for r in read.select(F.input_file_name().alias("f")).distinct().collect()}
+    folders = {(int(f.split("batch=")[1][0]), f.split("range=")[1][:2]) for f in files}
+    assert folders <= hit and len(files) <= 30 < 512
+    assert sorted(r.fingerprint for r in asked.join(read, "fingerprint").collect()) == sorted(r.fingerprint for r in known.collect())
+    assert set(store.matching_ranges(known, before_batch=1)) == {0}
+
+
+def test_a_store_keeps_its_ranges(spark):
+    path = scratch_dir(spark, "store")
+    dedup.FingerprintStore(spark, path, digits=1).commit(prints(spark, 0, 100), 0)
+    store = dedup.FingerprintStore(spark, path, digits=3)
+    assert store.digits == 1 and store.batches() == {0}
+    asked = prints(spark, 90, 110)
+    assert asked.join(store.known_among(asked), "fingerprint").count() == 10
+
+
 def test_features(make_posts):
     posts = make_posts(
         {"content": "bull bull bear", "likes": 2, "reposts": 2, "replies": 1, "hashtags": ["a"], "mentions": ["b", "c"]},

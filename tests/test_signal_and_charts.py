@@ -70,6 +70,34 @@ def test_hours_are_filled(make_posts):
     assert charts.posts_over_time(posts.filter("false")).count() == 0
 
 
+def test_a_long_span_is_filled_by_several_tasks(spark, make_posts):
+    posts = make_posts({}, {"timestamp": datetime(2044, 1, 1, tzinfo=UTC)}, {"timestamp": None})
+    hours = charts.posts_over_time(posts)
+    by_task = hours.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()
+    total = sum(r.n for r in by_task)
+    assert total == 20 * 8766 + 1 and len(by_task) >= 4 and max(r.n for r in by_task) <= total // 2
+    assert hours.filter("posts > 0").count() == 2 and hours.select("hour").distinct().count() == total
+
+
+def test_rolling_windows_merge_panes(spark, capsys):
+    """A slide that does not divide the length, values of one sign, none and not a number; posts are counted once."""
+    rows = spark.range(400).select(
+        F.timestamp_seconds(F.lit(1_704_067_200) + F.col("id") * 131).alias("timestamp"),
+        F.when(F.col("id") % 50 < 30, F.sin("id") * 1e6 + 1e9).when(F.col("id") % 50 < 40, F.lit(float("nan"))).alias("weighted_signal"),
+    )
+    got = signal.rolling_summary(rows, "50 minutes", "20 minutes")
+    got.explain()
+    plan = capsys.readouterr().out
+    assert "Expand" not in plan[plan.rindex("partial_avg") :]  # nothing is multiplied below the first count
+    direct = signal.summarise(rows, [F.window("timestamp", "50 minutes", "20 minutes")])
+    want = direct.select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), *[c for c in direct.columns if c != "window"])
+    a, b = (sorted(map(tuple, df.collect())) for df in (got, want))
+    assert len(a) == len(b) > 20
+    for x, y in zip(a, b):
+        assert x[:3] == y[:3] and x[7] == y[7] and x[9:] == y[9:]
+        assert [float(v) for v in x[3:7]] == pytest.approx([float(v) for v in y[3:7]], rel=1e-9, abs=1e-2)
+
+
 def test_top_hashtags(make_posts):
     posts = make_posts({"hashtags": ["a", "b"]}, {"hashtags": ["b", ""]}, {"hashtags": ["c"]})
     rows = charts.top_hashtags(posts, 2).collect()

@@ -106,6 +106,17 @@ def test_cleaning_is_idempotent_on_plain_text(spark):
     assert column(spark, once, clean_text) == once
 
 
+def test_common_entities_need_no_python(spark):
+    """Entities alone, side by side, doubled, cut short and unknown; only some texts are sent to Python."""
+    texts = [
+        "a &amp; b &lt;i&gt; &quot;q&quot; &#39;s&apos;", "&amp;lt; &amp;amp;", "&copy;&middot;&mdash;&euro;", "no entity & none",
+        "&&amp;lt;", "&amp &ampx; &lt", "&nbsp;&eacute;&#x41;&#8364;", "&a&amp;mp;", "&AMP; &Lt;", "&notit; &amp;notit;", None, "",
+    ]
+    assert column(spark, texts, unicode.unescape_html) == [None if t is None else html.unescape(t) for t in texts]
+    asked = column(spark, texts, unicode.may_hold_rare_entity)
+    assert asked == [False] * 4 + [True] * 6 + [None, False]
+
+
 def test_each_text_is_cleaned_once(spark, make_posts, capsys):
     """The drop of empty posts must not be pushed below the cleaning and repeat it."""
     clean_posts(make_posts({})).explain()
