@@ -108,7 +108,7 @@ class FingerprintStore:
         return self._digits or self._new_digits
 
     def batches(self) -> set[int]:
-        """Numbers of the batches whose fingerprints are stored."""
+        """Numbers of the batches that have fingerprints."""
         rows = self._fingerprints(None)
         return set() if rows is None else {r["batch"] for r in rows.select("batch").distinct().collect()}
 

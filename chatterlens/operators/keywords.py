@@ -24,8 +24,9 @@ from chatterlens.session import scratch_dir
 
 # Vocabularies up to this many terms live in the driver and in every task.
 ROW_LOCAL_TERMS = 2_000
-# Numbers that terms are hashed to when the most frequent ones are looked for.
-TERM_BUCKETS = 1 << 20
+# Numbers that terms are hashed to when the most frequent ones are looked for: at least so many, and so many a term
+# that is wanted, so that what rare terms add up to on a number stays below the wanted terms.
+TERM_BUCKETS, BUCKETS_A_TERM = 1 << 16, 64
 SETTINGS = "n_docs bigint, ngram_range array<int>, stop_words array<string>"
 
 
@@ -82,8 +83,10 @@ def term_counts(df: DataFrame, keys: Sequence[str] = ("post_id",)) -> DataFrame:
     return occurrences(df, keys).groupBy(*keys, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
-def term_statistics(df: DataFrame, keys: Sequence[str] = (), among: DataFrame | None = None) -> DataFrame:
-    """Corpus total and document frequency per term, or per term whose hash is in ``among`` (a stored table).
+def term_statistics(
+    df: DataFrame, keys: Sequence[str] = (), among: DataFrame | None = None, buckets: int = TERM_BUCKETS
+) -> DataFrame:
+    """Corpus total and document frequency per term, or per term whose hash is in ``among``.
 
     Terms are sorted inside the row and laid beside their predecessors: a term unlike its predecessor is
     the first of its document. Both counts then come from one partial aggregation by term, without a
@@ -96,15 +99,15 @@ def term_statistics(df: DataFrame, keys: Sequence[str] = (), among: DataFrame |
     first = ~F.col("term").eqNullSafe(F.col("before"))
     each = ordered.select(*keys, F.inline(pairs))
     if among is not None:
-        each = each.withColumn("bucket", _bucket(F.col("term"))).join(among, "bucket")
+        each = each.withColumn("bucket", _bucket(F.col("term"), buckets)).join(among, "bucket")
     return (
         each.groupBy(*keys, "term")
         .agg(F.count(F.lit(1)).alias("total"), F.count_if(first).alias("df"))
     )
 
 
-def _bucket(term: Column) -> Column:
-    return F.pmod(F.xxhash64(term), F.lit(TERM_BUCKETS)).cast("int")
+def _bucket(term: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
 
 
 def _stored(df: DataFrame, label: str) -> DataFrame:
@@ -121,23 +124,30 @@ def most_frequent_terms(prepared: DataFrame, n: int, min_df: int = 1) -> tuple[D
     numbers are counted exactly; the n-th best of them is a lower bound. A number below it holds no term of the
     result, so only the terms of the remaining ones are counted too, which is seldom any.
     """
+    spark, buckets = prepared.sparkSession, max(TERM_BUCKETS, BUCKETS_A_TERM * n)
+
+    def kept(df: DataFrame, schema: str) -> DataFrame:
+        """A result of some n rows: in the driver if n is small, else stored."""
+        return spark.createDataFrame(df.collect(), schema) if n <= ROW_LOCAL_TERMS else _stored(df, "terms")
+
     marked = F.explode(F.concat("terms", F.array(F.lit(None).cast("string")))).alias("term")
-    hashed = prepared.select(marked).groupBy(F.when(F.col("term").isNull(), -1).otherwise(_bucket(F.col("term"))).alias("bucket"))
+    hashed = prepared.select(marked).groupBy(F.when(F.col("term").isNull(), -1).otherwise(_bucket(F.col("term"), buckets)).alias("bucket"))
     sums = _stored(hashed.agg(F.count(F.lit(1)).alias("most")), "term-hashes")
-    counted = _stored(sums.filter("bucket >= 0").orderBy(F.desc("most"), "bucket").limit(4 * n), "term-hashes")
-    head = sums.filter("bucket = -1").select(F.col("most").alias("n_docs")).first()
-    exact, taken = None, counted
+    first = kept(sums.orderBy(F.col("bucket") >= 0, F.desc("most"), "bucket").limit(4 * n + 1), "bucket int, most bigint")
+    head = first.filter("bucket = -1").select(F.col("most").alias("n_docs")).first()
+    taken, counted, best = first.filter("bucket >= 0"), first, None
+    schema, order = "term string, total bigint, df bigint", (F.desc("total"), F.asc("term"))
     while not taken.isEmpty():
-        part = _stored(term_statistics(prepared, among=taken.select("bucket")).filter(F.col("df") >= min_df), "terms")
-        exact = part if exact is None else exact.unionByName(part)
-        last = exact.orderBy(F.desc("total"), F.asc("term")).limit(n).agg(F.count(F.lit(1)).alias("n"), F.min("total").alias("least")).first()
+        exact = term_statistics(prepared, (), taken.select("bucket"), buckets).filter(F.col("df") >= min_df)
+        some = kept(exact.orderBy(*order).limit(n), schema)
+        best = some if best is None else kept(best.unionByName(some).orderBy(*order).limit(n), schema)
+        last = best.agg(F.count(F.lit(1)).alias("n"), F.min("total").alias("least")).first()
         bound = last["least"] if last["n"] == n else 0
-        rest = sums.filter((F.col("bucket") >= 0) & (F.col("most") >= bound)).join(counted.select("bucket"), "bucket", "left_anti")
-        taken = _stored(rest, "term-hashes")
-        counted = counted.unionByName(taken)
-    if exact is None:
-        exact = prepared.sparkSession.createDataFrame([], "term string, total bigint, df bigint")
-    return exact.orderBy(F.desc("total"), F.asc("term")).limit(n), head["n_docs"] if head else 0
+        taken = sums.filter(F.col("most") >= bound).join(counted.select("bucket"), "bucket", "left_anti")
+        if not taken.isEmpty():
+            taken = _stored(taken, "term-hashes")
+            counted = counted.select("bucket").unionByName(taken.select("bucket"))
+    return (spark.createDataFrame([], schema) if best is None else best), head["n_docs"] if head else 0
 
 
 def normalised_scores(counted: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -309,10 +319,6 @@ def fit(
     prepared = with_terms(documents(df.select(text), text), text, ngram_range, stop_words)
     counted, n_docs = most_frequent_terms(prepared, max_features, min_df)
     settings = (tuple(ngram_range), tuple(stop_words))
-    if max_features <= ROW_LOCAL_TERMS:
-        counted = df.sparkSession.createDataFrame(counted.collect(), "term string, total bigint, df bigint")
-    else:
-        counted = _stored(counted, "vocabulary")
     table = counted.select("term", "total", "df", smoothed_idf(F.lit(n_docs), F.col("df")).alias("idf"))
     return _model(table, n_docs, *settings)
 

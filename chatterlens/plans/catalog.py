@@ -214,7 +214,7 @@ def lake_counts(lake):
 
 @query("s09_lake_by_date_and_hashtag")
 def _(spark, sf):
-    path = post_io.write_lake(with_untagged(unique(spark, sf)), scratch_dir(spark, "lake"))
+    path = post_io.write_lake(stored(with_untagged(unique(spark, sf)), "unique"), scratch_dir(spark, "lake"))
     return lake_counts(post_io.read_lake(spark, path))
 
 

@@ -51,7 +51,7 @@ def write_lake(
 
     The batch's most frequent hashtags have folders of their own, the others share some, so folders are bounded
     whatever tags people make up. Only the folders that a batch fills are written; running a batch again replaces
-    what it wrote, also where the batch has other posts now. The rebalance hint gathers each folder's rows into few
+    what it wrote, also where the batch has other posts now. ``df`` is read twice, so it should be a table. The rebalance hint gathers each folder's rows into few
     files and lets AQE split a folder that holds far more than the others.
     """
     spark = df.sparkSession
