@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from chatterlens.llm._rows import kept_names, packed, unpacked
 from chatterlens.llm._tables import utf8
 
 WINDOW = 13
@@ -165,16 +166,24 @@ def benchmark_blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[list[tu
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """All columns of `docs` and a struct `match`: n_words, n_hit, longest_match (words), cover (bits of hit
+    """All columns of `docs` (but one named `match`) and a struct `match`: n_words, n_hit, longest_match (words), cover (bits of hit
     words), items (sorted ids), places (length in words, item, first word in item and text of each verbatim match of
     at least `width` words or a whole shorter item, as long as it goes) and contaminated (at least one and at least a
     twentieth of the words hit). longest_match also counts matches of fewer words than `width`.
 
     Null and empty texts have no words; an item without words matches nothing, and a null item id counts as
-    empty text. Equal items both count. No shuffle; memory is one Arrow batch and one benchmark block.
+    empty text. Equal items both count, and so do repeated rows; an empty table gives an empty result. No shuffle.
+    All blocks are searched in one pass, so a task holds one Arrow batch and every benchmark block.
     """
+    rows = _matched(docs, ("match",), benchmark, width, block_bytes)
+    return rows.select(*unpacked(docs, "d", "match"), "match")
+
+
+def _matched(docs: DataFrame, results: tuple[str, ...], benchmark: DataFrame, width: int, block_bytes: int) -> DataFrame:
+    """d, match."""
     spark = docs.sparkSession
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("d"), F.lit(None).cast(
+    field = f"c{kept_names(docs, *results).index('text')}"
+    rows = docs.select(packed(docs, *results).alias("d"), F.lit(None).cast(
         "struct<" + ", ".join(p.replace(" ", ":", 1) for p in SCAN.split(", ")) + ">").alias("m"))
 
     for block in benchmark_blocks(benchmark, block_bytes):
@@ -199,14 +208,15 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, bl
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, kind)], names=["d", "m"])
 
         schema = rows.schema
-        text = F.coalesce(F.col("d.text"), F.lit("")).cast("binary").alias("t") if "text" in docs.columns else F.lit(b"").alias("t")
+        text = F.coalesce(F.col("d").getField(field), F.lit("")).cast("binary").alias("t")
         rows = rows.select("d", "m", text).mapInArrow(scan, schema)
     return rows.select(
-        "d.*",
+        "d",
         F.struct("m.*", F.expr("m.n_hit > 0 and 20 * m.n_hit >= m.n_words").alias("contaminated")).alias("match"),
     )
 
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The clean rows, with their own columns only."""
-    return contamination(docs, benchmark).where("not match.contaminated").drop("match")
+    """The clean rows, with their own columns only, whatever they are called."""
+    rows = _matched(docs, (), benchmark, WINDOW, BLOCK_BYTES).where("not match.contaminated")
+    return rows.select(*unpacked(docs, "d"))

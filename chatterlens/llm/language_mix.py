@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from chatterlens.llm._rows import packed, unpacked
 from chatterlens.llm._tables import fold, utf8
 
 BUCKETS = 1 << 14
@@ -97,11 +98,12 @@ def mixture(likely: np.ndarray, n: np.ndarray, penalty: float = PENALTY) -> tupl
 
 
 def identify(docs: DataFrame) -> DataFrame:
-    """All columns of `docs` and a struct `language`: lang_pred, score (its share of the text), and the set
+    """All columns of `docs` (but one named `language`) and a struct `language`: lang_pred, score (its share of the text), and the set
     `langs` with `shares`.
 
     Null texts and texts without a letter are `und` with score 0, as is everything if nothing can be learned.
-    Rows are judged one by one. The model is BUCKETS numbers a language.
+    Rows are judged one by one, so repeated rows get equal results; among equal shares the language that comes first in
+    order goes first. An empty table gives an empty result. The model is BUCKETS numbers a language.
     """
     langs, model = learn(docs)
     shared = docs.sparkSession.sparkContext.broadcast((langs, model))
@@ -123,6 +125,6 @@ def identify(docs: DataFrame) -> DataFrame:
             out = [dict(zip(names, judge(t or b"", langs, model))) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, kinds)], names=["d", "language"])
 
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("d"), utf8().alias("t"))
+    rows = docs.select(packed(docs, "language").alias("d"), utf8().alias("t"))
     fields = kind.replace(" ", ":").replace(",:", ", ")
-    return rows.mapInArrow(predict, f"d {rows.schema['d'].dataType.simpleString()}, language struct<{fields}>").select("d.*", "language")
+    return rows.mapInArrow(predict, f"d {rows.schema['d'].dataType.simpleString()}, language struct<{fields}>").select(*unpacked(docs, "d", "language"), "language")

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from chatterlens.llm._rows import packed, unpacked
 from chatterlens.llm._tables import WORD
 
 GOLDEN = 0.6180339887498949
@@ -177,15 +178,13 @@ def repeated(docs: DataFrame) -> DataFrame:
     """`docs` as whole documents in the mix: each as often as the words taken of it make up its size, rounded.
 
     Documents without words are not part of the mix. Rows with one id and text share the average of their counts.
+    Columns may have any names; an empty table gives an empty result.
     """
     rows, _ = mixed(docs)
     times = rows.groupBy("doc_id", "h").agg((F.sum("taken") / F.greatest(F.sum("size"), F.lit(1))).alias("share")).select(
         F.col("doc_id").alias("times_id"), F.col("h").alias("times_h"), F.round("share").cast("int").alias("times")
     )
-    h = F.xxhash64(F.lit(20240131), "doc_id", "text")
-    return (
-        docs.join(times, h.eqNullSafe(F.col("times_h")) & F.col("doc_id").eqNullSafe(F.col("times_id")))
-        .where("times > 0")
-        .select(*[F.col(f"`{c}`") for c in docs.columns], F.explode(F.sequence(F.lit(1), F.col("times"))).alias("_copy"))
-        .drop("_copy")
-    )
+    whole = docs.select(packed(docs).alias("row"), "doc_id", F.xxhash64(F.lit(20240131), "doc_id", "text").alias("h"))
+    matched = whole.join(times, F.col("h").eqNullSafe(F.col("times_h")) & F.col("doc_id").eqNullSafe(F.col("times_id")))
+    copies = matched.where("times > 0").select("row", F.explode(F.sequence(F.lit(1), F.col("times"))).alias("copy"))
+    return copies.select(*unpacked(docs, "row"))

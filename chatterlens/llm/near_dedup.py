@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from chatterlens.llm._components import components
 from chatterlens.llm._hash import mixed, runs, word_numbers
+from chatterlens.llm._rows import packed, unpacked
 from chatterlens.llm._tables import numbered, store
 
 COORDINATES = 64
@@ -244,7 +245,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
 
 
 def first_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of `docs` that are first of their component, with their own columns only.
+    """The rows of `docs` that are first of their component, with their own columns only, whatever they are called.
 
     Rows equal in id and text are one document: one of them stays.
     """
@@ -252,6 +253,9 @@ def first_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFra
     if docs.where("doc_id is null").limit(1).count() or docs.groupBy("doc_id").count().where("count > 1").limit(1).count():
         slim = numbered(docs.select("doc_id", "text")).select(F.col("doc_id").alias("_id"), F.col("rid").alias("_rid"), F.xxhash64("text").alias("_digest")).distinct()
         keys = slim.join(kept.select(F.col("rid").alias("_rid")).distinct(), "_rid")
-        once = docs.withColumn("_digest_of", F.xxhash64(F.coalesce("text", F.lit("")).cast("binary"))).dropDuplicates(["doc_id", "_digest_of"])
-        return once.join(keys, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_digest_of") == F.col("_digest")), "left_semi").drop("_digest_of")
-    return docs.join(kept.select(F.col("doc_id").alias("_id")), F.col("doc_id") == F.col("_id"), "left_semi")
+        digest = F.xxhash64(F.coalesce("text", F.lit("")).cast("binary"))
+        once = docs.select(packed(docs).alias("row"), "doc_id", digest.alias("digest")).dropDuplicates(["doc_id", "digest"])
+        some = once.join(keys, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("digest") == F.col("_digest")), "left_semi")
+        return some.select(*unpacked(docs, "row"))
+    whole = docs.select(packed(docs).alias("row"), "doc_id")
+    return whole.join(kept.select(F.col("doc_id").alias("_id")), F.col("doc_id") == F.col("_id"), "left_semi").select(*unpacked(docs, "row"))

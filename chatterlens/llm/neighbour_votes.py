@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from chatterlens.llm._rows import packed, unpacked
 from chatterlens.llm._tables import fold, utf8
 
 HASHED = 1 << 12
@@ -114,13 +115,14 @@ def votes(x: np.ndarray, model: dict, neighbours: int = NEIGHBOURS) -> np.ndarra
 
 
 def score(docs: DataFrame, labels: DataFrame, most: int = MAX_LABELLED) -> DataFrame:
-    """All columns of `docs` and `quality_score` (0 to 1).
+    """All columns of `docs` (but one named so) and `quality_score` (0 to 1).
 
     Null and empty texts have no neighbours and get the labelled share; without labels every score is 0.5. Rows
-    are scored one by one from their text alone; repeated rows get equal scores.
+    are scored one by one from their text alone; repeated rows get equal scores. Of neighbours that tie at the last place
+    any may vote. An empty table gives an empty result.
     """
     shared = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, most))
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("d"), utf8().alias("t"))
+    rows = docs.select(packed(docs, "quality_score").alias("d"), utf8().alias("t"))
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
@@ -131,4 +133,4 @@ def score(docs: DataFrame, labels: DataFrame, most: int = MAX_LABELLED) -> DataF
                 out = np.clip(votes(x, model).astype(np.float64), 0, 1)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(out)], names=["d", "quality_score"])
 
-    return rows.mapInArrow(judge, f"d {rows.schema['d'].dataType.simpleString()}, quality_score double").select("d.*", "quality_score")
+    return rows.mapInArrow(judge, f"d {rows.schema['d'].dataType.simpleString()}, quality_score double").select(*unpacked(docs, "d", "quality_score"), "quality_score")

@@ -12,9 +12,10 @@ from collections.abc import Iterator
 
 import pandas as pd
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from chatterlens.llm._rows import packed, unpacked
 from chatterlens.llm._tables import utf8
 
 # Smallest length in bytes, lowest and highest ratio that prose of this length has.
@@ -84,12 +85,8 @@ def measure(data: bytes, compress, bands=BANDS, chunk: int = CHUNK_BYTES, bad_sh
     )
 
 
-def compression_bands(docs: DataFrame, bands=BANDS, chunk: int = CHUNK_BYTES, bad_share: float = BAD_CHUNK_SHARE) -> DataFrame:
-    """All columns of `docs` and a struct `rules`: MEASURES, base_failed and kept.
-
-    Null and empty texts have no words and fail the base rules. Every row is judged by itself, so repeated rows
-    get equal results. One scan, no shuffle; memory is one Arrow batch of texts.
-    """
+def _judged(docs: DataFrame, row: Column, bands, chunk: int, bad_share: float) -> DataFrame:
+    """row, rules."""
     names = [part.split()[0] for part in MEASURES.split(", ")]
 
     @F.pandas_udf(MEASURES)
@@ -99,15 +96,26 @@ def compression_bands(docs: DataFrame, bands=BANDS, chunk: int = CHUNK_BYTES, ba
             yield pd.DataFrame([measure(bytes(t), compress, bands, chunk, bad_share) for t in batch], columns=names)
 
     failed = F.expr("m.n_words < 50 or 100 * m.n_repeat_words > 50 * m.n_words")
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("d"), measured(utf8()).alias("m"))
-    return rows.select(
-        "d.*",
+    return docs.select(row.alias("row"), measured(utf8()).alias("m")).select(
+        "row",
         F.struct(
             *[F.col(f"m.{n}") for n in names], failed.alias("base_failed"), (~failed & F.col("m.in_band")).alias("kept")
         ).alias("rules"),
     )
 
 
+def compression_bands(docs: DataFrame, bands=BANDS, chunk: int = CHUNK_BYTES, bad_share: float = BAD_CHUNK_SHARE) -> DataFrame:
+    """All columns of `docs` and a struct `rules`: MEASURES, base_failed and kept.
+
+    Null and empty texts have no words and fail the base rules. Every row is judged by itself, so repeated rows
+    get equal results; an empty table gives an empty result. A column named `rules` gives way. One scan, no shuffle;
+    memory is one Arrow batch of texts.
+    """
+    rows = _judged(docs, packed(docs, "rules"), bands, chunk, bad_share)
+    return rows.select(*unpacked(docs, "row", "rules"), "rules")
+
+
 def keep_in_band(docs: DataFrame) -> DataFrame:
-    """The rows that pass, with their own columns only."""
-    return compression_bands(docs).where("rules.kept").drop("rules")
+    """The rows that pass, with their own columns only, whatever they are called."""
+    rows = _judged(docs, packed(docs), BANDS, CHUNK_BYTES, BAD_CHUNK_SHARE).where("rules.kept")
+    return rows.select(*unpacked(docs, "row"))

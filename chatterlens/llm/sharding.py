@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from chatterlens.llm._rows import column, packed, unpacked
+
 BUCKET_BYTES = 32 << 20
 
 
@@ -18,7 +20,7 @@ def byte_size():
 
 
 def shuffled(docs: DataFrame, n_shards: int = 16, seed: int = 7, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
-    """All columns of `docs`, `shard` and `slot`. Law `rows`: shards differ by one row at most, slots have no gaps.
+    """All columns of `docs`, `shard` and `slot`; columns of `docs` with these names give way. Law `rows`: shards differ by one row at most, slots have no gaps.
 
     Null texts are one byte long. The hash covers all columns, so equal texts with other ids are spread; rows
     equal in every column meet in one bucket. Arrays, and the buckets of a partition, are sorted before they are
@@ -26,8 +28,8 @@ def shuffled(docs: DataFrame, n_shards: int = 16, seed: int = 7, bucket_bytes: i
     """
     total = docs.agg(F.sum(byte_size())).first()[0] or 0
     n = max(1, -(-total // bucket_bytes))
-    record = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    scattered = docs.select(F.pmod(F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in docs.columns]), F.lit(n)).cast("int").alias("bucket"), record.alias("d"))
+    digest = F.xxhash64(F.lit(seed), *[column(c) for c in docs.columns])
+    scattered = docs.select(F.pmod(digest, F.lit(n)).cast("int").alias("bucket"), packed(docs, "shard", "slot").alias("d"))
     upto = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = scattered.groupBy("bucket").count().select(
         F.col("bucket").alias("of_bucket"), F.coalesce(F.sum("count").over(upto), F.lit(0)).alias("offset")
@@ -35,7 +37,7 @@ def shuffled(docs: DataFrame, n_shards: int = 16, seed: int = 7, bucket_bytes: i
     buckets = scattered.groupBy("bucket").agg(F.array_sort(F.collect_list("d")).alias("all"))
     placed = buckets.sortWithinPartitions("bucket").select("bucket", F.posexplode(F.shuffle("all", F.lit(seed))).alias("at", "d"))
     return placed.join(offsets, F.col("bucket") == F.col("of_bucket")).select(
-        "d.*",
+        *unpacked(docs, "d", "shard", "slot"),
         ((F.col("offset") + F.col("at")) % n_shards).cast("int").alias("shard"),
         F.expr(f"(offset + at) div {n_shards}").alias("slot"),
     )

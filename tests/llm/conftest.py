@@ -3,8 +3,12 @@ import random
 import pytest
 
 DOC_SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
-#: Names that operators use inside.
-CLASHING = ("d", "m", "rid", "size", "count", "bucket", "slot", "n", "value", "start", "h", "part", "at", "hit")
+#: Names that operators use inside or give to their results.
+CLASHING = (
+    "d", "m", "rid", "size", "count", "bucket", "slot", "n", "value", "start", "h", "part", "at", "hit", "t", "row", "given", "made", "_", "c", "c0", "c1",
+    "rules", "match", "times", "times_id", "times_h", "copy", "_copy", "_id", "_rid", "_digest", "digest", "shard", "offset", "language",
+    "quality_score", "component", "n_shingles", "kept", "taken", "target", "source_size", "z", "runs_", "score",
+)
 
 
 def prose(seed, n_words, vocabulary=400):

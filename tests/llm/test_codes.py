@@ -116,7 +116,7 @@ def test_large_components_use_whole_numbers(spark):
 
 
 def test_clashing_vector_columns(spark):
-    names = ("entries", "error", "label_error", "row", "made", "given", "position", "part", "n", "_label", "_sum", "_key", "_row")
+    names = ("entries", "error", "label_error", "_", "c", "c0", "row", "made", "given", "position", "part", "n", "_label", "_sum", "_key", "_row")
     rows = spark.createDataFrame(vector_rows(2, 60), SCHEMA)
     books = vector_codes.learn(rows.withColumns({c: F.lit("taken") for c in names}))
     plain = vector_codes.error_by(vector_codes.encode(rows, books))

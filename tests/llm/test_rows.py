@@ -9,7 +9,9 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from chatterlens.llm import decontaminate, mixing, quality_rules, queries, sharding
+from chatterlens.llm import decontaminate, language_mix, mixing, near_dedup, neighbour_votes, quality_rules, queries, sharding
+
+from .conftest import CLASHING
 
 SF_DIR = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.001")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -198,7 +200,7 @@ def test_every_source_reaches_its_target(spark):
 
 def test_shards(spark, messy, repeated_rows, empty, clashing):
     for docs in (messy, repeated_rows, clashing, spark.read.parquet(f"{SF_DIR}/documents.parquet")):
-        rows = sharding.shuffled(docs.drop("slot", "shard"), bucket_bytes=1 << 16).collect()
+        rows = sharding.shuffled(docs, bucket_bytes=1 << 16).collect()
         assert len(rows) == docs.count()
         by = {}
         for r in rows:
@@ -232,8 +234,15 @@ def test_shard_query_and_files(spark, tmp_path):
 
 def test_names_may_clash(clashing, spark, empty):
     bench = spark.createDataFrame(ITEMS, "item_id long, text string")
-    for rows in (quality_rules.compression_bands(clashing), decontaminate.contamination(clashing, bench)):
-        assert rows.columns[:-1] == clashing.columns and rows.count() == clashing.count()
-        assert {r.bucket for r in rows.collect()} == {"taken"}
+    for result, rows in (
+        ("rules", quality_rules.compression_bands(clashing)),
+        ("match", decontaminate.contamination(clashing, bench)),
+        ("language", language_mix.identify(clashing)),
+        ("quality_score", neighbour_votes.score(clashing, clashing.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("quality")))),
+    ):
+        assert rows.columns == [*[c for c in clashing.columns if c != result], result] and rows.count() == clashing.count()
+        assert {r.bucket for r in rows.collect()} == {"taken"} and rows.where(F.col(result).cast("string") == "taken").count() == 0
+    for rows in (quality_rules.keep_in_band(clashing), decontaminate.remove_contaminated(clashing, bench), near_dedup.first_of_each(clashing), mixing.repeated(clashing)):
+        assert rows.columns == clashing.columns and rows.count() and {r[c] for r in rows.collect() for c in CLASHING} == {"taken"}
     assert quality_rules.keep_in_band(empty).count() == decontaminate.remove_contaminated(empty, bench).count() == 0
     assert decontaminate.contamination(clashing, bench.limit(0)).where("match.n_hit > 0").count() == 0
