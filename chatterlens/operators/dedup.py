@@ -191,8 +191,8 @@ class FingerprintStore:
     def commit(self, posts: DataFrame, batch: int) -> None:
         """Store the fingerprints of posts that have been written."""
         prints = posts.select("fingerprint", self._range())
-        words = 1
-        while words * self.PER_WORD * 16**self.digits < prints.count():
+        words, each = 1, prints.count() // (self.PER_WORD * 16**self.digits)
+        while words < each:
             words *= 2
         filters = prints.groupBy("range", self._word(F.lit(words))).agg(F.bit_or(self._marks()).alias("marks"))
         sorted_ = filters.repartition("range").sortWithinPartitions("range", "word")

@@ -537,13 +537,14 @@ def _(spark, sf):
     return normalised(spark, sf).select("post_id", text.drop_urls(F.col("content")).alias("content"))
 
 
-WIDE = "".join(chr(c) for c in range(0xFF21, 0xFF3B)) + "".join(chr(c) for c in range(0xFF41, 0xFF5B))
-NARROW = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+# Every visible ASCII character and its full-width form.
+NARROW = "".join(chr(c) for c in range(0x21, 0x7F))
+WIDE = "".join(chr(c) for c in range(0xFF01, 0xFF5F))
 
 
 @query("c03_nfkc")
 def _(spark, sf):
-    """Letters are widened to their compatibility forms; NFKC must give the text back."""
+    """Letters, digits and marks are widened to their compatibility forms; NFKC must give the text back."""
     wide = F.translate("text", NARROW, WIDE)
     return views.table(spark, sf, "documents").select("doc_id", unicode.nfkc(wide).alias("text"))
 
@@ -651,7 +652,7 @@ def _(spark, sf):
 def _(spark, sf):
     """Two batches through the stored fingerprints, the second one run twice as after a restart."""
     root = scratch_dir(spark, "batches")
-    store = dedup.FingerprintStore(spark, f"{root}/fingerprints")
+    store = dedup.FingerprintStore(spark, f"{root}/fingerprints", digits=1)
     rows = normalised(spark, sf)
     earlier = F.col("timestamp") < views.batch_start()
     write = stateful.foreach_batch_dedup(store, f"{root}/posts")
