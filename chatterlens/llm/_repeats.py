@@ -6,8 +6,8 @@ anchors at equal offsets. Consecutive windows with one anchor form a run.
 
 1. Runs are bucketed by their anchor's gram. A bucket with one run holds no repeat and is dropped. Runs of a
    bucket with equal surroundings (all of their windows equal) repeat the first of them.
-2. Buckets that still hold runs with other surroundings are refined: the identifiers of their windows, made of
-   the gram identifiers at later offsets, are compared at each offset from the anchor.
+2. In buckets that still hold runs with other surroundings the fingerprints of all windows, made of the gram
+   identifiers that cover them, are compared at each offset from the anchor.
 
 Order is (rid, start). Copies are merged in the task that reads them, before anything is shuffled, so a passage
 that a third of the documents share is shuffled once per Arrow batch.

@@ -1,9 +1,8 @@
-"""Removal of repeated passages by seed and extend.
+"""Removal of passages that also start earlier.
 
-Seeds are winnowed anchors: the least of the SEED-word grams in every window of LENGTH words. Documents meet on
-equal seeds. A seed is extended to both sides as far as windows that contain it reach; where the whole extension
-is the same, the repeat is settled at once, otherwise each extension by i words to the left and LENGTH - SEED - i
-to the right is compared with those of the seed's other places. Overlapping windows join to maximal repeats.
+Windows of LENGTH words meet at winnowed anchors, the least of the SEED-word grams in each, and are told apart by
+fingerprints (see `_repeats`, which `suffix_dedup` uses too); overlapping windows join to maximal repeats. No seed is
+grown word by word. Equality is that of 64 + 48 bits.
 """
 
 from __future__ import annotations

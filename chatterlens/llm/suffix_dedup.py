@@ -1,9 +1,8 @@
-"""Removal of repeated byte strings by bucket-pointer refinement.
+"""Removal of byte strings that also start earlier.
 
-Suffixes begin in buckets of equal q-grams. A bucket of one suffix is finished. The others are refined by the
-bucket identifiers at later offsets: the identifier of 2 L bytes is that of the identifiers of L bytes here and
-L further on, made once and used again at each doubling, until LENGTH bytes are told apart. Suffixes are sampled
-by content (see `_repeats`), so that equal strings are sampled alike and a task sorts few of them.
+Windows of LENGTH bytes meet at winnowed 16-gram anchors and are told apart by fingerprints (see `_repeats`, which
+`seed_extend` uses too). This is not bucket-pointer refinement: identifiers are doubled inside one text only, and
+nothing is sorted on bucket identifiers of later offsets. Equality is that of 64 + 48 bits.
 """
 
 from __future__ import annotations

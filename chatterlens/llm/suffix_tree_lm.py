@@ -1,11 +1,12 @@
-"""Language model scores from a probabilistic suffix tree.
-
-The tree spells tokens: its symbols are bytes and an end. A context of up to DEPTH symbols is a candidate if it
-makes up at least LEAST_SHARE of all symbols, which bounds the tree whatever the size of the corpus; it is
-retained if its next-symbol distribution diverges from its parent's, and every symbol is scored at the longest
-retained suffix of what went before. Token probabilities are (c + V * spelled) / (N + V): counts smoothed by the
-spelling, with the weight of new tokens that Witten and Bell give. All words outside the training vocabulary are
-one event, whose share is what the vocabulary leaves of the spelling. A text's score is the sum over its tokens.
+"""Language model scores: word counts smoothed by a suffix tree that spells words.
+
+The tree's symbols are bytes and an end; no context crosses a word, so the order of words does not count. A context of
+up to DEPTH symbols is a candidate if it makes up at least LEAST_SHARE of all symbols, which bounds the tree whatever
+the size of the corpus; it is retained if its next-symbol distribution diverges from its parent's, and every symbol is
+scored at the longest retained suffix of what went before. Token probabilities are (c + V * spelled) / (N + V): counts
+smoothed by the spelling, with the weight of new tokens that Witten and Bell give. All words outside the training
+vocabulary are one event, whose share is what the vocabulary leaves of the spelling. A text's score is the sum over
+its tokens.
 """
 
 from __future__ import annotations
