@@ -61,10 +61,10 @@ def write_lake(
     scratch = scratch_dir(spark, "folders")
     top.write.parquet(scratch)
     own = spark.read.schema("_tag string").parquet(scratch)
-    # A tag may be spelled like a shared folder: it never has a folder of its own.
+    # A tag spelled like a shared folder, or of no character, never has a folder of its own.
     folder = (
         F.when(F.col("hashtag").isNull(), "~none")
-        .when(F.col("_tag").isNotNull() & ~F.col("hashtag").startswith("~"), F.col("hashtag"))
+        .when(F.col("_tag").isNotNull() & ~F.col("hashtag").rlike("^(~|$)"), F.col("hashtag"))
         .otherwise(shared_folder(F.col("hashtag"), shared_folders))
     )
     placed = tagged.join(own, F.col("hashtag") == F.col("_tag"), "left").withColumn("folder", folder).drop("_tag")
