@@ -1,316 +1,317 @@
-"""Language model scores: word counts smoothed by a suffix tree that spells words.
-
-The tree's symbols are bytes and an end; no context crosses a word, so the order of words does not count. A context of
-up to DEPTH symbols is a candidate if it makes up at least LEAST_SHARE of all symbols, which bounds the tree whatever
-the size of the corpus; it is retained if its next-symbol distribution diverges from its parent's, and every symbol is
-scored at the longest retained suffix of what went before. Token probabilities are (c + V * spelled) / (N + V): counts
-smoothed by the spelling, with the weight of new tokens that Witten and Bell give. All words outside the training
-vocabulary are one event, whose share is what the vocabulary leaves of the spelling. A text's score is the sum over
-its tokens.
+"""Language model scores from a probabilistic suffix tree over running words.
+
+Symbols are the distinct tokens: words, and one end a text. A context is up to `depth` tokens before a token; the end
+of an earlier text stands before the first word, and no context reaches beyond it. With c the training counts, s a
+context, s' the same without its first token, and "" the empty one,
+
+    P(x | "") = (c(x) + 0.1) / (N + 0.1 (V + 1))
+    P(x | s)  = (c(s x) + PRIOR P(x | s')) / (c(s) + PRIOR).
+
+A context is retained if its suffix s' is, it was seen at least LEAST times, and the sum of ln P(x | s) / P(x | s')
+over all training tokens x that follow it reaches DIVERGENCE. Each token is scored in the state of its longest retained
+context; the score of a text is the sum of log10 P over its tokens.
+
+The corpus is kept as packs of texts, in which a token is an index into the pack's words. In each round a pack asks
+for the counts of its distinct grams, and reports what its training tokens add to the divergence of its distinct
+contexts. Questions are dealt by the hash of gram or context, so one pack sends one row a gram however often it
+occurs, and a bucket holds at most one row a pack of any gram. Answers go back to the packs in the order of the
+questions. The tree is never in one place. Words and grams are told apart by 64-bit numbers.
 """
 
 from __future__ import annotations
 
-from collections import Counter
+import os
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chatterlens.llm._hash import signed, word_numbers
-from chatterlens.llm._tables import numbered, store
-
-BITS, DEPTH = 6, 4
-SYMBOLS = 1 << BITS
-#: Codes beside the commonest bytes: the end, which also stands before a text, and any rarer byte.
-END, RARE = SYMBOLS - 2, SYMBOLS - 1
-LEAST_SHARE = 1e-4
-#: Nats that a context's own distribution must save over its parent's, on all that follows it.
-DIVERGENCE = 20.0
-#: Commonest words, whose counts are broadcast; all others meet their counts in a join.
-COMMON_WORDS = 1 << 16
-GROUP_BYTES = 4 << 20
-FLUSH_WORDS = 1 << 20
+from chatterlens.llm._hash import FACTOR, mixed, word_numbers
+from chatterlens.llm._tables import store
+
+#: Longest context, in tokens.
+DEPTH = 2
+#: Times that a context must have been seen.
+LEAST = 4
+#: Nats that a context's own distribution must save over its suffix's, on all that follows it.
+DIVERGENCE = 3.0
+#: Weight of the suffix's distribution, in tokens.
+PRIOR = 4.0
+#: Contributions to a divergence are whole multiples of 1 / GRAIN, so that sums do not depend on their order.
+GRAIN = 1 << 20
+PACK_TOKENS = 1 << 18
+BUCKET_TOKENS = 1 << 21
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
-WORD, GRAM = 0, 1
-
-
-def groups(texts: list[bytes]) -> Iterator[list[bytes]]:
-    part, total = [], 0
-    for t in texts:
-        if part and total + len(t) > GROUP_BYTES:
-            yield part
-            part, total = [], 0
-        part.append(t)
-        total += len(t)
-    if part:
-        yield part
-
-
-def grams(texts: list[bytes], table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Codes of DEPTH symbols and the next, for every symbol and the end of each text; where each text starts;
-    the bytes under the codes."""
-    pad = b"\0" * DEPTH
-    line = np.frombuffer(pad + pad.join(texts) + pad, np.uint8)
-    sizes = np.array([len(t) for t in texts])
-    first = DEPTH + np.cumsum(np.concatenate([[0], sizes[:-1] + DEPTH]))
-    symbols = table[line].astype(np.int32)
-    ends = np.zeros(len(line), bool)
-    for i in range(DEPTH):
-        ends[i] = True
-        ends[first + sizes + i] = True
-    symbols[ends] = END
-    code = np.zeros(len(line) - DEPTH, np.int32)
-    for i in range(DEPTH + 1):
-        code = (code << BITS) | symbols[i : len(line) - DEPTH + i]
-    # The next symbol of code j is at j + DEPTH: texts and one end each are predicted.
-    use = np.ones(len(code), bool)
-    for i in range(1, DEPTH):
-        use[np.minimum(first + sizes + i - DEPTH, len(code) - 1)] = False
-    use[first + sizes - DEPTH] = True
-    starts = np.cumsum(np.concatenate([[0], sizes[:-1] + 1]))
-    return code[use], starts, line[DEPTH:][use]
-
-
-def alphabet(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Code of each byte, and log10 of a byte's share of its code."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(256, np.int64)
-        for batch in batches:
-            for t in batch.column(0).to_pylist():
-                total += np.bincount(np.frombuffer(t.translate(LOWER), np.uint8), minlength=256)
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(256)), pa.array(total)], names=["byte", "n"])
-
-    n = np.zeros(256)
-    for r in texts.select("text").mapInArrow(count, "byte long, n long").groupBy("byte").agg(F.sum("n").alias("n")).collect():
-        n[r.byte] = r.n
-    n[list(b" \t\n\v\f\r")] = 0
-    table, share = np.full(256, RARE, np.uint8), np.zeros(256)
-    common = np.argsort(-n, kind="stable")[:END]
-    table[common] = np.arange(END)
-    rare = np.setdiff1d(np.arange(256), common)
-    share[rare] = np.log10((n[rare] + 0.5) / (n[rare] + 0.5).sum())
-    return table, share
-
-
-def counted(texts: DataFrame, table: np.ndarray) -> DataFrame:
-    """kind, key, n, word over all training texts: words by their number (the end is the empty word) and grams."""
-
-    def rows(kind: int, keys: np.ndarray, n: np.ndarray, words: list[bytes] | None = None) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.full(len(keys), kind, np.int32)), pa.array(keys.astype(np.int64)), pa.array(n.astype(np.int64)),
-                pa.array(words, pa.binary()) if words else pa.nulls(len(keys), pa.binary()),
-            ],
-            names=["kind", "key", "n", "word"],
-        )
-
-    def merged(found: list) -> tuple[np.ndarray, np.ndarray]:
-        keys, at = np.unique(np.concatenate([k for k, _ in found]), return_inverse=True)
-        return keys, np.bincount(at, weights=np.concatenate([n for _, n in found]))
-
-    def flushed(words: Counter) -> Iterator[pa.RecordBatch]:
-        n = np.fromiter(words.values(), np.int64, len(words))
-        yield rows(WORD, signed(word_numbers(list(words))), n, list(words))
-        found, at = [], 0
-        for part in groups(list(words)):
-            code, starts, _ = grams(part, table)
-            weights = np.repeat(n[at : at + len(part)], np.diff(np.append(starts, len(code))))
-            found.append(merged([(code, weights)]))
-            at += len(part)
-        yield rows(GRAM, *merged(found))
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Counter()
-        for batch in batches:
-            for t in batch.column(0).to_pylist():
-                words.update(t.translate(LOWER).split())
-                words[b""] += 1
-                if len(words) >= FLUSH_WORDS:
-                    yield from flushed(words)
-                    words = Counter()
-        if words:
-            yield from flushed(words)
-
-    return texts.select("text").mapInArrow(count, "kind int, key long, n long, word binary").groupBy("kind", "key").agg(
-        F.sum("n").alias("n"), F.min("word").alias("word")
-    )
+END = 0
+#: What is asked of a bucket: counts of single tokens, counts of longer grams, retention of contexts.
+TOKENS, GRAMS, CONTEXTS = 0, 1, 2
 
 
-class Tree:
-    """Retained contexts by depth, their ids, and log10 next-symbol probabilities, one row per state."""
-
-    def __init__(self, depth: np.ndarray, context: np.ndarray, nexts: np.ndarray, n: np.ndarray, divergence: float = DIVERGENCE):
-        keys, dist = [np.zeros(1, np.int64)], []
-        root = np.zeros(SYMBOLS)
-        root[nexts[depth == 0]] = n[depth == 0]
-        dist.append(((root + 0.5) / (root + 0.5).sum())[None, :])
-        keep = [np.ones(1, bool)]
-        for d in range(1, DEPTH + 1):
-            here = depth == d
-            known, at = np.unique(context[here], return_inverse=True)
-            counts = np.zeros((len(known), SYMBOLS))
-            counts[at, nexts[here]] = n[here]
-            # Every suffix of a candidate is a candidate.
-            above = dist[-1][np.searchsorted(keys[-1], known & (SYMBOLS ** (d - 1) - 1))]
-            spread = (counts > 0).sum(axis=1, keepdims=True)
-            own = (counts + spread * above) / (counts.sum(axis=1, keepdims=True) + spread)
-            keep.append((counts * np.log(own / above)).sum(axis=1) >= divergence)
-            keys.append(known)
-            dist.append(own)
-        for d in range(DEPTH, 1, -1):  # a retained context keeps its suffixes
-            keep[d - 1][np.searchsorted(keys[d - 1], keys[d][keep[d]] & (SYMBOLS ** (d - 1) - 1))] = True
-        self.contexts = [k[f] for k, f in zip(keys, keep)]
-        self.log = np.log10(np.concatenate([p[f] for p, f in zip(dist, keep)])).astype(np.float32)
-
-    def states(self) -> np.ndarray:
-        """State of every run of DEPTH symbols: its longest retained suffix."""
-        table, state = np.zeros(SYMBOLS**DEPTH, np.uint16), 0
-        for d, known in enumerate(self.contexts):
-            table.reshape(-1, SYMBOLS**d)[:, known] = np.arange(state, state + len(known), dtype=np.uint16)
-            state += len(known)
-        return table
-
-
-class Speller:
-    """log10 of the tree's probability of words."""
-
-    def __init__(self, tree: Tree, table: np.ndarray, share: np.ndarray):
-        self.states, self.log, self.table, self.share = tree.states(), tree.log.ravel(), table, share
-
-    def __call__(self, words: list[bytes]) -> np.ndarray:
-        code, starts, line = grams(words, self.table)
-        after = code & (SYMBOLS - 1)
-        value = self.log[self.states[code >> BITS].astype(np.int64) * SYMBOLS + after].astype(np.float64)
-        return np.add.reduceat(value + np.where(after == RARE, self.share[line], 0), starts)
-
-
-def spelled_share(counts: DataFrame, model) -> float:
-    """The spelling's probability of the whole vocabulary."""
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        spell, total = Speller(*model.value), 0.0
-        for batch in batches:
-            for part in groups(batch.column(0).to_pylist()):
-                total += float((10 ** spell(part)).sum())
-        yield pa.RecordBatch.from_arrays([pa.array([total])], names=["p"])
+def squeezed(a: np.ndarray) -> bytes:
+    """An array as its byte planes, compressed."""
+    planes = np.ascontiguousarray(a.view(np.uint8).reshape(len(a), a.itemsize).T)
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def spread_out(data: bytes, dtype) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+    size = np.dtype(dtype).itemsize
+    return np.ascontiguousarray(planes.reshape(size, -1).T).view(dtype).ravel()
+
 
-    return counts.where(F.col("kind") == WORD).select("word").mapInArrow(add, "p double").agg(F.coalesce(F.sum("p"), F.lit(0.0))).first()[0]
+def packs(docs: DataFrame, training) -> DataFrame:
+    """pack, ids, sizes, learn, words, line, n, trained: texts of some PACK_TOKENS tokens a row.
 
+    The name of a pack is drawn at random once, and stored with it.
+    """
 
-def grow(counts: DataFrame) -> Tree:
-    """The tree from gram counts. At most 1 / LEAST_SHARE contexts a depth, SYMBOLS counts each, reach the driver."""
-    every = counts.where(F.col("kind") == GRAM).select(
-        F.explode(F.sequence(F.lit(0), F.lit(DEPTH))).alias("depth"), "key", "n"
-    ).select(
-        "depth",
-        F.expr(f"shiftright(key, {BITS}) & (shiftleft(1L, depth * {BITS}) - 1)").alias("context"),
-        F.expr(f"cast(key & {SYMBOLS - 1} as int)").alias("next"),
-        "n",
-    ).groupBy("depth", "context", "next").agg(F.sum("n").alias("n"))
-    total = counts.where(F.col("kind") == GRAM).agg(F.sum("n")).first()[0] or 0
-    often = every.groupBy("depth", "context").agg(F.sum("n").alias("m")).where(F.col("m") >= max(1.0, LEAST_SHARE * total)).drop("m")
-    rows = every.join(often, ["depth", "context"]).toArrow()
-    return Tree(*(rows.column(c).to_numpy() for c in ("depth", "context", "next", "n")))
+    def packed(ids: list, sizes: list, learn: list, index: dict, line: list, kind: pa.DataType) -> pa.RecordBatch:
+        sizes, learn = np.array(sizes, np.int64), np.array(learn, np.uint8)
+        columns = [
+            pa.array([os.urandom(16).hex()]),
+            pa.array([ids], pa.list_(kind)),
+            pa.array([squeezed(sizes)]),
+            pa.array([squeezed(learn)]),
+            pa.array([squeezed(word_numbers(list(index)))]),
+            pa.array([squeezed(np.array(line, np.int32))]),
+            pa.array([len(line)]),
+            pa.array([int((sizes * learn).sum())]),
+        ]
+        return pa.RecordBatch.from_arrays(columns, names=["pack", "ids", "sizes", "learn", "words", "line", "n", "trained"])
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, sizes, learn, index, line, kind = [], [], [], {b"": END}, [], None
+        for batch in batches:
+            kind = batch.column(0).type
+            for doc_id, text, learns in zip(*batch.columns):
+                tokens = text.as_py().translate(LOWER).split()
+                line.extend([index.setdefault(t, len(index)) for t in tokens])
+                line.append(END)
+                ids.append(doc_id.as_py())
+                sizes.append(len(tokens) + 1)
+                learn.append(learns.as_py())
+                if len(line) >= PACK_TOKENS:
+                    yield packed(ids, sizes, learn, index, line, kind)
+                    ids, sizes, learn, index, line = [], [], [], {b"": END}, []
+        if ids:
+            yield packed(ids, sizes, learn, index, line, kind)
+
+    given = docs.select(
+        F.col("doc_id"),
+        F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"),
+        F.coalesce(training, F.lit(False)).alias("learn"),
+    )
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    made = given.mapInArrow(
+        pack, f"pack string, ids array<{kind}>, sizes binary, learn binary, words binary, line binary, n long, trained long"
+    )
+    return made.withColumn("known", F.array().cast("array<binary>"))
 
 
-def plain(c, total: int, vocabulary: int):
-    return np.log10((c + 0.1) / (total + 0.1 * (vocabulary + 1)))
+class Pack:
+    """One pack's tokens in their order, with what has been answered about them in earlier rounds.
 
+    `counts[n - 1]` are the counts of the grams of n tokens that end at each token, `kept[d - 1]` says whether the
+    context of d tokens before each token has reached the limits. What was not asked is 0.
+    """
+
+    def __init__(self, row: dict):
+        self.sizes, self.learn = spread_out(row["sizes"], np.int64), spread_out(row["learn"], np.uint8)
+        numbers, line = spread_out(row["words"], np.uint64), spread_out(row["line"], np.int32)
+        self.first = np.cumsum(self.sizes) - self.sizes
+        self.place = np.arange(len(line)) - np.repeat(self.first, self.sizes)
+        self.weight = np.repeat(self.learn, self.sizes).astype(np.int64)
+        self.token = mixed(numbers * FACTOR + np.uint64(1))[line]
+        self.end = mixed(numbers[END : END + 1] * FACTOR + np.uint64(1))[0]
+        self.grams = [self.token]
+        self.counts = [spread_out(b[1:], np.int64) for b in row["known"] if b[:1] == b"n"]
+        self.kept = [spread_out(b[1:], np.uint8) for b in row["known"] if b[:1] == b"k"]
+
+    def before(self, values: np.ndarray, first) -> np.ndarray:
+        """The values one token earlier; the end of an earlier text comes before a text's first token."""
+        out = np.empty_like(values)
+        out[1:] = values[:-1]
+        out[self.first] = first
+        return out
+
+    def gram(self, n: int) -> np.ndarray:
+        """Numbers of the grams of `n` tokens that end at each token."""
+        while len(self.grams) < n:
+            context = self.before(self.grams[-1], self.end)
+            self.grams.append(mixed(context * FACTOR + self.token))
+        return self.grams[n - 1]
+
+    def seen(self, d: int) -> np.ndarray:
+        """Counts of the contexts of `d` tokens, 0 where a text has no such context."""
+        ends = self.counts[0][self.first[0] + self.sizes[0] - 1]
+        found = self.before(self.counts[d - 1], ends if d == 1 else 0)
+        return np.where(self.place >= d - 1, found, 0)
+
+    def chances(self, tokens: int, words: int) -> Iterator[np.ndarray]:
+        """Natural logarithms of P at each token, for contexts of no token, of one, and so on."""
+        p = (self.counts[0] + 0.1) / (tokens + 0.1 * (words + 1))
+        yield np.log(p)
+        for d in range(1, len(self.counts)):
+            p = (self.counts[d] + PRIOR * p) / (self.seen(d) + PRIOR)
+            yield np.log(p)
+
+    def questions(self, turn: int, depth: int, tokens: int, words: int) -> list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        """kind, where the question is asked, key and value at those tokens, in round `turn`."""
+        every, asked = np.arange(len(self.token)), []
+        if turn == 1:
+            asked.append((TOKENS, every, self.token, self.weight))
+            if depth:
+                asked.append((GRAMS, every, self.gram(2), self.weight))
+            return asked
+        frequent = np.flatnonzero(self.seen(turn - 1) >= LEAST)
+        *_, lower, upper = self.chances(tokens, words)
+        saved = np.rint((upper - lower) * GRAIN).astype(np.int64) * self.weight
+        context = self.before(self.gram(turn - 1), self.end)
+        asked.append((CONTEXTS, frequent, context[frequent], saved[frequent]))
+        if turn <= depth:
+            live = np.flatnonzero(self.seen(turn) >= LEAST)
+            asked.append((GRAMS, live, self.gram(turn + 1)[live], self.weight[live]))
+        return asked
+
+    def answered(self, asked: list, answers: dict[int, np.ndarray]) -> list[bytes]:
+        """What the answers, one for each distinct key, add to `known`."""
+        out = []
+        for kind, where, key, _ in asked:
+            dtype = np.uint8 if kind == CONTEXTS else np.int64
+            at = np.zeros(len(self.token), dtype)
+            if len(where):
+                at[where] = answers[kind][np.unique(key, return_inverse=True)[1]]
+            out.append((b"k" if kind == CONTEXTS else b"n") + squeezed(at))
+        return out
+
+    def results(self, tokens: int, words: int) -> tuple[np.ndarray, ...]:
+        """Of each text: tokens, known tokens, log10 of the base and of the tree."""
+        chances = list(self.chances(tokens, words))
+        best, alive = chances[0], np.ones(len(self.token), bool)
+        for d, kept in enumerate(self.kept, 1):
+            alive &= kept.astype(bool)
+            best = np.where(alive, chances[d], best)
+        known = np.add.reduceat((self.counts[0] > 0).astype(np.int64), self.first)
+        base, score = (np.add.reduceat(v, self.first) / np.log(10) for v in (chances[0], best))
+        return self.sizes, known, base, score
+
+
+def asked(state: DataFrame, turn: int, depth: int, buckets: int, tokens: int, words: int) -> DataFrame:
+    """kind, bucket, pack, keys, sums: a pack's distinct keys in their order, cut into buckets of equal hash ranges."""
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
+                for kind, where, key, value in Pack(row).questions(turn, depth, tokens, words):
+                    if not len(where):
+                        continue
+                    keys, at = np.unique(key, return_inverse=True)
+                    sums = np.zeros(len(keys), np.int64)
+                    np.add.at(sums, at, value)
+                    bucket = ((keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+                    cuts = np.flatnonzero(np.diff(bucket, prepend=-1))
+                    ends = np.append(cuts[1:], len(keys))
+                    columns = [
+                        pa.array(np.full(len(cuts), kind, np.int32)),
+                        pa.array(bucket[cuts]),
+                        pa.array([row["pack"]] * len(cuts)),
+                        pa.array([squeezed(keys[a:b]) for a, b in zip(cuts, ends)], pa.binary()),
+                        pa.array([squeezed(sums[a:b]) for a, b in zip(cuts, ends)], pa.binary()),
+                    ]
+                    yield pa.RecordBatch.from_arrays(columns, names=["kind", "bucket", "pack", "keys", "sums"])
+
+    return state.select("pack", "sizes", "learn", "words", "line", "known").mapInArrow(
+        ask, "kind int, bucket long, pack string, keys binary, sums binary"
+    )
 
-def smooth(c, spell, total: int, vocabulary: int):
-    """The model's log10 probability of a token seen `c` times and spelled with log10 probability `spell`."""
-    return np.log10((c + max(vocabulary, 1) * 10.0**spell) / (total + max(vocabulary, 1)))
 
+def answers(questions: DataFrame) -> DataFrame:
+    """kind, bucket, pack, values, fresh: sums over all packs, or whether they retain a context, in the questions' order.
 
-def scores(docs: DataFrame, training) -> DataFrame:
+    `fresh` of one row a bucket is the number of its keys that occur in training.
+    """
+    limit = int(DIVERGENCE * GRAIN)
+
+    def answer(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        kind, bucket = (k.as_py() for k in key)
+        keys = [spread_out(b.as_py(), np.uint64) for b in table.column("keys")]
+        sums = np.concatenate([spread_out(b.as_py(), np.int64) for b in table.column("sums")])
+        distinct, at = np.unique(np.concatenate(keys), return_inverse=True)
+        total = np.zeros(len(distinct), np.int64)
+        np.add.at(total, at, sums)
+        values = (total >= limit).astype(np.uint8) if kind == CONTEXTS else total
+        cuts = np.cumsum([0] + [len(k) for k in keys])
+        fresh = np.zeros(len(keys), np.int64)
+        fresh[0] = (total > 0).sum()
+        return pa.table({
+            "kind": pa.array([kind] * len(keys), pa.int32()),
+            "bucket": pa.array([bucket] * len(keys), pa.int64()),
+            "pack": table.column("pack"),
+            "values": pa.array([squeezed(values[at[a:b]]) for a, b in zip(cuts, cuts[1:])], pa.binary()),
+            "fresh": pa.array(fresh),
+        })
+
+    return questions.groupBy("kind", "bucket").applyInArrow(answer, "kind int, bucket long, pack string, values binary, fresh long")
+
+
+def informed(state: DataFrame, replies: DataFrame, turn: int, depth: int, tokens: int, words: int) -> DataFrame:
+    """The packs with the answers of round `turn` added to what they know."""
+    schema = state.schema
+
+    def inform(key: tuple[pa.Scalar, ...], packs: pa.Table, found: pa.Table) -> pa.Table:
+        row = packs.drop_columns(["ids"]).to_pylist()[0]
+        by: dict[int, list] = {}
+        for kind, bucket, blob in zip(*(found.column(c).to_pylist() for c in ("kind", "bucket", "values"))):
+            by.setdefault(kind, []).append((bucket, blob))
+        values = {
+            kind: np.concatenate([spread_out(b, np.uint8 if kind == CONTEXTS else np.int64) for _, b in sorted(parts)])
+            for kind, parts in by.items()
+        }
+        pack = Pack(row)
+        more = pack.answered(pack.questions(turn, depth, tokens, words), values)
+        known = pa.array([row["known"] + more], packs.schema.field("known").type)
+        return packs.set_column(packs.schema.get_field_index("known"), packs.schema.field("known"), known)
+
+    return state.groupBy("pack").cogroup(replies.drop("fresh").groupBy("pack")).applyInArrow(inform, schema)
+
+
+def scores(docs: DataFrame, training, depth: int = DEPTH) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score, score for every row of `docs` (doc_id, text).
 
-    `training` is a condition on `docs`. Tokens are words and one end. Null and empty texts are one end. Rows
-    equal in id and text have equal results. Without training rows counts are 0 and next symbols equally likely.
+    `training` is a condition on `docs`; where it is NULL a row is not learnt from. Null and empty texts are one end.
+    Every row is a text of its own, also where ids are missing or rows are given twice; a row that is repeated among
+    the training rows counts as often. Equal texts have equal scores. Without training rows all counts are 0, nothing
+    is retained and every token has probability 1. An empty table has no rows. Other columns are not looked at.
     """
-    trained = docs.where(training).select(F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))
-    table, share = alphabet(trained)
-    counts = store(counted(trained, table), "counts")
-    tree = grow(counts)
-    words = counts.where(F.col("kind") == WORD).select(F.col("key").alias("word"), F.col("n").alias("c"))
-    sums = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    total, vocabulary = int(sums[0]), int(sums[1])
-    common = words.orderBy(F.desc("c"), "word").limit(COMMON_WORDS).toArrow()
-    order = np.argsort(common.column("word").to_numpy())
-    context = docs.sparkSession.sparkContext
-    model = context.broadcast((tree, table, share))
-    # Rounding may bring a vocabulary that is all there is a little beyond 1.
-    unknown = max(1 - spelled_share(counts, model), 1e-9)
-    shared = context.broadcast(
-        {"words": common.column("word").to_numpy()[order], "counts": common.column("c").to_numpy()[order]}
-    )
-    numbered_docs = numbered(docs.select("doc_id", "text"))
-    kind = numbered_docs.schema["doc_id"].dataType.simpleString()
+    state = store(packs(docs, training), "packs")
+    sums = state.agg(F.coalesce(F.sum("trained"), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    tokens, words = int(sums[0]), 0
+    buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-int(sums[1]) // BUCKET_TOKENS))
+    for turn in range(1, depth + 2):
+        replies = store(answers(asked(state, turn, depth, buckets, tokens, words)), "answers")
+        if turn == 1:
+            fresh = replies.where(F.col("kind") == TOKENS).agg(F.coalesce(F.sum("fresh"), F.lit(0)))
+        state = informed(state, replies, turn, depth, tokens, words)
+        if turn == 1:
+            words = int(fresh.first()[0])
+        if turn <= depth:
+            state = store(state, "packs")
+    kind = docs.schema["doc_id"].dataType.simpleString()
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        spell_out = Speller(*model.value)
-        known, c = shared.value["words"], shared.value["counts"]
         for batch in batches:
-            ids, at = batch.column(0), 0
-            for part in groups(batch.column(2).to_pylist()):
-                bags = [Counter(t.translate(LOWER).split()) for t in part]
-                for bag in bags:
-                    bag[b""] = 1
-                words = list(set().union(*bags))
-                index = dict(zip(words, range(len(words))))
-                number, spell = signed(word_numbers(words)), spell_out(words)
-                slot = np.minimum(np.searchsorted(known, number), max(0, len(known) - 1))
-                near = known[slot] == number if len(known) else np.zeros(len(number), bool)
-                times = np.where(near, c[slot], 0) if len(known) else np.zeros(len(number))
-                sizes = [len(b) for b in bags]
-                owner = np.repeat(np.arange(len(part)), sizes)
-                word = np.fromiter((index[w] for bag in bags for w in bag), np.int64, len(owner))
-                n = np.fromiter((k for bag in bags for k in bag.values()), np.int64, len(owner))
-                own = n * near[word]
-                rid = batch.column(1).slice(at, len(part)).to_numpy()
-                far = np.flatnonzero(~near[word])
-                columns = [  # of documents, of words far from the common ones
-                    (np.bincount(owner, weights=n, minlength=len(part)).astype(np.int64), None),
-                    (np.bincount(owner, weights=own, minlength=len(part)).astype(np.int64), None),
-                    (np.bincount(owner, weights=own * plain(times[word], total, vocabulary), minlength=len(part)), None),
-                    (np.bincount(owner, weights=own * smooth(times[word], spell[word], total, vocabulary), minlength=len(part)), spell[word[far]]),
-                ]
+            for i in range(batch.num_rows):
+                part = batch.slice(i, 1)
+                n, known, base, score = Pack(part.to_pylist()[0]).results(tokens, words)
+                columns = [part.column(0).flatten(), *map(pa.array, (n, known, np.full(len(n), tokens), base, score))]
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.concat_arrays([ids.slice(at, len(part)), pa.nulls(len(far), ids.type)]),
-                        pa.array(np.concatenate([rid, rid[owner[far]]])),
-                        pa.array(np.concatenate([signed(word_numbers([b"%d" % r for r in rid])), number[word[far]]])),
-                        pa.array(np.concatenate([np.zeros(len(part), np.int64), n[far]])),
-                        *[pa.concat_arrays([a := pa.array(x), pa.nulls(len(far), a.type) if y is None else pa.array(y)]) for x, y in columns],
-                    ],
-                    names=["doc_id", "rid", "word", "n", "tokens", "known", "base", "score"],
+                    columns, names=["doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
                 )
-                at += len(part)
 
-    rows = numbered_docs.select("doc_id", "rid", "text").mapInArrow(
-        judge, f"doc_id {kind}, rid long, word long, n long, tokens long, known long, base double, score double"
-    )
-    # A document's own row has n = 0; its word only spreads the rows.
-    met = rows.join(words.hint("merge"), "word", "left")
-    seen, new = F.coalesce("c", F.lit(0)), max(vocabulary, 1)
-    base = F.when(F.col("n") > 0, F.col("n") * F.log10((seen + 0.1) / (total + 0.1 * (vocabulary + 1)))).otherwise(F.col("base"))
-    spelled = F.when(seen > 0, F.pow(F.lit(10.0), "score")).otherwise(F.lit(unknown))
-    score = F.when(F.col("n") > 0, F.col("n") * F.log10((seen + new * spelled) / float(total + new))).otherwise(F.col("score"))
-    found = F.when(F.col("n") > 0, F.when(F.col("c") > 0, F.col("n")).otherwise(F.lit(0))).otherwise(F.col("known"))
-    by = met.groupBy("rid").agg(
-        F.max("doc_id").alias("doc_id"), F.count(F.when(F.col("n") == 0, 1)).alias("times"),
-        F.sum("tokens").alias("tokens"), F.sum(found).alias("known"), F.sum(base).alias("base"), F.sum(score).alias("score"),
+    return state.select("ids", "sizes", "learn", "words", "line", "known").mapInArrow(
+        judge, f"doc_id {kind}, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     )
-    return by.select(
-        "doc_id",
-        F.expr("tokens div times").alias("n_tokens"),
-        F.expr("known div times").alias("n_known"),
-        F.lit(total).cast("long").alias("train_tokens"),
-        (F.col("base") / F.col("times")).alias("base_score"),
-        (F.col("score") / F.col("times")).alias("score"),
-        F.explode(F.expr("sequence(1, times)")).alias("_copy"),
-    ).drop("_copy")

@@ -221,41 +221,77 @@ def tokens(text):
     return WORD.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")) + [None]
 
 
-def test_model_scores(spark, messy, repeated_rows, empty, clashing):
-    for docs in (spark.read.parquet(f"{SF_DIR}/documents.parquet"), messy, repeated_rows, clashing, empty):
+def tree_model(texts, learn, depth):
+    """Scores of all texts by a plain tree over the training texts."""
+    lines = [["<end>"] + ["<end>" if t is None else t + " " for t in tokens(text)] for text in texts]
+    counts, after = Counter(), {}
+    for line, learns in zip(lines, learn):
+        for i in range(1, len(line)) if learns else ():
+            for d in range(min(i, depth) + 1):
+                counts[tuple(line[i - d : i + 1])] += 1
+                after.setdefault(tuple(line[i - d : i]), Counter())[line[i]] += 1
+    seen = {s: sum(n.values()) for s, n in after.items()}
+    total, size = seen.get((), 0), len(after.get((), ()))
+
+    def chance(s, x):
+        if not s:
+            return (counts[(x,)] + 0.1) / (total + 0.1 * (size + 1))
+        return (counts[(*s, x)] + suffix_tree_lm.PRIOR * chance(s[1:], x)) / (seen.get(s, 0) + suffix_tree_lm.PRIOR)
+
+    kept = {()}
+    for s in sorted(after, key=len):
+        if s and s[1:] in kept and seen[s] >= suffix_tree_lm.LEAST:
+            if sum(n * math.log(chance(s, x) / chance(s[1:], x)) for x, n in after[s].items()) >= suffix_tree_lm.DIVERGENCE:
+                kept.add(s)
+    out = []
+    for line in lines:
+        score = 0.0
+        for i in range(1, len(line)):
+            d = max(d for d in range(min(i, depth) + 1) if tuple(line[i - d : i]) in kept)
+            score += math.log10(chance(tuple(line[i - d : i]), line[i]))
+        out.append(score)
+    return out, kept, total, size, counts
+
+
+@pytest.mark.parametrize("pack_tokens", [suffix_tree_lm.PACK_TOKENS, 700])
+def test_model_scores(spark, messy, repeated_rows, empty, clashing, monkeypatch, pack_tokens):
+    monkeypatch.setattr(suffix_tree_lm, "PACK_TOKENS", pack_tokens)
+    given = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    for docs, depth in ((given, 2), (given, 3), (repeated_rows, 2), (messy, 0), (clashing, 1), (empty, 2)):
         rows = docs.select("doc_id", "text").collect()
-        counts = Counter(t for r in rows if zlib.crc32(str("" if r.doc_id is None else r.doc_id).encode()) % 10 for t in tokens(r.text))
-        total, size = sum(counts.values()), len(counts)
+        learn = [zlib.crc32(str("" if r.doc_id is None else r.doc_id).encode()) % 10 > 0 for r in rows]
+        scores, kept, total, size, counts = tree_model([r.text for r in rows], learn, depth)
         want = []
-        for r in rows:
-            t = tokens(r.text)
-            base = sum(math.log10((counts[w] + 0.1) / (total + 0.1 * (size + 1))) for w in t)
-            want.append((r.doc_id or -1, len(t), sum(counts[w] > 0 for w in t), total, round(base, 5)))
-        got = suffix_tree_lm.scores(docs, F.pmod(fold(docs), F.lit(10)) != 0).collect()
-        assert sorted((r.doc_id or -1, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 5)) for r in got) == sorted(want)
-        assert all(r.score < 0 and math.isfinite(r.score) for r in got)
-
-
-def test_spelling_is_a_distribution():
-    """Probabilities of all words of up to two letters, and the rest, add up to one; long contexts are used."""
-    table = np.full(256, suffix_tree_lm.RARE, np.uint8)
-    table[list(b"abc")] = [0, 1, 2]
-    share = np.zeros(256)
-    share[3:] = math.log10(1 / 253)
-    code, _, _ = suffix_tree_lm.grams([b"abab", b"abc", b"c", b""] * 50, table)
-    mask = suffix_tree_lm.SYMBOLS - 1
-    depth, context = [], []
-    for d in range(suffix_tree_lm.DEPTH + 1):
-        depth.append(np.full(len(code), d))
-        context.append((code >> 6).astype(np.int64) & (suffix_tree_lm.SYMBOLS**d - 1))
-    nexts = np.tile(code & mask, suffix_tree_lm.DEPTH + 1)
-    keys, n = np.unique(np.stack([np.concatenate(depth), np.concatenate(context), nexts]), axis=1, return_counts=True)
-    tree = suffix_tree_lm.Tree(*keys, n, divergence=1.0)
-    assert np.allclose((10.0 ** tree.log).sum(axis=1), 1, atol=1e-4)
-    assert len(tree.contexts[2]) > 0
-    spell = suffix_tree_lm.Speller(tree, table, share)
-    p = 10 ** spell([b"abab", b"abc", b"c", b"", b"ba", b"\xff"])
-    assert p[:4].sum() > 0.8 and p[4] < 0.02 and p[5] > 0
+        for r, score in zip(rows, scores):
+            seen = [counts[("<end>" if t is None else t + " ",)] for t in tokens(r.text)]
+            base = sum(math.log10((c + 0.1) / (total + 0.1 * (size + 1))) for c in seen)
+            want.append((r.doc_id or -1, len(seen), sum(c > 0 for c in seen), total, base, score))
+        got = suffix_tree_lm.scores(docs, F.pmod(fold(docs), F.lit(10)) != 0, depth).collect()
+        got = sorted((r.doc_id or -1, r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) for r in got)
+        assert len(got) == len(want)
+        for a, b in zip(got, sorted(want)):
+            assert a[:4] == b[:4] and np.allclose(a[4:], b[4:], rtol=1e-9, atol=1e-6)
+        assert docs is not given or {len(s) for s in kept} == set(range(depth + 1))
+
+
+def test_order_of_words_counts(spark):
+    texts = ["the cat sat on the mat"] * 30 + ["a dog ran to a park"] * 30 + ["the cat sat on the mat", "mat the on sat cat the"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    rows = {r.doc_id: r for r in suffix_tree_lm.scores(docs, F.col("doc_id") < 60).collect()}
+    assert rows[60].base_score == pytest.approx(rows[61].base_score) and rows[60].score > rows[61].score + 5
+    unlearnt = suffix_tree_lm.scores(docs, F.lit(None).cast("boolean")).collect()
+    assert all(r.train_tokens == 0 and r.n_known == 0 and r.score == 0 for r in unlearnt) and len(unlearnt) == len(texts)
+
+
+def test_a_context_spread_over_packs_is_tested_as_one(spark, monkeypatch):
+    """No pack sees the hot context often enough; all together do."""
+    monkeypatch.setattr(suffix_tree_lm, "PACK_TOKENS", 4)
+    docs = spark.createDataFrame([(i, f"hot w{i % 3} {prose(i, 2)}") for i in range(200)], "doc_id long, text string").repartition(7)
+    texts = [r.text for r in docs.orderBy("doc_id").collect()]
+    want, kept, *_ = tree_model(texts, [True] * 200, 2)
+    assert ("hot ",) in kept
+    got = [r.score for r in suffix_tree_lm.scores(docs, F.lit(True)).orderBy("doc_id").collect()]
+    assert np.allclose(got, want, atol=1e-6)
 
 
 def test_pipeline(spark):
