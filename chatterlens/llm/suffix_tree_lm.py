@@ -23,8 +23,10 @@ one place. Words, and the grams of a pack, are told apart by 64-bit hashes.
 from __future__ import annotations
 
 import os
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -82,6 +84,12 @@ def packs(docs: DataFrame, training) -> DataFrame:
     The name of a pack is drawn at random once, and stored with it.
     """
 
+    def numbers() -> defaultdict:
+        """Numbers words as they come; the end has the first."""
+        index = defaultdict(count().__next__)
+        assert index[b""] == END
+        return index
+
     def packed(ids: list, sizes: list, learn: list, index: dict, line: list, kind: pa.DataType) -> pa.RecordBatch:
         sizes, learn = np.array(sizes, np.int64), np.array(learn, np.uint8)
         columns = [
@@ -97,19 +105,19 @@ def packs(docs: DataFrame, training) -> DataFrame:
         return pa.RecordBatch.from_arrays(columns, names=["pack", "ids", "sizes", "learn", "words", "line", "n", "trained"])
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, sizes, learn, index, line, kind = [], [], [], {b"": END}, [], None
+        ids, sizes, learn, index, line, kind = [], [], [], numbers(), [], None
         for batch in batches:
             kind = batch.column(0).type
             for doc_id, text, learns in zip(*batch.columns):
                 tokens = text.as_py().translate(LOWER).split()
-                line.extend([index.setdefault(t, len(index)) for t in tokens])
+                line.extend(map(index.__getitem__, tokens))
                 line.append(END)
                 ids.append(doc_id.as_py())
                 sizes.append(len(tokens) + 1)
                 learn.append(learns.as_py())
                 if len(line) >= PACK_TOKENS:
                     yield packed(ids, sizes, learn, index, line, kind)
-                    ids, sizes, learn, index, line = [], [], [], {b"": END}, []
+                    ids, sizes, learn, index, line = [], [], [], numbers(), []
         if ids:
             yield packed(ids, sizes, learn, index, line, kind)
 
@@ -177,7 +185,7 @@ class Pack:
 
     `counts[n - 1]` are the counts of the grams of n tokens that end at each token, `shared[n - 1]` says whether other
     packs hold them too, `ids[n - 1]` are their numbers if they are shared and may go on, `kept[d - 1]` says whether the
-    context of d tokens before each token reaches the limits.
+    context of d tokens before each token reaches the limits. `at[n - 1]` numbers the pack's `distinct[n - 1]` grams.
     """
 
     def __init__(self, row: dict, answers: dict, turns: int, plan: Plan):
@@ -190,6 +198,7 @@ class Pack:
         self.grams = [self.word[self.line]]
         self.plan = plan
         self.counts, self.shared, self.ids, self.kept, self.chances = [], [], [], [], []
+        self.distinct, self.at = [], []
         for turn in range(1, turns + 1):
             for question in self.questions(turn):
                 self.hear(question, answers.get((turn, question.kind)))
@@ -226,31 +235,37 @@ class Pack:
             d = turn - 2
             self.chance(d - 1)
             saved = np.rint(np.log(self.chance(d) / self.chance(d - 1)) * GRAIN).astype(np.int64) * self.weight
-            ids, bits = self.context(d, self.ids), self.plan.bits(d)
-            yield self.question(CONTEXTS, d, self.context(d, self.grams), saved, self.context(d, self.shared), ids, bits)
+            where = np.flatnonzero(self.context(d, self.counts) >= LEAST)
+            at, ids = self.context(d, self.at)[where], self.context(d, self.ids)[where]
+            open_ = self.context(d, self.shared)[where]
+            yield self.question(CONTEXTS, where, at, self.distinct[d - 1], saved, open_, ids, self.plan.bits(d))
         if turn <= self.plan.depth + 1:
             d, low = turn - 1, self.plan.bits(1)
             bits = self.plan.bits(d) + low
             if len(self.grams) < turn:
                 self.grams.append(mixed(self.context(d, self.grams) * FACTOR + self.grams[0]))
-            ids, word = self.context(d, self.ids), self.ids[0]
+            where = np.flatnonzero(self.context(d, self.counts) >= LEAST)
+            numbers, at = np.unique(self.grams[d][where], return_inverse=True)
+            ids, word = self.context(d, self.ids)[where], self.ids[0][where]
             key, bits = (mixed(mixed(ids) * FACTOR + word), 64) if bits > 63 else ((ids << np.uint64(low)) | word, bits)
-            known = self.context(d, self.shared) & self.shared[d - 1] & (self.counts[d - 1] > 0)
-            yield self.question(GRAMS, d, self.grams[d], self.weight, known, key, bits)
-
-    def question(self, kind: int, d: int, number, value, open_, key, bits: int) -> Question:
-        """About the distinct numbers at tokens with a frequent context of `d`, open where other packs may have them."""
-        where = np.flatnonzero(self.context(d, self.counts) >= LEAST)
-        numbers, at = np.unique(number[where], return_inverse=True)
-        asks, keys = np.zeros(len(numbers), bool), np.zeros(len(numbers), np.uint64)
-        asks[at], keys[at] = open_[where], key[where]
+            open_ = self.context(d, self.shared)[where] & self.shared[d - 1][where] & (self.counts[d - 1][where] > 0)
+            yield self.question(GRAMS, where, at, len(numbers), self.weight, open_, key, bits)
+
+    def question(self, kind: int, where, at, size: int, value, open_, key, bits: int) -> Question:
+        """About `size` distinct things, number `at` of them at each token in `where`; open where other packs may have them."""
+        asks, keys = np.zeros(size, bool), np.zeros(size, np.uint64)
+        asks[at], keys[at] = open_, key
         asks = np.flatnonzero(asks)
         keys = keys[asks] if bits == 64 else scattered(keys[asks], bits)
-        return Question(kind, where, at, summed(at, value[where], len(numbers)), asks, keys, bits)
+        return Question(kind, where, at, summed(at, value[where], size), asks, keys, bits)
 
     def hear(self, question: Question, answer: tuple[np.ndarray, np.ndarray] | None) -> None:
         width = 0 if question.kind == CONTEXTS else self.plan.widths[len(self.counts)]
         targets = (self.kept,) if question.kind == CONTEXTS else (self.counts, self.shared, self.ids)
+        if question.kind != CONTEXTS:
+            self.distinct.append(len(question.own))
+            self.at.append(np.zeros(len(self.line), np.int64))
+            self.at[-1][question.where] = question.at
         for target, values in zip(targets, question.settled(answer, self.plan.buckets, width)):
             target.append(np.zeros(len(self.line), values.dtype))
             target[-1][question.where] = values[question.at]
