@@ -149,3 +149,18 @@ def test_iso_text_does_not_depend_on_the_session_zone(spark, zone):
         "2024-06-30T18:40:00+00:00",
     ]
     assert hour == [1704067200]
+
+
+def test_cheap_forms_equal_plain_expressions(spark, capsys):
+    """Guards look for bytes or ranges first; the result is that of the plain expression for every character."""
+    chars = spark.range(0x110000).filter("not (id between 55296 and 57343)").select(F.decode(F.unhex(F.lpad(F.hex("id"), 8, "0")), "utf-32").alias("c"))
+    x = F.concat(F.lit("a"), F.col("c"), F.lit("b"))
+    old_form = x.rlike(rf"[^\x00-\x7f{unicode.NFKC_STABLE}]")
+    assert chars.filter(old_form != x.rlike(unicode.NFKC_MAY_CHANGE)).count() == 0
+    assert chars.filter(text.collapse_space(x) != F.regexp_replace(x, rf"[{text.SPACE}]+", " ")).count() == 0
+    values = ["a  b", "hTTps://x y", "see WwW.x y", "wWw. z", "", None, "ww.w", "http://"]
+    rows = spark.createDataFrame([(v,) for v in values], "t string")
+    plain = F.regexp_replace("t", text.URL, "")
+    assert rows.filter(~text.drop_urls(F.col("t")).eqNullSafe(plain)).count() == 0
+    rows.select(text.drop_urls(F.col("t")), text.collapse_space(F.col("t"))).explain()
+    assert "://)" in capsys.readouterr().out
