@@ -197,3 +197,16 @@ def test_scores_make_no_array_of_the_vocabulary(spark, capsys):
     kw.fit(corpus(spark), 10).transform(corpus(spark)).explain()
     plan = capsys.readouterr().out
     assert "vector_to_array" not in plan and "vectorToArray" not in plan and "UDF" in plan
+
+
+def test_hash_numbers_are_not_joined_by_a_shuffle(spark, capsys):
+    """The exact count of a few numbers' terms groups by term and shuffles nothing else."""
+    prepared = kw.with_terms(corpus(spark))
+    numbers = [r.b for r in prepared.select(F.explode("terms").alias("t")).select(kw._bucket(F.col("t"), 64).alias("b")).distinct().collect()]
+    some = kw.term_statistics(prepared, (), numbers[:3], 64)
+    some.explain()
+    plan = capsys.readouterr().out
+    assert "Join" not in plan and plan.count("Exchange") == 1
+    want = kw.term_statistics(prepared).filter(kw._bucket(F.col("term"), 64).isin(numbers[:3]))
+    assert sorted(some.collect()) == sorted(want.collect())
+    assert kw.term_statistics(prepared, (), [], 64).count() == 0
