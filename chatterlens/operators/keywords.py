@@ -27,6 +27,8 @@ ROW_LOCAL_TERMS = 2_000
 # Numbers that terms are hashed to when the most frequent ones are looked for: at least so many, and so many a term
 # that is wanted, so that what rare terms add up to on a number stays below the wanted terms.
 TERM_BUCKETS, BUCKETS_A_TERM = 1 << 16, 64
+# As many a hashtag at least, where terms are looked for by hashtag.
+HASHTAG_BUCKETS = 1 << 14
 SETTINGS = "n_docs bigint, ngram_range array<int>, stop_words array<string>"
 
 
@@ -166,6 +168,36 @@ def most_frequent_terms(prepared: DataFrame, n: int, min_df: int = 1) -> tuple[D
     return (spark.createDataFrame([], schema) if best is None else best), head["n_docs"] if head else 0
 
 
+def most_frequent_terms_by(
+    tagged: DataFrame, key: str, n: int, min_df: int = 1, ordered: DataFrame | None = None
+) -> DataFrame:
+    """The ``n`` terms of highest ``total`` of each ``key`` with their ``df``, ties by name, exactly.
+
+    As ``most_frequent_terms``, with bounds for every key of its own: hashes are counted, the terms of each key's
+    largest numbers exactly, and then those of the numbers that may still hold a term of the result. ``tagged`` has
+    ``key`` and ``terms``; ``ordered`` are the same rows with sorted terms, which exact counts can use.
+    """
+    buckets = max(HASHTAG_BUCKETS, BUCKETS_A_TERM * n)
+    number = _bucket(F.col("term"), buckets).alias("bucket")
+    hashed = tagged.select(key, F.explode("terms").alias("term")).groupBy(key, number)
+    sums = _stored(hashed.agg(F.count(F.lit(1)).alias("most")), "term-hashes")
+
+    def best(df: DataFrame, n: int, *order: Column) -> DataFrame:
+        window = Window.partitionBy(key).orderBy(*order)
+        return df.withColumn("_rank", F.row_number().over(window)).filter(F.col("_rank") <= n).drop("_rank")
+
+    def exact(taken: DataFrame) -> DataFrame:
+        counted = term_statistics(tagged if ordered is None else ordered, [key], taken, buckets).filter(F.col("df") >= min_df)
+        return best(counted, n, F.desc("total"), F.asc("term"))
+
+    first = _stored(best(sums, 4 * n, F.desc("most"), F.asc("bucket")).select(key, "bucket"), "term-hashes")
+    some = _stored(exact(first), "terms")
+    bound = some.groupBy(key).agg(F.when(F.count(F.lit(1)) == n, F.min("total")).otherwise(0).alias("least"))
+    left = sums.join(first, [key, "bucket"], "left_anti").join(bound, key, "left").filter(F.col("most") >= F.coalesce("least", F.lit(0)))
+    taken = _stored(left.select(key, "bucket"), "term-hashes")
+    return some if taken.isEmpty() else best(some.unionByName(exact(taken)), n, F.desc("total"), F.asc("term"))
+
+
 def normalised_scores(counted: DataFrame, keys: Sequence[str]) -> DataFrame:
     """L2-normalised tf x idf per document; ``counted`` has tf and idf."""
     norm = F.sqrt(F.sum(F.pow(F.col("tf") * F.col("idf"), 2)).over(Window.partitionBy(*keys)))
@@ -375,16 +407,15 @@ def top_keywords_by_hashtag(
     the per-hashtag cut is a group limit that runs before its shuffle.
     """
     tagged = documents(df, text).select(key, text, F.array_distinct("hashtags").alias("_tags"))
-    terms = with_terms(tagged, text, ngram_range, stop_words).select(
-        key, F.xxhash64(text).alias("_digest"), "terms", F.explode("_tags").alias("hashtag")
-    )
+    prepared = with_terms(tagged, text, ngram_range, stop_words)
+    # Sorted before the tags are taken apart: later sorts of the same terms find them in order.
+    ordered = prepared.select(key, F.xxhash64(text).alias("_digest"), F.sort_array("terms").alias("terms"), "_tags")
+    terms = ordered.select(key, "_digest", "terms", F.explode("_tags").alias("hashtag"))
     sizes = tagged.select(F.explode("_tags").alias("hashtag")).groupBy("hashtag").agg(F.count(F.lit(1)).alias("n"))
-    ranked = Window.partitionBy("hashtag").orderBy(F.desc("total"), F.asc("term"))
     vocab = (
-        term_statistics(terms, ["hashtag"])
-        .filter(F.col("df") >= min_df)
-        .withColumn("_rank", F.row_number().over(ranked))
-        .filter(F.col("_rank") <= max_features)
+        most_frequent_terms_by(
+            prepared.select("terms", F.explode("_tags").alias("hashtag")), "hashtag", max_features, min_df, terms.select("hashtag", "terms")
+        )
         .join(sizes, "hashtag")
         .select("hashtag", "term", "n", smoothed_idf(F.col("n"), F.col("df")).alias("idf"))
     )

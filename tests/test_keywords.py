@@ -210,3 +210,46 @@ def test_hash_numbers_are_not_joined_by_a_shuffle(spark, capsys):
     want = kw.term_statistics(prepared).filter(kw._bucket(F.col("term"), 64).isin(numbers[:3]))
     assert sorted(some.collect()) == sorted(want.collect())
     assert kw.term_statistics(prepared, (), [], 64).count() == 0
+
+
+def hashtag_corpora(spark):
+    """600 posts of 12 words under one to three of five hashtags."""
+    word = F.transform(F.sequence(F.lit(1), F.lit(12)), lambda i: F.concat(F.lit("w"), F.pmod(F.hash(F.col("id") * i), i * i + 3)))
+    tags = F.transform(F.sequence(F.lit(0), F.col("id") % 3), lambda i: F.concat(F.lit("t"), (F.col("id") + i) % 5))
+    return spark.range(600).select(F.col("id").alias("post_id"), F.array_join(word, " ").alias("content"), tags.alias("hashtags"))
+
+
+def test_most_frequent_terms_by_hashtag_whatever_the_hashes(spark, monkeypatch):
+    docs = hashtag_corpora(spark)
+    rows = docs.collect()
+    monkeypatch.setattr(kw, "BUCKETS_A_TERM", 0)
+    for buckets, k, min_df in ((2, 5, 1), (64, 4, 1), (64, 7, 25), (1 << 14, 40, 2)):
+        monkeypatch.setattr(kw, "HASHTAG_BUCKETS", buckets)
+        tagged = kw.with_terms(docs).select("terms", F.explode("hashtags").alias("hashtag"))
+        got = {}
+        for r in kw.most_frequent_terms_by(tagged, "hashtag", k, min_df).collect():
+            got.setdefault(r.hashtag, set()).add((r.term, r.total, r.df))
+        for tag in ("t0", "t3"):
+            total, df = Counter(), Counter()
+            for r in rows:
+                if tag in r.hashtags:
+                    total.update(python_terms(r.content))
+                    df.update(set(python_terms(r.content)))
+            want = sorted((t for t in total if df[t] >= min_df), key=lambda t: (-total[t], t))[:k]
+            assert got[tag] == {(t, total[t], df[t]) for t in want}
+
+
+def test_rare_terms_of_a_hashtag_are_not_counted_one_by_one(spark, monkeypatch):
+    common = F.concat(F.lit("c"), F.pmod(F.col("id"), F.lit(9)).cast("string"))
+    text = F.concat_ws(" ", common, common, F.concat(F.lit("u"), "id"), F.concat(F.lit("v"), "id"))
+    docs = spark.range(20_000).select(F.col("id").alias("post_id"), text.alias("content"), F.array(F.lit("a")).alias("hashtags"))
+    seen = []
+    statistics = kw.term_statistics
+
+    def counted(*args, **named):
+        seen.append(statistics(*args, **named))
+        return seen[-1]
+
+    monkeypatch.setattr(kw, "term_statistics", counted)
+    assert kw.top_keywords_by_hashtag(docs, 3, 8).count() == 3
+    assert sum(df.count() for df in seen) < 3_000
