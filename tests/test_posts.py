@@ -160,3 +160,25 @@ def test_feature_column_order_and_own_lexicon(make_posts):
     ]
     row = df.first()
     assert (row.bullish_keyword_count, row.bearish_keyword_count) == (2, 1)
+
+
+def test_posts_are_not_shuffled_to_meet_known_fingerprints(spark, make_posts, capsys):
+    """Of 600 stored fingerprints 5 are among the posts: what both have is small enough to be broadcast."""
+    store = dedup.FingerprintStore(spark, scratch_dir(spark, "fingerprints"), digits=1)
+    posts = dedup.with_fingerprint(make_posts(*[{"content": f"post {i}"} for i in range(40)]))
+    capsys.readouterr()
+    store.new_posts(posts, 0).explain()
+    assert "Exchange" not in capsys.readouterr().out
+    others = spark.range(595).select(F.sha2(F.col("id").cast("string"), 256).alias("fingerprint"))
+    store.commit(others.unionByName(posts.filter("post_id < 5").select("fingerprint")), 0)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", 10_000)
+    try:
+        new = store.new_posts(posts, 1)
+        capsys.readouterr()
+        new.explain()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    plan = capsys.readouterr().out
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+    assert new.columns == posts.columns and sorted(r.post_id for r in new.collect()) == list(range(5, 40))
