@@ -44,6 +44,23 @@ def shared_folder(hashtag: Column, shared: int = SHARED_FOLDERS) -> Column:
     return F.concat(F.lit("~"), F.pmod(F.xxhash64(hashtag), F.lit(shared)).cast("string"))
 
 
+def lake_rows(df: DataFrame, own: DataFrame, shared_folders: int = SHARED_FOLDERS) -> DataFrame:
+    """One row per post and tag with ``date`` and ``folder``. ``own`` has the tags with folders of their own.
+
+    Posts are gathered by date before they are taken apart, so a post with k tags is shuffled once.
+    """
+    dated = df.select(*POST_COLUMNS, date_utc(F.col("timestamp")).alias("date")).hint("rebalance", "date")
+    tagged = dated.withColumn("hashtag", F.explode_outer(F.array_distinct("hashtags")))
+    # A tag spelled like a shared folder, or of no character, never has a folder of its own.
+    folder = (
+        F.when(F.col("hashtag").isNull(), "~none")
+        .when(F.col("_tag").isNotNull() & ~F.col("hashtag").rlike("^(~|$)"), F.col("hashtag"))
+        .otherwise(shared_folder(F.col("hashtag"), shared_folders))
+    )
+    placed = tagged.join(own, F.col("hashtag") == F.col("_tag"), "left").withColumn("folder", folder)
+    return placed.select(*POST_COLUMNS, "hashtag", "date", "folder")
+
+
 def write_lake(
     df: DataFrame, path: str, batch: int = 0, own_folders: int = OWN_FOLDERS, shared_folders: int = SHARED_FOLDERS
 ) -> str:
@@ -51,27 +68,19 @@ def write_lake(
 
     The batch's most frequent hashtags have folders of their own, the others share some, so folders are bounded
     whatever tags people make up. Only the folders that a batch fills are written; running a batch again replaces
-    what it wrote, also where the batch has other posts now. ``df`` is read twice, so it should be a table. The rebalance hint gathers each folder's rows into few
-    files and lets AQE split a folder that holds far more than the others.
+    what it wrote, also where the batch has other posts now. ``df`` is read twice, so it should be a table. The rebalance hint gathers each date's posts, before they are
+    stored once a tag, so that a folder has few files, and lets AQE split a date that holds far more than the others.
     """
     spark = df.sparkSession
-    tagged = df.withColumn("date", date_utc(F.col("timestamp"))).withColumn("hashtag", F.explode_outer(F.array_distinct("hashtags")))
-    counted = tagged.filter(F.col("hashtag").isNotNull()).groupBy("hashtag").agg(F.count(F.lit(1)).alias("n"))
+    tag = F.explode_outer(F.array_distinct("hashtags")).alias("hashtag")
+    counted = df.select(tag).filter(F.col("hashtag").isNotNull()).groupBy("hashtag").agg(F.count(F.lit(1)).alias("n"))
     top = counted.orderBy(F.desc("n"), F.asc("hashtag")).limit(own_folders).select(F.col("hashtag").alias("_tag"))
     scratch = scratch_dir(spark, "folders")
     top.write.parquet(scratch)
     own = spark.read.schema("_tag string").parquet(scratch)
-    # A tag spelled like a shared folder, or of no character, never has a folder of its own.
-    folder = (
-        F.when(F.col("hashtag").isNull(), "~none")
-        .when(F.col("_tag").isNotNull() & ~F.col("hashtag").rlike("^(~|$)"), F.col("hashtag"))
-        .otherwise(shared_folder(F.col("hashtag"), shared_folders))
-    )
-    placed = tagged.join(own, F.col("hashtag") == F.col("_tag"), "left").withColumn("folder", folder).drop("_tag")
     target = f"{path.rstrip('/')}/batch={batch}"
-    placed.select(*POST_COLUMNS, "hashtag", "date", "folder").hint("rebalance", "date", "folder").write.mode("overwrite").partitionBy(
-        "date", "folder"
-    ).parquet(target)
+    placed = lake_rows(df, own, shared_folders)
+    placed.write.mode("overwrite").option("compression", "zstd").partitionBy("date", "folder").parquet(target)
     return path
 
 

@@ -74,6 +74,18 @@ def test_lake_of_batches_equals_one_of_all(spark, make_posts):
         assert got.select(F.input_file_name()).distinct().count() <= 4
 
 
+def test_lake_posts_are_shuffled_once_whatever_their_tags(spark, make_posts, capsys):
+    own = spark.createDataFrame([("a",)], "_tag string")
+    rows = io.lake_rows(make_posts({"hashtags": ["a", "b", "a"]}, {}), own, 2)
+    capsys.readouterr()
+    rows.explain("extended")
+    plan = capsys.readouterr().out.split("Optimized Logical Plan")[1].split("Physical Plan")[0]
+    assert plan.index("Generate explode") < plan.index("RebalancePartitions")
+    found = sorted((r.post_id, r.hashtag or "", r.folder) for r in rows.collect())
+    assert [f[:2] for f in found] == [(0, "a"), (0, "b"), (1, "")]
+    assert found[0][2] == "a" and found[1][2].startswith("~") and found[2][2] == "~none"
+
+
 def test_json_codec(spark, make_posts):
     posts = normalise_posts(make_posts({"content": 'q " ü', "hashtags": ["#A"], "timestamp": datetime(2024, 1, 1, 1, 2, 3, 4000, tzinfo=UTC)}))
     lines = io.to_json_lines(posts)
