@@ -253,3 +253,20 @@ def test_rare_terms_of_a_hashtag_are_not_counted_one_by_one(spark, monkeypatch):
     monkeypatch.setattr(kw, "term_statistics", counted)
     assert kw.top_keywords_by_hashtag(docs, 3, 8).count() == 3
     assert sum(df.count() for df in seen) < 3_000
+
+
+def test_a_large_vocabulary_shuffles_documents_once(spark, monkeypatch, capsys):
+    """Copies of a key and text are counted first; terms are then counted and normalised where the document is."""
+    monkeypatch.setattr(kw, "ROW_LOCAL_TERMS", 1)
+    texts = [(1, "lot gain lot"), (1, "lot gain lot"), (None, "gain loss"), (1, "loss"), (2, "lot gain lot")]
+    posts = spark.createDataFrame(texts, "post_id bigint, content string")
+    model = kw.fit(posts, 4)
+    capsys.readouterr()
+    model._scores_by_join(posts, "content", "post_id").explain()
+    assert capsys.readouterr().out.count("hashpartitioning(") == 1
+    found = Counter((r.post_id, r.term, r.tf) for r in model.transform(posts).collect())
+    assert found[(1, "lot", 2)] == 2 and found[(2, "lot", 2)] == 1 and found[(None, "gain", 1)] == 1
+    means = {r.keyword: r.score for r in model.mean_scores(posts).collect()}
+    monkeypatch.undo()
+    expected = {r.keyword: r.score for r in kw.fit(posts, 4).mean_scores(posts).collect()}
+    assert means == pytest.approx(expected)
