@@ -7,14 +7,14 @@ aggregate. Larger vocabularies are scored by joins instead.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, NGram, Normalizer, StopWordsRemover
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from chatterlens.functions.text import is_blank, tokens
@@ -71,6 +71,32 @@ def with_terms(
     return words.withColumn("terms", joined).drop("_raw", "_words", *[f"_gram{n}" for n in sizes])
 
 
+def with_terms_among(
+    df: DataFrame, text: str, ngram_range: tuple[int, int], stop_words: Sequence[str], wanted: Callable[[Column], Column]
+) -> DataFrame:
+    """As ``with_terms``, but only the n-grams all of whose words are ``wanted``; no other term is put together.
+
+    Places of the wanted words are found first: what follows is as long as they are many.
+    """
+    low, high = ngram_range
+    found = tokens(F.col(text))
+    out = df.withColumn("_words", F.filter(found, lambda w: ~w.isin(list(stop_words))) if stop_words else found)
+    # One place beyond the last word, where there is none: a sequence from 0 to -1 would run backwards.
+    places = F.sequence(F.lit(0), F.size("_words"))
+
+    def holds(last: int) -> Callable[[Column], Column]:
+        return lambda i: (i + last < F.size("_words")) & wanted(F.get(F.col("_words"), i + last))
+
+    for n in range(1, high + 1):
+        out = out.withColumn(f"_at{n}", F.filter(places if n == 1 else F.col(f"_at{n - 1}"), holds(n - 1)))
+
+    def gram(n: int) -> Callable[[Column], Column]:
+        return lambda i: F.get(F.col("_words"), i) if n == 1 else F.array_join(F.slice("_words", i + 1, F.lit(n)), " ")
+
+    grams = [F.transform(f"_at{n}", gram(n)) for n in range(low, high + 1)]
+    return out.withColumn("terms", F.concat(*grams)).drop("_words", *[f"_at{n}" for n in range(1, high + 1)])
+
+
 def occurrences(df: DataFrame, keys: Sequence[str] = ("post_id",)) -> DataFrame:
     """One row per term occurrence, from the ``terms`` column.
 
@@ -168,6 +194,51 @@ def most_frequent_terms(prepared: DataFrame, n: int, min_df: int = 1) -> tuple[D
     return (spark.createDataFrame([], schema) if best is None else best), head["n_docs"] if head else 0
 
 
+def most_frequent_ngrams(
+    docs: DataFrame, text: str, n: int, min_df: int, ngram_range: tuple[int, int], stop_words: Sequence[str]
+) -> tuple[DataFrame, int]:
+    """``most_frequent_terms`` of texts, with single words in place of terms where these are terms themselves.
+
+    A term is at most as frequent as each of its words, so only words are hashed and counted. Terms whose words all
+    have one of the largest numbers are counted exactly; the n-th best of them is a lower bound, and a word of a
+    number below it is in no term of the result. The terms of the other words are counted too where there are any
+    more. Many wanted terms, or n-grams alone, are looked for by hashes of whole terms.
+    """
+
+    def by_terms() -> tuple[DataFrame, int]:
+        return most_frequent_terms(with_terms(docs, text, ngram_range, stop_words), n, min_df)
+
+    low, high = ngram_range
+    if low != 1 or high < low or n > ROW_LOCAL_TERMS:
+        return by_terms()
+    spark, buckets = docs.sparkSession, max(TERM_BUCKETS, BUCKETS_A_TERM * n)
+    word = F.explode(F.concat(tokens(F.col(text)), F.array(F.lit(None).cast("string")))).alias("word")
+    words = docs.select(word)
+    if stop_words:
+        words = words.filter(F.col("word").isNull() | ~F.col("word").isin(list(stop_words)))
+    bucket = F.when(F.col("word").isNull(), -1).otherwise(_bucket(F.col("word"), buckets)).alias("bucket")
+    sums = _stored(words.groupBy(bucket).agg(F.count(F.lit(1)).alias("most")), "word-hashes")
+    first = sums.orderBy(F.col("bucket") >= 0, F.desc("most"), "bucket").limit(4 * n + 1).collect()
+    among = [r["bucket"] for r in first if r["bucket"] >= 0]
+
+    def best() -> list[Row]:
+        prepared = with_terms_among(docs, text, ngram_range, stop_words, lambda w: _bucket(w, buckets).isin(among))
+        exact = term_statistics(prepared).filter(F.col("df") >= min_df)
+        return exact.orderBy(F.desc("total"), F.asc("term")).limit(n).collect()
+
+    rows = best() if among else []
+    bound = rows[-1]["total"] if len(rows) == n else 0
+    may_hold = sums.filter((F.col("bucket") >= 0) & (F.col("most") >= bound)).select("bucket")
+    more = [r["bucket"] for r in may_hold.limit(4 * ROW_LOCAL_TERMS + 1).collect()]
+    if len(more) > 4 * ROW_LOCAL_TERMS:
+        return by_terms()
+    if not set(more) <= set(among):
+        among = sorted({*among, *more})
+        rows = best()
+    n_docs = next((r["most"] for r in first if r["bucket"] < 0), 0)
+    return spark.createDataFrame(rows, "term string, total bigint, df bigint"), n_docs
+
+
 def most_frequent_terms_by(
     tagged: DataFrame, key: str, n: int, min_df: int = 1, ordered: DataFrame | None = None
 ) -> DataFrame:
@@ -244,7 +315,8 @@ class KeywordModel:
         counter = CountVectorizerModel.from_vocabulary(list(terms), inputCol="terms", outputCol="tf")
         weights = ElementwiseProduct(scalingVec=Vectors.dense(idf), inputCol="tf", outputCol="_weighted")
         unit = Normalizer(p=2.0, inputCol="_weighted", outputCol="tfidf")
-        prepared = with_terms(documents(df, text), text, self.ngram_range, self.stop_words)
+        words = sorted({w for t in terms for w in t.split(" ")})
+        prepared = with_terms_among(documents(df, text), text, self.ngram_range, self.stop_words, lambda w: w.isin(words))
         return unit.transform(weights.transform(counter.transform(prepared)))
 
     def transform(self, df: DataFrame, text: str = "content", key: str = "post_id") -> DataFrame:
@@ -353,8 +425,7 @@ def vocabulary(
     stop_words: Sequence[str] = tuple(STOP_WORDS),
 ) -> DataFrame:
     """The most frequent terms of the corpus with ``total`` and ``df``; ties by name. The texts are read twice."""
-    prepared = with_terms(documents(df.select(text), text), text, ngram_range, stop_words)
-    return most_frequent_terms(prepared, max_features, min_df)[0]
+    return most_frequent_ngrams(documents(df.select(text), text), text, max_features, min_df, ngram_range, stop_words)[0]
 
 
 def fit(
@@ -373,8 +444,8 @@ def fit(
     if max_features <= 0:
         raise ValueError(f"max_features must be > 0, got {max_features}")
     require_columns(df, [text], "fit")
-    prepared = with_terms(documents(df.select(text), text), text, ngram_range, stop_words)
-    counted, n_docs = most_frequent_terms(prepared, max_features, min_df)
+    docs = documents(df.select(text), text)
+    counted, n_docs = most_frequent_ngrams(docs, text, max_features, min_df, ngram_range, stop_words)
     settings = (tuple(ngram_range), tuple(stop_words))
     table = counted.select("term", "total", "df", smoothed_idf(F.lit(n_docs), F.col("df")).alias("idf"))
     return _model(table, n_docs, *settings)

@@ -270,3 +270,38 @@ def test_a_large_vocabulary_shuffles_documents_once(spark, monkeypatch, capsys):
     monkeypatch.undo()
     expected = {r.keyword: r.score for r in kw.fit(posts, 4).mean_scores(posts).collect()}
     assert means == pytest.approx(expected)
+
+
+@pytest.mark.parametrize("ngram_range", [(1, 1), (1, 2), (1, 3)])
+def test_terms_among_wanted_words(spark, ngram_range):
+    """Only n-grams of wanted words, also beside rows that hold none, one, or no word at all."""
+    df = corpus(spark, ["gain gain of gain loss gain", "loss", "of", "", "gain", "loss gain value gain"])
+    every = kw.with_terms(df, ngram_range=ngram_range).collect()
+    want = {r.post_id: [t for t in r.terms if set(t.split(" ")) <= {"gain", "value"}] for r in every}
+    some = kw.with_terms_among(df, "content", ngram_range, tuple(STOP_WORDS), lambda w: w.isin(["gain", "value"]))
+    assert {r.post_id: r.terms for r in some.collect()} == want
+
+
+def test_fitting_puts_few_terms_together(spark, monkeypatch):
+    """Words bound the n-grams they are in, so no term is put together from other words; ties at the bound are kept."""
+    texts = ["a1 b1 a1 b1", "z9 y8", "z9 y8", "y8 z9 x7", "b1 w6"]
+    docs = corpus(spark, texts)
+    want = {k: python_scores(texts, k) for k in (1, 3, 6, 50)}
+
+    def refused(*args, **named):
+        raise AssertionError("all terms are put together")
+
+    monkeypatch.setattr(kw, "with_terms", refused)
+    for buckets in (2, 1 << 16):
+        monkeypatch.setattr(kw, "TERM_BUCKETS", buckets)
+        monkeypatch.setattr(kw, "BUCKETS_A_TERM", 0)
+        for k, scores in want.items():
+            got = {r.keyword: r.score for r in kw.fit(docs, k, stop_words=tuple(STOP_WORDS)).mean_scores(docs).collect()}
+            assert got == pytest.approx(scores)
+
+
+def test_words_beyond_the_first_numbers_are_counted(spark):
+    """Frequent words that are in too few documents leave room for words of smaller numbers."""
+    texts = [" ".join(f"r{i}" for i in range(12)) + " " + " ".join(f"r{i}" for i in range(12)), "k1 k2", "k1 k2"]
+    got = kw.vocabulary(corpus(spark, texts), 2, 2).collect()
+    assert [(r.term, r.total, r.df) for r in got] == [("k1", 2, 2), ("k1 k2", 2, 2)]
