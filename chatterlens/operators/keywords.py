@@ -27,6 +27,8 @@ ROW_LOCAL_TERMS = 2_000
 # Numbers that terms are hashed to when the most frequent ones are looked for: at least so many, and so many a term
 # that is wanted, so that what rare terms add up to on a number stays below the wanted terms.
 TERM_BUCKETS, BUCKETS_A_TERM = 1 << 16, 64
+# A hashtag's vocabulary of up to so many terms meets a post as one row.
+ROW_LOCAL_BY_HASHTAG = 256
 # As many a hashtag at least, where terms are looked for by hashtag.
 HASHTAG_BUCKETS = 1 << 14
 SETTINGS = "n_docs bigint, ngram_range array<int>, stop_words array<string>"
@@ -71,6 +73,11 @@ def with_terms(
     return words.withColumn("terms", joined).drop("_raw", "_words", *[f"_gram{n}" for n in sizes])
 
 
+def _places(name: str) -> Column:
+    """0, 1 and so on, as many as an array has; a sequence from 0 to -1 would run backwards."""
+    return F.when(F.size(name) > 0, F.sequence(F.lit(0), F.size(name) - 1)).otherwise(F.array().cast("array<int>"))
+
+
 def with_terms_among(
     df: DataFrame, text: str, ngram_range: tuple[int, int], stop_words: Sequence[str], wanted: Callable[[Column], Column]
 ) -> DataFrame:
@@ -81,8 +88,7 @@ def with_terms_among(
     low, high = ngram_range
     found = tokens(F.col(text))
     out = df.withColumn("_words", F.filter(found, lambda w: ~w.isin(list(stop_words))) if stop_words else found)
-    # A sequence from 0 to -1 would run backwards.
-    places = F.when(F.size("_words") > 0, F.sequence(F.lit(0), F.size("_words") - 1)).otherwise(F.array().cast("array<int>"))
+    places = _places("_words")
 
     def holds(last: int) -> Callable[[Column], Column]:
         if last == 0:
@@ -99,6 +105,28 @@ def with_terms_among(
     return out.withColumn("terms", F.concat(*grams)).drop("_words", *[f"_at{n}" for n in range(1, high + 1)])
 
 
+def with_counts(df: DataFrame) -> DataFrame:
+    """``counted``, each distinct term of the row with its ``tf``, in place of ``terms``; no term leaves its row.
+
+    Terms are sorted and the first one of each kind found: a kind is as frequent as it is far to the next one.
+    """
+    ordered = df.withColumn("_sorted", F.sort_array("terms")).drop("terms")
+    first = ordered.withColumn(
+        "_first", F.filter(_places("_sorted"), lambda i: (i == 0) | (F.get("_sorted", i) != F.get("_sorted", i - 1)))
+    )
+
+    def kind(i: Column, k: Column) -> Column:
+        upto = F.coalesce(F.get("_first", k + 1), F.size("_sorted"))
+        return F.struct(F.get("_sorted", i).alias("term"), (upto - i).cast("bigint").alias("tf"))
+
+    return first.withColumn("counted", F.transform("_first", kind)).drop("_sorted", "_first")
+
+
+def _rows_of(array: str) -> Column:
+    """The structs of an array column as rows. For a plain column Spark would infer a filter, and make the array again."""
+    return F.inline(F.slice(array, F.lit(1), F.size(array)))
+
+
 def occurrences(df: DataFrame, keys: Sequence[str] = ("post_id",)) -> DataFrame:
     """One row per term occurrence, from the ``terms`` column.
 
@@ -271,6 +299,67 @@ def most_frequent_terms_by(
     return some if taken.isEmpty() else best(some.unionByName(exact(taken)), n, F.desc("total"), F.asc("term"))
 
 
+def most_frequent_ngrams_by(
+    tagged: DataFrame, key: str, tags: str, text: str, n: int, min_df: int, ngram_range: tuple[int, int], stop_words: Sequence[str]
+) -> DataFrame:
+    """``most_frequent_terms_by`` of texts, each with an array ``tags`` of keys.
+
+    A term is at most as frequent as each of its words. Where single words are terms, these are hashed and counted by key,
+    then the words of a key's largest numbers exactly, or all words of a key that has few numbers; the n-th best of them is
+    a lower bound, and words of other numbers that may reach it are counted too. Only longer terms of words that reach the
+    bound of some key are put together. Too many such words for a list, or longer terms alone, are left to hashes of whole
+    terms.
+    """
+    low, high = ngram_range
+
+    def by_terms() -> DataFrame:
+        prepared = with_terms(tagged, text, ngram_range, stop_words).select("terms", tags)
+        # Sorted before the tags are taken apart: later sorts of the same terms find them in order.
+        ordered = prepared.select(F.sort_array("terms").alias("terms"), F.explode(tags).alias(key))
+        return most_frequent_terms_by(prepared.select("terms", F.explode(tags).alias(key)), key, n, min_df, ordered)
+
+    if low != 1 or high < low:
+        return by_terms()
+    buckets = max(HASHTAG_BUCKETS, BUCKETS_A_TERM * n)
+    found = tokens(F.col(text))
+    words = F.filter(found, lambda w: ~w.isin(list(stop_words))) if stop_words else found
+    each = tagged.select(F.transform(words, lambda w: _bucket(w, buckets)).alias("_numbers"), F.explode(tags).alias(key))
+    # Not the plain column: Spark would infer a filter and take the texts apart twice.
+    numbers = F.explode(F.slice("_numbers", F.lit(1), F.size("_numbers"))).alias("bucket")
+    sums = _stored(each.select(key, numbers).groupBy(key, "bucket").agg(F.count(F.lit(1)).alias("most")), "word-hashes")
+
+    def counted(df: DataFrame, among: DataFrame | None = None) -> DataFrame:
+        each = with_counts(df).select("counted", F.explode(tags).alias(key)).select(key, _rows_of("counted"))
+        if among is not None:
+            each = each.withColumn("bucket", _bucket(F.col("term"), buckets)).join(among, [key, "bucket"])
+        counts = each.groupBy(key, "term").agg(F.sum("tf").alias("total"), F.count(F.lit(1)).alias("df"))
+        return counts.filter(F.col("df") >= min_df)
+
+    def first(df: DataFrame, n: int, rank: Column, *order: Column) -> DataFrame:
+        return df.withColumn("_rank", rank.over(Window.partitionBy(key).orderBy(*order))).filter(F.col("_rank") <= n).drop("_rank")
+
+    single = with_terms(tagged, text, (1, 1), stop_words)
+    few = sums.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") <= BUCKETS_A_TERM * n).select(key)
+    largest = first(sums, 4 * n, F.row_number(), F.desc("most"), F.asc("bucket"))
+    taken = largest.unionByName(sums.join(few, key, "left_semi")).select(key, "bucket").distinct()
+    taken = _stored(taken, "word-hashes")
+    # Rows of equal totals have one rank: every word that reaches the n-th total is there.
+    frequent = _stored(first(counted(single, taken), n, F.rank(), F.desc("total")), "words")
+    bound = frequent.groupBy(key).agg(F.when(F.count(F.lit(1)) >= n, F.min("total")).otherwise(0).alias("least"))
+    left = sums.join(taken, [key, "bucket"], "left_anti").join(bound, key, "left").filter(F.col("most") >= F.coalesce("least", F.lit(0)))
+    more = _stored(left.select(key, "bucket"), "word-hashes")
+    if not more.isEmpty():
+        frequent = _stored(first(frequent.unionByName(counted(single, more)), n, F.rank(), F.desc("total")), "words")
+    merged = frequent
+    if high > 1:
+        listed = [r["term"] for r in frequent.select("term").distinct().limit(4 * ROW_LOCAL_TERMS + 1).collect()]
+        if len(listed) > 4 * ROW_LOCAL_TERMS:
+            return by_terms()
+        longer = with_terms_among(tagged, text, (2, high), stop_words, lambda w: w.isin(listed))
+        merged = frequent.unionByName(counted(longer))
+    return first(merged, n, F.row_number(), F.desc("total"), F.asc("term"))
+
+
 def normalised_scores(counted: DataFrame, keys: Sequence[str]) -> DataFrame:
     """L2-normalised tf x idf per document; ``counted`` has tf and idf."""
     norm = F.sqrt(F.sum(F.pow(F.col("tf") * F.col("idf"), 2)).over(Window.partitionBy(*keys)))
@@ -485,30 +574,52 @@ def top_keywords_by_hashtag(
 ) -> DataFrame:
     """Keywords of every hashtag, each hashtag a corpus of its own.
 
-    The vocabulary grows with the number of hashtags, so it is stored and then joined by its known size;
-    the per-hashtag cut is a group limit that runs before its shuffle.
+    The vocabulary grows with the number of hashtags, so it is stored and then joined by its known size, as one row a
+    hashtag if these are short; the per-hashtag cut is a group limit that runs before its shuffle.
     """
-    tagged = documents(df, text).select(key, text, F.array_distinct("hashtags").alias("_tags"))
-    prepared = with_terms(tagged, text, ngram_range, stop_words)
-    # Sorted before the tags are taken apart: later sorts of the same terms find them in order.
-    ordered = prepared.select(key, F.xxhash64(text).alias("_digest"), F.sort_array("terms").alias("terms"), "_tags")
-    terms = ordered.select(key, "_digest", "terms", F.explode("_tags").alias("hashtag"))
+    tags = F.array_compact(F.array_distinct("hashtags")).alias("_tags")
+    tagged = documents(df, text).select(key, text, tags)
     sizes = tagged.select(F.explode("_tags").alias("hashtag")).groupBy("hashtag").agg(F.count(F.lit(1)).alias("n"))
-    vocab = (
-        most_frequent_terms_by(
-            prepared.select("terms", F.explode("_tags").alias("hashtag")), "hashtag", max_features, min_df, terms.select("hashtag", "terms")
-        )
-        .join(sizes, "hashtag")
-        .select("hashtag", "term", "n", smoothed_idf(F.col("n"), F.col("df")).alias("idf"))
-    )
-    spark, path = df.sparkSession, scratch_dir(df.sparkSession, "vocabulary")
-    vocab.write.parquet(path)
-    stored = spark.read.schema("hashtag string, term string, n bigint, idf double").parquet(path)
-    scores = (
-        scores_by_join(terms, stored, ["hashtag", "term"], [key, "_digest", "hashtag"])
-        .groupBy("hashtag", "term", "n")
-        .agg(F.sum(F.col("tfidf") * F.col("copies")).alias("s"))
-        .select("hashtag", F.col("term").alias("keyword"), (F.col("s") / F.col("n")).alias("score"))
-    )
+    best_terms = most_frequent_ngrams_by(tagged.select(text, "_tags"), "hashtag", "_tags", text, max_features, min_df, ngram_range, stop_words)
+    vocab = best_terms.join(sizes, "hashtag").select("hashtag", "term", "n", smoothed_idf(F.col("n"), F.col("df")).alias("idf"))
+    stored = _stored(vocab, "vocabulary")
+    if max_features <= ROW_LOCAL_BY_HASHTAG:
+        sums = _sums_in_row(tagged, stored, text, ngram_range, stop_words)
+    else:
+        prepared = with_terms(tagged, text, ngram_range, stop_words)
+        ordered = prepared.select(key, F.xxhash64(text).alias("_digest"), F.sort_array("terms").alias("terms"), "_tags")
+        terms = ordered.select(key, "_digest", "terms", F.explode("_tags").alias("hashtag"))
+        scored = scores_by_join(terms, stored, ["hashtag", "term"], [key, "_digest", "hashtag"])
+        sums = scored.groupBy("hashtag", "term", "n").agg(F.sum(F.col("tfidf") * F.col("copies")).alias("s"))
+    scores = sums.select("hashtag", F.col("term").alias("keyword"), (F.col("s") / F.col("n")).alias("score"))
     best = Window.partitionBy("hashtag").orderBy(*ranking())
     return scores.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= top_n)
+
+
+def _sums_in_row(
+    tagged: DataFrame, vocab: DataFrame, text: str, ngram_range: tuple[int, int], stop_words: Sequence[str]
+) -> DataFrame:
+    """(hashtag, term, n, s): sums of the scores of each hashtag's posts by the hashtag's own vocabulary.
+
+    A post meets the vocabulary of each of its tags as one row, and its terms are weighted and normalised there: neither
+    terms nor texts are shuffled to be counted, and every row is a document of its own.
+    """
+    known = [r["term"] for r in vocab.select("term").distinct().limit(4 * ROW_LOCAL_TERMS + 1).collect()]
+    if len(known) > 4 * ROW_LOCAL_TERMS:
+        prepared = with_terms(tagged, text, ngram_range, stop_words)
+    else:
+        words = sorted({w for t in known for w in t.split(" ")})
+        prepared = with_terms_among(tagged, text, ngram_range, stop_words, lambda w: w.isin(words))
+        prepared = prepared.withColumn("terms", F.filter("terms", lambda t: t.isin(known)))
+    lists = vocab.groupBy("hashtag", "n").agg(F.collect_list(F.struct("term", "idf")).alias("_v"))
+    lists = lists.select("hashtag", "n", F.col("_v.term").alias("_names"), F.col("_v.idf").alias("_idf"))
+    met = with_counts(prepared).select("counted", F.explode("_tags").alias("hashtag")).join(lists, "hashtag")
+    placed = F.transform("counted", lambda c: F.struct(F.array_position("_names", c["term"]).cast("int").alias("at"), c["tf"].alias("tf")))
+    found = met.select("hashtag", "n", "_names", "_idf", F.filter(placed, lambda p: p["at"] > 0).alias("_found"))
+    weights = F.transform(
+        "_found", lambda p: F.struct(F.get("_names", p["at"] - 1).alias("term"), (p["tf"] * F.get("_idf", p["at"] - 1)).alias("weight"))
+    )
+    weighted = found.select("hashtag", "n", weights.alias("_weights"))
+    norm = F.sqrt(F.aggregate("_weights", F.lit(0.0), lambda total, x: total + x["weight"] * x["weight"]))
+    each = weighted.select("hashtag", "n", norm.alias("_norm"), _rows_of("_weights"))
+    return each.groupBy("hashtag", "term", "n").agg(F.sum(F.col("weight") / F.col("_norm")).alias("s"))

@@ -305,3 +305,39 @@ def test_words_beyond_the_first_numbers_are_counted(spark):
     texts = [" ".join(f"r{i}" for i in range(12)) + " " + " ".join(f"r{i}" for i in range(12)), "k1 k2", "k1 k2"]
     got = kw.vocabulary(corpus(spark, texts), 2, 2).collect()
     assert [(r.term, r.total, r.df) for r in got] == [("k1", 2, 2), ("k1 k2", 2, 2)]
+
+
+@pytest.mark.parametrize("row_local", [0, 256])
+@pytest.mark.parametrize("listed", [0, 2_000])
+@pytest.mark.parametrize("buckets", [2, 1 << 14])
+def test_keywords_by_hashtag_in_every_way(spark, monkeypatch, row_local, listed, buckets):
+    """Few numbers, no lists of words, scoring by join: results are those of one corpus a hashtag, also where keys repeat or are missing."""
+    monkeypatch.setattr(kw, "ROW_LOCAL_BY_HASHTAG", row_local)
+    monkeypatch.setattr(kw, "ROW_LOCAL_TERMS", listed)
+    monkeypatch.setattr(kw, "HASHTAG_BUCKETS", buckets)
+    monkeypatch.setattr(kw, "BUCKETS_A_TERM", 0)
+    rows = [(1, t, g) for t in TEXTS for g in (["a", None, "a"], ["b"], [], None)] + [(None, TEXTS[0], ["a", "c"])] * 2
+    df = spark.createDataFrame(rows, "post_id bigint, content string, hashtags array<string>")
+    for top, size, min_df in ((50, 4, 1), (3, 6, 2)):
+        got = {(r.hashtag, r.keyword): r.score for r in kw.top_keywords_by_hashtag(df, top, size, min_df=min_df).collect()}
+        expected = {}
+        for tag in "abc":
+            scores = python_scores([t for _, t, g in rows if tag in (g or [])], size, min_df)
+            best = sorted(scores, key=lambda t: (-round(scores[t], 12), t))[:top]
+            expected |= {(tag, t): scores[t] for t in best if scores[t] > 0}
+        assert got == pytest.approx(expected)
+
+
+def test_posts_are_not_shuffled_to_be_scored_by_hashtag(spark, capsys):
+    df = corpus(spark).withColumn("hashtags", F.array(F.lit("a"), F.lit("b")))
+    best = kw.top_keywords_by_hashtag(df, 5, 6)
+    capsys.readouterr()
+    best.explain()
+    plan = capsys.readouterr().out
+    assert "_digest" not in plan and "post_id" not in re.sub("Scan .*", "", plan)
+
+
+def test_counts_in_the_row(spark):
+    df = spark.createDataFrame([(1, ["b", "a", "b"]), (1, []), (None, ["c"])], "post_id bigint, terms array<string>")
+    got = [(r.post_id, [tuple(c) for c in r.counted]) for r in kw.with_counts(df).collect()]
+    assert got == [(1, [("a", 1), ("b", 2)]), (1, []), (None, [("c", 1)])]
