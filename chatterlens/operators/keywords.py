@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from chatterlens.functions.text import is_blank, tokens
 from chatterlens.functions.words import STOP_WORDS
 from chatterlens.schema import KEYWORD_SCHEMA, VOCAB_SCHEMA, require_columns
-from chatterlens.session import scratch_dir
+from chatterlens.session import stored
 
 # Vocabularies up to this many terms live in the driver and in every task.
 ROW_LOCAL_TERMS = 2_000
@@ -137,8 +137,21 @@ def occurrences(df: DataFrame, keys: Sequence[str] = ("post_id",)) -> DataFrame:
 
 
 def term_counts(df: DataFrame, keys: Sequence[str] = ("post_id",)) -> DataFrame:
-    """Occurrences of each term in each document."""
-    return occurrences(df, keys).groupBy(*keys, "term").agg(F.count(F.lit(1)).alias("tf"))
+    """Occurrences of each term in each document; rows of equal keys, also of missing ones, are one document.
+
+    A key that no other row has is counted in its row. Only the terms of repeated keys are shuffled to be added up.
+    ``df`` is read twice, so it should come from a table.
+    """
+    per_row = with_counts(df.select(*keys, "terms")).select(*keys, _rows_of("counted"))
+    repeated = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
+    again = stored(repeated.select(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)]), "repeated-keys")
+    if again.isEmpty():
+        return per_row
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_key{i}"))
+    once, more = (with_counts(df.select(*keys, "terms").join(again, same, how)).select(*keys, _rows_of("counted")) for how in ("left_anti", "left_semi"))
+    return once.unionByName(more.groupBy(*keys, "term").agg(F.sum("tf").alias("tf")))
 
 
 def term_statistics(
@@ -181,12 +194,6 @@ def _few(df: DataFrame, most: int) -> list[int] | DataFrame:
     return df.select("bucket") if len(rows) > most else [r["bucket"] for r in rows]
 
 
-def _stored(df: DataFrame, label: str) -> DataFrame:
-    path = scratch_dir(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def most_frequent_terms(prepared: DataFrame, n: int, min_df: int = 1) -> tuple[DataFrame, int]:
     """(the ``n`` terms of highest ``total`` with their ``df``, ties by name; number of documents), exactly.
 
@@ -199,11 +206,11 @@ def most_frequent_terms(prepared: DataFrame, n: int, min_df: int = 1) -> tuple[D
 
     def kept(df: DataFrame, schema: str) -> DataFrame:
         """A result of some n rows: in the driver if n is small, else stored."""
-        return spark.createDataFrame(df.collect(), schema) if n <= ROW_LOCAL_TERMS else _stored(df, "terms")
+        return spark.createDataFrame(df.collect(), schema) if n <= ROW_LOCAL_TERMS else stored(df, "terms")
 
     marked = F.explode(F.concat("terms", F.array(F.lit(None).cast("string")))).alias("term")
     hashed = prepared.select(marked).groupBy(F.when(F.col("term").isNull(), -1).otherwise(_bucket(F.col("term"), buckets)).alias("bucket"))
-    sums = _stored(hashed.agg(F.count(F.lit(1)).alias("most")), "term-hashes")
+    sums = stored(hashed.agg(F.count(F.lit(1)).alias("most")), "term-hashes")
     first = kept(sums.orderBy(F.col("bucket") >= 0, F.desc("most"), "bucket").limit(4 * n + 1), "bucket int, most bigint")
     head = first.filter("bucket = -1").select(F.col("most").alias("n_docs")).first()
     taken, counted, best = first.filter("bucket >= 0"), first, None
@@ -219,7 +226,7 @@ def most_frequent_terms(prepared: DataFrame, n: int, min_df: int = 1) -> tuple[D
         bound = last["least"] if last["n"] == n else 0
         taken = sums.filter(F.col("most") >= bound).join(counted.select("bucket"), "bucket", "left_anti")
         if not taken.isEmpty():
-            taken = _stored(taken, "term-hashes")
+            taken = stored(taken, "term-hashes")
             counted = counted.select("bucket").unionByName(taken.select("bucket"))
     return (spark.createDataFrame([], schema) if best is None else best), head["n_docs"] if head else 0
 
@@ -247,7 +254,7 @@ def most_frequent_ngrams(
     if stop_words:
         words = words.filter(F.col("word").isNull() | ~F.col("word").isin(list(stop_words)))
     bucket = F.when(F.col("word").isNull(), -1).otherwise(_bucket(F.col("word"), buckets)).alias("bucket")
-    sums = _stored(words.groupBy(bucket).agg(F.count(F.lit(1)).alias("most")), "word-hashes")
+    sums = stored(words.groupBy(bucket).agg(F.count(F.lit(1)).alias("most")), "word-hashes")
     first = sums.orderBy(F.col("bucket") >= 0, F.desc("most"), "bucket").limit(4 * n + 1).collect()
     among = [r["bucket"] for r in first if r["bucket"] >= 0]
 
@@ -281,7 +288,7 @@ def most_frequent_terms_by(
     buckets = max(HASHTAG_BUCKETS, BUCKETS_A_TERM * n)
     number = _bucket(F.col("term"), buckets).alias("bucket")
     hashed = tagged.select(key, F.explode("terms").alias("term")).groupBy(key, number)
-    sums = _stored(hashed.agg(F.count(F.lit(1)).alias("most")), "term-hashes")
+    sums = stored(hashed.agg(F.count(F.lit(1)).alias("most")), "term-hashes")
 
     def best(df: DataFrame, n: int, *order: Column) -> DataFrame:
         window = Window.partitionBy(key).orderBy(*order)
@@ -291,11 +298,11 @@ def most_frequent_terms_by(
         counted = term_statistics(tagged if ordered is None else ordered, [key], taken, buckets).filter(F.col("df") >= min_df)
         return best(counted, n, F.desc("total"), F.asc("term"))
 
-    first = _stored(best(sums, 4 * n, F.desc("most"), F.asc("bucket")).select(key, "bucket"), "term-hashes")
-    some = _stored(exact(first), "terms")
+    first = stored(best(sums, 4 * n, F.desc("most"), F.asc("bucket")).select(key, "bucket"), "term-hashes")
+    some = stored(exact(first), "terms")
     bound = some.groupBy(key).agg(F.when(F.count(F.lit(1)) == n, F.min("total")).otherwise(0).alias("least"))
     left = sums.join(first, [key, "bucket"], "left_anti").join(bound, key, "left").filter(F.col("most") >= F.coalesce("least", F.lit(0)))
-    taken = _stored(left.select(key, "bucket"), "term-hashes")
+    taken = stored(left.select(key, "bucket"), "term-hashes")
     return some if taken.isEmpty() else best(some.unionByName(exact(taken)), n, F.desc("total"), F.asc("term"))
 
 
@@ -326,7 +333,7 @@ def most_frequent_ngrams_by(
     each = tagged.select(F.transform(words, lambda w: _bucket(w, buckets)).alias("_numbers"), F.explode(tags).alias(key))
     # Not the plain column: Spark would infer a filter and take the texts apart twice.
     numbers = F.explode(F.slice("_numbers", F.lit(1), F.size("_numbers"))).alias("bucket")
-    sums = _stored(each.select(key, numbers).groupBy(key, "bucket").agg(F.count(F.lit(1)).alias("most")), "word-hashes")
+    sums = stored(each.select(key, numbers).groupBy(key, "bucket").agg(F.count(F.lit(1)).alias("most")), "word-hashes")
 
     def counted(df: DataFrame, among: DataFrame | None = None) -> DataFrame:
         each = with_counts(df).select("counted", F.explode(tags).alias(key)).select(key, _rows_of("counted"))
@@ -342,14 +349,14 @@ def most_frequent_ngrams_by(
     few = sums.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") <= BUCKETS_A_TERM * n).select(key)
     largest = first(sums, 4 * n, F.row_number(), F.desc("most"), F.asc("bucket"))
     taken = largest.unionByName(sums.join(few, key, "left_semi")).select(key, "bucket").distinct()
-    taken = _stored(taken, "word-hashes")
+    taken = stored(taken, "word-hashes")
     # Rows of equal totals have one rank: every word that reaches the n-th total is there.
-    frequent = _stored(first(counted(single, taken), n, F.rank(), F.desc("total")), "words")
+    frequent = stored(first(counted(single, taken), n, F.rank(), F.desc("total")), "words")
     bound = frequent.groupBy(key).agg(F.when(F.count(F.lit(1)) >= n, F.min("total")).otherwise(0).alias("least"))
     left = sums.join(taken, [key, "bucket"], "left_anti").join(bound, key, "left").filter(F.col("most") >= F.coalesce("least", F.lit(0)))
-    more = _stored(left.select(key, "bucket"), "word-hashes")
+    more = stored(left.select(key, "bucket"), "word-hashes")
     if not more.isEmpty():
-        frequent = _stored(first(frequent.unionByName(counted(single, more)), n, F.rank(), F.desc("total")), "words")
+        frequent = stored(first(frequent.unionByName(counted(single, more)), n, F.rank(), F.desc("total")), "words")
     merged = frequent
     if high > 1:
         listed = [r["term"] for r in frequent.select("term").distinct().limit(4 * ROW_LOCAL_TERMS + 1).collect()]
@@ -582,14 +589,14 @@ def top_keywords_by_hashtag(
     sizes = tagged.select(F.explode("_tags").alias("hashtag")).groupBy("hashtag").agg(F.count(F.lit(1)).alias("n"))
     best_terms = most_frequent_ngrams_by(tagged.select(text, "_tags"), "hashtag", "_tags", text, max_features, min_df, ngram_range, stop_words)
     vocab = best_terms.join(sizes, "hashtag").select("hashtag", "term", "n", smoothed_idf(F.col("n"), F.col("df")).alias("idf"))
-    stored = _stored(vocab, "vocabulary")
+    kept = stored(vocab, "vocabulary")
     if max_features <= ROW_LOCAL_BY_HASHTAG:
-        sums = _sums_in_row(tagged, stored, text, ngram_range, stop_words)
+        sums = _sums_in_row(tagged, kept, text, ngram_range, stop_words)
     else:
         prepared = with_terms(tagged, text, ngram_range, stop_words)
         ordered = prepared.select(key, F.xxhash64(text).alias("_digest"), F.sort_array("terms").alias("terms"), "_tags")
         terms = ordered.select(key, "_digest", "terms", F.explode("_tags").alias("hashtag"))
-        scored = scores_by_join(terms, stored, ["hashtag", "term"], [key, "_digest", "hashtag"])
+        scored = scores_by_join(terms, kept, ["hashtag", "term"], [key, "_digest", "hashtag"])
         sums = scored.groupBy("hashtag", "term", "n").agg(F.sum(F.col("tfidf") * F.col("copies")).alias("s"))
     scores = sums.select("hashtag", F.col("term").alias("keyword"), (F.col("s") / F.col("n")).alias("score"))
     best = Window.partitionBy("hashtag").orderBy(*ranking())

@@ -12,7 +12,7 @@ from chatterlens.operators import capture, charts, clean, dedup, features, keywo
 from chatterlens.options import JobOptions
 from chatterlens.plans import runs, signals, views
 from chatterlens.schema import KEYWORD_SCHEMA
-from chatterlens.session import scratch_dir
+from chatterlens.session import scratch_dir, stored
 from chatterlens.sources import posts as post_io
 from chatterlens.sources import results, sample
 from chatterlens.streaming import stateful
@@ -100,14 +100,6 @@ def parsed_cards(spark, sf, **options):
     return capture.parse_cards(views.captures(spark, sf), views.as_of(), CUTOFF_HOURS, **options)
 
 
-def stored(df, label):
-    """The table written once and read back, as a run does before its several readers."""
-    spark = df.sparkSession
-    path = scratch_dir(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def texts_table(spark, sf):
     return stored(unique(spark, sf).select("post_id", "content", "hashtags"), "texts")
 
@@ -124,6 +116,10 @@ def terms(spark, sf):
     return keywords.with_terms(keywords.documents(unique(spark, sf)))
 
 
+def stored_terms(spark, sf):
+    return keywords.with_terms(keywords.documents(texts_table(spark, sf)))
+
+
 # Sources and sinks
 
 
@@ -746,14 +742,12 @@ def _(spark, sf):
 
 @query("t04_ngrams")
 def _(spark, sf):
-    return terms(spark, sf).select("post_id", F.explode("terms").alias("term")).groupBy("post_id", "term").agg(
-        F.count(F.lit(1)).alias("n")
-    )
+    return keywords.term_counts(stored_terms(spark, sf)).select("post_id", "term", F.col("tf").alias("n"))
 
 
 @query("t05_term_frequency")
 def _(spark, sf):
-    return keywords.term_counts(terms(spark, sf))
+    return keywords.term_counts(stored_terms(spark, sf))
 
 
 @query("t06_document_frequency")

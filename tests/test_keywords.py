@@ -341,3 +341,15 @@ def test_counts_in_the_row(spark):
     df = spark.createDataFrame([(1, ["b", "a", "b"]), (1, []), (None, ["c"])], "post_id bigint, terms array<string>")
     got = [(r.post_id, [tuple(c) for c in r.counted]) for r in kw.with_counts(df).collect()]
     assert got == [(1, [("a", 1), ("b", 2)]), (1, []), (None, [("c", 1)])]
+
+
+def test_terms_of_a_key_of_its_own_are_not_shuffled(spark, capsys):
+    texts = [(1, "lot gain lot"), (1, "lot loss"), (None, "gain"), (None, "gain gain"), (2, "lot lot gain"), (3, "the")]
+    for rows, shuffles in ((texts, True), (texts[1:3] + texts[4:], False)):
+        df = kw.with_terms(spark.createDataFrame(rows, "post_id bigint, content string"))
+        counted = kw.term_counts(df)
+        capsys.readouterr()
+        counted.explain()
+        assert ("hashpartitioning(" in capsys.readouterr().out) == shuffles
+        expected = Counter((key, term) for key, text in rows for term in python_terms(text))
+        assert Counter({(r.post_id, r.term): r.tf for r in counted.collect()}) == expected
