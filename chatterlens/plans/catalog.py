@@ -227,7 +227,7 @@ def _(spark, sf):
 @query("s09_lake_of_one_hashtag")
 def _(spark, sf):
     """What the folders that may hold a hashtag have of it, for a frequent and a rare one."""
-    path = post_io.write_lake(unique(spark, sf), scratch_dir(spark, "lake"), own_folders=1)
+    path = post_io.write_lake(stored(unique(spark, sf), "unique"), scratch_dir(spark, "lake"), own_folders=1)
     frequent, rare = (post_io.read_lake(spark, path, tag) for tag in ("sensex", "desk"))
     return frequent.unionByName(rare).select("hashtag", *post_out())
 

@@ -9,7 +9,7 @@ from pyspark.sql.types import DateType, LongType, StringType, StructField, Struc
 from chatterlens.functions.times import date_utc, iso_utc, parse_iso
 from chatterlens.operators.normalize import conform, normalise_posts
 from chatterlens.schema import CAPTURE_SCHEMA, PAGE_SCHEMA, POST_COLUMNS, POST_SCHEMA
-from chatterlens.session import scratch_dir
+from chatterlens.session import shuffles_released, stored
 
 
 def read_posts(spark: SparkSession, path: str) -> DataFrame:
@@ -75,12 +75,11 @@ def write_lake(
     tag = F.explode_outer(F.array_distinct("hashtags")).alias("hashtag")
     counted = df.select(tag).filter(F.col("hashtag").isNotNull()).groupBy("hashtag").agg(F.count(F.lit(1)).alias("n"))
     top = counted.orderBy(F.desc("n"), F.asc("hashtag")).limit(own_folders).select(F.col("hashtag").alias("_tag"))
-    scratch = scratch_dir(spark, "folders")
-    top.write.parquet(scratch)
-    own = spark.read.schema("_tag string").parquet(scratch)
+    own = stored(top, "folders")
     target = f"{path.rstrip('/')}/batch={batch}"
     placed = lake_rows(df, own, shared_folders)
-    placed.write.mode("overwrite").option("compression", "zstd").partitionBy("date", "folder").parquet(target)
+    with shuffles_released(spark):
+        placed.write.mode("overwrite").option("compression", "zstd").partitionBy("date", "folder").parquet(target)
     return path
 
 
