@@ -269,7 +269,8 @@ def _(spark, sf):
 @query("s12_json_without_keys")
 def _(spark, sf):
     """Records without keys, in files in order: the place of a line is its key, and first copies stay first."""
-    path = post_io.write_json_posts(normalised(spark, sf).orderBy("ingest_seq"), scratch_dir(spark, "lines"), keyed=False)
+    rows = stored(normalised(spark, sf), "posts").orderBy("ingest_seq")
+    path = post_io.write_json_posts(rows, scratch_dir(spark, "lines"), keyed=False, compression="gzip")
     return signals.prepared_posts(post_io.read_json_posts(spark, path)).select(*post_out()[1:], "fingerprint")
 
 

@@ -138,13 +138,11 @@ def read_json_lines(spark: SparkSession, path: str) -> DataFrame:
         F.coalesce(F.sum("_lines").over(before), F.lit(0)).alias("_before"),
         F.dense_rank().over(Window.orderBy("file")).alias("_file"),
     )
-    scratch = scratch_dir(spark, "splits")
-    placed.write.parquet(scratch)
-    stored = spark.read.schema(placed.schema).parquet(scratch)
+    places = stored(placed, "splits")
     # Both scans of the files are split alike; if they ever were not, the numbers would be wrong.
     alike = F.shiftright("_at", 33) == F.shiftright("_first", 33)
     line = F.when(alike, F.col("_at") - F.col("_first") + F.col("_before")).otherwise(F.raise_error(F.lit("files were split in two ways")).cast("bigint"))
-    matched = rows.join(stored, (F.col("file") == F.col("_of")) & (F.col("_block") == F.col("_split")))
+    matched = rows.join(places, (F.col("file") == F.col("_of")) & (F.col("_block") == F.col("_split")))
     numbered = matched.select("value", "file", line.alias("line"), "_file")
     return numbered.select("value", "file", "line", ((F.col("_file") - 1) * (1 << 40) + F.col("line")).cast("bigint").alias("line_key"))
 
@@ -205,8 +203,10 @@ def read_json_posts(spark: SparkSession, path: str) -> DataFrame:
     return from_json_lines(read_json_lines(spark, path))
 
 
-def write_json_posts(df: DataFrame, path: str, mode: str = "overwrite", keyed: bool = True) -> str:
-    to_json_lines(df, keyed).select("value").write.mode(mode).text(path)
+def write_json_posts(df: DataFrame, path: str, mode: str = "overwrite", keyed: bool = True, compression: str = "none") -> str:
+    """Posts as files of JSON lines. A compressed file is read by one task, whatever its size."""
+    with shuffles_released(df.sparkSession):
+        to_json_lines(df, keyed).select("value").write.mode(mode).option("compression", compression).text(path)
     return path
 
 
