@@ -16,6 +16,7 @@ from chatterlens.operators.signal import summarise, with_weighted_signal
 from chatterlens.options import JobOptions
 from chatterlens.plans.runs import RunLog
 from chatterlens.schema import POST_COLUMNS
+from chatterlens.session import shuffles_released
 from chatterlens.sources.posts import read_posts, write_posts
 from chatterlens.sources.results import write_features_csv, write_json
 
@@ -86,40 +87,42 @@ def run(
     log = RunLog(spark, options.processed_dir)
     out = log.new_folder(batch)
     cleaning = Observation("cleaning")
-    if store is None:
-        prepared = prepared_posts(raw, cleaning=cleaning)
-    else:
-        _complete_store(spark, log, store, batch)
-        prepared = store.new_posts(cleaned_posts(raw, cleaning), batch)
-    posts_path = write_posts(prepared, f"{out}/posts", options.compression)
-    posts = read_posts(spark, posts_path)
-    counts = {**cleaning.get, "unique": posts.count()}
-    rejected_path = f"{out}/rejected"
-    rejected_posts(raw).write.mode("overwrite").parquet(rejected_path)
-    if rejected_lines is not None:
-        rejected_lines.write.mode("overwrite").parquet(f"{out}/rejected_lines")
-        counts["rejected_lines"] = spark.read.schema(rejected_lines.schema).parquet(f"{out}/rejected_lines").count()
-
-    # Features are computed once; CSV, summary and charts prune their columns from the stored table.
-    matrix = scored_posts(posts)
-    matrix.write.mode("overwrite").parquet(f"{out}/scored")
-    scored = spark.read.schema(matrix.schema).parquet(f"{out}/scored")
-    features_path = write_features_csv(scored.drop("weighted_signal"), f"{out}/features")
-
-    top = keywords.top_keywords(posts, options.top_n, options.max_features, options.ngram_range)
-    keywords_path = write_json(top.coalesce(1), f"{out}/top_keywords")
-
-    summary = summarise(scored, buy_threshold=options.buy_threshold, sell_threshold=options.sell_threshold)
-    summary_path = write_json(summary.coalesce(1), f"{out}/signal_summary")
-    stored_summary = spark.read.schema(summary.schema).json(summary_path)
-
-    chart_paths = {}
-    for name, table in charts.all_charts(scored, stored_summary, options.top_n).items():
-        chart_paths[name] = f"{out}/charts/{name}"
-        table.coalesce(1).write.mode("overwrite").parquet(chart_paths[name])
-    log.finish(batch, out)
-    if store is not None:
-        store.commit(with_fingerprint(posts), batch)
+    # Each result is stored; what was shuffled for it is not kept beside it.
+    with shuffles_released(spark):
+        if store is None:
+            prepared = prepared_posts(raw, cleaning=cleaning)
+        else:
+            _complete_store(spark, log, store, batch)
+            prepared = store.new_posts(cleaned_posts(raw, cleaning), batch)
+        posts_path = write_posts(prepared, f"{out}/posts", options.compression)
+        posts = read_posts(spark, posts_path)
+        counts = {**cleaning.get, "unique": posts.count()}
+        rejected_path = f"{out}/rejected"
+        rejected_posts(raw).write.mode("overwrite").parquet(rejected_path)
+        if rejected_lines is not None:
+            rejected_lines.write.mode("overwrite").parquet(f"{out}/rejected_lines")
+            counts["rejected_lines"] = spark.read.schema(rejected_lines.schema).parquet(f"{out}/rejected_lines").count()
+
+        # Features are computed once; CSV, summary and charts prune their columns from the stored table.
+        matrix = scored_posts(posts)
+        matrix.write.mode("overwrite").option("compression", "zstd").parquet(f"{out}/scored")
+        scored = spark.read.schema(matrix.schema).parquet(f"{out}/scored")
+        features_path = write_features_csv(scored.drop("weighted_signal"), f"{out}/features")
+
+        top = keywords.top_keywords(posts, options.top_n, options.max_features, options.ngram_range)
+        keywords_path = write_json(top.coalesce(1), f"{out}/top_keywords")
+
+        summary = summarise(scored, buy_threshold=options.buy_threshold, sell_threshold=options.sell_threshold)
+        summary_path = write_json(summary.coalesce(1), f"{out}/signal_summary")
+        stored_summary = spark.read.schema(summary.schema).json(summary_path)
+
+        chart_paths = {}
+        for name, table in charts.all_charts(scored, stored_summary, options.top_n).items():
+            chart_paths[name] = f"{out}/charts/{name}"
+            table.coalesce(1).write.mode("overwrite").parquet(chart_paths[name])
+        log.finish(batch, out)
+        if store is not None:
+            store.commit(with_fingerprint(posts), batch)
     return RunResult(
         posts_path,
         features_path,

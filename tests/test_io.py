@@ -2,6 +2,7 @@
 
 import json
 import os
+import time
 from datetime import UTC, datetime
 
 import pytest
@@ -15,7 +16,7 @@ from chatterlens.options import JobOptions
 from chatterlens.plans import signals
 from chatterlens.plans.runs import RunLog
 from chatterlens.schema import POST_SCHEMA
-from chatterlens.session import scratch_dir
+from chatterlens.session import scratch_dir, stored
 from chatterlens.sources import posts as io
 from chatterlens.sources import results, sample
 from chatterlens.streaming import stateful
@@ -322,3 +323,55 @@ def test_rolling_stream_equals_batch(spark):
     got = stateful.flush_stream(stateful.rolling_signal_stream(stream), spark, "r", root)
     want = signal.rolling_summary(rows)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def shuffle_files(spark):
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {name for name in (files.apply(i).getName() for i in range(files.size())) if name.startswith("shuffle_")}
+
+
+def left_by(spark, make):
+    """Shuffle files that are still there some seconds after ``make`` has run."""
+    before = shuffle_files(spark)
+    make()
+    for _ in range(50):
+        left = shuffle_files(spark) - before
+        if not left:
+            break
+        time.sleep(0.1)
+    return left
+
+
+def several_posts(make_posts):
+    return make_posts(*[{"username": f"u{i % 40}", "content": f"gain of lot {i % 40}", "hashtags": [f"t{i % 3}"]} for i in range(80)])
+
+
+def test_a_run_keeps_no_shuffle_files(spark, make_posts, tmp_path):
+    """Each output is stored, so what was shuffled for it need not stay on the executors' disks, nor does the setting."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    options = JobOptions(str(tmp_path), datetime(2024, 1, 31, tzinfo=UTC), 168)
+    posts = several_posts(make_posts)
+    assert not left_by(spark, lambda: signals.run(spark, posts, options))
+    assert spark.conf.get(name, None) == before
+
+
+def test_writing_a_lake_keeps_no_shuffle_files(spark, make_posts):
+    posts = io.read_posts(spark, io.write_posts(several_posts(make_posts), scratch_dir(spark, "posts")))
+    assert not left_by(spark, lambda: io.write_lake(posts, scratch_dir(spark, "lake")))
+
+
+def test_stored_tables_keep_no_shuffle_files(spark):
+    rows = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    assert not left_by(spark, lambda: stored(rows, "rows"))
+    assert sorted(map(tuple, stored(rows, "rows").collect())) == sorted(map(tuple, rows.collect()))
+
+
+def test_compressed_json_lines_are_numbered_alike(spark, make_posts):
+    posts = several_posts(make_posts).orderBy("ingest_seq")
+    paths = [scratch_dir(spark, "lines") for _ in range(2)]
+    assert not left_by(spark, lambda: io.write_json_posts(posts, paths[0], keyed=False, compression="gzip"))
+    io.write_json_posts(posts, paths[1], keyed=False)
+    packed, plain = (signals.prepared_posts(io.read_json_posts(spark, p)).drop("post_id", "ingest_seq") for p in paths)
+    assert sorted(packed.collect()) == sorted(plain.collect())
+    assert packed.count() == 40 and all(f.endswith(".txt.gz") for f in spark.read.text(paths[0]).inputFiles())
