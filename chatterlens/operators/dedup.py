@@ -15,7 +15,7 @@ from chatterlens.functions.text import strip
 from chatterlens.functions.times import iso_utc
 from chatterlens.operators.ranking import tie_columns
 from chatterlens.schema import HASH_SCHEMA, require_columns
-from chatterlens.session import scratch_dir
+from chatterlens.session import scratch_dir, shuffles_released
 
 
 def fingerprint(username: Column, timestamp: Column, content: Column) -> Column:
@@ -188,7 +188,8 @@ class FingerprintStore:
         """
         path, hits = scratch_dir(self.spark, "unique"), scratch_dir(self.spark, "known")
         unique = deduplicate(df)
-        unique.write.option("compression", "zstd").parquet(path)
+        with shuffles_released(self.spark):
+            unique.write.option("compression", "zstd").parquet(path)
         stored = self.spark.read.schema(unique.schema).parquet(path)
         ranges = self.matching_ranges(stored.select("fingerprint"), batch)
         if not ranges:

@@ -1034,6 +1034,6 @@ def _(spark, sf):
     root = scratch_dir(spark, "job")
     rows, earlier = views.posts(spark, sf), F.col("timestamp") < views.batch_start()
     for batch, part in ((0, earlier), (1, ~earlier)):
-        path = post_io.write_posts(rows.filter(part), f"{root}/in-{batch}")
+        path = post_io.write_posts(rows.filter(part), f"{root}/in-{batch}", compression="zstd")
         job.main(["--input", path, "--known", f"{root}/known", "--batch", str(batch), "--output-dir", f"{root}/out", "--as-of", "2024-01-31"])
     return runs.RunLog(spark, f"{root}/out/processed").posts().select("post_id", "username")
