@@ -353,3 +353,19 @@ def test_terms_of_a_key_of_its_own_are_not_shuffled(spark, capsys):
         assert ("hashpartitioning(" in capsys.readouterr().out) == shuffles
         expected = Counter((key, term) for key, text in rows for term in python_terms(text))
         assert Counter({(r.post_id, r.term): r.tf for r in counted.collect()}) == expected
+
+
+def test_terms_beside_the_vocabulary_are_left_out_in_the_row(spark, monkeypatch):
+    """Scores by join are the same with and without a list of the vocabulary; with one, no other term is put together."""
+    monkeypatch.setattr(kw, "ROW_LOCAL_TERMS", 2)
+    posts = spark.createDataFrame([(i % 3 or None, t) for i, t in enumerate(TEXTS * 2)], "post_id bigint, content string")
+    model, rows = kw.fit(posts, 7), []
+    assert not model.row_local and model.n_terms == 7
+    every = kw.with_terms
+    for listed in (2, 1):
+        monkeypatch.setattr(kw, "ROW_LOCAL_TERMS", listed)
+        called = []
+        monkeypatch.setattr(kw, "with_terms", lambda *a, **b: called.append(1) or every(*a, **b))
+        rows.append(sorted((r.post_id or 0, r.term, r.tf, round(r.tfidf, 9)) for r in model.transform(posts).collect()))
+        assert bool(called) == (listed == 1)
+    assert rows[0] == rows[1] and rows[0]
